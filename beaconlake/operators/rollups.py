@@ -25,19 +25,16 @@ BARCODE = "BARCODE_SCANNER"
 KEYWORDS_TYPE = "array<struct<keyword: string, count: bigint>>"
 
 
-def _daily(df: DataFrame, since: datetime | None, until: datetime | None) -> DataFrame:
+def with_day(df: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """Raw rows of a run window with their UTC day as ``snapshot_date``."""
     return within(df, since, until).withColumn("snapshot_date", event_date(F.col("timestamp")))
 
 
-def latency_histogram(metrics: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+def latency_histogram(daily_metrics: DataFrame) -> DataFrame:
     """Requests and errors per (day, platform, latency). Any status other than 200 is an error, 201 and 304 too."""
-    return (
-        _daily(metrics, since, until)
-        .groupBy("snapshot_date", F.col("platform").alias("os_platform"), "latency_ms")
-        .agg(
-            F.count("*").alias("requests"),
-            F.count_if(F.col("status_code") != 200).alias("errors"),
-        )
+    return daily_metrics.groupBy("snapshot_date", F.col("platform").alias("os_platform"), "latency_ms").agg(
+        F.count("*").alias("requests"),
+        F.count_if(F.col("status_code") != 200).alias("errors"),
     )
 
 
@@ -71,12 +68,12 @@ def performance_from_histogram(histogram: DataFrame) -> DataFrame:
 def daily_api_performance(
     metrics: DataFrame, since: datetime | None = None, until: datetime | None = None
 ) -> DataFrame:
-    return performance_from_histogram(latency_histogram(metrics, since, until))
+    return performance_from_histogram(latency_histogram(with_day(metrics, since, until)))
 
 
-def endpoint_sums(metrics: DataFrame) -> DataFrame:
-    """Latency sum and counts per (day, normalised endpoint, method), for metrics that carry ``snapshot_date``."""
-    return metrics.groupBy("snapshot_date", normalize_endpoint(F.col("endpoint")).alias("endpoint"), "method").agg(
+def endpoint_sums(daily_metrics: DataFrame) -> DataFrame:
+    """Latency sum and call count per (day, normalised endpoint, method)."""
+    return daily_metrics.groupBy("snapshot_date", normalize_endpoint(F.col("endpoint")).alias("endpoint"), "method").agg(
         F.sum("latency_ms").alias("latency_sum"),
         F.count("*").alias("call_count"),
     )
@@ -91,14 +88,13 @@ def latency_from_sums(sums: DataFrame) -> DataFrame:
 def daily_endpoint_latency(
     metrics: DataFrame, since: datetime | None = None, until: datetime | None = None
 ) -> DataFrame:
-    return latency_from_sums(endpoint_sums(_daily(metrics, since, until)))
+    return latency_from_sums(endpoint_sums(with_day(metrics, since, until)))
 
 
-def keyword_counts(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+def keyword_counts(daily_events: DataFrame) -> DataFrame:
     """Searches per (day, platform, keyword); a search without text counts under the NULL keyword."""
     return (
-        _daily(events, since, until)
-        .where(F.col("event_name") == SEARCH)
+        daily_events.where(F.col("event_name") == SEARCH)
         .groupBy(
             "snapshot_date",
             F.col("platform").alias("os_platform"),
@@ -108,6 +104,13 @@ def keyword_counts(events: DataFrame, since: datetime | None = None, until: date
     )
 
 
+def _keyword_items(ranked: str) -> Column:
+    """Keep keyword and count of each ranked entry."""
+    return F.transform(
+        ranked, lambda item: F.struct(item["keyword"].alias("keyword"), item["count"].alias("count"))
+    ).cast(KEYWORDS_TYPE)
+
+
 def top_keywords(counts: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
     """The n most frequent keywords per key as one ordered array.
 
@@ -120,43 +123,68 @@ def top_keywords(counts: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
         ranked.where(F.col("rank") <= n)
         .groupBy(*keys)
         .agg(items.alias("items"))
-        .select(
-            *keys,
-            F.transform("items", lambda item: F.struct(item["keyword"].alias("keyword"), item["count"].alias("count")))
-            .cast(KEYWORDS_TYPE)
-            .alias("top_searched_keywords"),
-        )
+        .select(*keys, _keyword_items("items").alias("top_searched_keywords"))
     )
 
 
 def daily_top_keywords(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-    return top_keywords(keyword_counts(events, since, until), ["snapshot_date", "os_platform"])
+    return top_keywords(keyword_counts(with_day(events, since, until)), ["snapshot_date", "os_platform"])
 
 
-def daily_funnel(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-    """Funnel counts per (day, platform) with that day's top searches, ``[]`` when nobody searched."""
+FUNNEL_COUNTS = [
+    "scan_opened_count",
+    "scan_success_count",
+    "scan_miss_count",
+    "cart_viewed_count",
+    "rent_success_count",
+]
+
+
+def funnel_steps(daily_events: DataFrame) -> DataFrame:
+    """Step counts and searches per (day, platform, searched keyword): all the funnel needs, from one scan."""
     name = F.col("event_name")
     by_barcode = F.get_json_object("attributes", "$.trigger_source") == BARCODE
     about_isbn = F.get_json_object("attributes", "$.message").ilike("%ISBN%")
-    counts = (
-        _daily(events, since, until)
-        .groupBy("snapshot_date", F.col("platform").alias("os_platform"))
-        .agg(
-            F.count_if(name == SCAN_SCREEN).alias("scan_opened_count"),
-            F.count_if((name == ADD_TO_CART) & by_barcode).alias("scan_success_count"),
-            F.count_if(name.isin(*LOAD_FAILURES) & about_isbn).alias("scan_miss_count"),
-            F.count_if(name == CART_SCREEN).alias("cart_viewed_count"),
-            F.count_if(name == RENT).alias("rent_success_count"),
-        )
+    searched = F.coalesce(name == SEARCH, F.lit(False))
+    return daily_events.groupBy(
+        "snapshot_date",
+        F.col("platform").alias("os_platform"),
+        searched.alias("searched"),
+        F.when(searched, F.get_json_object("attributes", "$.query_text")).alias("keyword"),
+    ).agg(
+        F.count_if(name == SCAN_SCREEN).alias("scan_opened_count"),
+        F.count_if((name == ADD_TO_CART) & by_barcode).alias("scan_success_count"),
+        F.count_if(name.isin(*LOAD_FAILURES) & about_isbn).alias("scan_miss_count"),
+        F.count_if(name == CART_SCREEN).alias("cart_viewed_count"),
+        F.count_if(name == RENT).alias("rent_success_count"),
+        F.count("*").alias("count"),
+    )
+
+
+def funnel_from_steps(steps: DataFrame, n: int = 5, salts: int = 32) -> DataFrame:
+    """Counts per (day, platform) with its n most frequent searches, ``[]`` when nobody searched.
+
+    Keywords are ranked inside hash slices of each (day, platform); only the n best of a slice are collected, so a
+    day with very many keywords never meets in one task and at most ``n * salts`` keywords do.
+    """
+    slice_of = Window.partitionBy("snapshot_date", "os_platform", "searched", "salt")
+    rank = F.row_number().over(slice_of.orderBy(F.col("count").desc(), F.col("keyword").asc()))
+    ranked = steps.withColumn("salt", F.pmod(F.xxhash64("keyword"), F.lit(salts))).withColumn("rank", rank)
+    candidate = F.when(
+        F.col("searched") & (F.col("rank") <= n), F.struct(F.negative("count").alias("order"), "keyword", "count")
     )
-    keys = ["snapshot_date", "os_platform"]
-    searches = daily_top_keywords(events, since, until)
-    nothing = F.array().cast(KEYWORDS_TYPE)
-    return counts.join(searches, keys, "left").withColumn(
-        "top_searched_keywords", F.coalesce("top_searched_keywords", nothing)
+    best = F.slice(F.sort_array(F.collect_list(candidate)), 1, n)
+    return (
+        ranked.groupBy("snapshot_date", "os_platform")
+        .agg(*(F.sum(name).alias(name) for name in FUNNEL_COUNTS), best.alias("best"))
+        .select("snapshot_date", "os_platform", *FUNNEL_COUNTS, _keyword_items("best").alias("top_searched_keywords"))
     )
 
 
+def daily_funnel(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    return funnel_from_steps(funnel_steps(with_day(events, since, until)))
+
+
 def count_by_suffix(daily_events: DataFrame, suffix: str, name: str, count: str) -> DataFrame:
     """Events per (day, platform, name) whose name ends in ``_`` plus the suffix, in any case.
 
@@ -169,12 +197,20 @@ def count_by_suffix(daily_events: DataFrame, suffix: str, name: str, count: str)
     )
 
 
+def error_counts(daily_events: DataFrame) -> DataFrame:
+    return count_by_suffix(daily_events, "FAILURE", "error_name", "occurrence_count")
+
+
+def screen_counts(daily_events: DataFrame) -> DataFrame:
+    return count_by_suffix(daily_events, "SCREEN", "screen_name", "visit_count")
+
+
 def daily_errors(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-    return count_by_suffix(_daily(events, since, until), "FAILURE", "error_name", "occurrence_count")
+    return error_counts(with_day(events, since, until))
 
 
 def daily_screens(events: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-    return count_by_suffix(_daily(events, since, until), "SCREEN", "screen_name", "visit_count")
+    return screen_counts(with_day(events, since, until))
 
 
 def day_window(raw: DataFrame, since: datetime, until: datetime) -> DataFrame:

@@ -636,3 +636,38 @@ _add(
     """select page, case when page % 2 = 0 then n + 1000 else n end as total_logs, id, platform, level, traceId, message
     from (select *, id // 50 as page, count(*) over (partition by id // 50)::bigint as n from logs)""",
 )
+
+_SUMMARIES = {
+    "summary_api_performance": "performance",
+    "summary_business_funnel": "funnel",
+    "summary_crash_errors": "errors",
+    "summary_screen_visits": "screens",
+    "summary_api_endpoints": "endpoints",
+}
+_add(
+    "atomic_batch_write", "performance funnel errors screens endpoints",
+    " union all ".join(
+        f"select '{name}' as table_name, {_SNAPSHOT}, count(*)::bigint as row_count from {cte} group by snapshot_date"
+        for name, cte in _SUMMARIES.items()
+    ),
+)
+_add(
+    "route_tagged_stream", "dated normal",
+    f"""select 'mobile_telemetry_events' as table_name, {_day('day')} as event_date, platform,
+        count(*)::bigint as row_count, count(distinct id)::bigint as id_count
+    from dated where event_type <> 'ERROR' group by day, platform
+    union all
+    select 'mobile_telemetry_api_metrics', {_day('day')}, platform, count(*)::bigint, count(distinct id)::bigint
+    from normal group by day, platform""",
+)
+# The streams end in the tables the batch queries compute.
+for _stream, _batch in (
+    ("stream_api_performance", "daily_api_performance"),
+    ("stream_endpoint_latency", "daily_endpoint_latency"),
+    ("stream_funnel", "daily_funnel"),
+    ("stream_errors", "daily_errors"),
+    ("stream_screens", "daily_screens"),
+    ("stream_ci_incidents", "ci_incidents"),
+    ("stream_probe_incidents", "probe_incidents"),
+):
+    SQL[_stream] = SQL[_batch]

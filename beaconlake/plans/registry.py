@@ -13,8 +13,14 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions import clock, text
 from beaconlake.operators import ci, incidents, reads, rollups, sinks, snapshots
+from beaconlake.plans import jobs
+from beaconlake.plans.publish import Store
+from beaconlake.session import run_dir
 from beaconlake.sources import payloads
-from beaconlake.sources.derived import table
+from beaconlake.sources.derived import stream, table
+from beaconlake.streaming import incidents as incident_streams
+from beaconlake.streaming import ingest
+from beaconlake.streaming import rollups as rollup_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -642,3 +648,114 @@ def extract_log_page(spark, data):
     )
     lines = payloads.extract_log_page(pages)
     return lines.select("page", "total_logs", "id", "platform", "level", "traceId", "message")
+
+
+@query
+def atomic_batch_write(spark, data):
+    """All five summaries published by one nightly run, read back and counted."""
+    store = Store(spark, run_dir(spark, "summaries"))
+    raw = {"events": _events(spark, data), "metrics": _metrics(spark, data)}
+    failed = jobs.nightly(store, raw, datetime(2024, 1, 1), EVENTS_AS_OF)
+    if failed:
+        raise RuntimeError(f"rollups failed: {failed}")
+    counts = [
+        store.read(name).groupBy("snapshot_date").agg(F.count("*").alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "snapshot_date", "row_count")
+        for name, *_ in jobs.NIGHTLY
+    ]
+    published = counts[0]
+    for count in counts[1:]:
+        published = published.unionByName(count)
+    return as_text(published)
+
+
+# Streams: each run drains the table as a file stream, then reads what the stream maintains.
+
+DRAIN = {"availableNow": True}
+
+
+def messages(spark: SparkSession, data: str) -> DataFrame:
+    """Tagged messages: the events and metrics of the tables, and one unknown tag per error event."""
+    e = stream(spark, data, "mobile_telemetry_events")
+    event = F.struct(
+        "id", "timestamp", "platform", F.col("event_type").alias("eventType"), F.col("event_name").alias("eventName"),
+        F.col("error_message").alias("errorMessage"), F.col("app_version").alias("appVersion"), "attributes",
+    )
+    m = stream(spark, data, "mobile_telemetry_api_metrics")
+    metric = F.struct(
+        "id", "timestamp", "platform", "endpoint", "method", F.col("status_code").alias("statusCode"),
+        F.col("latency_ms").alias("latencyMs"),
+    )
+    known = F.when(F.col("event_type") == "ERROR", "UNKNOWN").otherwise("EVENT")
+    return e.select(F.to_json(F.struct(known.alias("queueType"), event.alias("data"))).alias("value")).unionByName(
+        m.select(F.to_json(F.struct(F.lit("METRIC").alias("queueType"), metric.alias("data"))).alias("value"))
+    )
+
+
+@query
+def route_tagged_stream(spark, data):
+    base = run_dir(spark, "route")
+    ingest.route_tagged_stream(messages(spark, data), f"{base}/raw", f"{base}/checkpoint", DRAIN).awaitTermination()
+    counts = [
+        spark.read.parquet(f"{base}/raw/{name}")
+        .groupBy("event_date", "platform")
+        .agg(F.count("*").alias("row_count"), F.count_distinct("id").alias("id_count"))
+        .select(F.lit(name).alias("table_name"), "*")
+        for name in ("mobile_telemetry_events", "mobile_telemetry_api_metrics")
+    ]
+    return as_text(counts[0].unionByName(counts[1]))
+
+
+def _maintained(spark: SparkSession, data: str, name: str, parts: dict) -> Store:
+    base = run_dir(spark, "rollup")
+    store = Store(spark, f"{base}/store")
+    rollup_streams.maintain(stream(spark, data, name), parts, store, name, f"{base}/checkpoint", DRAIN).awaitTermination()
+    return store
+
+
+@query
+def stream_api_performance(spark, data):
+    parts = {"part_latency": rollup_streams.METRIC_PARTS["part_latency"]}
+    return as_text(rollup_streams.api_performance(_maintained(spark, data, "mobile_telemetry_api_metrics", parts)))
+
+
+@query
+def stream_endpoint_latency(spark, data):
+    parts = {"part_endpoints": rollup_streams.METRIC_PARTS["part_endpoints"]}
+    return as_text(rollup_streams.endpoint_latency(_maintained(spark, data, "mobile_telemetry_api_metrics", parts)))
+
+
+@query
+def stream_funnel(spark, data):
+    parts = {"part_funnel": rollup_streams.EVENT_PARTS["part_funnel"]}
+    return as_text(rollup_streams.funnel(_maintained(spark, data, "mobile_telemetry_events", parts)))
+
+
+@query
+def stream_errors(spark, data):
+    parts = {"part_errors": rollup_streams.EVENT_PARTS["part_errors"]}
+    return as_text(rollup_streams.errors(_maintained(spark, data, "mobile_telemetry_events", parts)))
+
+
+@query
+def stream_screens(spark, data):
+    parts = {"part_screens": rollup_streams.EVENT_PARTS["part_screens"]}
+    return as_text(rollup_streams.screens(_maintained(spark, data, "mobile_telemetry_events", parts)))
+
+
+@query
+def stream_ci_incidents(spark, data):
+    base = run_dir(spark, "ci")
+    store = Store(spark, f"{base}/store")
+    incident_streams.maintain_ci(stream(spark, data, "ci_runs"), store, f"{base}/checkpoint", DRAIN).awaitTermination()
+    return as_text(store.read("ci_incidents"))
+
+
+@query
+def stream_probe_incidents(spark, data):
+    base = run_dir(spark, "probes")
+    store = Store(spark, f"{base}/store")
+    incident_streams.maintain_probes(
+        stream(spark, data, "health_probes"), store, f"{base}/checkpoint", DRAIN
+    ).awaitTermination()
+    return as_text(store.read("probe_incidents").select(*incidents.INCIDENT))

@@ -1,10 +1,8 @@
-"""Declared schemas of the stored tables. Readers never infer."""
+"""Declared schemas of the stored tables, as DDL. Readers never infer."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-_DDL = {
+TABLES = {
     "mobile_telemetry_events": """
         id string, timestamp bigint, platform string, event_type string, event_name string,
         error_message string, app_version string, attributes string""",
@@ -47,5 +45,3 @@ SUMMARY_KEYS = {
     "summary_crash_errors": ["snapshot_date", "os_platform", "error_name"],
     "summary_screen_visits": ["snapshot_date", "os_platform", "screen_name"],
 }
-
-TABLES = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}

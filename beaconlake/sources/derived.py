@@ -243,16 +243,28 @@ def _fill(text: str, tokens: dict[str, str]) -> str:
     return text
 
 
-def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    mapping = MAPPINGS[name]
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{data_dir}/{mapping.base}.parquet")
+def _project(df: DataFrame, mapping: Mapping) -> DataFrame:
     helpers = [f"{_fill(sql, _SPARK)} as {alias}" for alias, sql in mapping.helpers.items()]
     if helpers:
         df = df.selectExpr("*", *helpers)
     return df.selectExpr(*(f"{_fill(sql, _SPARK)} as {column}" for column, sql in mapping.columns.items()))
 
 
+def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+    mapping = MAPPINGS[name]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return _project(spark.read.parquet(f"{data_dir}/{mapping.base}.parquet"), mapping)
+
+
+def stream(spark: SparkSession, data_dir: str, name: str, **options) -> DataFrame:
+    """The same table as a file stream. The file's schema is declared from its footer, not inferred from rows."""
+    mapping = MAPPINGS[name]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    schema = spark.read.parquet(f"{data_dir}/{mapping.base}.parquet").schema
+    files = spark.readStream.schema(schema).options(pathGlobFilter=f"{mapping.base}*.parquet", **options)
+    return _project(files.parquet(data_dir), mapping)
+
+
 def duckdb_select(name: str) -> str:
     mapping = MAPPINGS[name]
     base = mapping.base

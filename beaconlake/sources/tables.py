@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, StructField, StructType
 
 from beaconlake.schemas import TABLES
 
@@ -26,8 +25,7 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
 def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Raw telemetry stored under ``event_date=`` folders; the partition column prunes day-sized scans."""
     _check(name, "parquet")
-    stored = StructType([*TABLES[name].fields, StructField("event_date", DateType())])
-    return spark.read.schema(stored).parquet(path)
+    return spark.read.schema(f"{TABLES[name]}, event_date date").parquet(path)
 
 
 def stream_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet", **options) -> DataFrame:
