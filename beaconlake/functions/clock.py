@@ -49,7 +49,7 @@ def within(df: DataFrame, since: datetime | None, until: datetime | None) -> Dat
     if until is not None:
         df = df.where(F.col("timestamp") < epoch_ms(until))
         if dated:
-            df = df.where(F.col("event_date") <= F.lit(utc(until).date()))
+            df = df.where(F.col("event_date") <= F.lit((utc(until) - timedelta(milliseconds=1)).date()))
     return df
 
 

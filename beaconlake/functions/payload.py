@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# One parse per payload serves every CI read. Array elements stay text: only their number is used.
-WEBHOOK = """
-    ref string,
-    commits array<string>,
-    head_commit struct<added: array<string>, removed: array<string>, modified: array<string>>,
-    repository struct<private: string, language: string>,
-    check_suite struct<conclusion: string>
-"""
+# Parts of a webhook payload. Array elements stay text: only their number is used.
+REF = "ref string"
+COMMITS = "commits array<string>"
+HEAD = "head_commit struct<added: array<string>, removed: array<string>, modified: array<string>>"
+REPOSITORY = "repository struct<private: string, language: string>"
+CHECK = "check_suite struct<conclusion: string>"
 
 
-def webhook(payload: Column) -> Column:
-    return F.from_json(payload, WEBHOOK)
+def parse_once(df: DataFrame, kept: list[str], text: str, schema: str, options: dict | None = None) -> DataFrame:
+    """``kept`` columns plus the parsed top-level fields; all fields NULL where the text is NULL.
+
+    The parse runs inside a generator. Filters on a plain projected ``from_json`` would be pushed below it, each
+    carrying its own copy of the parse; filters on generator output stay above and the text is parsed once.
+    """
+    return df.select(*kept, F.inline(F.array(F.from_json(text, schema, options or {}))))
 
 
 def length(items: Column) -> Column:
@@ -24,8 +27,8 @@ def length(items: Column) -> Column:
     return F.when(items.isNotNull(), F.array_size(items))
 
 
-def changed_files(body: Column) -> Column:
-    head = body["head_commit"]
+def changed_files(head: Column) -> Column:
+    """Files added, removed and modified by a push's head commit."""
     parts = [F.coalesce(length(head[name]), F.lit(0)) for name in ("added", "removed", "modified")]
     return parts[0] + parts[1] + parts[2]
 

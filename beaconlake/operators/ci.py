@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.functions.clock import days_back, parse_days, stamp, week_label
-from beaconlake.functions.payload import changed_files, is_json, length, webhook
+from beaconlake.functions.payload import (
+    CHECK, COMMITS, HEAD, REF, REPOSITORY, changed_files, is_json, length, parse_once
+)
 
 ALL_TIME = "all_time"
 
@@ -26,15 +28,16 @@ def _pushes(deliveries: DataFrame, as_of: datetime, window: str) -> tuple[DataFr
         since = days_back(as_of, parse_days(window.replace("d", "", 1), default=30))
         pushes = pushes.where(F.col("created_at") >= F.lit(since).cast("timestamp"))
         bucket = week_label(F.col("created_at")) if window == "90d" else F.date_format("created_at", "yyyy-MM-dd")
-    parsed = pushes.select("created_at", "repository_name", webhook(F.col("payload")).alias("body"))
-    body = F.col("body")
+    parsed = parse_once(
+        pushes, ["created_at", "repository_name"], "payload", ", ".join((COMMITS, HEAD, REPOSITORY))
+    )
     return (
         parsed.select(
             "created_at",
             "repository_name",
-            length(body["commits"]).alias("commits"),
-            changed_files(body).alias("growth"),
-            (body["repository"]["private"] == "false").alias("public"),
+            length(F.col("commits")).alias("commits"),
+            changed_files(F.col("head_commit")).alias("growth"),
+            (F.col("repository.private") == "false").alias("public"),
         ),
         bucket,
     )
@@ -125,11 +128,11 @@ def latest_per_repo(deliveries: DataFrame, repositories: list[str]) -> DataFrame
 
 
 def github_totals(deliveries: DataFrame) -> DataFrame:
-    rows = deliveries.select("event_type", "repository_name", webhook(F.col("payload")).alias("body"))
+    rows = parse_once(deliveries, ["event_type", "repository_name"], "payload", f"{COMMITS}, {CHECK}")
     push = F.col("event_type") == "push"
     check = F.col("event_type") == "check_suite"
-    conclusion = F.col("body")["check_suite"]["conclusion"]
-    commits = F.when(push, F.coalesce(length(F.col("body")["commits"]), F.lit(0))).otherwise(0)
+    conclusion = F.col("check_suite.conclusion")
+    commits = F.when(push, F.coalesce(length(F.col("commits")), F.lit(0))).otherwise(0)
     rate = F.try_divide(
         F.count_if(check & (conclusion == "success")).cast("double") * 100,
         F.count_if(check & conclusion.isNotNull()),
@@ -144,18 +147,19 @@ def github_totals(deliveries: DataFrame) -> DataFrame:
 
 def push_labels(pushes: DataFrame, owner: str) -> DataFrame:
     """Display columns of push deliveries: repository without its owner, branch or tag, language, changed files."""
-    ref = F.col("body")["ref"]
+    kept = ["id", "repository_name", "sender_login", "created_at"]
+    ref = F.col("ref")
     branch = F.when(
         ref.ilike("refs/tags/%"), F.concat(F.lit("Tag: "), F.replace(ref, F.lit("refs/tags/"), F.lit("")))
     ).otherwise(F.replace(ref, F.lit("refs/heads/"), F.lit("")))
-    return pushes.withColumn("body", webhook(F.col("payload"))).select(
+    return parse_once(pushes, kept, "payload", ", ".join((REF, HEAD, REPOSITORY))).select(
         "id",
         F.replace(F.col("repository_name"), F.lit(f"{owner}/"), F.lit("")).alias("repository_name"),
         "sender_login",
         stamp(F.col("created_at")).alias("created_at"),
         branch.alias("branch"),
-        F.col("body")["repository"]["language"].alias("language"),
-        changed_files(F.col("body")).alias("changed_count"),
+        F.col("repository.language").alias("language"),
+        changed_files(F.col("head_commit")).alias("changed_count"),
     )
 
 

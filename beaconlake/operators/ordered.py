@@ -78,28 +78,33 @@ def rolling_sum(
         raise ValueError("span must be a multiple of the slice width")
     base = rows.withColumn("_us", F.unix_micros(at)).withColumn("_slice", F.col("_us") - F.pmod("_us", F.lit(size)))
     amount = F.coalesce(F.col(value), F.lit(0)).cast("bigint")
-    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in rows.schema.fields if field.name not in keys]
+    carried = [field for field in rows.schema.fields if field.name not in keys]
+
+    def step(slice_: Column, us: Column, delta: Column, own: bool) -> list[Column]:
+        blank = F.lit(None)
+        return [
+            slice_.alias("_slice"),
+            us.alias("_us"),
+            delta.alias("_delta"),
+            F.lit(own).alias("_own"),
+            *((F.col(f.name) if own else blank.cast(f.dataType)).alias(f.name) for f in carried),
+        ]
 
-    entering = base.select(*rows.columns, "_slice", F.col("_us").alias("_at"), amount.alias("_delta"), F.lit(True).alias("_own"))
     span_us = span // micro
-    # A row at t counts up to and including t + span, hence leaves one microsecond later.
-    leaving = base.select(
-        *keys, *nothing, (F.col("_slice") + span_us).alias("_slice"), (F.col("_us") + span_us + 1).alias("_at"),
-        (-amount).alias("_delta"), F.lit(False).alias("_own"),
-    )
+    # One scan yields both steps. A row at t counts up to and including t + span, hence leaves one microsecond later.
+    entering = step(F.col("_slice"), F.col("_us"), amount, True)
+    leaving = step(F.col("_slice") + span_us, F.col("_us") + span_us + 1, -amount, False)
+    steps = base.select(*keys, F.inline(F.array(F.struct(*entering), F.struct(*leaving))))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(-span_us, -size)
+    before = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
     totals = (
         base.groupBy(*keys, "_slice")
         .agg(F.sum(amount).alias("_total"))
-        .select(
-            *keys, *nothing, "_slice", F.col("_slice").alias("_at"),
-            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_delta"), F.lit(False).alias("_own"),
-        )
+        .select(*keys, *step(F.col("_slice"), F.col("_slice"), before, False))
     )
-    so_far = Window.partitionBy(*keys, "_slice").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
     return (
-        entering.unionByName(leaving)
-        .unionByName(totals)
+        steps.unionByName(totals)
         .withColumn("rolling", F.sum("_delta").over(so_far))
         .where("_own")
         .select(*rows.columns, "rolling")

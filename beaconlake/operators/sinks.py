@@ -21,19 +21,11 @@ def _same_key(keys: list[str]) -> Column:
     return condition
 
 
-def upsert_full(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows replace existing rows of the same key; other existing rows stay."""
-    kept = existing.alias("old").join(incoming.alias("new"), _same_key(keys), "left_anti")
-    return kept.unionByName(incoming)
-
-
-def insert_or_replace(existing: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
-    """Whole-row replace by primary key."""
-    return upsert_full(existing, incoming, [key])
-
-
 def upsert_partial(existing: DataFrame, incoming: DataFrame, keys: list[str], updated: list[str]) -> DataFrame:
-    """Insert new keys; for keys that exist change the ``updated`` columns only."""
+    """Insert new keys; for keys that exist change the ``updated`` columns only.
+
+    One full outer join on unique keys: each side is computed and shuffled once.
+    """
     old = existing.withColumn("_stored", F.lit(True)).alias("old")
     new = incoming.withColumn("_given", F.lit(True)).alias("new")
 
@@ -46,6 +38,16 @@ def upsert_partial(existing: DataFrame, incoming: DataFrame, keys: list[str], up
     return old.join(new, _same_key(keys), "full_outer").select(*map(choose, existing.columns))
 
 
+def upsert_full(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """Incoming rows replace existing rows of the same key; other existing rows stay."""
+    return upsert_partial(existing, incoming, keys, [name for name in existing.columns if name not in keys])
+
+
+def insert_or_replace(existing: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
+    """Whole-row replace by primary key."""
+    return upsert_full(existing, incoming, [key])
+
+
 def conditional_update(df: DataFrame, matches: Column, changes: dict[str, Column]) -> DataFrame:
     """Set columns on the rows that match; a NULL condition does not match. Row and column order stay."""
     set_to = {name: F.when(matches, value).otherwise(F.col(name)).alias(name) for name, value in changes.items()}

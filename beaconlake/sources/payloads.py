@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.functions.clock import epoch_ms
-from beaconlake.functions.payload import is_json, number_or_zero, whole_number
+from beaconlake.functions.payload import is_json, number_or_zero, parse_once, whole_number
 from beaconlake.operators.snapshots import GAUGES
 
 
@@ -31,12 +31,12 @@ _METRIC = """
 
 def _parse(bodies: DataFrame, schema: str) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    return bodies.select("body", F.from_json("body", schema, options).alias("p"))
+    return parse_once(bodies, ["body"], "body", schema, options)
 
 
 def _field(*names: str) -> Column:
     """First spelling that is present and not null."""
-    return F.coalesce(*(F.col(f"p.{name}") for name in names))
+    return F.coalesce(*map(F.col, names))
 
 
 def _given(value: Column) -> Column:
@@ -45,16 +45,16 @@ def _given(value: Column) -> Column:
 
 
 def _id() -> Column:
-    return F.coalesce(_given(F.col("p.id")), F.uuid()).alias("id")
+    return F.coalesce(_given(F.col("id")), F.uuid()).alias("id")
 
 
 def _timestamp(as_of: datetime) -> Column:
-    return F.coalesce(F.nullif(whole_number(F.col("p.timestamp")), F.lit(0)), F.lit(epoch_ms(as_of))).alias("timestamp")
+    return F.coalesce(F.nullif(whole_number(F.col("timestamp")), F.lit(0)), F.lit(epoch_ms(as_of))).alias("timestamp")
 
 
 def _split(parsed: DataFrame, required: dict[str, Column], columns: list[Column]) -> Ingested:
     missing = F.concat_ws(",", *(F.when(value.isNull(), F.lit(name)) for name, value in required.items()))
-    malformed = F.col("p").isNull() | F.col("p._malformed").isNotNull()
+    malformed = F.col("body").isNull() | F.col("_malformed").isNotNull()
     reason = F.when(malformed, "malformed_json").when(missing != "", F.concat(F.lit("missing: "), missing))
     return Ingested(
         parsed.where(reason.isNull()).select(*columns),
@@ -64,10 +64,10 @@ def _split(parsed: DataFrame, required: dict[str, Column], columns: list[Column]
 
 def ingest_events(bodies: DataFrame, as_of: datetime) -> Ingested:
     """App event payloads (column ``body``) to ``mobile_telemetry_events`` rows."""
-    platform = _given(F.col("p.platform"))
+    platform = _given(F.col("platform"))
     kind = _given(_field("eventType", "event_type"))
     name = _given(_field("eventName", "event_name"))
-    attributes = F.col("p.attributes")
+    attributes = F.col("attributes")
     empty = attributes.isin("", "0", "false")
     return _split(
         _parse(bodies, _EVENT),
@@ -87,7 +87,7 @@ def ingest_events(bodies: DataFrame, as_of: datetime) -> Ingested:
 
 def ingest_api_metrics(bodies: DataFrame, as_of: datetime) -> Ingested:
     """API metric payloads (column ``body``) to ``mobile_telemetry_api_metrics`` rows."""
-    platform, endpoint, method = (_given(F.col(f"p.{name}")) for name in ("platform", "endpoint", "method"))
+    platform, endpoint, method = (_given(F.col(name)) for name in ("platform", "endpoint", "method"))
     status = _field("statusCode", "status_code").try_cast("int")
     latency = _field("latencyMs", "latency_ms").try_cast("double").try_cast("int")
     required = {
