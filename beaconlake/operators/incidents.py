@@ -11,9 +11,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import stamp, utc
+from beaconlake.functions.clock import utc
 from beaconlake.functions.text import humanize_count
 from beaconlake.operators.ordered import rolling_sum, with_neighbours
+from beaconlake.operators.sinks import conditional_update, upsert_partial
 
 INCIDENT = ["id", "source", "component", "level", "title", "message", "status", "created_at", "resolved_at"]
 NOTICE = ["action", "dedup_key", "summary", "source", "severity", "details", "at"]
@@ -23,12 +24,40 @@ QUOTA_TIERS = [("FATAL", 4000000), ("CRITICAL", 2000000), ("WARNING", 500000)]
 QUOTA_SEVERITY = {"WARNING": "warning", "CRITICAL": "error", "FATAL": "critical"}
 
 
-def _text(value: str) -> Column:
-    return F.lit(value)
-
-
-def _no_time() -> Column:
-    return F.lit(None).cast("timestamp")
+# Ids and texts of incidents and notices.
+CI_ID = "gh-pipeline-%s-%s"
+CI_TITLE = "GitHub CI/CD Pipeline Failure: %s #%s"
+CI_MESSAGE = "Commit '%s' (%s) by %s triggered a failure in run #%s. Review logs at: %s"
+CI_FAILED = "[CI/CD Failure] %s #%s failed!"
+CI_FIXED = "[CI/CD Fixed] %s pipeline recovered in run #%s"
+CI_RECOVERED = "Workflow run #%s succeeded for commit: %s. Tracked via token: %s"
+CI_SOURCE = "github-webhook-pipeline-monitor"
+PROBE_TIMEOUT = "Connection timeout (%s)"
+PROBE_HTTP = "HTTP Server Error: %s"
+PROBE_STATUS = "Actuator status is: %s"
+PROBE_TITLE = "Server Unreachable"
+PROBE_DOWN = "[%s] Server is DOWN!"
+PROBE_UP = "[%s] Server has RECOVERED"
+PROBE_RECOVERED = "System recovery verified by probe."
+PROBE_SOURCE = "health-monitor"
+QUOTA_ID = "billing-breach-%s-%s-%s"
+QUOTA_TITLE = "Quota Consumption Alert [Level: %s]"
+QUOTA_MESSAGE = "Usage audit logged %s rows read within the tracking cycle, breaching the %s marker."
+QUOTA_NOMINAL = "Telemetry recovered nominal status. Current rolling usage: %s"
+QUOTA_DEDUP = "billing-quota-breach-%s-%s"
+QUOTA_BREACHED = "[%s] Overconsumption: %s Rows Intercepted"
+QUOTA_RECOVERED = "[RESOLVED] Telemetry Recovered: %s Rows"
+QUOTA_SOURCE = "usage-sentinel"
+ALERT_SUMMARY = "[Mock Chaos] %s"
+ALERT_SOURCE = "test-executor"
+
+
+def _fill(form: str, *values: Column | str) -> Column:
+    return F.format_string(form, *(F.col(v) if isinstance(v, str) else v for v in values))
+
+
+def _or(column: str, instead: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(instead))
 
 
 # CI runs: one incident per workflow, reopened by every failure, closed by the first success after it.
@@ -41,9 +70,7 @@ def ci_transitions(runs: DataFrame, prior: DataFrame | None = None) -> DataFrame
     """
     repository = F.substring_index("repository", "/", -1)
     relevant = runs.where((F.col("action") == "completed") & F.col("conclusion").isin("failure", "success")).select(
-        "*",
-        repository.alias("component"),
-        F.concat_ws("-", _text("gh-pipeline"), repository, F.col("workflow_id").cast("string")).alias("id"),
+        "*", repository.alias("component"), _fill(CI_ID, repository, "workflow_id").alias("id")
     )
     ordered = with_neighbours(relevant, ["id"], ["updated_at", "run_id"], previous=F.col("conclusion"))
     if prior is not None:
@@ -57,25 +84,18 @@ def ci_transitions(runs: DataFrame, prior: DataFrame | None = None) -> DataFrame
 
 
 def _ci_message() -> Column:
-    sha = F.coalesce(F.substring("head_sha", 1, 7), _text("unknown"))
-    commit = F.coalesce("head_message", _text("No commit message"))
-    author = F.coalesce("author_name", _text("unknown"))
-    return F.concat(
-        _text("Commit '"), commit, _text("' ("), sha, _text(") by "), author, _text(" triggered a failure in run #"),
-        F.col("run_number").cast("string"), _text(". Review logs at: "), F.col("html_url"),
-    )
+    sha = F.coalesce(F.substring("head_sha", 1, 7), F.lit("unknown"))
+    commit, author = _or("head_message", "No commit message"), _or("author_name", "unknown")
+    return _fill(CI_MESSAGE, commit, sha, author, "run_number", "html_url")
 
 
 def ci_incidents(transitions: DataFrame) -> DataFrame:
     """Current incident row per workflow: its last failure, and the success after it if there is one."""
     failed, fixed = F.col("action") == "trigger", F.col("action") == "resolve"
-    title = F.concat(_text("GitHub CI/CD Pipeline Failure: "), F.col("workflow_name"), _text(" #"), F.col("run_number").cast("string"))
-    latest = F.max(
-        F.when(
-            failed,
-            F.struct("updated_at", "run_id", title.alias("title"), _ci_message().alias("message")),
-        )
+    opening = F.struct(
+        "updated_at", "run_id", _fill(CI_TITLE, "workflow_name", "run_number").alias("title"), _ci_message().alias("message")
     )
+    latest = F.max(F.when(failed, opening))
     closed = F.max(F.when(fixed, F.struct("updated_at", "run_id")))
     state = transitions.groupBy("id", "component").agg(latest.alias("failure"), closed.alias("success"))
     done = F.coalesce(
@@ -83,9 +103,9 @@ def ci_incidents(transitions: DataFrame) -> DataFrame:
     ) & F.col("success").isNotNull()
     return state.select(
         "id",
-        _text("GITHUB").alias("source"),
+        F.lit("GITHUB").alias("source"),
         "component",
-        _text("CRITICAL").alias("level"),
+        F.lit("CRITICAL").alias("level"),
         "failure.title",
         "failure.message",
         F.when(done, "resolved").otherwise("active").alias("status"),
@@ -95,24 +115,18 @@ def ci_incidents(transitions: DataFrame) -> DataFrame:
 
 
 def ci_outbox(transitions: DataFrame) -> DataFrame:
-    number = F.col("run_number").cast("string")
-    triggered = F.col("action") == "trigger"
-    summary = F.when(
-        triggered, F.concat(_text("[CI/CD Failure] "), F.col("component"), _text(" #"), number, _text(" failed!"))
-    ).otherwise(
-        F.concat(_text("[CI/CD Fixed] "), F.col("component"), _text(" pipeline recovered in run #"), number)
-    )
-    recovered = F.concat(
-        _text("Workflow run #"), number, _text(" succeeded for commit: "), F.coalesce("head_message", _text("")),
-        _text(". Tracked via token: "), F.col("id"),
+    failed = F.col("action") == "trigger"
+    summary = F.when(failed, _fill(CI_FAILED, "component", "run_number")).otherwise(
+        _fill(CI_FIXED, "component", "run_number")
     )
+    recovered = _fill(CI_RECOVERED, "run_number", _or("head_message", ""), "id")
     return transitions.select(
         "action",
         F.col("id").alias("dedup_key"),
         summary.alias("summary"),
-        _text("github-webhook-pipeline-monitor").alias("source"),
-        _text("critical").alias("severity"),
-        F.when(triggered, _ci_message()).otherwise(recovered).alias("details"),
+        F.lit(CI_SOURCE).alias("source"),
+        F.lit("critical").alias("severity"),
+        F.when(failed, _ci_message()).otherwise(recovered).alias("details"),
         F.col("updated_at").alias("at"),
     )
 
@@ -123,11 +137,12 @@ def ci_outbox(transitions: DataFrame) -> DataFrame:
 def probe_classify(probes: DataFrame, timeout: str = "10s") -> DataFrame:
     """Add ``problem``: why a probe counts as unhealthy, NULL when it is healthy."""
     status = F.col("http_status")
+    refused = status.isNull() | ~status.between(200, 299)
     problem = (
-        F.when(F.col("error") == "timeout", _text(f"Connection timeout ({timeout})"))
+        F.when(F.col("error") == "timeout", PROBE_TIMEOUT % timeout)
         .when(F.col("error").isNotNull(), F.col("error"))
-        .when(status.isNull() | ~status.between(200, 299), F.concat(_text("HTTP Server Error: "), F.coalesce(status.cast("string"), _text("none"))))
-        .when(~F.col("body_status").eqNullSafe("UP"), F.concat(_text("Actuator status is: "), F.coalesce("body_status", _text("undefined"))))
+        .when(refused, _fill(PROBE_HTTP, _or("http_status", "none")))
+        .when(~F.col("body_status").eqNullSafe("UP"), _fill(PROBE_STATUS, _or("body_status", "undefined")))
     )
     return probes.withColumn("problem", problem)
 
@@ -152,10 +167,10 @@ def probe_incidents(probes: DataFrame, prior: DataFrame | None = None) -> DataFr
     started = F.unix_micros("probe_ts").cast("string")
     return first.select(
         F.sha2(F.concat_ws("|", "component", started), 256).alias("id"),
-        _text("INFRA").alias("source"),
+        F.lit("INFRA").alias("source"),
         "component",
-        _text("CRITICAL").alias("level"),
-        _text("Server Unreachable").alias("title"),
+        F.lit("CRITICAL").alias("level"),
+        F.lit(PROBE_TITLE).alias("title"),
         F.col("problem").alias("message"),
         F.when(F.col("following").isNull(), "active").otherwise("resolved").alias("status"),
         F.col("probe_ts").alias("created_at"),
@@ -172,17 +187,17 @@ def probe_recoveries(probes: DataFrame) -> DataFrame:
 def probe_outbox(incidents: DataFrame) -> DataFrame:
     def notice(action: str, summary: str, details: Column, at: str) -> Column:
         return F.struct(
-            _text(action).alias("action"),
+            F.lit(action).alias("action"),
             F.col("id").alias("dedup_key"),
-            F.concat(_text("["), F.col("component"), _text(f"] {summary}")).alias("summary"),
-            _text("health-monitor").alias("source"),
-            _text("critical").alias("severity"),
+            _fill(summary, "component").alias("summary"),
+            F.lit(PROBE_SOURCE).alias("source"),
+            F.lit("critical").alias("severity"),
             details.alias("details"),
             F.col(at).alias("at"),
         )
 
-    opened = notice("trigger", "Server is DOWN!", F.col("message"), "created_at")
-    closed = notice("resolve", "Server has RECOVERED", _text("System recovery verified by probe."), "resolved_at")
+    opened = notice("trigger", PROBE_DOWN, F.col("message"), "created_at")
+    closed = notice("resolve", PROBE_UP, F.lit(PROBE_RECOVERED), "resolved_at")
     notices = F.array(opened, F.when(F.col("resolved_at").isNotNull(), closed))
     return incidents.select(F.explode(notices).alias("notice")).where("notice is not null").select("notice.*")
 
@@ -205,8 +220,31 @@ def quota_levels(samples: DataFrame, span: timedelta = timedelta(hours=24)) -> D
     )
 
 
-def _recovered_message(reads: Column) -> Column:
-    return F.concat(_text("Telemetry recovered nominal status. Current rolling usage: "), humanize_count(reads))
+def _quota_rows(breaches: DataFrame, message: Column, status: Column) -> DataFrame:
+    """Incident rows of (resource, level, day, created_at) breaches."""
+    return breaches.select(
+        _fill(QUOTA_ID, "resource", "level", F.date_format("day", "yyyy-MM-dd")).alias("id"),
+        F.lit("INFRA").alias("source"),
+        _component("resource").alias("component"),
+        "level",
+        _fill(QUOTA_TITLE, "level").alias("title"),
+        message.alias("message"),
+        status.alias("status"),
+        "created_at",
+        F.lit(None).cast("timestamp").alias("resolved_at"),
+    )
+
+
+def _component(resource: str) -> Column:
+    return F.concat(F.lit("billing-"), F.col(resource))
+
+
+def _breach_message(reads: str) -> Column:
+    return _fill(QUOTA_MESSAGE, humanize_count(F.col(reads)), "level")
+
+
+def _nominal_message(reads: str) -> Column:
+    return _fill(QUOTA_NOMINAL, humanize_count(F.col(reads)))
 
 
 def quota_incidents(levels: DataFrame) -> DataFrame:
@@ -229,21 +267,29 @@ def quota_incidents(levels: DataFrame) -> DataFrame:
     )
     ended = F.col("nominal").isNotNull()
     refreshed = ~ended | (F.col("last") > F.col("nominal"))
-    breach = F.concat(
-        _text("Usage audit logged "), humanize_count(F.col("last.reads")),
-        _text(" rows read within the tracking cycle, breaching the "), F.col("level"), _text(" marker."),
+    message = F.when(refreshed, _breach_message("last.reads")).otherwise(_nominal_message("nominal.reads"))
+    return _quota_rows(folded, message, F.when(ended, "resolved").otherwise("active"))
+
+
+def apply_quota_poll(incidents: DataFrame, polls: DataFrame, as_of: datetime) -> DataFrame:
+    """The incident table after one poll per resource (resource, rows_read_24h), the scheduled form of the fold.
+
+    A breach inserts its incident of the day or refreshes the message only; a nominal poll resolves every active
+    incident of the component and rewrites its message.
+    """
+    now = F.lit(utc(as_of)).cast("timestamp")
+    levels = polls.withColumn("level", quota_level(F.col("rows_read_24h")))
+    breaches = levels.where(F.col("level").isNotNull()).select(
+        "*", F.to_date(now).alias("day"), now.alias("created_at")
     )
-    return folded.select(
-        F.concat_ws("-", _text("billing-breach"), "resource", "level", F.date_format("day", "yyyy-MM-dd")).alias("id"),
-        _text("INFRA").alias("source"),
-        F.concat(_text("billing-"), F.col("resource")).alias("component"),
-        "level",
-        F.concat(_text("Quota Consumption Alert [Level: "), F.col("level"), _text("]")).alias("title"),
-        F.when(refreshed, breach).otherwise(_recovered_message(F.col("nominal.reads"))).alias("message"),
-        F.when(ended, "resolved").otherwise("active").alias("status"),
-        "created_at",
-        _no_time().alias("resolved_at"),
+    incoming = _quota_rows(breaches, _breach_message("rows_read_24h"), F.lit("active"))
+    nominal = levels.where(F.col("level").isNull()).select(
+        _component("resource").alias("component"), _nominal_message("rows_read_24h").alias("_nominal")
     )
+    stored = upsert_partial(incidents, incoming, ["id"], ["message"]).join(nominal, "component", "left")
+    ended = F.col("_nominal").isNotNull() & (F.col("status") == "active")
+    changed = conditional_update(stored, ended, {"status": F.lit("resolved"), "message": F.col("_nominal")})
+    return changed.select(*INCIDENT)
 
 
 def quota_outbox(levels: DataFrame) -> DataFrame:
@@ -255,16 +301,13 @@ def quota_outbox(levels: DataFrame) -> DataFrame:
     breached = F.col("level").isNotNull()
 
     def notice(action: str, level: str) -> Column:
-        if action == "trigger":
-            summary = F.concat(_text(f"[{level}] Overconsumption: "), reads, _text(" Rows Intercepted"))
-        else:
-            summary = F.concat(_text("[RESOLVED] Telemetry Recovered: "), reads, _text(" Rows"))
+        summary = _fill(QUOTA_BREACHED, F.lit(level), reads) if action == "trigger" else _fill(QUOTA_RECOVERED, reads)
         return F.struct(
-            _text(action).alias("action"),
-            F.concat_ws("-", _text("billing-quota-breach"), "resource", _text(level.lower())).alias("dedup_key"),
+            F.lit(action).alias("action"),
+            _fill(QUOTA_DEDUP, "resource", F.lit(level.lower())).alias("dedup_key"),
             summary.alias("summary"),
-            _text("usage-sentinel").alias("source"),
-            _text(QUOTA_SEVERITY[level]).alias("severity"),
+            F.lit(QUOTA_SOURCE).alias("source"),
+            F.lit(QUOTA_SEVERITY[level]).alias("severity"),
             reads.alias("details"),
             F.col("sample_ts").alias("at"),
         )
@@ -298,10 +341,10 @@ def active_incident_alert(incidents: DataFrame, component: str, as_of: datetime)
         active.orderBy("created_at", "id")
         .limit(1)
         .select(
-            _text("trigger").alias("action"),
+            F.lit("trigger").alias("action"),
             F.col("id").alias("dedup_key"),
-            F.concat(_text("[Mock Chaos] "), F.col("title")).alias("summary"),
-            _text("test-executor").alias("source"),
+            _fill(ALERT_SUMMARY, "title").alias("summary"),
+            F.lit(ALERT_SOURCE).alias("source"),
             severity.alias("severity"),
             F.col("message").alias("details"),
             F.lit(utc(as_of)).cast("timestamp").alias("at"),

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions.clock import DAY, midnight, yesterday
 from beaconlake.operators import rollups
+from beaconlake.operators.incidents import apply_quota_poll
 from beaconlake.operators.sinks import upsert_full
 from beaconlake.plans.publish import Store, folder_names
-from beaconlake.schemas import SUMMARY_KEYS
+from beaconlake.schemas import SUMMARY_KEYS, TABLES
+from beaconlake.sources.payloads import counts_snapshot, extract_usage, pivot_gauges
+from beaconlake.sources.tables import read_raw
 
 log = logging.getLogger(__name__)
 
@@ -58,6 +61,45 @@ def nightly_for(store: Store, raw: dict[str, DataFrame], as_of: datetime) -> lis
     return nightly(store, raw, *yesterday(as_of))
 
 
+RAW_TABLES = {"events": "mobile_telemetry_events", "metrics": "mobile_telemetry_api_metrics"}
+
+
+def daily(spark: SparkSession, store: Store, raw_root: str, as_of: datetime, keep_days: int = 3) -> list[str]:
+    """Nightly rollup of the stored raw tables, then raw retention if every rollup was published."""
+    raw = {source: read_raw(spark, f"{raw_root}/{name}", name) for source, name in RAW_TABLES.items()}
+    failed = nightly_for(store, raw, as_of)
+    if not failed:
+        for name in RAW_TABLES.values():
+            expire_dates(spark, f"{raw_root}/{name}", as_of, keep_days)
+    return failed
+
+
+def half_hourly(
+    spark: SparkSession,
+    store: Store,
+    history_root: str,
+    counts: DataFrame,
+    gauges: DataFrame,
+    usage: DataFrame,
+    as_of: datetime,
+    keep_days: int = 30,
+) -> None:
+    """Append one poll of counts and gauges, expire old history, and apply the usage poll to the incidents.
+
+    ``usage`` holds one response per resource (resource, body); its row count is the number of resources.
+    """
+    for name, rows in (("stats_history", counts_snapshot(counts)), ("app_metrics2", pivot_gauges(gauges))):
+        append_history(rows, f"{history_root}/{name}")
+        expire_dates(spark, f"{history_root}/{name}", as_of, keep_days)
+    polls = extract_usage(usage).select("resource", F.col("rows_read").alias("rows_read_24h"))
+    run = store.begin()
+    stored = store.read("quota_incidents")
+    if stored is None:
+        stored = spark.createDataFrame([], TABLES["incidents"])
+    run.stage("quota_incidents", apply_quota_poll(stored, polls, as_of))
+    run.publish()
+
+
 def append_raw(df: DataFrame, path: str) -> None:
     """Append rows (epoch-ms ``timestamp``) below ``event_date=`` folders."""
     dated = df.withColumn("event_date", F.to_date(F.timestamp_millis("timestamp")))

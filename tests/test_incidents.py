@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.operators import incidents as folds
 from beaconlake.operators.ordered import rolling_sum, with_neighbours
+from beaconlake.schemas import TABLES
 
 START = datetime(2024, 1, 1)
 
@@ -178,6 +179,20 @@ def test_quota_incidents_equal_replay(spark):
     assert outbox.where("action = 'resolve'").count() == 3 * ends
 
 
+def test_applying_polls_one_by_one_equals_the_fold(spark):
+    rng = random.Random(6)
+    rows = [(i, at, "db", rng.choice([0, 400000, 1500000])) for i, at in enumerate(times(rng, 12))]
+    df = spark.createDataFrame(rows, "sample_id bigint, sample_ts timestamp, resource string, rows_read bigint")
+    levels = folds.quota_levels(df)
+    table = spark.createDataFrame([], TABLES["incidents"])
+    for poll in levels.orderBy("sample_ts", "sample_id").collect():
+        one = spark.createDataFrame([("db", poll.rows_read_24h)], "resource string, rows_read_24h bigint")
+        after = folds.apply_quota_poll(table, one, poll.sample_ts)
+        table = spark.createDataFrame(after.collect(), TABLES["incidents"])
+    whole = folds.quota_incidents(levels)
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, whole.collect())) != []
+
+
 @pytest.mark.parametrize("reads, level", [(499999, None), (500000, "WARNING"), (2000000, "CRITICAL"), (4000000, "FATAL")])
 def test_quota_tiers(spark, reads, level):
     assert spark.range(1).select(folds.quota_level(F.lit(reads))).first()[0] == level
@@ -185,8 +200,6 @@ def test_quota_tiers(spark, reads, level):
 
 def test_alert_repeats_while_active_and_stops_after(spark):
     from beaconlake.operators.sinks import insert_incident, resolve_component
-    from beaconlake.schemas import TABLES
-
     empty = spark.createDataFrame([], TABLES["incidents"])
     assert folds.active_incident_alert(empty, "server-test", START).count() == 0
     # Materialised, since the random id is drawn anew whenever the plan runs.

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +92,45 @@ def test_expiry_drops_whole_dates_and_keeps_the_cutoff_day(spark, data, tmp_path
     assert read_raw(spark, path, "mobile_telemetry_events").count() == kept_before
 
 
+def test_daily_job_expires_raw_rows_only_after_success(spark, store, data, tmp_path, monkeypatch):
+    root = str(tmp_path / "raw")
+    for name in jobs.RAW_TABLES.values():
+        jobs.append_raw(table(spark, data, name), f"{root}/{name}")
+    as_of = datetime(2024, 1, 10)
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "NIGHTLY", [("summary_crash_errors", "nowhere", rollups.daily_errors), *jobs.NIGHTLY])
+        assert jobs.daily(spark, store, root, as_of) == ["summary_crash_errors"]
+    assert "event_date=2024-01-01" in folder_names(spark, f"{root}/mobile_telemetry_events")
+    assert jobs.daily(spark, store, root, as_of) == []
+    kept = [n for n in folder_names(spark, f"{root}/mobile_telemetry_events") if n.startswith("event_date")]
+    assert min(kept) == "event_date=2024-01-07"
+    dates = {str(r.snapshot_date) for r in store.read("summary_api_performance").collect()}
+    assert dates == {"2024-01-09"}
+
+
+def test_half_hourly_job(spark, store, tmp_path):
+    root = str(tmp_path / "history")
+    usage = '{"data":{"viewer":{"accounts":[{"d1AnalyticsAdaptiveGroups":[{"sum":{"rowsRead":%d}}]}]}}}'
+    gauge = '{"measurements": [{"statistic": "VALUE", "value": 0.5}]}'
+    for day, reads in ((1, 2500000), (2, 10), (40, 600000)):
+        at = datetime(2024, 1, 1) + timedelta(days=day)
+        jobs.half_hourly(
+            spark, store, root,
+            spark.createDataFrame([(at, '{"books": 1, "reviewImage": 2}')], "polled_at timestamp, body string"),
+            spark.createDataFrame([(at, "process.uptime", gauge)], "polled_at timestamp, name string, body string"),
+            spark.createDataFrame([("main", usage % reads)], "resource string, body string"),
+            at,
+        )
+    assert spark.read.parquet(f"{root}/stats_history").count() == spark.read.parquet(f"{root}/app_metrics2").count() == 1
+    found = {r.id: (r.status, r.message) for r in store.read("quota_incidents").collect()}
+    assert found == {
+        "billing-breach-main-CRITICAL-2024-01-02": ("resolved", "Telemetry recovered nominal status. Current rolling usage: 10"),
+        "billing-breach-main-WARNING-2024-02-10": (
+            "active", "Usage audit logged 600.0K rows read within the tracking cycle, breaching the WARNING marker."
+        ),
+    }
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
 def test_tables_read_with_their_declared_schema(spark, data, tmp_path, fmt):
     written = table(spark, data, "mobile_telemetry_api_metrics").limit(20)
