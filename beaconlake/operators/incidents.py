@@ -320,12 +320,15 @@ def quota_outbox(levels: DataFrame) -> DataFrame:
     return ordered.select(F.explode(notices).alias("notice")).where("notice is not null").select("notice.*")
 
 
-def notification_outbox(runs: DataFrame, probes: DataFrame, samples: DataFrame) -> DataFrame:
-    """Every trigger and resolve the three folds cause, as one append-only table."""
+def notification_outbox(runs: DataFrame, probes: DataFrame, levels: DataFrame) -> DataFrame:
+    """Every trigger and resolve the three folds cause, as one append-only table.
+
+    ``levels`` is read more than once; pass the stored output of ``quota_levels``.
+    """
     parts = [
         ci_outbox(ci_transitions(runs)),
         probe_outbox(probe_incidents(probes)),
-        quota_outbox(quota_levels(samples)),
+        quota_outbox(levels),
     ]
     outbox = parts[0].select(*NOTICE)
     for part in parts[1:]:

@@ -15,7 +15,7 @@ from beaconlake.functions import clock, text
 from beaconlake.operators import ci, incidents, reads, rollups, sinks, snapshots
 from beaconlake.plans import jobs
 from beaconlake.plans.publish import Store
-from beaconlake.session import run_dir
+from beaconlake.session import run_dir, written
 from beaconlake.sources import payloads
 from beaconlake.sources.derived import stream, table
 from beaconlake.streaming import incidents as incident_streams
@@ -410,18 +410,20 @@ def quota_levels(spark, data):
     return levels.select("sample_id", "resource", "rows_read_24h", "level")
 
 
+def _levels(spark: SparkSession, data: str) -> DataFrame:
+    """Quota levels as a stored table: the folds read them more than once."""
+    return written(incidents.quota_levels(table(spark, data, "usage_samples")), "levels")
+
+
 @query
 def quota_incidents(spark, data):
-    return as_text(incidents.quota_incidents(incidents.quota_levels(table(spark, data, "usage_samples"))))
+    return as_text(incidents.quota_incidents(_levels(spark, data)))
 
 
 @query
 def notification_outbox(spark, data):
-    return as_text(
-        incidents.notification_outbox(
-            table(spark, data, "ci_runs"), table(spark, data, "health_probes"), table(spark, data, "usage_samples")
-        )
-    )
+    runs, probes = table(spark, data, "ci_runs"), table(spark, data, "health_probes")
+    return as_text(incidents.notification_outbox(runs, probes, _levels(spark, data)))
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
@@ -27,3 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder of one run inside the shared folder."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``df`` as a table in the shared folder: computed once, and safe from lost executors."""
+    path = run_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
