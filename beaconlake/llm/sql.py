@@ -16,4 +16,38 @@ select query_id, rank::int as rank, vec_id, score from (
 ) where rank <= 5
 """
 
-SQL = {"op10_topk": TOPK}
+REPEATS = """
+with docs as (
+  select row_number() over () as rid, doc_id, coalesce(doc_id, 9223372036854775807) as id,
+    hex(encode(coalesce(text, ''))) as h
+  from documents
+), blocks as (  -- short overlapping blocks, as cutting a long text anywhere means reading it up to there
+  select rid, id, block * 500 as origin, substr(h, block * 1000 + 1, 1098) as b
+  from docs, lateral (select unnest(range(0, greatest(len(h) // 2 - 49, 0), 500)) // 500 as block)
+), strings as (
+  select rid, id, origin + i as pos, substr(b, 2 * i + 1, 100) as s
+  from blocks, lateral (select unnest(range(0, least(len(b) // 2 - 49, 500))) as i)
+), least as (
+  select s, min(id) as first from strings group by s
+), hits as (
+  select rid, pos from strings join least using (s) where id > first
+), islands as (
+  select rid, pos, sum(fresh) over (partition by rid order by pos) as island from (
+    select rid, pos, case when pos <= lag(pos) over (partition by rid order by pos) + 50 then 0 else 1 end as fresh from hits
+  )
+), spans as (
+  select rid, island, min(pos) as a, max(pos) + 50 as b from islands group by rid, island
+), cuts as (
+  select rid, a, b, coalesce(lag(b) over (partition by rid order by a), 0) as before from spans
+), parts as (
+  select rid, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as kept
+  from cuts join docs using (rid) group by rid
+)
+select doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+  coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) as kept_sha256
+from docs left join parts using (rid)
+"""
+
+SQL = {"op1_suffix_dedup": REPEATS, "op10_topk": TOPK}
