@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconlake.llm import bpe, language, packing, quality, repeats, token_files, topk
+from beaconlake.llm import bpe, jaccard, language, packing, quality, repeats, token_files, topk
 from beaconlake.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,11 +38,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op8_bpe, op10_topk)
+    for f in (op1_suffix_dedup, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op8_bpe, op9_jaccard_join, op10_topk)
 }
