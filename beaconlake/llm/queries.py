@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconlake.llm import bpe, jaccard, language, packing, quality, repeats, token_files, topk
+from beaconlake.llm import bpe, html_text, jaccard, language, packing, quality, repeats, token_files, topk
 from beaconlake.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2, size=1024)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -48,5 +52,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op8_bpe, op9_jaccard_join, op10_topk)
+    for f in (op1_suffix_dedup, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op7_html_text, op8_bpe, op9_jaccard_join, op10_topk)
 }
