@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconlake.llm import bpe, html_text, jaccard, language, packing, quality, repeats, token_files, topk
+from beaconlake.llm import bpe, html_text, jaccard, language, maxent, packing, quality, repeats, token_files, topk
 from beaconlake.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.deduplicated(table(spark, sf_dir, "documents"), size=50).drop("kept")
 
 
+def op2_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -52,5 +56,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op7_html_text, op8_bpe, op9_jaccard_join, op10_topk)
+    for f in (op1_suffix_dedup, op2_maxent, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op7_html_text, op8_bpe, op9_jaccard_join, op10_topk)
 }

@@ -382,7 +382,7 @@ def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
 
 def cut(raw: bytes, found: list | None, size: int) -> tuple[bytes, int, int]:
     """The bytes that remain, and the numbers of removed bytes and of maximal removed runs."""
-    if not found:
+    if found is None or not len(found):
         return raw, 0, 0
     start = np.concatenate([np.frombuffer(f["start"], "<u4") for f in found]).astype(np.int64)
     strings = np.concatenate([np.frombuffer(f["strings"], "<u1") for f in found])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconlake.llm import language, packing, quality
+from beaconlake.llm import jaccard, language, packing, quality, repeats
 from beaconlake.llm.common import table
 from beaconlake.llm.queries import BYTE_BPE
 from beaconlake.session import written
@@ -20,6 +20,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group joined by similar sets of five-word shingles."""
+    return jaccard.kept_documents(docs, words=5, percent=80)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without strings of 50 bytes or more that one of smaller id has too."""
+    return repeats.kept_documents(docs, size=50)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document, placed in sequences of at most 1024 ids."""
     return packing.pack(docs, BYTE_BPE, end_id=2, size=1024)
@@ -28,10 +38,12 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("language ID", language_id),
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", jaccard_join),
+    ("suffix-array dedup", suffix_dedup),
     ("best-fit packing", best_fit_packing),
 ]
 
-#: EM, byte contexts, tokenisation and pattern fitting have no SQL form; a test holds the stages against plain versions.
+#: Byte contexts, EM, tokenisation and pattern fitting have no SQL form; a test holds the stages against plain versions.
 ORACLE_SQL = None
 
 
