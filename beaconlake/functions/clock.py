@@ -7,13 +7,14 @@ literals on the raw column, so Parquet statistics and date partitions can prune
 from __future__ import annotations
 
 import re
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 DAY = timedelta(days=1)
+DAY_MS = 86_400_000
 
 _LEADING_INTEGER = re.compile(r"\s*([+-]?\d+)")
 
@@ -36,6 +37,10 @@ def yesterday(as_of: datetime) -> tuple[datetime, datetime]:
     return until - DAY, until
 
 
+def utc_midnight(day: date) -> datetime:
+    return datetime(day.year, day.month, day.day, tzinfo=timezone.utc)
+
+
 def within(df: DataFrame, since: datetime | None, until: datetime | None) -> DataFrame:
     """Rows of a raw table with ``since <= timestamp < until``; None leaves that side open.
 
@@ -73,7 +78,29 @@ def days_back(as_of: datetime, days: int):
 
 
 def event_date(timestamp_ms: Column) -> Column:
-    return F.to_date(F.timestamp_millis(timestamp_ms))
+    """UTC date of epoch milliseconds, by integer arithmetic: the session time zone plays no part."""
+    return F.date_from_unix_date(((timestamp_ms - F.pmod(timestamp_ms, F.lit(DAY_MS))) / DAY_MS).try_cast("int"))
+
+
+def utc_day(at: Column) -> Column:
+    """UTC date of a timestamp, whatever the session time zone."""
+    return event_date(F.unix_millis(at))
+
+
+def label(at: Column, pattern: str) -> Column:
+    """A timestamp in UTC, whatever the session time zone; ``pattern`` knows yyyy, MM, dd, HH, mm and ss."""
+    day = utc_day(at).cast("string")
+    second = F.pmod(F.unix_seconds(at), F.lit(86400))
+
+    def two(value: Column) -> Column:
+        return F.lpad(F.floor(value).cast("string"), 2, "0")
+
+    fields = {
+        "yyyy": F.substring(day, 1, 4), "MM": F.substring(day, 6, 2), "dd": F.substring(day, 9, 2),
+        "HH": two(second / 3600), "mm": two(second % 3600 / 60), "ss": two(second % 60),
+    }
+    parts = [part for part in re.split("(yyyy|MM|dd|HH|mm|ss)", pattern) if part]
+    return F.concat(*(fields[part] if part in fields else F.lit(part) for part in parts))
 
 
 def parse_timestamp(text: Column) -> Column:
@@ -82,13 +109,13 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def stamp(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+    return label(at, "yyyy-MM-dd HH:mm:ss")
 
 
-def week_label(at: Column) -> Column:
-    """'YYYY-Www' with Monday-based weeks numbered 00-53; days before the first Monday are week 00."""
-    week = F.floor((F.dayofyear(at) + 6 - F.weekday(at)) / 7)
-    return F.concat(F.year(at).cast("string"), F.lit("-W"), F.lpad(week.cast("string"), 2, "0"))
+def week_label(day: Column) -> Column:
+    """'YYYY-Www' of a date, with Monday-based weeks numbered 00-53; days before the first Monday are week 00."""
+    week = F.floor((F.dayofyear(day) + 6 - F.weekday(day)) / 7)
+    return F.concat(F.year(day).cast("string"), F.lit("-W"), F.lpad(week.cast("string"), 2, "0"))
 
 
 def seven_day_span(last: Column) -> Column:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import days_back, parse_days, stamp, week_label
+from beaconlake.functions.clock import days_back, label, parse_days, stamp, utc_day, utc_midnight, week_label
 from beaconlake.functions.payload import (
     CHECK, COMMITS, HEAD, REF, REPOSITORY, changed_files, is_json, length, parse_once
 )
@@ -23,11 +23,11 @@ def _pushes(deliveries: DataFrame, as_of: datetime, window: str) -> tuple[DataFr
     window = window.lower()
     pushes = deliveries.where(F.col("event_type") == "push")
     if window == ALL_TIME:
-        bucket = F.date_format("created_at", "yyyy-MM")
+        bucket = label(F.col("created_at"), "yyyy-MM")
     else:
         since = days_back(as_of, parse_days(window.replace("d", "", 1), default=30))
-        pushes = pushes.where(F.col("created_at") >= F.lit(since).cast("timestamp"))
-        bucket = week_label(F.col("created_at")) if window == "90d" else F.date_format("created_at", "yyyy-MM-dd")
+        pushes = pushes.where(F.col("created_at") >= F.lit(utc_midnight(since)))
+        bucket = week_label(utc_day(F.col("created_at"))) if window == "90d" else label(F.col("created_at"), "yyyy-MM-dd")
     parsed = parse_once(
         pushes, ["created_at", "repository_name"], "payload", ", ".join((COMMITS, HEAD, REPOSITORY))
     )

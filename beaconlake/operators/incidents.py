@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import utc
+from beaconlake.functions.clock import utc, utc_day
 from beaconlake.functions.text import humanize_count
 from beaconlake.operators.ordered import rolling_sum, with_neighbours
 from beaconlake.operators.sinks import conditional_update, upsert_partial
@@ -259,7 +259,7 @@ def quota_incidents(levels: DataFrame) -> DataFrame:
         levels, ["resource"], ["sample_ts", "sample_id"], following=F.when(F.col("level").isNull(), poll)
     )
     breaches = ordered.where(F.col("level").isNotNull()).select(
-        "resource", "level", F.to_date("sample_ts").alias("day"), poll.alias("poll"), F.col("following").alias("nominal")
+        "resource", "level", utc_day(F.col("sample_ts")).alias("day"), poll.alias("poll"), F.col("following").alias("nominal")
     )
     # The nominal poll that ends the first breach of an incident is the earliest of those that end any of them.
     folded = breaches.groupBy("resource", "level", "day").agg(
@@ -280,7 +280,7 @@ def apply_quota_poll(incidents: DataFrame, polls: DataFrame, as_of: datetime) ->
     now = F.lit(utc(as_of)).cast("timestamp")
     levels = polls.withColumn("level", quota_level(F.col("rows_read_24h")))
     breaches = levels.where(F.col("level").isNotNull()).select(
-        "*", F.to_date(now).alias("day"), now.alias("created_at")
+        "*", utc_day(now).alias("day"), now.alias("created_at")
     )
     incoming = _quota_rows(breaches, _breach_message("rows_read_24h"), F.lit("active"))
     nominal = levels.where(F.col("level").isNull()).select(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.functions.clock import DAY, days_back, is_last_day, parse_days, utc, within
+from beaconlake.functions.clock import label as label_of
 from beaconlake.operators.rollups import top_keywords
 
 
@@ -22,10 +23,10 @@ def stats_series(history: DataFrame, as_of: datetime, window: str = "7", users_o
     """Cumulative counters by hour for '24h', else by day for the newest n days that have rows."""
     if is_last_day(window):
         rows = history.where(F.col("timestamp") > F.lit(utc(as_of) - DAY))
-        label, newest, limit = F.date_format("timestamp", "HH:00"), F.col("timestamp").desc(), 24
+        label, newest, limit = label_of(F.col("timestamp"), "HH:00"), F.col("timestamp").desc(), 24
     else:
         rows, limit = history, parse_days(window)
-        label, newest = F.date_format("timestamp", "yyyy-MM-dd"), F.col("day").desc()
+        label, newest = label_of(F.col("timestamp"), "yyyy-MM-dd"), F.col("day").desc()
     return (
         rows.groupBy(label.alias("day"))
         .agg(
@@ -44,9 +45,9 @@ def stats_series(history: DataFrame, as_of: datetime, window: str = "7", users_o
 def runtime_series(gauges: DataFrame, as_of: datetime, window: str = "7", conn_offset: int = 0) -> DataFrame:
     """Gauge maxima by minute of day for '24h', else by calendar day of the last n days."""
     if is_last_day(window):
-        label, since = F.date_format("timestamp", "HH:mm"), utc(as_of) - DAY
+        label, since = label_of(F.col("timestamp"), "HH:mm"), utc(as_of) - DAY
     else:
-        label = F.date_format("timestamp", "MM-dd")
+        label = label_of(F.col("timestamp"), "MM-dd")
         since = utc(as_of) - parse_days(window.lower().replace("d", "", 1)) * DAY
     return (
         gauges.where(F.col("timestamp") > F.lit(since))

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import days_back
+from beaconlake.functions.clock import days_back, label
 from beaconlake.functions.text import clean_keyword, duration_label, fixed, uptime_label
 
 # Placeholders shown when a seven-day window has nothing to report.
@@ -136,7 +136,7 @@ def latest_incident_per_component(incidents: DataFrame, components: list[str]) -
             "component",
             "first.status",
             "first.title",
-            F.date_format("created_at", "dd/MM HH:mm 'UTC'").alias("created_at"),
+            label(F.col("created_at"), "dd/MM HH:mm UTC").alias("created_at"),
         )
         .orderBy(position)
     )
@@ -182,7 +182,7 @@ def log_lines(logs: DataFrame) -> DataFrame:
     cut = F.concat(F.substring(F.col("message"), F.lit(1), room - 3), F.lit("..."))
     message = F.when(F.length("message") > room, cut).otherwise(F.col("message"))
     return logs.select(
-        "id", "level", F.concat(prefix, message).alias("line"), F.date_format("timestamp", "HH:mm:ss").alias("at")
+        "id", "level", F.concat(prefix, message).alias("line"), label(F.col("timestamp"), "HH:mm:ss").alias("at")
     )
 
 

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import DAY, midnight, yesterday
+from beaconlake.functions.clock import DAY, event_date, midnight, utc_day, yesterday
 from beaconlake.operators import rollups
 from beaconlake.operators.incidents import apply_quota_poll
 from beaconlake.operators.sinks import upsert_full
@@ -102,13 +102,13 @@ def half_hourly(
 
 def append_raw(df: DataFrame, path: str) -> None:
     """Append rows (epoch-ms ``timestamp``) below ``event_date=`` folders."""
-    dated = df.withColumn("event_date", F.to_date(F.timestamp_millis("timestamp")))
+    dated = df.withColumn("event_date", event_date(F.col("timestamp")))
     dated.write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def append_history(df: DataFrame, path: str) -> None:
     """Append poll rows (timestamp ``timestamp``) below ``event_date=`` folders."""
-    df.withColumn("event_date", F.to_date("timestamp")).write.mode("append").partitionBy("event_date").parquet(path)
+    df.withColumn("event_date", utc_day(F.col("timestamp"))).write.mode("append").partitionBy("event_date").parquet(path)
 
 
 def expire_dates(spark: SparkSession, path: str, as_of: datetime, days: int) -> list[str]:

@@ -48,16 +48,22 @@ def query(build: Query) -> Query:
     return build
 
 
-def _metrics(spark: SparkSession, data: str) -> DataFrame:
-    return table(spark, data, "mobile_telemetry_api_metrics")
+# Ranges of the reads below, put on the scan as well: the last day, the 30 dates back from today, and the last 7 dates.
+LAST_DAY = (EVENTS_AS_OF - clock.DAY, None)
+LAST_MONTH = (clock.utc_midnight(clock.days_back(EVENTS_AS_OF, int(ALL_DAYS))), None)
+LAST_WEEK = (clock.utc_midnight(clock.days_back(EVENTS_AS_OF, 6)), clock.midnight(EVENTS_AS_OF) + clock.DAY)
 
 
-def _events(spark: SparkSession, data: str) -> DataFrame:
-    return table(spark, data, "mobile_telemetry_events")
+def _metrics(spark: SparkSession, data: str, since=None, until=None) -> DataFrame:
+    return table(spark, data, "mobile_telemetry_api_metrics", since, until)
 
 
-def _funnel(spark: SparkSession, data: str) -> DataFrame:
-    return rollups.daily_funnel(_events(spark, data))
+def _events(spark: SparkSession, data: str, since=None, until=None) -> DataFrame:
+    return table(spark, data, "mobile_telemetry_events", since, until)
+
+
+def _funnel(spark: SparkSession, data: str, since=None, until=None) -> DataFrame:
+    return rollups.daily_funnel(_events(spark, data, since, until))
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -83,7 +89,8 @@ def as_text(df: DataFrame) -> DataFrame:
 
 @query
 def day_window(spark, data):
-    return rollups.day_window(_events(spark, data), *clock.yesterday(EVENTS_AS_OF))
+    day = clock.yesterday(EVENTS_AS_OF)
+    return rollups.day_window(_events(spark, data, *day), *day)
 
 
 @query
@@ -127,7 +134,7 @@ def daily_screens(spark, data):
 
 @query
 def stats_24h(spark, data):
-    return as_text(reads.stats_series(table(spark, data, "stats_history"), EVENTS_AS_OF, "24h"))
+    return as_text(reads.stats_series(table(spark, data, "stats_history", *LAST_DAY), EVENTS_AS_OF, "24h"))
 
 
 @query
@@ -137,43 +144,43 @@ def stats_daily(spark, data):
 
 @query
 def runtime_series(spark, data):
-    return as_text(reads.runtime_series(table(spark, data, "app_metrics2"), EVENTS_AS_OF, "24h", conn_offset=1))
+    return as_text(reads.runtime_series(table(spark, data, "app_metrics2", *LAST_DAY), EVENTS_AS_OF, "24h", conn_offset=1))
 
 
 @query
 def runtime_series_daily(spark, data):
-    return as_text(reads.runtime_series(table(spark, data, "app_metrics2"), EVENTS_AS_OF, "30d"))
+    return as_text(reads.runtime_series(table(spark, data, "app_metrics2", EVENTS_AS_OF - 30 * clock.DAY), EVENTS_AS_OF, "30d"))
 
 
 @query
 def performance_series(spark, data):
-    daily = rollups.daily_api_performance(_metrics(spark, data))
+    daily = rollups.daily_api_performance(_metrics(spark, data, *LAST_MONTH))
     return as_text(reads.performance_series(daily, EVENTS_AS_OF, ALL_DAYS))
 
 
 @query
 def funnel_totals(spark, data):
-    return as_text(reads.funnel_totals(_funnel(spark, data), EVENTS_AS_OF, ALL_DAYS))
+    return as_text(reads.funnel_totals(_funnel(spark, data, *LAST_MONTH), EVENTS_AS_OF, ALL_DAYS))
 
 
 @query
 def merged_keywords(spark, data):
-    return as_text(reads.merged_keywords(_funnel(spark, data), EVENTS_AS_OF, ALL_DAYS))
+    return as_text(reads.merged_keywords(_funnel(spark, data, *LAST_MONTH), EVENTS_AS_OF, ALL_DAYS))
 
 
 @query
 def top_errors(spark, data):
-    return reads.top_errors(rollups.daily_errors(_events(spark, data)), EVENTS_AS_OF, ALL_DAYS)
+    return reads.top_errors(rollups.daily_errors(_events(spark, data, *LAST_MONTH)), EVENTS_AS_OF, ALL_DAYS)
 
 
 @query
 def top_screens(spark, data):
-    return reads.top_screens(rollups.daily_screens(_events(spark, data)), EVENTS_AS_OF, ALL_DAYS)
+    return reads.top_screens(rollups.daily_screens(_events(spark, data, *LAST_MONTH)), EVENTS_AS_OF, ALL_DAYS)
 
 
 @query
 def slow_endpoints(spark, data):
-    return reads.slow_endpoints(rollups.daily_endpoint_latency(_metrics(spark, data)), EVENTS_AS_OF, ALL_DAYS)
+    return reads.slow_endpoints(rollups.daily_endpoint_latency(_metrics(spark, data, *LAST_MONTH)), EVENTS_AS_OF, ALL_DAYS)
 
 
 @query
@@ -183,22 +190,22 @@ def latest_incidents(spark, data):
 
 @query
 def dash_top_screens(spark, data):
-    return reads.dash_top_screens(_events(spark, data), EVENTS_AS_OF)
+    return reads.dash_top_screens(_events(spark, data, *LAST_DAY), EVENTS_AS_OF)
 
 
 @query
-def dash_top_events(spark, data):
-    return reads.dash_top_events(_events(spark, data), EVENTS_AS_OF)
+def dash_top_events(spark, data, *LAST_DAY):
+    return reads.dash_top_events(_events(spark, data, *LAST_DAY), EVENTS_AS_OF)
 
 
 @query
 def dash_top_errors(spark, data):
-    return reads.dash_top_errors(_events(spark, data), EVENTS_AS_OF)
+    return reads.dash_top_errors(_events(spark, data, *LAST_DAY), EVENTS_AS_OF)
 
 
 @query
 def dash_api_latency(spark, data):
-    return reads.dash_api_latency(_metrics(spark, data), EVENTS_AS_OF)
+    return reads.dash_api_latency(_metrics(spark, data, *LAST_DAY), EVENTS_AS_OF)
 
 
 @query
@@ -270,30 +277,30 @@ def date_span_7d(spark, data):
 
 @query
 def platform_perf_7d(spark, data):
-    return snapshots.platform_perf_7d(rollups.daily_api_performance(_metrics(spark, data)), EVENTS_AS_OF)
+    return snapshots.platform_perf_7d(rollups.daily_api_performance(_metrics(spark, data, *LAST_WEEK)), EVENTS_AS_OF)
 
 
 @query
 def platform_conversion_7d(spark, data):
-    return snapshots.platform_conversion_7d(_funnel(spark, data), EVENTS_AS_OF)
+    return snapshots.platform_conversion_7d(_funnel(spark, data, *LAST_WEEK), EVENTS_AS_OF)
 
 
 @query
 def platform_top_keyword_7d(spark, data):
-    return snapshots.platform_top_keyword_7d(_funnel(spark, data), EVENTS_AS_OF)
+    return snapshots.platform_top_keyword_7d(_funnel(spark, data, *LAST_WEEK), EVENTS_AS_OF)
 
 
 @query
 def platform_top_crash_7d(spark, data):
-    return snapshots.platform_top_crash_7d(rollups.daily_errors(_events(spark, data)), EVENTS_AS_OF)
+    return snapshots.platform_top_crash_7d(rollups.daily_errors(_events(spark, data, *LAST_WEEK)), EVENTS_AS_OF)
 
 
 @query
 def mobile_snapshot_7d(spark, data):
     return snapshots.mobile_snapshot_7d(
-        rollups.daily_api_performance(_metrics(spark, data)),
-        _funnel(spark, data),
-        rollups.daily_errors(_events(spark, data)),
+        rollups.daily_api_performance(_metrics(spark, data, *LAST_WEEK)),
+        _funnel(spark, data, *LAST_WEEK),
+        rollups.daily_errors(_events(spark, data, *LAST_WEEK)),
         EVENTS_AS_OF,
         PLATFORMS,
     )
@@ -481,16 +488,18 @@ def insert_incident(spark, data):
 
 @query
 def retain_raw(spark, data):
+    since = EVENTS_AS_OF - 3 * clock.DAY
     kept = [
-        sinks.retain_raw(raw, EVENTS_AS_OF).select(F.lit(name).alias("table_name"), "id", "timestamp")
-        for name, raw in (("events", _events(spark, data)), ("metrics", _metrics(spark, data)))
+        sinks.retain_raw(table(spark, data, f"mobile_telemetry_{kind}", since, undated=True), EVENTS_AS_OF)
+        .select(F.lit(name).alias("table_name"), "id", "timestamp")
+        for name, kind in (("events", "events"), ("metrics", "api_metrics"))
     ]
     return kept[0].unionByName(kept[1])
 
 
 @query
 def retain_history(spark, data):
-    kept = sinks.retain_history(table(spark, data, "stats_history"), HISTORY_AS_OF)
+    kept = sinks.retain_history(table(spark, data, "stats_history", HISTORY_AS_OF - 30 * clock.DAY, undated=True), HISTORY_AS_OF)
     return as_text(kept.select("timestamp", "books", "users"))
 
 

@@ -7,17 +7,24 @@ so the oracle reads exactly the rows the Spark query reads.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from beaconlake.functions.clock import utc
+
+TIME_COLUMN = {"events": "ts", "orders": "o_orderdate"}
+
+# The files hold wall clock times in UTC; this makes them instants, whatever the session time zone.
+_INSTANT = "timestamp_micros(timestampdiff(microsecond, timestamp_ntz'1970-01-01 00:00:00', {}))"
 _SPARK = {
     "{STR}": "string",
-    "{TS:ts}": "cast(ts as timestamp)",
-    "{SEC:ts}": "date_trunc('second', cast(ts as timestamp))",
-    "{TS:o_orderdate}": "cast(o_orderdate as timestamp)",
-    "{TS:opened}": "cast(opened as timestamp)",
-    "{TS:closed}": "cast(closed as timestamp)",
-    "{MS}": "unix_millis(cast(ts as timestamp))",
+    "{TS:ts}": _INSTANT.format("ts"),
+    "{SEC:ts}": f"date_trunc('second', {_INSTANT.format('ts')})",
+    "{TS:o_orderdate}": _INSTANT.format("o_orderdate"),
+    "{TS:opened}": _INSTANT.format("opened"),
+    "{TS:closed}": _INSTANT.format("closed"),
+    "{MS}": f"unix_millis({_INSTANT.format('ts')})",
     "{K}": "get_json_object(props, '$.k')",
 }
 _DUCKDB = {
@@ -250,16 +257,29 @@ def _project(df: DataFrame, mapping: Mapping) -> DataFrame:
     return df.selectExpr(*(f"{_fill(sql, _SPARK)} as {column}" for column, sql in mapping.columns.items()))
 
 
-def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+def table(
+    spark: SparkSession,
+    data_dir: str,
+    name: str,
+    since: datetime | None = None,
+    until: datetime | None = None,
+    undated: bool = False,
+) -> DataFrame:
+    """A telemetry table. A range [since, until) is put on the file's own time column, where Parquet can skip by it;
+    ``undated`` keeps rows without a time as well."""
     mapping = MAPPINGS[name]
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _project(spark.read.parquet(f"{data_dir}/{mapping.base}.parquet"), mapping)
+    files = spark.read.parquet(f"{data_dir}/{mapping.base}.parquet")
+    at = TIME_COLUMN[mapping.base]
+    for bound, sign in ((since, ">="), (until, "<")):
+        if bound is not None:
+            kept = f"{at} {sign} timestamp_ntz'{utc(bound):%Y-%m-%d %H:%M:%S.%f}'"
+            files = files.where(f"{kept} or {at} is null" if undated else kept)
+    return _project(files, mapping)
 
 
 def stream(spark: SparkSession, data_dir: str, name: str, **options) -> DataFrame:
     """The same table as a file stream. The file's schema is declared from its footer, not inferred from rows."""
     mapping = MAPPINGS[name]
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema = spark.read.parquet(f"{data_dir}/{mapping.base}.parquet").schema
     files = spark.readStream.schema(schema).options(pathGlobFilter=f"{mapping.base}*.parquet", **options)
     return _project(files.parquet(data_dir), mapping)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from beaconlake.functions.clock import utc_day
 from beaconlake.operators import incidents as folds
 from beaconlake.operators.sinks import upsert_full
 from beaconlake.plans.publish import Store
@@ -83,7 +84,7 @@ def maintain_probes(
                 F.col("recovered_at").alias("resolved_at"),
             )
             opened = opened.unionByName(carried)
-        changed = opened.withColumn("opened_on", F.to_date("created_at")).persist()
+        changed = opened.withColumn("opened_on", utc_day(F.col("created_at"))).persist()
         days = [f"opened_on={row[0]}" for row in changed.select(F.col("opened_on").cast("string")).distinct().collect()]
         stored = store.read(table, days)
         run.stage(table, changed if stored is None else upsert_full(stored, changed, ["id"]), "opened_on")

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from beaconlake.functions.clock import event_date
+
 _MESSAGE = """
     queueType string,
     data struct<id: string, timestamp: bigint, platform: string, eventType: string, eventName: string,
@@ -64,7 +66,7 @@ def route_tagged_stream(
         for tag, (table, columns) in _ROUTES.items():
             rows = batch.where(F.col("queueType") == tag).select(
                 *(F.col(f"data.{source}").alias(name) for name, source in columns.items()),
-                F.to_date(F.timestamp_millis("data.timestamp")).alias("event_date"),
+                event_date(F.col("data.timestamp")).alias("event_date"),
                 F.lit(batch_id).alias("batch_id"),
             )
             writer = F.pmod(F.xxhash64("id"), F.lit(files_per_date))
