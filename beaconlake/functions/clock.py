@@ -31,6 +31,10 @@ def epoch_ms(at: datetime) -> int:
     return (utc(at) - EPOCH) // timedelta(milliseconds=1)
 
 
+def at_ms(ms: int) -> datetime:
+    return EPOCH + timedelta(milliseconds=ms)
+
+
 def yesterday(as_of: datetime) -> tuple[datetime, datetime]:
     """The last complete UTC day before ``as_of`` as [since, until)."""
     until = midnight(as_of)

@@ -44,7 +44,8 @@ def display_keyword(keyword: Column) -> Column:
 
 def fixed(value: Column, places: int) -> Column:
     """Half-up rounding to text with a fixed number of decimals."""
-    return F.format_string(f"%.{places}f", F.round(value.cast("double"), places))
+    rounded = F.round(value.cast("double"), places)
+    return F.when(rounded.isNotNull(), F.format_string(f"%.{places}f", rounded))
 
 
 def humanize_count(n: Column) -> Column:

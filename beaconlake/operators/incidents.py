@@ -34,22 +34,24 @@ CI_RECOVERED = "Workflow run #%s succeeded for commit: %s. Tracked via token: %s
 CI_SOURCE = "github-webhook-pipeline-monitor"
 PROBE_TIMEOUT = "Connection timeout (%s)"
 PROBE_HTTP = "HTTP Server Error: %s"
-PROBE_STATUS = "Actuator status is: %s"
-PROBE_TITLE = "Server Unreachable"
-PROBE_DOWN = "[%s] Server is DOWN!"
-PROBE_UP = "[%s] Server has RECOVERED"
-PROBE_RECOVERED = "System recovery verified by probe."
-PROBE_SOURCE = "health-monitor"
 QUOTA_ID = "billing-breach-%s-%s-%s"
-QUOTA_TITLE = "Quota Consumption Alert [Level: %s]"
-QUOTA_MESSAGE = "Usage audit logged %s rows read within the tracking cycle, breaching the %s marker."
-QUOTA_NOMINAL = "Telemetry recovered nominal status. Current rolling usage: %s"
 QUOTA_DEDUP = "billing-quota-breach-%s-%s"
-QUOTA_BREACHED = "[%s] Overconsumption: %s Rows Intercepted"
-QUOTA_RECOVERED = "[RESOLVED] Telemetry Recovered: %s Rows"
-QUOTA_SOURCE = "usage-sentinel"
 ALERT_SUMMARY = "[Mock Chaos] %s"
-ALERT_SOURCE = "test-executor"
+
+# Wording of this library.
+PROBE_STATUS = "Health endpoint answered %s"
+PROBE_TITLE = "Health check failed"
+PROBE_DOWN = "%s: health check failed"
+PROBE_UP = "%s: health check passes again"
+PROBE_RECOVERED = "A later probe succeeded."
+PROBE_SOURCE = "probe-fold"
+QUOTA_TITLE = "Read quota at level %s"
+QUOTA_MESSAGE = "%s rows read in 24 hours, past the %s limit."
+QUOTA_NOMINAL = "Back below all limits at %s rows in 24 hours."
+QUOTA_BREACHED = "%s: %s rows read in 24 hours"
+QUOTA_RECOVERED = "Below all limits: %s rows in 24 hours"
+QUOTA_SOURCE = "quota-fold"
+ALERT_SOURCE = "alert-check"
 
 
 def _fill(form: str, *values: Column | str) -> Column:
@@ -69,7 +71,9 @@ def ci_transitions(runs: DataFrame, prior: DataFrame | None = None) -> DataFrame
     ``prior`` holds incidents of earlier batches; a success also resolves one that was still active there.
     """
     repository = F.substring_index("repository", "/", -1)
-    relevant = runs.where((F.col("action") == "completed") & F.col("conclusion").isin("failure", "success")).select(
+    known = F.col("workflow_id").isNotNull() & F.col("repository").isNotNull()
+    finished = (F.col("action") == "completed") & F.col("conclusion").isin("failure", "success")
+    relevant = runs.where(known & finished).select(
         "*", repository.alias("component"), _fill(CI_ID, repository, "workflow_id").alias("id")
     )
     ordered = with_neighbours(relevant, ["id"], ["updated_at", "run_id"], previous=F.col("conclusion"))

@@ -58,7 +58,12 @@ def with_neighbours(
 
     slices = sliced.groupBy(*keys, "_slice").agg(*summaries).select(*keys, "_slice", *carried)
     placed = sliced.select("*", *(near.alias(f"_near_{name}") for name, near, _ in wanted))
-    return placed.join(slices, [*keys, "_slice"], "left").select(
+    # A NULL key is a key like any other, as it is to the windows.
+    own = slices.select(*(F.col(name).alias(f"_key_{name}") for name in keys), F.col("_slice").alias("_own"), *(far for *_, far in wanted))
+    same = F.col("_slice") == F.col("_own")
+    for name in keys:
+        same = same & F.col(name).eqNullSafe(F.col(f"_key_{name}"))
+    return placed.join(own, same, "left").select(
         *rows.columns, *(F.coalesce(f"_near_{name}", far).alias(name) for name, _, far in wanted)
     )
 

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import DAY, event_date, midnight, utc_day, yesterday
+from beaconlake.functions.clock import DAY, event_date, midnight, utc, utc_day, yesterday
 from beaconlake.operators import rollups
 from beaconlake.operators.incidents import apply_quota_poll
 from beaconlake.operators.sinks import upsert_full
-from beaconlake.plans.publish import Store, folder_names
+from beaconlake.plans.publish import Run, Store, delete_folder, folder_names
 from beaconlake.schemas import SUMMARY_KEYS, TABLES
 from beaconlake.sources.payloads import counts_snapshot, extract_usage, pivot_gauges
 from beaconlake.sources.tables import read_raw
@@ -38,8 +39,11 @@ def nightly(
     """Roll up [since, until), merge into the summaries and publish all of them together.
 
     A rollup that fails is logged and left out; the others are still published. Returns the names that failed, so
-    that the caller runs retention only when there are none.
+    that the caller runs retention only when there are none. Bounds are UTC midnights: a part of a day would replace
+    that day's summary rows.
     """
+    if midnight(since) != utc(since) or midnight(until) != utc(until):
+        raise ValueError(f"not whole UTC days: {since} to {until}")
     run, failed = store.begin(), []
     days = [f"snapshot_date={midnight(since) + n * DAY:%Y-%m-%d}" for n in range((until - since).days)]
     for name, source, build in NIGHTLY if jobs is None else jobs:
@@ -77,22 +81,23 @@ def daily(spark: SparkSession, store: Store, raw_root: str, as_of: datetime, kee
 def half_hourly(
     spark: SparkSession,
     store: Store,
-    history_root: str,
     counts: DataFrame,
     gauges: DataFrame,
     usage: DataFrame,
     as_of: datetime,
     keep_days: int = 30,
 ) -> None:
-    """Append one poll of counts and gauges, expire old history, and apply the usage poll to the incidents.
+    """Add one poll of counts and gauges, expire old history, and apply the usage poll to the incidents, all in one run.
 
-    ``usage`` holds one response per resource (resource, body); its row count is the number of resources.
+    ``usage`` holds one response per resource (resource, body); its row count is the number of resources. A poll that is
+    run again replaces its own rows.
     """
+    run = store.begin()
     for name, rows in (("stats_history", counts_snapshot(counts)), ("app_metrics2", pivot_gauges(gauges))):
-        append_history(rows, f"{history_root}/{name}")
-        expire_dates(spark, f"{history_root}/{name}", as_of, keep_days)
+        stage_history(run, name, rows)
+        first_kept = (midnight(as_of) - keep_days * DAY).date()
+        run.drop(name, [part for part in run.parts(name) if (day := dated(part)) and day < first_kept])
     polls = extract_usage(usage).select("resource", F.col("rows_read").alias("rows_read_24h"))
-    run = store.begin()
     stored = store.read("quota_incidents")
     if stored is None:
         stored = spark.createDataFrame([], TABLES["incidents"])
@@ -101,14 +106,28 @@ def half_hourly(
 
 
 def append_raw(df: DataFrame, path: str) -> None:
-    """Append rows (epoch-ms ``timestamp``) below ``event_date=`` folders."""
-    dated = df.withColumn("event_date", event_date(F.col("timestamp")))
-    dated.write.mode("append").partitionBy("event_date").parquet(path)
+    """Append rows (epoch-ms ``timestamp``) below ``event_date=/batch_id=`` folders, the layout of the router too."""
+    filed = df.withColumn("event_date", event_date(F.col("timestamp"))).withColumn("batch_id", F.lit(uuid.uuid4().hex))
+    filed.write.mode("append").partitionBy("event_date", "batch_id").parquet(path)
+
+
+def stage_history(run: Run, name: str, polls: DataFrame) -> None:
+    """Stage poll rows (timestamp ``timestamp``) with the other rows of their dates; rows of the same polls give way."""
+    fresh = polls.withColumn("event_date", utc_day(F.col("timestamp"))).persist()
+    # One poll has one time, so this is one date as a rule.
+    days = [f"event_date={row[0]}" for row in fresh.select(F.col("event_date").cast("string")).distinct().collect()]
+    stored = run.store.read(name, days)
+    if stored is not None:
+        fresh = stored.join(fresh.select("timestamp").distinct(), "timestamp", "left_anti").unionByName(fresh)
+    run.stage(name, fresh, "event_date")
 
 
-def append_history(df: DataFrame, path: str) -> None:
-    """Append poll rows (timestamp ``timestamp``) below ``event_date=`` folders."""
-    df.withColumn("event_date", utc_day(F.col("timestamp"))).write.mode("append").partitionBy("event_date").parquet(path)
+def dated(folder: str) -> date | None:
+    """The date of an ``event_date=`` folder; None for any other name, such as that of rows without a time."""
+    try:
+        return date.fromisoformat(folder.removeprefix("event_date=")) if folder.startswith("event_date=") else None
+    except ValueError:
+        return None
 
 
 def expire_dates(spark: SparkSession, path: str, as_of: datetime, days: int) -> list[str]:
@@ -116,11 +135,8 @@ def expire_dates(spark: SparkSession, path: str, as_of: datetime, days: int) ->
 
     Rows of the cutoff day itself are left to the retention operators, which filter to the second.
     """
-    first_kept = f"event_date={(midnight(as_of) - days * DAY):%Y-%m-%d}"
-    expired = sorted(
-        name for name in folder_names(spark, path) if name.startswith("event_date=2") and name < first_kept
-    )
+    first_kept = (midnight(as_of) - days * DAY).date()
+    expired = sorted(name for name in folder_names(spark, path) if (day := dated(name)) and day < first_kept)
     for name in expired:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        delete_folder(spark, f"{path}/{name}")
     return expired

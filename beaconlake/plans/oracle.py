@@ -64,17 +64,15 @@ _CTE = {
             coalesce(json_array_length(payload, '$.head_commit.added'), 0)
             + coalesce(json_array_length(payload, '$.head_commit.removed'), 0)
             + coalesce(json_array_length(payload, '$.head_commit.modified'), 0) as growth,
-            case when repository_name ilike '%core-server%' or repository_name ilike '%app-android%' then 'Kotlin'
-                when repository_name ilike '%app-ios%' then 'Swift'
-                when repository_name ilike '%dashboards%' then 'TypeScript'
-                when repository_name ilike '%website%' then 'Astro/TS' end as lang
+            case when repository_name ilike '%api%' or repository_name ilike '%reports%' then 'Python'
+                when repository_name ilike '%mobile%' or repository_name ilike '%tablet%' then 'Dart' end as lang
         from deliveries where event_type = 'push'""",
     "classified": """
         select *, case when error = 'timeout' then 'Connection timeout (10s)'
             when http_status is null or http_status not between 200 and 299
                 then concat('HTTP Server Error: ', coalesce(http_status::varchar, 'none'))
             when body_status is distinct from 'UP'
-                then concat('Actuator status is: ', coalesce(body_status, 'undefined')) end as problem
+                then concat('Health endpoint answered ', coalesce(body_status, 'undefined')) end as problem
         from probes""",
     "probe_steps": """
         select *, lag(problem is null, 1, true) over w as was_up,
@@ -83,7 +81,7 @@ _CTE = {
         from classified window w as (partition by component order by probe_ts, probe_id)""",
     "outages": """
         select sha256(concat(component, '|', epoch_us(probe_ts))) as id, 'INFRA' as source, component,
-            'CRITICAL' as level, 'Server Unreachable' as title, problem as message,
+            'CRITICAL' as level, 'Health check failed' as title, problem as message,
             case when up_at is null then 'active' else 'resolved' end as status, probe_ts as created_at, up_at as resolved_at
         from probe_steps where problem is not null and was_up""",
     "finished": """
@@ -313,8 +311,8 @@ _add(
 _add(
     "latest_per_repo", "deliveries",
     f"""select id, event_type, action, repository_name, sender_login, payload, {_at('created_at')} as created_at
-    from deliveries where id in (select max(id) from deliveries where repository_name in ('acme/app-android',
-        'acme/app-ios', 'acme/core-server', 'acme/dashboards', 'acme/website') group by repository_name)""",
+    from deliveries where id in (select max(id) from deliveries where repository_name in ('acme/mobile',
+        'acme/tablet', 'acme/api', 'acme/reports', 'acme/docs') group by repository_name)""",
 )
 _add(
     "github_totals", "deliveries",
@@ -391,7 +389,7 @@ _add(
 _add(
     "latest_incident_per_component", "incidents",
     """select component, status, title, strftime(created_at, '%d/%m %H:%M UTC') as created_at from incidents
-    where component in ('server-test', 'app-android', 'billing')
+    where component in ('api-probe', 'ci')
     qualify row_number() over (partition by component order by created_at desc, id) = 1""",
 )
 _RECENT = 'select * from logs order by "timestamp" desc, id limit'
@@ -490,10 +488,10 @@ _add(
     "quota_incidents", "breach_days",
     f"""select concat('billing-breach-', resource, '-', level, '-', {_day('day')}) as id, 'INFRA' as source,
         concat('billing-', resource) as component, level,
-        concat('Quota Consumption Alert [Level: ', level, ']') as title,
-        case when nominal is null or last > nominal then concat('Usage audit logged ', {_human('last.n')},
-                ' rows read within the tracking cycle, breaching the ', level, ' marker.')
-            else concat('Telemetry recovered nominal status. Current rolling usage: ', {_human('nominal.n')}) end as message,
+        concat('Read quota at level ', level) as title,
+        case when nominal is null or last > nominal then concat({_human('last.n')},
+                ' rows read in 24 hours, past the ', level, ' limit.')
+            else concat('Back below all limits at ', {_human('nominal.n')}, ' rows in 24 hours.') end as message,
         case when nominal is null then 'active' else 'resolved' end as status, {_at('created_at')} as created_at,
         null::varchar as resolved_at
     from breach_days""",
@@ -509,31 +507,31 @@ _add(
         coalesce(head_message, ''), '. Tracked via token: ', key), {_at('updated_at')}
     from steps where conclusion = 'success' and before = 'failure'
     union all
-    select 'trigger', id, concat('[', component, '] Server is DOWN!'), 'health-monitor', 'critical', message, {_at('created_at')}
+    select 'trigger', id, concat(component, ': health check failed'), 'probe-fold', 'critical', message, {_at('created_at')}
     from outages
     union all
-    select 'resolve', id, concat('[', component, '] Server has RECOVERED'), 'health-monitor', 'critical',
-        'System recovery verified by probe.', {_at('resolved_at')}
+    select 'resolve', id, concat(component, ': health check passes again'), 'probe-fold', 'critical',
+        'A later probe succeeded.', {_at('resolved_at')}
     from outages where resolved_at is not null
     union all
     select 'trigger', concat('billing-quota-breach-', resource, '-', lower(level)),
-        concat('[', level, '] Overconsumption: ', {_human('rows_read_24h')}, ' Rows Intercepted'), 'usage-sentinel',
+        concat(level, ': ', {_human('rows_read_24h')}, ' rows read in 24 hours'), 'quota-fold',
         case level when 'WARNING' then 'warning' when 'CRITICAL' then 'error' else 'critical' end,
         {_human('rows_read_24h')}, {_at('sample_ts')}
     from poll_steps where level is not null
     union all
     select 'resolve', concat('billing-quota-breach-', resource, '-', name),
-        concat('[RESOLVED] Telemetry Recovered: ', {_human('rows_read_24h')}, ' Rows'), 'usage-sentinel', severity,
+        concat('Below all limits: ', {_human('rows_read_24h')}, ' rows in 24 hours'), 'quota-fold', severity,
         {_human('rows_read_24h')}, {_at('sample_ts')}
     from poll_steps join (values ('warning', 'warning'), ('critical', 'error'), ('fatal', 'critical')) v(name, severity)
         on level is null and before is not null""",
 )
 _add(
     "active_incident_alert", "incidents",
-    """select 'trigger' as action, id as dedup_key, concat('[Mock Chaos] ', title) as summary, 'test-executor' as source,
+    """select 'trigger' as action, id as dedup_key, concat('[Mock Chaos] ', title) as summary, 'alert-check' as source,
         case when lower(level) = 'critical' then 'critical' else 'error' end as severity, message as details,
         '2001-08-02 00:00:00' as at
-    from incidents where component = 'server-test' and status = 'active' order by created_at, id limit 1""",
+    from incidents where component = 'api-probe' and status = 'active' order by created_at, id limit 1""",
 )
 
 _add(
@@ -565,12 +563,12 @@ _add(
     "conditional_update", "incidents",
     f"""select {_INCIDENT} from (select * replace (case when open then 'resolved' else status end as status,
             case when open then timestamp '2001-08-02' else resolved_at end as resolved_at)
-        from (select *, component = 'server-test' and status = 'active' as open from incidents))""",
+        from (select *, component = 'api-probe' and status = 'active' as open from incidents))""",
 )
 _add(
     "insert_incident", "incidents",
     f"""select {_INCIDENT} from incidents union all
-    select 'uuid', 'INFRA', 'server-test', 'CRITICAL', 'Server Unreachable', 'Connection timeout (5s) - test', 'active',
+    select 'uuid', 'INFRA', 'api-probe', 'CRITICAL', 'Health check failed', 'Connection timeout (5s) - test', 'active',
         '2001-08-02 00:00:00', null""",
 )
 _add(

@@ -31,14 +31,12 @@ ORDERS_AS_OF = datetime(2001, 8, 2)
 HISTORY_AS_OF = datetime(2024, 2, 10)
 ALL_DAYS = "30"
 
-COMPONENTS = ["server-test", "app-android", "billing"]
-REPOSITORIES = ["acme/app-android", "acme/app-ios", "acme/core-server", "acme/dashboards", "acme/website"]
+COMPONENTS = ["api-probe", "ci"]
+REPOSITORIES = ["acme/mobile", "acme/tablet", "acme/api", "acme/reports", "acme/docs"]
 OWNER = "acme"
 LANGUAGES: ci.LanguageRules = [
-    (("%Core-Server%", "%app-android%"), "Kotlin"),
-    (("%app-ios%",), "Swift"),
-    (("%dashboards%",), "TypeScript"),
-    (("%website%",), "Astro/TS"),
+    (("%API%", "%reports%"), "Python"),
+    (("%mobile%", "%tablet%"), "Dart"),
 ]
 PLATFORMS = ["Android", "iOS"]
 
@@ -435,7 +433,7 @@ def notification_outbox(spark, data):
 
 @query
 def active_incident_alert(spark, data):
-    return as_text(incidents.active_incident_alert(table(spark, data, "incidents"), "server-test", ORDERS_AS_OF))
+    return as_text(incidents.active_incident_alert(table(spark, data, "incidents"), "api-probe", ORDERS_AS_OF))
 
 
 # Sinks
@@ -473,13 +471,13 @@ def insert_or_replace(spark, data):
 
 @query
 def conditional_update(spark, data):
-    return as_text(sinks.resolve_component(table(spark, data, "incidents"), "server-test", ORDERS_AS_OF))
+    return as_text(sinks.resolve_component(table(spark, data, "incidents"), "api-probe", ORDERS_AS_OF))
 
 
 @query
 def insert_incident(spark, data):
     grown = sinks.insert_incident(
-        table(spark, data, "incidents"), "INFRA", "server-test", "CRITICAL", "Server Unreachable",
+        table(spark, data, "incidents"), "INFRA", "api-probe", "CRITICAL", "Health check failed",
         "Connection timeout (5s) - test", ORDERS_AS_OF,
     )
     v4 = F.col("id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
@@ -666,7 +664,9 @@ def atomic_batch_write(spark, data):
     """All five summaries published by one nightly run, read back and counted."""
     store = Store(spark, run_dir(spark, "summaries"))
     raw = {"events": _events(spark, data), "metrics": _metrics(spark, data)}
-    failed = jobs.nightly(store, raw, datetime(2024, 1, 1), EVENTS_AS_OF)
+    first, last = _events(spark, data).agg(F.min("timestamp"), F.max("timestamp")).first()
+    span = (clock.midnight(clock.at_ms(first)), clock.midnight(clock.at_ms(last)) + clock.DAY)
+    failed = jobs.nightly(store, raw, *span)
     if failed:
         raise RuntimeError(f"rollups failed: {failed}")
     counts = [

@@ -21,7 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; name a folder that every executor can reach")
-    return _local.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="beaconlake-"))
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="beaconlake-")
+    return _local[app]
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:

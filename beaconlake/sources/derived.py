@@ -16,7 +16,8 @@ from beaconlake.functions.clock import utc
 TIME_COLUMN = {"events": "ts", "orders": "o_orderdate"}
 
 # The files hold wall clock times in UTC; this makes them instants, whatever the session time zone.
-_INSTANT = "timestamp_micros(timestampdiff(microsecond, timestamp_ntz'1970-01-01 00:00:00', {}))"
+_SECONDS = "cast(cast({} - timestamp_ntz'1970-01-01 00:00:00' as interval second) as decimal(20, 6))"
+_INSTANT = f"timestamp_micros(cast({_SECONDS} * 1000000 as bigint))"
 _SPARK = {
     "{STR}": "string",
     "{TS:ts}": _INSTANT.format("ts"),
@@ -57,8 +58,8 @@ _OPENED = {
 }
 _PLATFORM = "case when user_id % 2 = 0 then 'Android' else 'iOS' end"
 _REPOSITORY = (
-    "case o_custkey % 6 when 0 then 'acme/app-android' when 1 then 'acme/app-ios' when 2 then 'acme/core-server'"
-    " when 3 then 'acme/dashboards' when 4 then 'acme/website' else 'acme/misc' end"
+    "case o_custkey % 6 when 0 then 'acme/mobile' when 1 then 'acme/tablet' when 2 then 'acme/api'"
+    " when 3 then 'acme/reports' when 4 then 'acme/docs' else 'acme/misc' end"
 )
 
 MAPPINGS: dict[str, Mapping] = {
@@ -163,7 +164,7 @@ MAPPINGS: dict[str, Mapping] = {
             "id": "concat('inc-', o_orderkey)",
             "source": "case o_custkey % 3 when 0 then 'INFRA' when 1 then 'MOBILE' else 'GITHUB' end",
             "component": (
-                "case o_orderkey % 4 when 0 then 'server-test' when 1 then 'billing' when 2 then 'app-android'"
+                "case o_orderkey % 4 when 0 then 'api-probe' when 1 then 'ledger' when 2 then 'search'"
                 " else 'ci' end"
             ),
             "level": (

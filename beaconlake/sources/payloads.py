@@ -52,10 +52,18 @@ def _timestamp(as_of: datetime) -> Column:
     return F.coalesce(F.nullif(whole_number(F.col("timestamp")), F.lit(0)), F.lit(epoch_ms(as_of))).alias("timestamp")
 
 
-def _split(parsed: DataFrame, required: dict[str, Column], columns: list[Column]) -> Ingested:
-    missing = F.concat_ws(",", *(F.when(value.isNull(), F.lit(name)) for name, value in required.items()))
+def _split(
+    parsed: DataFrame, required: dict[str, Column], columns: list[Column], given: dict[str, Column] | None = None
+) -> Ingested:
+    """``given`` are the required fields before they are given their types, where that can fail."""
+    missing = F.concat_ws(",", *(F.when(value.isNull(), F.lit(name)) for name, value in (given or required).items()))
+    badly_typed = F.concat_ws(",", *(F.when(value.isNull(), F.lit(name)) for name, value in required.items()))
     malformed = F.col("body").isNull() | F.col("_malformed").isNotNull()
-    reason = F.when(malformed, "malformed_json").when(missing != "", F.concat(F.lit("missing: "), missing))
+    reason = (
+        F.when(malformed, "malformed_json")
+        .when(missing != "", F.concat(F.lit("missing: "), missing))
+        .when(badly_typed != "", F.concat(F.lit("invalid: "), badly_typed))
+    )
     return Ingested(
         parsed.where(reason.isNull()).select(*columns),
         parsed.where(reason.isNotNull()).select("body", reason.alias("reason")),
@@ -68,7 +76,9 @@ def ingest_events(bodies: DataFrame, as_of: datetime) -> Ingested:
     kind = _given(_field("eventType", "event_type"))
     name = _given(_field("eventName", "event_name"))
     attributes = F.col("attributes")
-    empty = attributes.isin("", "0", "false")
+    # Only the number 0 and the boolean false are empty, not texts that look like them; few rows need the second parse.
+    kind_of = F.schema_of_variant(F.try_variant_get(F.try_parse_json("body"), "$.attributes", "variant"))
+    empty = F.when(attributes.isin("0", "0.0", "-0", "false"), kind_of != "STRING").otherwise(attributes == "")
     return _split(
         _parse(bodies, _EVENT),
         {"platform": platform, "event_type": kind, "event_name": name},
@@ -88,15 +98,17 @@ def ingest_events(bodies: DataFrame, as_of: datetime) -> Ingested:
 def ingest_api_metrics(bodies: DataFrame, as_of: datetime) -> Ingested:
     """API metric payloads (column ``body``) to ``mobile_telemetry_api_metrics`` rows."""
     platform, endpoint, method = (_given(F.col(name)) for name in ("platform", "endpoint", "method"))
-    status = _field("statusCode", "status_code").try_cast("int")
-    latency = _field("latencyMs", "latency_ms").try_cast("double").try_cast("int")
-    required = {
-        "platform": platform, "endpoint": endpoint, "method": method, "status_code": status, "latency_ms": latency
-    }
+    given = {
+        "platform": platform, "endpoint": endpoint, "method": method,
+        "status_code": _field("statusCode", "status_code"), "latency_ms": _field("latencyMs", "latency_ms"),
+    }
+    numbers = {name: given[name].try_cast("double").try_cast("int") for name in ("status_code", "latency_ms")}
+    required = given | numbers
     return _split(
         _parse(bodies, _METRIC),
         required,
         [_id(), _timestamp(as_of), *(value.alias(name) for name, value in required.items())],
+        given,
     )
 
 
@@ -148,8 +160,8 @@ def pivot_gauges(polls: DataFrame) -> DataFrame:
         "name",
         F.when(F.col("body").isNotNull(), F.coalesce(chosen, F.lit(0.0))).alias("value"),
     )
-    wide = values.groupBy("timestamp").pivot("name", list(GAUGES)).agg(F.max("value"))
-    return wide.select("timestamp", *(F.col(f"`{name}`").alias(column) for name, column in GAUGES.items()))
+    wide = (F.max(F.when(F.col("name") == name, F.col("value"))).alias(column) for name, column in GAUGES.items())
+    return values.groupBy("timestamp").agg(*wide)
 
 
 _USAGE = "$.data.viewer.accounts[0].d1AnalyticsAdaptiveGroups[0].sum"

@@ -23,9 +23,9 @@ def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
 
 
 def read_raw(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Raw telemetry stored under ``event_date=`` folders; the partition column prunes day-sized scans."""
+    """Raw telemetry stored under ``event_date=/batch_id=`` folders; the date prunes day-sized scans."""
     _check(name, "parquet")
-    return spark.read.schema(f"{TABLES[name]}, event_date date").parquet(path)
+    return spark.read.schema(f"{TABLES[name]}, event_date date, batch_id string").parquet(path).drop("batch_id")
 
 
 def stream_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet", **options) -> DataFrame:

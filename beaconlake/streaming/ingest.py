@@ -34,9 +34,22 @@ _ROUTES = {
 }
 
 
+QUARANTINE = "quarantined_messages"
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Message text (column ``value``) to tag and data."""
-    return messages.select(F.from_json("value", _MESSAGE).alias("m")).select("m.queueType", "m.data")
+    """Message text (column ``value``) to tag, data, and the ``reason`` for which it cannot be stored, if any.
+
+    Messages with another tag are no fault and have neither.
+    """
+    parsed = messages.select("value", F.from_json("value", _MESSAGE).alias("m")).select("value", "m.queueType", "m.data")
+    known = F.col("queueType").isin(*_ROUTES)
+    reason = (
+        F.when(F.col("queueType").isNull(), "unreadable")
+        .when(known & F.col("data.id").isNull(), "no id")
+        .when(known & F.col("data.timestamp").isNull(), "no timestamp")
+    )
+    return parsed.withColumn("reason", reason)
 
 
 def route_tagged_stream(
@@ -45,31 +58,46 @@ def route_tagged_stream(
     checkpoint: str,
     trigger: dict | None = None,
     redelivery: str = "1 day",
-    files_per_date: int = 8,
+    rows_per_file: int = 1_000_000,
 ) -> StreamingQuery:
     """Write each message to the raw table its tag names, once per id.
 
     Redelivered ids are dropped within ``redelivery`` of the first arrival. The watermark runs on arrival time, so no
     row is ever too late, however old its own timestamp. Each micro-batch owns a ``batch_id=`` folder per date and
-    replaces it when replayed, which makes at-least-once delivery write every row once. Rows spread over
-    ``files_per_date`` writers by id, so one busy date is neither a single task nor a file per task.
+    replaces it when replayed, which makes at-least-once delivery write every row once. A batch of more than
+    ``rows_per_file`` rows spreads over that many more writers by id, so one busy date is neither a single task nor a
+    file per task. Messages that cannot be read, or lack an id or a time, go to ``quarantined_messages`` with a reason.
+
+    The ids of the redelivery span are the stream's state; choose a disk-backed state store for large ones
+    (``spark.sql.streaming.stateStore.providerClass``).
     """
-    tagged = parse_messages(messages).where(F.col("queueType").isin(*_ROUTES) & F.col("data.id").isNotNull())
+    tagged = parse_messages(messages).where(F.col("queueType").isin(*_ROUTES) | F.col("reason").isNotNull())
+    own = F.when(F.col("reason").isNull(), F.col("data.id")).otherwise(F.sha2("value", 256))
     once = (
-        tagged.select("*", F.col("data.id").alias("id"), F.current_timestamp().alias("arrived_at"))
+        tagged.select("*", own.alias("id"), F.current_timestamp().alias("arrived_at"))
         .withWatermark("arrived_at", redelivery)
-        .dropDuplicatesWithinWatermark(["queueType", "id"])
+        .dropDuplicatesWithinWatermark(["queueType", "reason", "id"])
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        writers = 1 + batch.count() // rows_per_file
+        faulty = batch.where(F.col("reason").isNotNull())
+        (
+            faulty.select("value", "reason", "arrived_at", F.lit(batch_id).alias("batch_id"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(f"{out}/{QUARANTINE}")
+        )
+        batch_rows = batch.where(F.col("reason").isNull())
         for tag, (table, columns) in _ROUTES.items():
-            rows = batch.where(F.col("queueType") == tag).select(
+            rows = batch_rows.where(F.col("queueType") == tag).select(
                 *(F.col(f"data.{source}").alias(name) for name, source in columns.items()),
                 event_date(F.col("data.timestamp")).alias("event_date"),
                 F.lit(batch_id).alias("batch_id"),
             )
-            writer = F.pmod(F.xxhash64("id"), F.lit(files_per_date))
+            writer = F.pmod(F.xxhash64("id"), F.lit(writers))
             (
                 rows.repartition("event_date", writer)
                 .write.mode("overwrite")

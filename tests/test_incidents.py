@@ -101,7 +101,7 @@ def test_probe_messages(spark):
     ]
     found = folds.probe_classify(spark.createDataFrame(rows, PROBE)).orderBy("probe_id").collect()
     assert [r.problem for r in found] == [
-        None, "HTTP Server Error: 301", "Actuator status is: DOWN", "Actuator status is: undefined",
+        None, "HTTP Server Error: 301", "Health endpoint answered DOWN", "Health endpoint answered undefined",
         "Connection timeout (10s)", "refused",
     ]
 
@@ -169,7 +169,7 @@ def test_quota_incidents_equal_replay(spark):
                     row[1], row[3] = "resolved", ("nominal", reads)
     found = folds.quota_incidents(levels)
     assert sorted((r.id, r.status, r.created_at) for r in found.collect()) == sorted(tuple(v[:3]) for v in table.values())
-    kinds = {r.id: "breach" if "breaching" in r.message else "nominal" for r in found.collect()}
+    kinds = {r.id: "breach" if "past the" in r.message else "nominal" for r in found.collect()}
     assert kinds == {key: row[3][0] for key, row in table.items()}
     assert found.where("resolved_at is not null").count() == 0
 
@@ -201,13 +201,20 @@ def test_quota_tiers(spark, reads, level):
 def test_alert_repeats_while_active_and_stops_after(spark):
     from beaconlake.operators.sinks import insert_incident, resolve_component
     empty = spark.createDataFrame([], TABLES["incidents"])
-    assert folds.active_incident_alert(empty, "server-test", START).count() == 0
+    assert folds.active_incident_alert(empty, "api-probe", START).count() == 0
     # Materialised, since the random id is drawn anew whenever the plan runs.
     opened = spark.createDataFrame(
-        insert_incident(empty, "INFRA", "server-test", "Critical", "Down", "m", START).collect(), TABLES["incidents"]
+        insert_incident(empty, "INFRA", "api-probe", "Critical", "Down", "m", START).collect(), TABLES["incidents"]
     )
-    alert = folds.active_incident_alert(opened, "server-test", START).first()
+    alert = folds.active_incident_alert(opened, "api-probe", START).first()
     assert (alert.severity, alert.dedup_key) == ("critical", opened.first().id)
-    closed = resolve_component(opened, "server-test", START)
-    assert folds.active_incident_alert(closed, "server-test", START).count() == 0
+    closed = resolve_component(opened, "api-probe", START)
+    assert folds.active_incident_alert(closed, "api-probe", START).count() == 0
     assert closed.first().resolved_at == START
+
+
+def test_a_null_component_is_one_component(spark):
+    at = [START + timedelta(hours=n) for n in range(5)]
+    rows = [(n, at[n], c, 503, None, None) for n in range(5) for c in (None, "x")]
+    opened = folds.probe_incidents(spark.createDataFrame(rows, PROBE)).groupBy("component").count().collect()
+    assert {r.component: r["count"] for r in opened} == {None: 1, "x": 1}

@@ -112,3 +112,19 @@ def test_webhook_audit(spark):
     row = got.accepted.first()
     assert (row.action, row.repository_name, row.sender_login, row.installation_id) == (None, "o/r", None, None)
     assert got.accepted.count() == 1 and got.quarantine.count() == 2
+
+
+def test_texts_that_look_empty_are_kept(spark):
+    body = '{"platform": "iOS", "eventType": "E", "eventName": "n", "attributes": %s}'
+    values = ['"0"', '"false"', "0", "false", '""', "null", '{"a":0}']
+    bodies = spark.createDataFrame([(body % v,) for v in values], "body string")
+    found = payloads.ingest_events(bodies, datetime(2024, 1, 1)).accepted
+    assert sorted(r.attributes for r in found.collect() if r.attributes is not None) == ["0", "false", '{"a":0}']
+
+
+def test_whole_numbers_may_be_written_as_decimals(spark):
+    body = '{"platform": "iOS", "endpoint": "/x", "method": "GET", "statusCode": %s, "latencyMs": 5.0}'
+    bodies = spark.createDataFrame([(body % v,) for v in ("200.0", '"x"')], "body string")
+    found = payloads.ingest_api_metrics(bodies, datetime(2024, 1, 1))
+    assert [r.status_code for r in found.accepted.collect()] == [200]
+    assert [r.reason for r in found.quarantine.collect()] == ["invalid: status_code"]

@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from beaconlake.functions.clock import epoch_ms
 from beaconlake.operators import rollups
 from beaconlake.plans import jobs
-from beaconlake.plans.publish import Store, folder_names
+from beaconlake.plans.publish import ConflictingRuns, Store, folder_names
 from beaconlake.sources.derived import table
 from beaconlake.sources.tables import read_raw, read_table
 
@@ -108,25 +108,24 @@ def test_daily_job_expires_raw_rows_only_after_success(spark, store, data, tmp_p
     assert dates == {"2024-01-09"}
 
 
-def test_half_hourly_job(spark, store, tmp_path):
-    root = str(tmp_path / "history")
+def test_half_hourly_job(spark, store):
     usage = '{"data":{"viewer":{"accounts":[{"d1AnalyticsAdaptiveGroups":[{"sum":{"rowsRead":%d}}]}]}}}'
     gauge = '{"measurements": [{"statistic": "VALUE", "value": 0.5}]}'
-    for day, reads in ((1, 2500000), (2, 10), (40, 600000)):
+    for day, reads in ((1, 2500000), (2, 10), (40, 600000), (40, 600000)):  # the last poll is run twice
         at = datetime(2024, 1, 1) + timedelta(days=day)
         jobs.half_hourly(
-            spark, store, root,
+            spark, store,
             spark.createDataFrame([(at, '{"books": 1, "reviewImage": 2}')], "polled_at timestamp, body string"),
             spark.createDataFrame([(at, "process.uptime", gauge)], "polled_at timestamp, name string, body string"),
             spark.createDataFrame([("main", usage % reads)], "resource string, body string"),
             at,
         )
-    assert spark.read.parquet(f"{root}/stats_history").count() == spark.read.parquet(f"{root}/app_metrics2").count() == 1
+    assert store.read("stats_history").count() == store.read("app_metrics2").count() == 1
     found = {r.id: (r.status, r.message) for r in store.read("quota_incidents").collect()}
     assert found == {
-        "billing-breach-main-CRITICAL-2024-01-02": ("resolved", "Telemetry recovered nominal status. Current rolling usage: 10"),
+        "billing-breach-main-CRITICAL-2024-01-02": ("resolved", "Back below all limits at 10 rows in 24 hours."),
         "billing-breach-main-WARNING-2024-02-10": (
-            "active", "Usage audit logged 600.0K rows read within the tracking cycle, breaching the WARNING marker."
+            "active", "600.0K rows read in 24 hours, past the WARNING limit."
         ),
     }
 
@@ -145,3 +144,63 @@ def test_unknown_tables_and_formats_are_refused(spark):
         read_table(spark, "/nowhere", "t")
     with pytest.raises(ValueError, match="unsupported format"):
         read_table(spark, "/nowhere", "incidents", "xml")
+
+
+def test_overlapping_runs_both_publish(spark, store):
+    first, second = store.begin(), store.begin()
+    first.stage("a", spark.range(3))
+    second.stage("b", spark.range(5))
+    first.publish()
+    second.publish()
+    assert store.read("a").count() == 3 and store.read("b").count() == 5
+
+
+def test_overlapping_runs_do_not_overwrite_each_other(spark, store):
+    first, second = store.begin(), store.begin()
+    first.stage("a", spark.range(3))
+    second.stage("a", spark.range(5))
+    first.publish()
+    with pytest.raises(ConflictingRuns):
+        second.publish()
+    assert store.read("a").count() == 3
+
+
+def test_partial_days_are_refused(store):
+    with pytest.raises(ValueError, match="whole UTC days"):
+        jobs.nightly(store, {}, datetime(2024, 1, 1, 12), datetime(2024, 1, 2, 12))
+
+
+def test_dates_before_any_century_expire(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    rows = [("a", 0, "iOS"), ("b", None, "iOS"), ("c", epoch_ms(datetime(2024, 1, 9)), "iOS")]
+    jobs.append_raw(spark.createDataFrame(rows, "id string, timestamp bigint, platform string"), path)
+    assert jobs.expire_dates(spark, path, datetime(2024, 1, 10), 3) == ["event_date=1970-01-01"]
+    assert {r.id for r in spark.read.parquet(path).collect()} == {"b", "c"}
+
+
+def test_superseded_versions_go_after_the_grace_period(spark, store):
+    for n in (3, 5):
+        run = store.begin()
+        run.stage("t", spark.range(n))
+        run.publish()
+    now = datetime.now(timezone.utc)
+    assert store.clean(now) == []
+    assert len(store.clean(now + timedelta(days=2))) == 1
+    assert store.read("t").count() == 5 and len(folder_names(spark, f"{store.root}/t")) == 1
+
+
+def test_days_do_not_follow_the_session_zone(spark, data, store, tmp_path):
+    root = str(tmp_path / "raw")
+    expected = rows(rollups.daily_errors(table(spark, data, "mobile_telemetry_events")).select("error_name", F.col("snapshot_date").cast("string")))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for name in jobs.RAW_TABLES.values():
+            jobs.append_raw(table(spark, data, name), f"{root}/{name}")
+        raw = read_raw(spark, f"{root}/mobile_telemetry_events", "mobile_telemetry_events")
+        found = rollups.daily_errors(raw).select("error_name", F.col("snapshot_date").cast("string"))
+        assert rows(found) == expected
+        assert jobs.daily(spark, store, root, datetime(2024, 1, 3)) == []
+        dates = {r[0] for r in store.read("summary_api_performance").select(F.col("snapshot_date").cast("string")).collect()}
+        assert dates == {"2024-01-02"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -12,7 +12,7 @@ def incidents(spark, rows):
 
 def test_mean_time_to_resolve(spark):
     rows = [
-        ("server-test", "active", "2026-06-20 05:10:00", None),
+        ("api-probe", "active", "2026-06-20 05:10:00", None),
         ("billing", "resolved", "2026-06-19 22:05:00", "2026-06-19 22:15:00"),
     ]
     found = snapshots.incident_summary(incidents(spark, rows)).first()
@@ -21,7 +21,7 @@ def test_mean_time_to_resolve(spark):
 
 def test_whole_minutes_per_incident(spark):
     rows = [
-        ("server-test", "resolved", "2026-06-16 06:09:01", "2026-06-16 06:12:57"),
+        ("api-probe", "resolved", "2026-06-16 06:09:01", "2026-06-16 06:12:57"),
         ("billing", "resolved", "2026-06-17 06:04:59", "2026-06-17 06:19:59"),
         ("billing", "resolved", "2026-06-17 06:04:59", None),
     ]

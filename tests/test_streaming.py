@@ -10,7 +10,7 @@ from test_incidents import PROBE, RUN, probe_rows, replay_probes, replay_runs, r
 from beaconlake.operators import rollups
 from beaconlake.plans.publish import Store
 from beaconlake.sources.derived import table
-from beaconlake.sources.tables import stream_table
+from beaconlake.sources.tables import read_raw, stream_table
 from beaconlake.streaming import incidents as incident_streams
 from beaconlake.streaming import rollups as rollup_streams
 from beaconlake.streaming.ingest import route_tagged_stream
@@ -107,6 +107,10 @@ def test_routing_drops_duplicates_and_unknown_tags(spark, tmp_path):
     assert events[1].attributes == '{"a": 1}'
     metrics = spark.read.parquet(f"{out}/mobile_telemetry_api_metrics").collect()
     assert [(r.id, r.status_code, r.latency_ms) for r in metrics] == [("1", 200, 5)]
+    faults = spark.read.parquet(f"{out}/quarantined_messages").collect()
+    assert [(r.value, r.reason) for r in faults] == [("{broken", "unreadable")]
+    stored = read_raw(spark, f"{out}/mobile_telemetry_events", "mobile_telemetry_events")
+    assert "batch_id" not in stored.columns and stored.count() == 2
 
 
 def test_stored_tables_stream_with_their_schema(spark, data, tmp_path):

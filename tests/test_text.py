@@ -63,3 +63,8 @@ def test_durations(spark):
 
 def test_uptime(spark):
     assert apply(spark, text.uptime_label, [0.0, 3599.0, 7200.0, 90000.5], "double") == ["0h", "0h", "2h", "1d 1h"]
+
+
+def test_null_counters_have_no_label(spark):
+    row = spark.range(1).select(text.fixed(F.lit(None), 1).alias("a"), text.humanize_count(F.lit(None).cast("bigint")).alias("b")).first()
+    assert row.a is None and row.b is None
