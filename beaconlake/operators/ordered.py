@@ -31,10 +31,11 @@ def with_neighbours(
     """
     # Integer slice number: the remainder is taken off first so that no rounding moves a row across a slice border.
     micros, size = F.unix_micros(order[0]), width // timedelta(microseconds=1)
-    sliced = rows.withColumn("_slice", micros - F.pmod(micros, F.lit(size)))
+    # In a struct a NULL key equals itself, in windows and joins alike.
+    sliced = rows.withColumn("_key", F.struct(*keys)).withColumn("_slice", micros - F.pmod(micros, F.lit(size)))
     position = F.struct(*order)
-    in_slice = Window.partitionBy(*keys, "_slice")
-    across = Window.partitionBy(*keys)
+    in_slice = Window.partitionBy("_key", "_slice")
+    across = Window.partitionBy("_key")
     before = (Window.unboundedPreceding, -1)
 
     wanted, carried, summaries = [], [], []
@@ -56,14 +57,9 @@ def with_neighbours(
         )
         wanted.append(("following", near, "_far_next"))
 
-    slices = sliced.groupBy(*keys, "_slice").agg(*summaries).select(*keys, "_slice", *carried)
+    slices = sliced.groupBy("_key", "_slice").agg(*summaries).select("_key", "_slice", *carried)
     placed = sliced.select("*", *(near.alias(f"_near_{name}") for name, near, _ in wanted))
-    # A NULL key is a key like any other, as it is to the windows.
-    own = slices.select(*(F.col(name).alias(f"_key_{name}") for name in keys), F.col("_slice").alias("_own"), *(far for *_, far in wanted))
-    same = F.col("_slice") == F.col("_own")
-    for name in keys:
-        same = same & F.col(name).eqNullSafe(F.col(f"_key_{name}"))
-    return placed.join(own, same, "left").select(
+    return placed.join(slices, ["_key", "_slice"], "left").select(
         *rows.columns, *(F.coalesce(f"_near_{name}", far).alias(name) for name, _, far in wanted)
     )
 
