@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from beaconlake.operators import ci, incidents, rollups, snapshots
-from beaconlake.plans.registry import COMPONENTS, EVENTS_AS_OF, LANGUAGES, ORDERS_AS_OF, REPOSITORIES
+from beaconlake.plans.registry import COMPONENTS, EVENTS_AS_OF, LANGUAGES, ORDERS_AS_OF, QUERIES, REPOSITORIES
 from beaconlake.sources.derived import table
 
 
@@ -86,3 +86,18 @@ def test_seven_day_reads_prune_to_their_dates(spark, data, tmp_path):
     rollups.daily_errors(table(spark, data, "mobile_telemetry_events")).write.partitionBy("snapshot_date").parquet(path)
     text = plan(snapshots.platform_top_crash_7d(spark.read.parquet(path), EVENTS_AS_OF))
     assert "snapshot_date#" in text.split("PartitionFilters: [")[1].split("]")[0] and "2024-01-25" in text
+
+
+RANGED = [
+    "day_window", "stats_24h", "runtime_series", "runtime_series_daily", "dash_top_screens", "dash_top_events",
+    "dash_top_errors", "dash_api_latency", "performance_series", "funnel_totals", "merged_keywords", "top_errors",
+    "top_screens", "slow_endpoints", "platform_perf_7d", "platform_conversion_7d", "platform_top_keyword_7d",
+    "platform_top_crash_7d", "mobile_snapshot_7d", "retain_raw", "retain_history",
+]
+
+
+@pytest.mark.parametrize("name", RANGED)
+def test_ranges_reach_the_scan(spark, data, name):
+    text = plan(QUERIES[name](spark, data))
+    pushed = [part.split("]")[0] for part in text.split("PushedFilters: [")[1:]]
+    assert pushed and all("GreaterThanOrEqual(ts" in filters for filters in pushed)
