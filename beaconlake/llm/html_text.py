@@ -242,23 +242,27 @@ def content(page: str, pivot: str | None, matcher: Matcher) -> list[dict]:
     """Leaves that may be content: text, the pivot leaf they match (-1: none), and whether that has the same text."""
     root, leaves = parsed(page)
     node: dict[int, int] = {}
-    if pivot is not None and pivot != page:
+    if pivot == page:  # its leaves are those of the pivot, and no evidence about them
+        return [{"text": x.text, "node": x.number, "same": None} for x in _chosen(leaves)]
+    if pivot is not None:
         base, base_leaves = _pivot(pivot)
         if len(matcher.shapes) > 100_000:
             matcher.__init__()
         matcher.align(base, root, node)
-    else:
-        base_leaves = leaves
-    kept = [leaf for leaf in leaves if not leaf.noise]
-    inside = [leaf for leaf in kept if leaf.main]
-    chosen = inside or [leaf for leaf in kept if 2 * leaf.links <= len(leaf.text)]
     out = []
-    for leaf in chosen:
+    for leaf in _chosen(leaves):
         at = node.get(leaf.number, -1)
         out.append({"text": leaf.text, "node": at, "same": at >= 0 and base_leaves[at].text == leaf.text})
     return out
 
 
+def _chosen(leaves: list[Leaf]) -> list[Leaf]:
+    """Leaves that are no noise: those in article elements, or without any, those that are not mostly links."""
+    kept = [leaf for leaf in leaves if not leaf.noise]
+    inside = [leaf for leaf in kept if leaf.main]
+    return inside or [leaf for leaf in kept if 2 * leaf.links <= len(leaf.text)]
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     matcher = Matcher()
     for batch in batches:
@@ -281,7 +285,9 @@ def extracted(pages: DataFrame) -> DataFrame:
     ).withColumn("host", F.when(host != "", host)).withColumn("copy", F.xxhash64("html"))
     first = F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "html")).alias("first")
     pivots = typed.where(F.col("host").isNotNull() & F.col("html").isNotNull()).groupBy("host").agg(first)
-    joined = typed.join(pivots.select("host", F.col("first.html").alias("pivot")), "host", "left")
+    # As stored tables, pivots and templates have a size that Spark knows: small ones are broadcast and no page is moved.
+    pivots = written(pivots.select("host", F.col("first.html").alias("pivot")), "page-pivots")
+    joined = typed.join(pivots, "host", "left")
     rows = written(
         joined.select("page_id", "url", "host", "copy", "html", "pivot").mapInArrow(
             _aligned, f"page_id long, url string, host string, copy long, leaves {LEAVES}"
@@ -289,12 +295,12 @@ def extracted(pages: DataFrame) -> DataFrame:
         "page-leaves",
     )
     # one row for each pivot leaf and distinct page; then counts for each pivot leaf
-    seen = rows.select("host", "copy", F.explode("leaves").alias("leaf")).where("leaf.node >= 0")
+    seen = rows.select("host", "copy", F.explode("leaves").alias("leaf")).where("leaf.node >= 0 and leaf.same is not null")
     seen = seen.groupBy("host", F.col("leaf.node").alias("node"), "copy").agg(F.max("leaf.same").alias("same"))
     counts = seen.groupBy("host", "node").agg(F.count("*").alias("pages"), F.count_if("same").alias("same"))
     constant = counts.where((F.col("same") >= TEMPLATE_PAGES) & (F.col("same") >= TEMPLATE_SHARE * F.col("pages")))
     templates = constant.groupBy("host").agg(F.collect_set("node").alias("template"))  # at most the pivot's leaves
-    named = rows.join(templates, "host", "left")
+    named = rows.join(written(templates, "page-templates"), "host", "left")
     varying = F.filter("leaves", lambda x: ~F.array_contains(F.coalesce("template", F.array().cast("array<int>")), x["node"]))
     shown = F.when(F.size(varying) > 0, varying).otherwise(F.col("leaves"))
     text = F.array_join(F.transform(shown, lambda x: x["text"]), "\n\n")
