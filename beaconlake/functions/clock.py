@@ -108,8 +108,9 @@ def label(at: Column, pattern: str) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Both stored forms, 'YYYY-MM-DD HH:MM:SS' and ISO 'YYYY-MM-DDTHH:MM:SS.mmmZ'; NULL when neither."""
-    return text.try_cast("timestamp")
+    """Both stored forms, 'YYYY-MM-DD HH:MM:SS' in UTC and ISO 'YYYY-MM-DDTHH:MM:SS.mmmZ'; NULL when neither."""
+    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$")
+    return F.when(zoned, text).otherwise(F.concat(text, F.lit("Z"))).try_cast("timestamp")
 
 
 def stamp(at: Column) -> Column:

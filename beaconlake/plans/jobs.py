@@ -16,7 +16,7 @@ from beaconlake.operators.incidents import apply_quota_poll
 from beaconlake.operators.sinks import upsert_full
 from beaconlake.plans.publish import Run, Store, delete_folder, folder_names
 from beaconlake.schemas import SUMMARY_KEYS, TABLES
-from beaconlake.sources.payloads import counts_snapshot, extract_usage, pivot_gauges
+from beaconlake.sources.payloads import counts_snapshot, extract_usage, pivot_gauges, webhook_audit
 from beaconlake.sources.tables import read_raw
 
 log = logging.getLogger(__name__)
@@ -105,6 +105,23 @@ def half_hourly(
     run.publish()
 
 
+def append_webhooks(deliveries: DataFrame, root: str, batch_id: str) -> None:
+    """File one batch of webhook deliveries: audit rows by date, and what cannot be read with the reason.
+
+    A batch that is run again replaces its own rows.
+    """
+    found = webhook_audit(deliveries)
+    audit = found.accepted.withColumn("event_date", utc_day(F.col("created_at")))
+    for name, rows, parts in (("github_app_metrics", audit, ["event_date"]), ("quarantined_webhooks", found.quarantine, [])):
+        (
+            rows.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*parts, "batch_id")
+            .parquet(f"{root}/{name}")
+        )
+
+
 def append_raw(df: DataFrame, path: str) -> None:
     """Append rows (epoch-ms ``timestamp``) below ``event_date=/batch_id=`` folders, the layout of the router too."""
     filed = df.withColumn("event_date", event_date(F.col("timestamp"))).withColumn("batch_id", F.lit(uuid.uuid4().hex))

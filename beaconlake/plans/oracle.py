@@ -613,6 +613,13 @@ _add(
     """select '{not json' as body, 'malformed_json' as reason, count(*)::bigint as rejected from runs
     where head_sha is null group by 1, 2""",
 )
+_add(
+    "extract_ci_runs", "runs",
+    f"""select run_id, action, split_part(repository, '/', 2) as repository, workflow_id, workflow_name, run_number, conclusion,
+        head_sha, head_message, case when run_id % 3 <> 0 then author_name else concat('login-', author_name) end as author_name,
+        html_url, {_at('updated_at')} as updated_at
+    from runs where run_id % 50 <> 0""",
+)
 _add(
     "append_counts_snapshot", "stats",
     f"""select books, users, loans, reviews, review_images, {_at('"timestamp"')} as "timestamp" from stats""",

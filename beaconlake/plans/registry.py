@@ -600,6 +600,35 @@ def webhook_audit_quarantine(spark, data):
     return rejected.groupBy("body", "reason").agg(F.count("*").alias("rejected"))
 
 
+def run_bodies(spark: SparkSession, data: str) -> DataFrame:
+    """Workflow-run deliveries. The repository is named by the body or by the run, the author may be missing, and times
+    come in both spellings."""
+    odd = F.col("run_number") % 2 == 1
+    named = F.struct(F.substring_index("repository", "/", -1).alias("name"))
+    at = clock.stamp(F.col("updated_at"))
+    iso = F.concat(F.translate(at, " ", "T"), F.lit("Z"))
+    commit = F.struct(
+        F.col("head_sha").alias("id"), F.col("head_message").alias("message"),
+        F.when(F.col("run_id") % 3 != 0, F.struct(F.col("author_name").alias("name"))).alias("author"),
+    )
+    run = F.struct(
+        F.col("run_id").alias("id"), F.col("workflow_name").alias("name"), "run_number", "conclusion", "html_url",
+        F.when(odd, at).otherwise(iso).alias("updated_at"), F.when(~odd, named).alias("repository"),
+        F.struct(F.concat(F.lit("login-"), F.col("author_name")).alias("login")).alias("actor"), commit.alias("head_commit"),
+    )
+    body = F.struct(
+        "action", F.when(odd, named).alias("repository"), F.struct(F.col("workflow_id").alias("id")).alias("workflow"),
+        run.alias("workflow_run"),
+    )
+    kind = F.when(F.col("run_id") % 50 == 0, "push").otherwise("workflow_run").alias("event_type")
+    return table(spark, data, "ci_runs").select(kind, F.to_json(body).alias("body"))
+
+
+@query
+def extract_ci_runs(spark, data):
+    return as_text(payloads.ci_runs(run_bodies(spark, data)))
+
+
 @query
 def append_counts_snapshot(spark, data):
     stored = table(spark, data, "stats_history")

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import epoch_ms
+from beaconlake.functions.clock import epoch_ms, parse_timestamp
 from beaconlake.functions.payload import is_json, number_or_zero, parse_once, whole_number
 from beaconlake.operators.snapshots import GAUGES
 
@@ -132,6 +132,41 @@ def webhook_audit(deliveries: DataFrame) -> Ingested:
     return Ingested(accepted, rejected)
 
 
+_RUN = """
+    action string, repository struct<name: string>, workflow struct<id: bigint>,
+    workflow_run struct<
+        id: bigint, name: string, run_number: bigint, conclusion: string, html_url: string, updated_at: string,
+        repository: struct<name: string>, actor: struct<login: string>,
+        head_commit: struct<id: string, message: string, author: struct<name: string>>
+    >
+"""
+
+
+def ci_runs(deliveries: DataFrame) -> DataFrame:
+    """Webhook deliveries (event_type, body) to ``ci_runs`` rows, one for each workflow run they report.
+
+    Other events and bodies without a run or a workflow give no row. A run's author is its head commit's, or else whoever
+    started it.
+    """
+    reported = deliveries.where(F.col("event_type") == "workflow_run")
+    parsed = parse_once(reported, [], "body", _RUN).where(F.col("workflow_run").isNotNull() & F.col("workflow").isNotNull())
+    run = F.col("workflow_run")
+    return parsed.select(
+        run["id"].alias("run_id"),
+        "action",
+        F.coalesce(_given(F.col("repository.name")), run["repository"]["name"]).alias("repository"),
+        F.col("workflow.id").alias("workflow_id"),
+        run["name"].alias("workflow_name"),
+        run["run_number"].alias("run_number"),
+        run["conclusion"].alias("conclusion"),
+        run["head_commit"]["id"].alias("head_sha"),
+        run["head_commit"]["message"].alias("head_message"),
+        F.coalesce(_given(run["head_commit"]["author"]["name"]), run["actor"]["login"]).alias("author_name"),
+        run["html_url"].alias("html_url"),
+        parse_timestamp(run["updated_at"]).alias("updated_at"),
+    )
+
+
 def counts_snapshot(responses: DataFrame) -> DataFrame:
     """Cumulative-count responses (polled_at, body) to ``stats_history`` rows."""
     schema = "books bigint, users bigint, loans bigint, reviews bigint, reviewImage bigint"

@@ -128,3 +128,16 @@ def test_whole_numbers_may_be_written_as_decimals(spark):
     found = payloads.ingest_api_metrics(bodies, datetime(2024, 1, 1))
     assert [r.status_code for r in found.accepted.collect()] == [200]
     assert [r.reason for r in found.quarantine.collect()] == ["invalid: status_code"]
+
+
+def test_ci_runs_fall_back_and_skip_other_events(spark):
+    run = '{"action": "completed", "workflow": {"id": 7}, "workflow_run": {"id": 1, "run_number": 2, "conclusion": "failure", %s}}'
+    rows = [
+        ("workflow_run", run % '"repository": {"name": "api"}, "actor": {"login": "ann"}, "updated_at": "2024-01-01T02:03:04Z"'),
+        ("workflow_run", run % '"head_commit": {"id": "abc", "author": {"name": "bob"}}, "updated_at": "2024-01-01 02:03:04"'),
+        ("push", run % '"name": "x"'), ("workflow_run", '{"action": "completed", "workflow": {"id": 7}}'), ("workflow_run", None),
+        ("workflow_run", "{broken"),
+    ]
+    found = payloads.ci_runs(spark.createDataFrame(rows, "event_type string, body string")).orderBy("repository").collect()
+    assert [(r.repository, r.author_name, r.workflow_id, r.head_sha) for r in found] == [(None, "bob", 7, "abc"), ("api", "ann", 7, None)]
+    assert {r.updated_at for r in found} == {datetime(2024, 1, 1, 2, 3, 4)}

@@ -204,3 +204,14 @@ def test_days_do_not_follow_the_session_zone(spark, data, store, tmp_path):
         assert dates == {"2024-01-02"}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_webhooks_filed_twice_are_stored_once(spark, tmp_path):
+    at = datetime(2024, 1, 2, 3)
+    rows = [(1, "push", '{"action": "a", "sender": {"login": "ann"}}', at), (2, "push", "{broken", at)]
+    deliveries = spark.createDataFrame(rows, "id bigint, event_type string, body string, created_at timestamp")
+    for _ in range(2):
+        jobs.append_webhooks(deliveries, str(tmp_path), "poll-1")
+    stored = spark.read.parquet(f"{tmp_path}/github_app_metrics").collect()
+    assert [(r.id, r.sender_login, str(r.event_date)) for r in stored] == [(1, "ann", "2024-01-02")]
+    assert [r.reason for r in spark.read.parquet(f"{tmp_path}/quarantined_webhooks").collect()] == ["malformed_json"]
