@@ -298,9 +298,25 @@ def apply_quota_poll(incidents: DataFrame, polls: DataFrame, as_of: datetime) ->
 
 def quota_outbox(levels: DataFrame) -> DataFrame:
     """A trigger per breaching poll; on the first nominal poll after a breach, a resolve for every level."""
-    ordered = with_neighbours(
-        levels, ["resource"], ["sample_ts", "sample_id"], previous=F.col("level").isNotNull()
+    return _quota_notices(
+        with_neighbours(levels, ["resource"], ["sample_ts", "sample_id"], previous=F.col("level").isNotNull())
     )
+
+
+def quota_poll_outbox(incidents: DataFrame, polls: DataFrame, as_of: datetime) -> DataFrame:
+    """The notices of one scheduled poll, given the incidents before it: an active one means that a breach came before."""
+    before = incidents.where(F.col("status") == "active").select("component", F.lit(True).alias("previous")).distinct()
+    levels = polls.select(
+        "resource",
+        "rows_read_24h",
+        quota_level(F.col("rows_read_24h")).alias("level"),
+        F.lit(utc(as_of)).cast("timestamp").alias("sample_ts"),
+        _component("resource").alias("component"),
+    )
+    return _quota_notices(levels.join(before, "component", "left"))
+
+
+def _quota_notices(ordered: DataFrame) -> DataFrame:
     reads = humanize_count(F.col("rows_read_24h"))
     breached = F.col("level").isNotNull()
 

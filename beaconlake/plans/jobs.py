@@ -1,4 +1,4 @@
-"""Scheduled jobs: the nightly rollup with retention, and the half-hourly history append."""
+"""Scheduled jobs: the nightly rollup with retention, the half-hourly history append, the ten-minute probe round."""
 
 from __future__ import annotations
 
@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions.clock import DAY, event_date, midnight, utc, utc_day, yesterday
 from beaconlake.operators import rollups
-from beaconlake.operators.incidents import apply_quota_poll
+from beaconlake.operators.incidents import active_incident_alert, apply_quota_poll, quota_poll_outbox
 from beaconlake.operators.sinks import upsert_full
 from beaconlake.plans.publish import Run, Store, delete_folder, folder_names
 from beaconlake.schemas import SUMMARY_KEYS, TABLES
 from beaconlake.sources.payloads import counts_snapshot, extract_usage, pivot_gauges, webhook_audit
 from beaconlake.sources.tables import read_raw
+from beaconlake.streaming.incidents import fold_probes, stage_notices
 
 log = logging.getLogger(__name__)
 
@@ -101,10 +102,21 @@ def half_hourly(
     stored = store.read("quota_incidents")
     if stored is None:
         stored = spark.createDataFrame([], TABLES["incidents"])
+    stage_notices(run, quota_poll_outbox(stored, polls, as_of), "quota_notices")
     run.stage("quota_incidents", apply_quota_poll(stored, polls, as_of))
     run.publish()
 
 
+def ten_minutely(store: Store, probes: DataFrame, as_of: datetime, watched: str) -> None:
+    """Fold one round of health probes, and repeat the alert of the watched component while its incident is active."""
+    run = store.begin()
+    fold_probes(run, probes)
+    open_before = store.read("probe_incidents_open")
+    if open_before is not None:
+        stage_notices(run, active_incident_alert(open_before, watched, as_of), "alerts")
+    run.publish()
+
+
 def append_webhooks(deliveries: DataFrame, root: str, batch_id: str) -> None:
     """File one batch of webhook deliveries: audit rows by date, and what cannot be read with the reason.
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconlake.functions.clock import utc_day
 from beaconlake.operators import incidents as folds
 from beaconlake.operators.sinks import upsert_full
-from beaconlake.plans.publish import Store
+from beaconlake.plans.publish import Run, Store
 
 
 def _each_batch(
@@ -42,16 +42,33 @@ def _each_batch(
 def maintain_ci(
     runs: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None, table: str = "ci_incidents"
 ) -> StreamingQuery:
-    """One current row per workflow; the table is as small as the number of workflows and is rewritten whole."""
+    """One current row per workflow; the table is as small as the number of workflows and is rewritten whole.
+
+    The notices of each batch are published with it, in the dated table ``<table>_notices``.
+    """
 
     def fold(batch: DataFrame, run) -> None:
         stored = store.read(table)
-        changed = folds.ci_incidents(folds.ci_transitions(batch, prior=stored))
+        transitions = folds.ci_transitions(batch, prior=stored).persist()
+        changed = folds.ci_incidents(transitions)
         run.stage(table, changed if stored is None else merge_ci(stored, changed))
+        stage_notices(run, folds.ci_outbox(transitions), f"{table}_notices")
+        transitions.unpersist()
 
     return _each_batch(runs, store, f"{table}-stream", fold, checkpoint, trigger)
 
 
+def stage_notices(run: Run, notices: DataFrame, table: str) -> None:
+    """Stage a run's notices with those already published for the same dates."""
+    fresh = notices.select(*folds.NOTICE).withColumn("sent_on", utc_day(F.col("at"))).persist()
+    # Notices of one batch fall on the few dates of its rows.
+    days = [f"sent_on={row[0]}" for row in fresh.select(F.col("sent_on").cast("string")).distinct().collect()]
+    stored = run.store.read(table, days)
+    if days:
+        run.stage(table, fresh if stored is None else stored.unionByName(fresh), "sent_on")
+    fresh.unpersist()
+
+
 def merge_ci(stored: DataFrame, changed: DataFrame) -> DataFrame:
     """A failure replaces the stored row; a lone success keeps its texts and start and closes it."""
     old, new = stored.alias("old"), changed.alias("new")
@@ -69,26 +86,34 @@ def merge_ci(stored: DataFrame, changed: DataFrame) -> DataFrame:
 def maintain_probes(
     probes: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None, table: str = "probe_incidents"
 ) -> StreamingQuery:
-    """All outages, filed by the date they opened, plus the small table of those still open."""
-    still_open = f"{table}_open"
+    """All outages, filed by the date they opened, plus the small table of those still open and the dated notices."""
 
-    def fold(batch: DataFrame, run) -> None:
-        # Open incidents: at most one per component.
-        prior = store.read(still_open)
-        opened = folds.probe_incidents(batch, prior=prior)
-        if prior is not None:
-            recovered = folds.probe_recoveries(batch)
-            carried = prior.join(recovered, "component", "left").select(
-                *(name for name in folds.INCIDENT if name not in ("status", "resolved_at")),
-                F.when(F.col("recovered_at").isNull(), "active").otherwise("resolved").alias("status"),
-                F.col("recovered_at").alias("resolved_at"),
-            )
-            opened = opened.unionByName(carried)
-        changed = opened.withColumn("opened_on", utc_day(F.col("created_at"))).persist()
-        days = [f"opened_on={row[0]}" for row in changed.select(F.col("opened_on").cast("string")).distinct().collect()]
-        stored = store.read(table, days)
-        run.stage(table, changed if stored is None else upsert_full(stored, changed, ["id"]), "opened_on")
-        run.stage(still_open, changed.where(F.col("status") == "active").select(*folds.INCIDENT))
-        changed.unpersist()
+    def fold(batch: DataFrame, run: Run) -> None:
+        fold_probes(run, batch, table)
 
     return _each_batch(probes, store, f"{table}-stream", fold, checkpoint, trigger)
+
+
+def fold_probes(run: Run, batch: DataFrame, table: str = "probe_incidents") -> None:
+    """Stage what a batch of probes opens and closes, and its notices in ``<table>_notices``."""
+    store, still_open = run.store, f"{table}_open"
+    # Open incidents: at most one per component.
+    prior = store.read(still_open)
+    opened = folds.probe_incidents(batch, prior=prior)
+    notices = folds.probe_outbox(opened)
+    if prior is not None:
+        recovered = folds.probe_recoveries(batch).withColumnRenamed("component", "_component")
+        carried = prior.join(recovered, F.col("component").eqNullSafe(F.col("_component")), "left").select(
+            *(name for name in folds.INCIDENT if name not in ("status", "resolved_at")),
+            F.when(F.col("recovered_at").isNull(), "active").otherwise("resolved").alias("status"),
+            F.col("recovered_at").alias("resolved_at"),
+        )
+        notices = notices.unionByName(folds.probe_outbox(carried).where(F.col("action") == "resolve"))
+        opened = opened.unionByName(carried)
+    changed = opened.withColumn("opened_on", utc_day(F.col("created_at"))).persist()
+    days = [f"opened_on={row[0]}" for row in changed.select(F.col("opened_on").cast("string")).distinct().collect()]
+    stored = store.read(table, days)
+    run.stage(table, changed if stored is None else upsert_full(stored, changed, ["id"]), "opened_on")
+    run.stage(still_open, changed.where(F.col("status") == "active").select(*folds.INCIDENT))
+    stage_notices(run, notices, f"{table}_notices")
+    changed.unpersist()

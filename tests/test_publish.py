@@ -120,6 +120,12 @@ def test_half_hourly_job(spark, store):
             spark.createDataFrame([("main", usage % reads)], "resource string, body string"),
             at,
         )
+    sent = sorted((r.action, r.dedup_key, str(r.at)[:10]) for r in store.read("quota_notices").collect())
+    assert sent == [
+        *(("resolve", f"billing-quota-breach-main-{level}", "2024-01-03") for level in ("critical", "fatal", "warning")),
+        ("trigger", "billing-quota-breach-main-critical", "2024-01-02"),
+        *[("trigger", "billing-quota-breach-main-warning", "2024-02-10")] * 2,
+    ]
     assert store.read("stats_history").count() == store.read("app_metrics2").count() == 1
     found = {r.id: (r.status, r.message) for r in store.read("quota_incidents").collect()}
     assert found == {
@@ -215,3 +221,13 @@ def test_webhooks_filed_twice_are_stored_once(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/github_app_metrics").collect()
     assert [(r.id, r.sender_login, str(r.event_date)) for r in stored] == [(1, "ann", "2024-01-02")]
     assert [r.reason for r in spark.read.parquet(f"{tmp_path}/quarantined_webhooks").collect()] == ["malformed_json"]
+
+
+def test_ten_minute_job(spark, store):
+    schema = "probe_id bigint, probe_ts timestamp, component string, http_status int, body_status string, error string"
+    for n, status in enumerate((503, 503, 200)):
+        at = datetime(2024, 1, 1, 0, 10 * n)
+        jobs.ten_minutely(store, spark.createDataFrame([(n, at, "api", status, "UP", None)], schema), at, "api")
+    assert [(r.action, r.at.minute) for r in store.read("probe_incidents_notices").orderBy("at").collect()] == [("trigger", 0), ("resolve", 20)]
+    assert sorted(r.at.minute for r in store.read("alerts").collect()) == [10, 20]
+    assert [r.status for r in store.read("probe_incidents").collect()] == ["resolved"]

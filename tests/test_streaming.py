@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_incidents import PROBE, RUN, probe_rows, replay_probes, replay_runs, run_rows
 
+from beaconlake.operators import incidents as folds
 from beaconlake.operators import rollups
 from beaconlake.plans.publish import Store
 from beaconlake.sources.derived import table
@@ -72,6 +73,9 @@ def test_probe_stream_equals_replay(spark, tmp_path, pieces):
     found = store.read("probe_incidents").collect()
     assert sorted(((r.component, r.created_at, r.resolved_at) for r in found), key=str) == replay_probes(data)
     assert all((r.status == "active") == (r.resolved_at is None) for r in found)
+    sent = store.read("probe_incidents_notices")
+    whole = folds.probe_outbox(folds.probe_incidents(spark.createDataFrame(data, PROBE)))
+    assert rows(sent.select(*folds.NOTICE)) == rows(whole.select(*folds.NOTICE))
 
 
 @pytest.mark.parametrize("pieces", [1, 6])
