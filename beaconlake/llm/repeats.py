@@ -34,9 +34,9 @@ from beaconlake.session import written
 
 SIZE = 50
 GRAM = 20
-#: Bytes hashed at once, bytes of contexts in one suffix array, and contexts of one anchor beyond which they are cut up.
-SLICE = 4 << 20
-ARRAY_BYTES = 8 << 20
+#: Bytes hashed at once, suffix arrays for each group of anchors, and contexts of one anchor beyond which they are cut up.
+SLICE = 2 << 20
+ARRAYS = 16
 CROWD = 50_000
 LAST_ID = 2**63 - 1
 
@@ -212,16 +212,19 @@ def replies(size: int):
         crowd = compare & (kinds > CROWD)
         rows = np.concatenate([np.flatnonzero(settled), order[covered], order[compare & ~crowd], order[crowd]])
         kind = np.repeat([0, 0, 1, 2], [settled.sum(), covered.sum(), (compare & ~crowd).sum(), crowd.sum()])
-        sort = np.lexsort((start[rows], keys[rows], ids[rows], kind))
-        rows, kind = rows[sort], kind[sort]
+        array = np.where(kind > 0, anchor[rows] % ARRAYS, 0).astype(np.int32)  # equal strings have equal anchors
+        sort = np.lexsort((start[rows], keys[rows], ids[rows], array, kind))
+        rows, kind, array = rows[sort], kind[sort], array[sort]
         i, k = ids[rows], keys[rows]
         if not len(rows):
             return REPLY.empty_table()
-        bounds = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (kind[1:] != kind[:-1]), [True]]))
+        change = (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (kind[1:] != kind[:-1]) | (array[1:] != array[:-1])
+        bounds = np.flatnonzero(np.concatenate([[True], change, [True]]))
         heads = bounds[:-1]
+        part = table.column("part")[0].as_py() * ARRAYS + array[heads]
         s, n = start[rows], strings[rows]
         return pa.table({
-            "id": i[heads], "key": k[heads], "part": np.full(len(heads), table.column("part")[0].as_py(), np.int32),
+            "id": i[heads], "key": k[heads], "part": part,
             "covered": kind[heads] == 0, "crowd": kind[heads] == 2,
             "start": pa.array([s[x:y].tobytes() for x, y in zip(heads, bounds[1:])], pa.binary()),
             "strings": pa.array([n[x:y].tobytes() for x, y in zip(heads, bounds[1:])], pa.binary()),
@@ -368,9 +371,8 @@ def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     found = spread.select("id", "key", "text").join(asked, ["id", "key"]).mapInArrow(contexts(size), CONTEXT_DDL)
     found = written(found, "repeat-contexts")
 
-    # a group of anchors whose contexts are too many for one suffix array is split by anchor-free means: see CROWD above
     plain = found.where(~F.col("crowd"))
-    arrays = plain.repartition(parts, "part").groupBy("part").applyInArrow(compared(size), COVER_DDL)
+    arrays = plain.repartition(ARRAYS * parts // 4, "part").groupBy("part").applyInArrow(compared(size), COVER_DDL)
     singles = found.where("crowd").mapInArrow(single_strings(size), "id long, key int, start int, digest binary")
     first = singles.groupBy("digest").agg(F.min("id").alias("first"))
     late = singles.join(first, "digest").where(F.col("id") > F.col("first")).select("id", "key", "start")
