@@ -3,9 +3,12 @@
 Documents with equal sets are one node. Two sets link when 100 * common >= 90 * united.
 
 1. Routing. Linking sets of at most u shingles differ in at most 2u/19 of them. At each level of sizes the range of shingle
-   hashes is cut into one group more than that, so linking sets agree on a whole group. Every node sends one hash for each
-   group, at the level of its size and, near its top, at the next; nodes that share one belong to one cluster. No linking
-   pair is lost, and unrelated sets hardly ever meet.
+   hashes is cut into more groups than that, so linking sets agree on whole groups. Every node sends one hash for each
+   group, at the level of its size and, near its top, at the next; nodes that share one at a level belong to one cluster
+   of that level, so a node is in two clusters at most. Groups of
+   hardly any shingles would let unrelated sets meet. There are ``spare`` groups more than needed, so linking sets agree
+   on more groups than that, and a node with no more than ``spare`` light groups need not send them: an agreed group is
+   light in both sets or in neither. Nodes with more light groups send all. So no linking pair is lost.
 2. R-tree. In a cluster the sets' shingles are counted by hash group. The counts are points of an R-tree, whose boxes
    carry the coordinates' maxima and the range of sizes. The sum of the smaller coordinates bounds the overlap from above,
    so boxes and points that cannot reach the needed overlap are left out, and so are those already joined to the query.
@@ -21,7 +24,10 @@ Repeated rows are copies of one another. Shingles and sets are told apart by 64-
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +42,8 @@ from beaconlake.session import written
 WORDS = 3
 PERCENT = 90
 #: Bytes hashed at once; ratio of the sizes at the ends of a level.
-SLICE = 4 << 20
-LEVEL_RATIO = 1.5
+SLICE = 2 << 20
+LEVEL_RATIO = 1.25
 #: Hash groups of a count vector, points in a leaf of the tree, leaves in a branch, nodes of a cluster in one task.
 GROUPS = 32
 LEAF = 32
@@ -85,40 +91,68 @@ def needed(a: int, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def levels(largest: int) -> list[int]:
-    """Smallest size of each level, up to beyond ``largest``."""
-    out = [1]
-    while out[-1] <= largest:
-        out.append(max(out[-1] + 1, int(out[-1] * LEVEL_RATIO)))
-    return [*out, max(out[-1] + 1, int(out[-1] * LEVEL_RATIO))]
-
-
-def routes(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """One hash for each group of shingles at each level where the set can meet a partner."""
+@functools.lru_cache(maxsize=512)
+def level_start(level: int, percent: int) -> int:
+    """Smallest size of a level. Linking sets are of one level or of neighbouring ones."""
+    if level <= 0:
+        return 1
+    before = level_start(level - 1, percent)
+    return max(before + 1, int(before * max(LEVEL_RATIO, 100.5 / percent)) + 1)
+
+
+@dataclass(frozen=True)
+class Level:
+    """How sets of a level are cut: where hash groups begin, a label for each group, what is light, and how many groups
+    there are beyond the differences that linking sets can have and one."""
+
+    edges: np.ndarray
+    labels: np.ndarray
+    light: int
+    spare: int
+
+
+@functools.lru_cache(maxsize=512)
+def level_of(level: int, percent: int) -> Level:
+    least, top = level_start(level, percent), level_start(level + 1, percent) - 1
+    differ = 2 * top * (100 - percent) // (100 + percent)
+    spare = (differ + 1) * 8 // 100 + min(differ, 2)
+    groups = differ + 1 + spare
+    # the largest groups that are still few enough to be left out by nearly all sets of the level (Poisson counts)
+    mean, light, share = least / groups, 0, 0.0
+    for size in range(20):
+        share += math.exp(-mean) * mean**size / math.factorial(size)
+        if 1.6 * share * groups + 0.7 <= spare:
+            light = size
+    edges = np.arange(1, groups, dtype=np.uint64) * np.uint64(2**64 // groups if groups > 1 else 0)
+    labels = mixed(np.arange(groups, dtype=np.uint64) + np.uint64(level << 32) + _place[4])
+    return Level(edges, labels, light, spare)
+
+
+def routes(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.ndarray]]:
+    """For each level where the set can meet a partner, one hash for each of its groups of shingles."""
     n = len(shingles)
     if not n:
-        return np.zeros(0, np.uint64)
-    bounds = levels(n)
-    own = next(i for i in range(len(bounds)) if bounds[i + 1] > n)
+        return []
+    own = 0
+    while level_start(own + 1, percent) <= n:
+        own += 1
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(shingles ^ _place[3]))])
     out = []
     for level in (own, own + 1):
-        if level > own and 100 * n < percent * bounds[level]:
+        if level > own and 100 * n < percent * level_start(level, percent):
             continue
-        while len(bounds) < level + 2:
-            bounds = levels(bounds[-1])
-        top = bounds[level + 1] - 1
-        groups = 2 * top * (100 - percent) // (100 + percent) + 1
-        edges = np.arange(1, groups, dtype=np.uint64) * np.uint64(2**64 // groups if groups > 1 else 0)
-        cuts = np.concatenate([[0], np.searchsorted(shingles, edges), [n]])
-        label = mixed(np.arange(groups, dtype=np.uint64) + np.uint64(level << 32) + _place[4])
-        out.append(mixed((sums[cuts[1:]] - sums[cuts[:-1]]) ^ label))
-    return np.concatenate(out)
+        plan = level_of(level, percent)
+        cuts = np.concatenate([[0], np.searchsorted(shingles, plan.edges), [n]])
+        found = mixed((sums[cuts[1:]] - sums[cuts[:-1]]) ^ plan.labels)
+        light = np.diff(cuts) <= plan.light
+        out.append((level, found[~light] if light.sum() <= plan.spare else found))
+    return out
 
 
-PARTS = pa.schema([("part", pa.int32()), ("route", pa.binary()), ("node", pa.binary()), ("docs", pa.binary())])
-PARTS_DDL = "part int, route binary, node binary, docs binary"
-DOCS = np.dtype([("id", "<i8"), ("node", "<i8"), ("key", "<i4"), ("n", "<i4")])
+PARTS = pa.schema([("part", pa.int32()), ("route", pa.binary()), ("vertex", pa.binary()), ("row", pa.binary()), ("docs", pa.binary())])
+PARTS_DDL = "part int, route binary, vertex binary, row binary, docs binary"
+#: A document: its node, and the node's vertices (one for each level, 0 for none).
+DOCS = np.dtype([("id", "<i8"), ("node", "<i8"), ("own", "<i8"), ("next", "<i8"), ("key", "<i4"), ("n", "<i4")])
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
@@ -144,55 +178,68 @@ def routed(parts: int, words: int, percent: int):
                 docs = np.zeros(len(texts), DOCS)
                 docs["id"], docs["key"] = ids[first : first + len(texts)], keys[first : first + len(texts)]
                 seen: set[int] = set()
-                routes_of, nodes_of = [], []
+                route, vertex = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for i, shingles in enumerate(shingle_sets(texts, words)):
                     docs["n"][i] = len(shingles)
                     docs["node"][i] = node = name(shingles)
-                    if node not in seen and len(shingles):
-                        seen.add(node)
-                        found = routes(shingles, percent)
-                        routes_of.append(found)
-                        nodes_of.append(np.full(len(found), node, np.int64))
-                route = np.concatenate([np.zeros(0, np.uint64), *routes_of])
-                node = np.concatenate([np.zeros(0, np.int64), *nodes_of])
-                part = ((route >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-                order = np.argsort(part, kind="stable")
-                bounds = np.searchsorted(part[order], np.arange(parts + 1))
-                own = int(docs["id"][0]) % parts
-                rows = []
-                for p in range(parts):
-                    chosen = order[bounds[p] : bounds[p + 1]]
-                    if len(chosen) or p == own:
-                        rows.append({
-                            "part": p, "route": route[chosen].tobytes(), "node": node[chosen].tobytes(),
-                            "docs": docs.tobytes() if p == own else b"",
-                        })
-                yield pa.RecordBatch.from_pylist(rows, schema=PARTS)
+                    for place, (level, found) in zip(("own", "next"), routes(shingles, percent)):
+                        docs[place][i] = at = int(mixed(np.array([node], np.int64).view(np.uint64) + np.uint64(level)).view(np.int64)[0])
+                        if at not in seen:
+                            seen.add(at)
+                            route.append(found)
+                            vertex.append(np.full(len(found), at, np.int64))
+                yield from _dealt(np.concatenate(route), np.concatenate(vertex), docs, parts)
 
     return run
 
 
-MET_DDL = "edge boolean, a long, b long, key int, n int"
-MET = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.int32()), ("n", pa.int32())])
+def _dealt(route: np.ndarray, vertex: np.ndarray, docs: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """A slice's routes by group of routes; vertices are written once for each group."""
+    part = ((route >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+    order = np.lexsort((vertex, part))
+    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    own = int(docs["id"][0]) % parts
+    rows = []
+    for p in range(parts):
+        chosen = order[bounds[p] : bounds[p + 1]]
+        if len(chosen) or p == own:
+            unique, row = np.unique(vertex[chosen], return_inverse=True)
+            rows.append({
+                "part": p, "route": route[chosen].tobytes(), "vertex": unique.tobytes(),
+                "row": row.astype(_index_type(len(unique))).tobytes(), "docs": docs.tobytes() if p == own else b"",
+            })
+    yield pa.RecordBatch.from_pylist(rows, schema=PARTS)
+
+
+def _index_type(n: int) -> str:
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
+MET_DDL = "edge boolean, a long, b long, own long, next long, key int, n int"
+MET = pa.schema([("edge", pa.bool_()), *((c, pa.int64()) for c in ("a", "b", "own", "next")), ("key", pa.int32()), ("n", pa.int32())])
 
 
 def met(key: tuple, table: pa.Table) -> pa.Table:
-    """Nodes that share a route, as edges to the smallest of them; and the documents as they came."""
+    """Vertices that share a route, as edges to the smallest of them; and the documents (a: id, b: node) as they came."""
     route = np.frombuffer(b"".join(table.column("route").to_pylist()), "<u8")
-    node = np.frombuffer(b"".join(table.column("node").to_pylist()), "<i8")
-    order = np.lexsort((node, route))
-    route, node = route[order], node[order]
+    vertices = []
+    for unique, row in zip(table.column("vertex").to_pylist(), table.column("row").to_pylist()):
+        known = np.frombuffer(unique, "<i8")
+        vertices.append(known[np.frombuffer(row, _index_type(len(known)))])
+    vertex = np.concatenate([np.zeros(0, np.int64), *vertices])
+    order = np.lexsort((vertex, route))
+    route, vertex = route[order], vertex[order]
     new = np.concatenate([[True], route[1:] != route[:-1]]) if len(route) else np.zeros(0, bool)
-    least = node[np.flatnonzero(new)][np.cumsum(new) - 1] if len(route) else node
-    other = node != least
-    pairs = np.unique(np.column_stack([node[other], least[other]]), axis=0) if other.any() else np.zeros((0, 2), np.int64)
+    least = vertex[np.flatnonzero(new)][np.cumsum(new) - 1] if len(route) else vertex
+    other = vertex != least
+    pairs = np.unique(np.column_stack([vertex[other], least[other]]), axis=0) if other.any() else np.zeros((0, 2), np.int64)
     docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), DOCS)
     m, d = len(pairs), len(docs)
-    return pa.table({
-        "edge": np.repeat([True, False], [m, d]),
-        "a": np.concatenate([pairs[:, 0], docs["id"]]), "b": np.concatenate([pairs[:, 1], docs["node"]]),
-        "key": np.concatenate([np.zeros(m, np.int32), docs["key"]]), "n": np.concatenate([np.zeros(m, np.int32), docs["n"]]),
-    }, schema=MET)
+    none = np.zeros(m, np.int64)
+    columns = {"a": np.concatenate([pairs[:, 0], docs["id"]]), "b": np.concatenate([pairs[:, 1], docs["node"]])}
+    for field in ("own", "next", "key", "n"):
+        columns[field] = np.concatenate([none, docs[field]]).astype(np.int32 if field in ("key", "n") else np.int64)
+    return pa.table({"edge": np.repeat([True, False], [m, d]), **columns}, schema=MET)
 
 
 class CountTree:
@@ -271,16 +318,19 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
 
 
 def member_sets(words: int):
-    """Shingle sets of cluster members."""
+    """Shingle sets of cluster members, one row for each cluster they are in."""
     schema = pa.schema([("id", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids, inside = batch.column("id").to_pylist(), batch.column("inside").to_pylist()
             for first, texts in _slices(batch):
-                part = batch.slice(first, len(texts))
-                sets = pa.array([s.tobytes() for s in shingle_sets(texts, words)], pa.binary())
-                columns = [part.column(n) for n in ("id", "cluster", "blocks")]
-                yield pa.RecordBatch.from_arrays([*columns, sets], schema=schema)
+                rows = []
+                for i, shingles in enumerate(shingle_sets(texts, words), first):
+                    raw = shingles.tobytes()
+                    rows += [(ids[i], c["cluster"], c["blocks"], raw) for c in inside[i]]
+                columns = list(zip(*rows)) or [[] for _ in schema]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
 
@@ -315,11 +365,15 @@ def linked(percent: int):
 def links(spread: DataFrame, met_rows: DataFrame, words: int, percent: int) -> DataFrame:
     """Joining links between representatives (a: id, b: id) of nodes that share a cluster."""
     docs = met_rows.where(~F.col("edge") & (F.col("n") > 0))
-    nodes = docs.groupBy(F.col("b").alias("node")).agg(F.min(F.struct(F.col("a").alias("id"), "key")).alias("first"))
+    nodes = docs.groupBy(F.col("b").alias("node")).agg(
+        F.min(F.struct(F.col("a").alias("id"), "key")).alias("first"), F.first("own").alias("own"), F.first("next").alias("next")
+    )
+    vertices = nodes.select("first", F.explode(F.array("own", "next")).alias("vertex")).where("vertex <> 0")
     clusters = components(met_rows.where("edge").select("a", "b"))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    members = clusters.join(sizes, "component").join(nodes, F.col("id") == F.col("node")).select(
-        "first.id", "first.key", F.col("component").alias("cluster"), "blocks"
+    placed = clusters.join(sizes, "component").withColumnRenamed("id", "vertex").join(vertices, "vertex")
+    members = placed.groupBy("first.id", "first.key").agg(
+        F.collect_list(F.struct(F.col("component").alias("cluster"), "blocks")).alias("inside")  # two at most
     )
     sets = spread.select("id", "key", "text").join(members, ["id", "key"]).mapInArrow(
         member_sets(words), "id long, cluster long, blocks long, shingles binary"
