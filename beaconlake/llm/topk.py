@@ -32,11 +32,11 @@ BLOCK = "block long, dim int, n int, ids binary, width int, cells binary, top do
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """``vec_id`` and floor(scale * component) of the usable vectors."""
+    """``vec_id`` and scale * component of the usable vectors; the floor is taken when blocks are packed."""
     usable = F.expr("size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf'))")
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable
-    ).select("vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double")).alias("cells"))
+    ).select("vec_id", F.transform("embedding", lambda x: x.cast("double") * scale).alias("cells"))
 
 
 def _packed(block: int, ids: np.ndarray, cells: np.ndarray) -> dict:
@@ -77,7 +77,7 @@ def blocks(size: int):
                 rows = np.flatnonzero(dims == dim)
                 for at in range(0, len(rows), size):
                     part = rows[at : at + size]
-                    cells = flat[offsets[part][:, None] + np.arange(dim)]
+                    cells = np.floor(flat[offsets[part][:, None] + np.arange(dim)])
                     if sum(len(a) for a, _ in held.get(int(dim), [])) + len(part) > size:
                         yield flush(int(dim))
                     held.setdefault(int(dim), []).append((ids[part], cells))
