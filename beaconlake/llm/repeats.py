@@ -186,7 +186,7 @@ REPLY = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("part", pa.int32())
                    ("crowd", pa.bool_()), ("start", pa.binary()), ("strings", pa.binary())])
 
 
-def replies(size: int):
+def replies(crowd_size: int):
     """For each document of a group of anchors: the contexts that are covered whole, and those still to be compared."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -209,7 +209,7 @@ def replies(size: int):
         number = np.cumsum(new_anchor) - 1
         kinds = np.bincount(number, new)[number]
         compare = ~covered & (kinds > 1)
-        crowd = compare & (kinds > CROWD)
+        crowd = compare & (kinds > crowd_size)
         rows = np.concatenate([np.flatnonzero(settled), order[covered], order[compare & ~crowd], order[crowd]])
         kind = np.repeat([0, 0, 1, 2], [settled.sum(), covered.sum(), (compare & ~crowd).sum(), crowd.sum()])
         array = np.where(kind > 0, anchor[rows] % ARRAYS, 0).astype(np.int32)  # equal strings have equal anchors
@@ -359,12 +359,12 @@ def identified(docs: DataFrame, *more: Column | str) -> DataFrame:
     )
 
 
-def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """``id, key, start, strings`` arrays of covered strings, gathered by document, of ``identified`` rows."""
     spark = spread.sparkSession
     parts = max(32, spread.rdd.getNumPartitions())
     made = spread.select("id", "key", "text").mapInArrow(anchors(parts, size, gram), PARTS_DDL)
-    answered = written(made.repartition(parts, "part").groupBy("part").applyInArrow(replies(size), REPLY_DDL), "repeats")
+    answered = written(made.repartition(parts, "part").groupBy("part").applyInArrow(replies(crowd), REPLY_DDL), "repeats")
     asked = answered.where(~F.col("covered")).groupBy("id", "key").agg(
         F.collect_list(F.struct("part", "crowd", "start", "strings")).alias("asked")
     )
@@ -396,7 +396,7 @@ def cut(raw: bytes, found: list | None, size: int) -> tuple[bytes, int, int]:
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), int(gone.sum()), spans
 
 
-def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
+def deduplicated(docs: DataFrame, size: int = SIZE, crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``kept``, the remaining bytes, of every document."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
@@ -411,7 +411,7 @@ def deduplicated(docs: DataFrame, size: int = SIZE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     spread = identified(docs, F.col("doc_id").cast("long").alias("doc_id"))
-    joined = spread.join(covers(spread, size), ["id", "key"], "left").select("doc_id", "text", "found")
+    joined = spread.join(covers(spread, size, crowd=crowd), ["id", "key"], "left").select("doc_id", "text", "found")
     return joined.mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )

@@ -40,7 +40,8 @@ def test_components_beyond_doubles(spark):
 
 
 def test_small_blocks(spark, data, monkeypatch):
-    monkeypatch.setattr(topk, "STRIP", 3)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 40)
     df = spark.read.parquet(f"{data}/embeddings.parquet")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     assert found(topk.search(df, k=3, every=20)) == plain(rows, 3, 20)
