@@ -43,8 +43,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> Data
         seen: Counter[int] = Counter()
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
-                ids = np.append(encode(raw), np.uint32(end_id)).astype("<u4")
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encode(raw_texts(batch))):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 first = (len(ids) - 1) % size + 1
                 starts = [0, *range(first, len(ids), size)]
                 for number, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
@@ -71,7 +71,7 @@ def patterns(present: np.ndarray, size: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 3)
 
 
-def fit(found: np.ndarray, chosen: np.ndarray, steps: int = 1500) -> np.ndarray:
+def fit(found: np.ndarray, chosen: np.ndarray, steps: int = 600) -> np.ndarray:
     """Non-negative repeats x that minimise |A x - histogram|, by accelerated projected gradients.
 
     A has one column for each pattern and is used through its lengths, never stored.

@@ -3,89 +3,116 @@
 The vocabulary's pattern always starts a new piece at a blank that is followed by a visible character: the blank opens the
 next piece, and white space before it is a piece that ends there whether or not more text follows. So a text may be cut at
 every such blank, its parts encoded apart, and the ids joined. Special-token strings hold no blank, so each lies in one part.
+For the same reason many parts may be encoded by one library call on their joined text; the ids' byte lengths tell them apart.
 """
 
 from __future__ import annotations
 
 import functools
 import re
-from array import array
+from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 
-#: Distinct words whose ids a task keeps; beyond it the cache starts afresh.
-CACHED_WORDS = 1_000_000
-#: One run of letters (ASCII, or the letters among U+00C0 to U+00FF): a single piece of the pattern after a blank.
-LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
-#: More places inside a part where a piece always ends: between such a letter and an ASCII mark, and on both sides of a
-#: line feed between visible characters.
-INNER = re.compile(
-    rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-/:-@\[-`{-~])"
-    rb"|(?<=[!-~])(?=\n[!-~\xc3-\xcf])|(?<=[!-~]\n)(?=[!-~\xc3-\xcf])"
-)
+#: Distinct words whose ids a task keeps in each of two generations; words not met during one generation are forgotten.
+CACHED_WORDS = 350_000
+#: Bytes of text whose unknown words are encoded together.
+SLICE = 1 << 20
 #: A blank that is not followed by a certainly visible character: another blank, ASCII or wider white space, or the end.
 ODD_BLANK = re.compile(rb" (?![!-~\xc3-\xcf])")
+#: Letters (ASCII, or those among U+00C0 to U+00FF) and then ASCII marks, not led by an apostrophe as contractions are:
+#: the pattern cuts between the two whatever else stands around them.
+MARKED = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~][!-/:-@\[-`{-~]*)")
+MARKS = frozenset(bytes([b]) for b in range(0x21, 0x7F) if not chr(b).isalnum())
 OPENS = re.compile(rb" (?=[!-~\xc3-\xcf])")
 
 
-def byte_alphabet() -> dict[int, str]:
-    """The character that stands for each byte in such vocabularies: itself if printable in Latin-1, else from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
-
-
-class WordEncoder(dict):
-    """Ids (little-endian 32-bit) of words that follow a blank; ``encode`` gives those of a whole text.
-
-    The result equals the library's encode of the whole text with add_special_tokens=False.
-    """
+class WordEncoder:
+    """``encode`` gives the ids of whole texts, equal to the library's encode of each with add_special_tokens=False."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        self.alphabet = byte_alphabet()
-        self.blank = self.alphabet[0x20]
-        self.bare: dict[bytes, bytes] = {}
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)).encode() or rb"(?!)")
-
-    def whole(self, raw: bytes) -> bytes:
-        ids = self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        if LETTERS.fullmatch(word):
-            pieces = self.model.tokenize(self.blank + word.decode("latin-1").translate(self.alphabet))
-            ids = array("I", [p.id for p in pieces]).tobytes()
-        else:
-            first, *rest = [word] if self.special.search(word) else INNER.split(word)
-            ids = self[first] + b"".join(map(self._bare, rest)) if rest else self.whole(b" " + word)
-        self[word] = ids
-        return ids
-
-    def _bare(self, part: bytes) -> bytes:
-        """Ids of a part that no blank opens."""
-        if part not in self.bare:
-            if len(self.bare) > CACHED_WORDS // 4:
-                self.bare.clear()
-            if LETTERS.fullmatch(part):
-                pieces = self.model.tokenize(part.decode("latin-1").translate(self.alphabet))
-                self.bare[part] = array("I", [p.id for p in pieces]).tobytes()
+        # a piece of this vocabulary has one character for each byte; special tokens stand for their own text
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        self.n_bytes[list(vocabulary.values())] = [len(piece) for piece in vocabulary]
+        for number, special in self.tokenizer.get_added_tokens_decoder().items():
+            self.n_bytes[number] = len(special.content.encode())
+        # words that follow a blank, and their ids as little-endian 32-bit integers
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.openers: dict[bytes, bytes] = {}
+
+    def _ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        marked = []
+        unknown = set()
+        for word in words - self.known.keys():
+            ids = self.older.get(word)
+            if ids is not None:
+                self.known[word] = ids
+            elif word[-1:] in MARKS and (found := MARKED.fullmatch(word)):
+                marked.append((word, found[1], found[2]))
             else:
-                self.bare[part] = self.whole(part)
-        return self.bare[part]
+                unknown.add(word)
+        for stem in {stem for _, stem, _ in marked} - self.known.keys():
+            ids = self.older.get(stem)
+            if ids is not None:
+                self.known[stem] = ids
+            else:
+                unknown.add(stem)
+        if unknown:
+            fresh = list(unknown)
+            ids = self._ids(b" " + b" ".join(fresh))
+            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(w) + 1 for w in fresh])) + 1
+            raw = ids.tobytes()
+            at = 0
+            for word, end in zip(fresh, (4 * ends).tolist()):
+                self.known[word] = raw[at:end]
+                at = end
+        for word, stem, marks in marked:
+            self.known[word] = self.known[stem] + self._opener(marks)
+
+    def _opener(self, part: bytes) -> bytes:
+        """Ids of a text's first part, which no blank opens."""
+        if part not in self.openers:
+            if len(self.openers) > CACHED_WORDS // 4:
+                self.openers.clear()
+            self.openers[part] = self._ids(part).tobytes()
+        return self.openers[part]
+
+    def _slice(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        parts = [OPENS.split(raw) if ODD_BLANK.search(raw) else raw.split(b" ") for raw in texts]
+        self._learn(set(chain.from_iterable(islice(p, 1, None) for p in parts)))
+        for part in parts:
+            ids = b"".join(map(self.known.__getitem__, islice(part, 1, None)))
+            yield np.frombuffer(self._opener(part[0]) + ids, "<u4")
+
+    def encode(self, texts: Iterator[bytes]) -> Iterator[np.ndarray]:
+        held, size = [], 0
+        for raw in texts:
+            held.append(raw)
+            size += len(raw)
+            if size > SLICE:
+                yield from self._slice(held)
+                held, size = [], 0
+        yield from self._slice(held)
+
 
-    def encode(self, raw: bytes) -> np.ndarray:
-        first, *rest = (OPENS.split(raw) if ODD_BLANK.search(raw) else raw.split(b" "))
-        return np.frombuffer(self._bare(first) + b"".join(map(self.__getitem__, rest)), "<u4")
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in such vocabularies: itself if printable in Latin-1, else from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
 @functools.lru_cache(maxsize=2)
