@@ -49,8 +49,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
             size = 0
             for batch in batches:
                 ids_of.extend(NULL_ID if i is None else i for i in batch.column("doc_id").to_pylist())
-                for raw in raw_texts(batch):
-                    ids = np.append(encode(raw), np.uint32(end_id)).astype(dtype).tobytes()
+                for found in encode(raw_texts(batch)):
+                    ids = np.append(found, np.uint32(end_id)).astype(dtype).tobytes()
                     lengths.append(len(ids) // int(dtype[-1]))
                     held.append(ids)
                     size += len(ids)
@@ -71,7 +71,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
         )
 
     spread = texts(docs)
-    ordered = spread.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id")
+    ordered = spread.repartitionByRange(*([partitions] if partitions else []), "doc_id")
+    ordered = ordered.sortWithinPartitions("doc_id", F.xxhash64("text"))  # a retried task writes the same file
     written = ordered.mapInArrow(write, "part int, docs long, ids long, dtype string")
     written.write.parquet(f"{folder}/counts")
     # one row a file: a running sum over the manifest, not over documents
