@@ -45,10 +45,12 @@ PERCENT = 90
 SLICE = 2 << 20
 LEVEL_RATIO = 1.25
 #: Hash groups of a count vector, points in a leaf of the tree, leaves in a branch, nodes of a cluster in one task.
-GROUPS = 32
+GROUPS = 128
 LEAF = 32
 BRANCH = 16
 BLOCK = 4096
+#: Sets intersected with a query at once, before it is seen again which are joined to it by now.
+CHECKED = 256
 
 _blank = np.zeros(256, bool)
 _blank[[*range(0x09, 0x0E), 0x20]] = True
@@ -251,7 +253,7 @@ class CountTree:
         flat = np.concatenate(sets)
         group = (flat >> np.uint64(17)) % np.uint64(groups)
         self.counts = np.bincount(owner * groups + group.astype(np.int64), minlength=len(sets) * groups)
-        self.counts = self.counts.reshape(len(sets), groups)
+        self.counts = self.counts.reshape(len(sets), groups).astype(np.int32)
         widest = np.argsort(-self.counts.var(axis=0))[:2]
         self.order = np.lexsort((*(self.counts[:, g] for g in widest), self.sizes))
         self.leaf = np.arange(0, len(sets), LEAF)
@@ -297,11 +299,13 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
         own[mine] = True
         packed = part[tree.order]
         strange = np.logical_or.reduceat(packed != part[q], tree.leaf)  # leaves with a point of another part
-        for leaf in tree.leaves(q, percent).tolist():
-            if not strange[leaf]:
-                continue
-            chosen = tree.order[leaf * LEAF : (leaf + 1) * LEAF]
-            chosen = tree.points(q, chosen[part[chosen] != part[q]], percent)
+        near = tree.leaves(q, percent)
+        near = (near[strange[near]][:, None] * LEAF + np.arange(LEAF)).ravel()
+        near = tree.order[near[near < len(sets)]]
+        near = tree.points(q, near[part[near] != part[q]], percent)
+        for first in range(0, len(near), CHECKED):
+            chosen = near[first : first + CHECKED]
+            chosen = chosen[part[chosen] != part[q]]
             if not len(chosen):
                 continue
             sizes = tree.sizes[chosen]
@@ -312,7 +316,6 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
                 if part[other] != part[q]:
                     out.append((q, other))
                     part[part == part[other]] = part[q]
-                    strange = np.logical_or.reduceat(part[tree.order] != part[q], tree.leaf)
         own[mine] = False
     return out
 
