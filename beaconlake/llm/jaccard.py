@@ -19,7 +19,8 @@ A cluster of more than BLOCK nodes is cut into blocks whose pairs are separate g
 
 Defined cases: a null text, and a text without a word, has an empty set and links with nothing. With one or two words the
 whole sequence is the one shingle. A null doc_id is never a component's name unless all its documents lack one.
-Repeated rows are copies of one another. Shingles and sets are told apart by 64-bit hashes.
+Documents are joined by their sets alone: those that share a doc_id, or lack one, stay apart unless they link.
+Repeated rows are copies of one another. Shingles, sets and the texts of one doc_id are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconlake.llm.common import raw_texts
@@ -154,7 +155,7 @@ def routes(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.n
 PARTS = pa.schema([("part", pa.int32()), ("route", pa.binary()), ("vertex", pa.binary()), ("row", pa.binary()), ("docs", pa.binary())])
 PARTS_DDL = "part int, route binary, vertex binary, row binary, docs binary"
 #: A document: its node, and the node's vertices (one for each level, 0 for none).
-DOCS = np.dtype([("id", "<i8"), ("node", "<i8"), ("own", "<i8"), ("next", "<i8"), ("key", "<i4"), ("n", "<i4")])
+DOCS = np.dtype([("id", "<i8"), ("node", "<i8"), ("own", "<i8"), ("next", "<i8"), ("key", "<i8"), ("n", "<i4")])
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
@@ -217,8 +218,8 @@ def _index_type(n: int) -> str:
     return "<u2" if n <= 1 << 16 else "<u4"
 
 
-MET_DDL = "edge boolean, a long, b long, own long, next long, key int, n int"
-MET = pa.schema([("edge", pa.bool_()), *((c, pa.int64()) for c in ("a", "b", "own", "next")), ("key", pa.int32()), ("n", pa.int32())])
+MET_DDL = "edge boolean, a long, b long, own long, next long, key long, n int"
+MET = pa.schema([("edge", pa.bool_()), *((c, pa.int64()) for c in ("a", "b", "own", "next", "key")), ("n", pa.int32())])
 
 
 def met(key: tuple, table: pa.Table) -> pa.Table:
@@ -240,7 +241,7 @@ def met(key: tuple, table: pa.Table) -> pa.Table:
     none = np.zeros(m, np.int64)
     columns = {"a": np.concatenate([pairs[:, 0], docs["id"]]), "b": np.concatenate([pairs[:, 1], docs["node"]])}
     for field in ("own", "next", "key", "n"):
-        columns[field] = np.concatenate([none, docs[field]]).astype(np.int32 if field in ("key", "n") else np.int64)
+        columns[field] = np.concatenate([none, docs[field]]).astype(np.int32 if field == "n" else np.int64)
     return pa.table({"edge": np.repeat([True, False], [m, d]), **columns}, schema=MET)
 
 
@@ -322,16 +323,16 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
 
 def member_sets(words: int):
     """Shingle sets of cluster members, one row for each cluster they are in."""
-    schema = pa.schema([("id", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, inside = batch.column("id").to_pylist(), batch.column("inside").to_pylist()
+            nodes, inside = batch.column("node").to_pylist(), batch.column("inside").to_pylist()
             for first, texts in _slices(batch):
                 rows = []
                 for i, shingles in enumerate(shingle_sets(texts, words), first):
                     raw = shingles.tobytes()
-                    rows += [(ids[i], c["cluster"], c["blocks"], raw) for c in inside[i]]
+                    rows += [(nodes[i], c["cluster"], c["blocks"], raw) for c in inside[i]]
                 columns = list(zip(*rows)) or [[] for _ in schema]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -341,24 +342,23 @@ def member_sets(words: int):
 def linked(percent: int):
     """Joining links of each group; rows of a group stand together."""
 
-    def links(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        members = dict(rows)
-        ids = list(members)
-        found = joining_links([np.frombuffer(b, "<u8") for b in members.values()], percent) if len(ids) > 1 else []
+    def links(members: dict[int, bytes]) -> pa.RecordBatch:
+        nodes = list(members)
+        found = joining_links([np.frombuffer(b, "<u8") for b in members.values()], percent)
         return pa.RecordBatch.from_arrays(
-            [pa.array([ids[a] for a, _ in found], pa.int64()), pa.array([ids[b] for _, b in found], pa.int64())], names=["a", "b"]
+            [pa.array([nodes[a] for a, _ in found], pa.int64()), pa.array([nodes[b] for _, b in found], pa.int64())], names=["a", "b"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
+        current, held = None, {}
         for batch in batches:
-            columns = [batch.column(n).to_pylist() for n in ("cluster", "left", "right", "id", "shingles")]
+            columns = [batch.column(n).to_pylist() for n in ("cluster", "left", "right", "node", "shingles")]
             for cluster, left, right, node, shingles in zip(*columns):
                 if (cluster, left, right) != current:
                     if len(held) > 1:
                         yield links(held)
-                    current, held = (cluster, left, right), []
-                held.append((node, shingles))
+                    current, held = (cluster, left, right), {}
+                held[node] = shingles
         if len(held) > 1:
             yield links(held)
 
@@ -366,44 +366,56 @@ def linked(percent: int):
 
 
 def links(spread: DataFrame, met_rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Joining links between representatives (a: id, b: id) of nodes that share a cluster."""
+    """Joining links between nodes (a, b) that share a cluster."""
     docs = met_rows.where(~F.col("edge") & (F.col("n") > 0))
     nodes = docs.groupBy(F.col("b").alias("node")).agg(
         F.min(F.struct(F.col("a").alias("id"), "key")).alias("first"), F.first("own").alias("own"), F.first("next").alias("next")
     )
-    vertices = nodes.select("first", F.explode(F.array("own", "next")).alias("vertex")).where("vertex <> 0")
+    vertices = nodes.select("node", "first", F.explode(F.array("own", "next")).alias("vertex")).where("vertex <> 0")
     clusters = components(met_rows.where("edge").select("a", "b"))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     placed = clusters.join(sizes, "component").withColumnRenamed("id", "vertex").join(vertices, "vertex")
-    members = placed.groupBy("first.id", "first.key").agg(
+    members = placed.groupBy("node", "first.id", "first.key").agg(
         F.collect_list(F.struct(F.col("component").alias("cluster"), "blocks")).alias("inside")  # two at most
     )
     sets = spread.select("id", "key", "text").join(members, ["id", "key"]).mapInArrow(
-        member_sets(words), "id long, cluster long, blocks long, shingles binary"
+        member_sets(words), "node long, cluster long, blocks long, shingles binary"
     )
-    block = F.pmod(F.xxhash64("id"), "blocks")
+    block = F.pmod(F.xxhash64("node"), "blocks")
     dealt = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "id", "shingles"
+        "cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "node", "shingles"
     )
     grouped = dealt.repartition("cluster", "left", "right").sortWithinPartitions("cluster", "left", "right")
     return grouped.mapInArrow(linked(percent), "a long, b long")
 
 
+def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    """``identified`` rows with a key of 64 bits, as very many documents may share an id or lack one."""
+    return identified(docs, *more).withColumn("key", F.xxhash64("text"))
+
+
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``id, key, n_shingles, component`` of every document; ``id`` and ``key`` as ``identified`` gives them."""
-    spread = identified(docs)
+    """``id, key, n_shingles, part, component`` of every document; ``id`` and ``key`` as ``_keyed`` gives them.
+
+    ``part`` is the smallest node of a component (null for an empty set), ``component`` its smallest id.
+    """
+    spread = _keyed(docs)
     parts = max(32, spread.rdd.getNumPartitions())
     sent = spread.mapInArrow(routed(parts, words, percent), PARTS_DDL)
     met_rows = written(sent.repartition(parts, "part").groupBy("part").applyInArrow(met, MET_DDL), "jaccard")
     found = components(written(links(spread, met_rows, words, percent), "jaccard-links"))
     seen = met_rows.where(~F.col("edge"))
     nodes = seen.where("n > 0").groupBy("b").agg(F.min("a").alias("id"))
-    named = nodes.join(found, "id", "left").select("b", F.coalesce("component", "id").alias("component"))
+    found = found.select(F.col("id").alias("b"), F.col("component").alias("part"))
+    least = written(nodes.join(found, "b").groupBy("part").agg(F.min("id").alias("least")), "jaccard-names")
+    named = nodes.join(found, "b", "left").withColumn("part", F.coalesce("part", "b")).join(least, "part", "left")
+    named = named.select("b", "part", F.coalesce("least", "id").alias("component"))
     joined = seen.join(named, "b", "left")
     return joined.select(
-        F.col("a").alias("id"), "key", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "a").alias("component")
-    )
+        F.col("a").alias("id"), "key", F.col("n").cast("long").alias("n_shingles"), "part",
+        F.coalesce("component", "a").alias("component"),
+    )
 
 
 def _id(column: str):
@@ -424,11 +436,11 @@ def kept_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     names = docs.columns
     row = F.struct(*[F.col(f"`{n}`") for n in names]).alias("row")
     found = join(docs, words, percent)
-    first = found.where((F.col("id") == F.col("component")) & (F.col("n_shingles") > 0))
-    first = first.groupBy("id").agg(F.min("key").alias("key"))
+    first = found.where("n_shingles > 0").groupBy("part").agg(F.min(F.struct("id", "key")).alias("first"))
+    first = first.select("first.id", "first.key")
     empty = found.where("n_shingles = 0").select("id", "key")
     stay = first.unionByName(empty).distinct()
-    kept = identified(docs, row).join(stay.withColumn("n", F.lit(1)), ["id", "key"])
+    kept = _keyed(docs, row).join(stay.withColumn("n", F.lit(1)), ["id", "key"])
     words_left = F.length(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x09-\\x0D\\x20]+", " "))) > 0
     single = kept.where(words_left).groupBy("id", "key").agg(F.first("row").alias("row")).select("row")
     return single.unionByName(kept.where(~words_left).select("row")).select(*[F.col("row")[n].alias(n) for n in names])

@@ -1,3 +1,4 @@
+from collections import Counter
 from itertools import combinations
 
 from beaconlake.llm import jaccard
@@ -75,6 +76,20 @@ def test_trees_find_what_pairs_find():
     assert len(links) == len(texts) - len({root(i) for i in range(len(texts))})
 
 
+def test_documents_that_share_an_id_or_lack_one(spark):
+    def text(name, k=None):
+        return " ".join("other" if i == k else f"{name}{i}" for i in range(120))
+
+    rows = [(5, text("a")), (None, text("a", 50)), (9, text("b")), (None, text("b", 60)), (None, text("c")), (None, text("c", 0))]
+    rows += [(None, text("d")), (None, text("d")), (7, text("e")), (7, text("f")), (3, text("f", 119)), (7, text("g")), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(jaccard.linked_documents(df)) == plain(rows)
+    kept = Counter(tuple(r) for r in jaccard.kept_documents(df, words=3, percent=90).collect())
+    one_of_c = {rows[4], rows[5]} & kept.keys()
+    assert len(one_of_c) == 1
+    assert kept == Counter([rows[0], rows[2], *one_of_c, rows[6], rows[8], rows[10], rows[11], rows[12]])
+
+
 def test_empty_table(empty):
     assert jaccard.linked_documents(empty).count() == 0 and jaccard.kept_documents(empty).count() == 0
 
