@@ -9,7 +9,7 @@ The contexts of all languages form one tree of at most CELLS / (bytes * language
 the tables have a fixed size. A text's contexts are found by ORDER table look-ups for each byte.
 
 Defined cases: a null text, and a text without a letter, is ``und`` with score 0. Documents with null lang or text teach
-nothing; without any teacher every document is ``und``. Repeated rows and null doc_ids give one row each.
+nothing; without any teacher every document is ``und``. Copies of a text teach once, and no language that has a text goes untaught. Repeated rows and null doc_ids give one row each.
 """
 
 from __future__ import annotations
@@ -20,16 +20,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconlake.llm.common import fold, fold_of, raw_texts
+from beaconlake.session import written
 
 ORDER = 3
-#: Numbers in the cost table, bytes sampled for each language, and characters of one document that may teach.
+#: Numbers in the cost table, bytes sampled for each language, characters of one document that may teach, and ranges of
+#: the hash that orders a language's texts.
 CELLS = 1 << 22
 SAMPLE_BYTES = 1_500_000
 TEACHING_CHARS = 65_536
+RANGES = 1024
 SLICE = 1 << 20
 LETTER = re.compile(r"[^\W\d_]")
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
@@ -183,23 +186,34 @@ def predicted(model: Contexts | None, batch: list[bytes]) -> tuple[list[str], np
     return names, score
 
 
+def drawn(teachers: DataFrame) -> DataFrame:
+    """``lang, hash`` of the distinct texts that teach: in hash order, as many of a language as begin before SAMPLE_BYTES.
+
+    ``teachers`` has columns ``lang``, ``hash`` and ``size``. A running sum over ranges of the hash leaves few texts for one over texts.
+    """
+    texts = teachers.groupBy("lang", "hash").agg(F.max("size").alias("size"))
+    texts = texts.withColumn("place", F.xxhash64("hash", F.lit(1))).withColumn("range", F.shiftright("place", 64 - RANGES.bit_length() + 1))
+    texts = written(texts, "teachers")
+    sums = texts.groupBy("lang", "range").agg(F.sum("size").alias("sum"))
+    before = F.sum("sum").over(Window.partitionBy("lang").orderBy("range")) - F.col("sum")
+    first = sums.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES)
+    near = texts.join(first.select("lang", "range"), ["lang", "range"])
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("place", "hash").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    return near.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).select("lang", "hash")
+
+
 def fit(docs: DataFrame) -> Contexts | None:
-    """Train on documents outside the held-out fold: about SAMPLE_BYTES for each language, drawn by a hash of the row."""
-    teachers = docs.where((fold(5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """Train on documents outside the held-out fold: for each language distinct texts of SAMPLE_BYTES, and what the last is beyond."""
+    teachers = docs.where((fold(5) != 0) & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
     teachers = teachers.select(F.col("lang").cast("string").alias("lang"), F.substring("text", 1, TEACHING_CHARS).alias("text"))
-    sizes = teachers.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
-    shares = {r["lang"]: min(1.0, SAMPLE_BYTES / max(1, r["size"])) for r in sizes.collect()}
-    if not shares:
-        return None
-    draw = (F.xxhash64("text", F.lit(1)) % 1_000_003 + 1_000_003) % 1_000_003 / 1_000_003.0
-    share = F.lit(0.0)
-    for name, value in shares.items():
-        share = F.when(F.col("lang") == name, F.lit(value)).otherwise(share)
-    samples: dict[str, list[bytes]] = {name: [] for name in shares}
-    for row in teachers.where(draw < share).collect():
-        samples[row["lang"]].append(row["text"].encode())
-    samples = {name: sorted(found) for name, found in samples.items() if any(found)}
-    return train(samples) if samples else None
+    teachers = teachers.withColumn("hash", F.xxhash64("text")).withColumn("size", F.octet_length("text"))
+    chosen = written(drawn(teachers.select("lang", "hash", "size")), "teachers-drawn")
+    # copies are one again before they leave their tasks
+    once = teachers.join(chosen, ["lang", "hash"]).groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    samples: dict[str, list[bytes]] = {}
+    for row in once.collect():
+        samples.setdefault(row["lang"], []).append(row["text"].encode())
+    return train({name: sorted(found) for name, found in samples.items()}) if samples else None
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])

@@ -133,6 +133,19 @@ def test_held_out_accuracy(documents):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_copied_texts_teach_once_and_no_language_is_lost(spark, monkeypatch):
+    taught = []
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 2000)
+    monkeypatch.setattr(language, "train", lambda samples: taught.append(samples))
+    rows = [(n, f"text {n % 400} of many words", "en") for n in range(2000)]
+    rows += [(n, f"eine kopie {n % 2}", "de") for n in range(2000, 6000)] + [(n, "x" * 5000, "fr") for n in range(6000, 6100)]
+    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5))
+    found = taught[0]
+    assert found.keys() == {"en", "de", "fr"} and all(len(set(t)) == len(t) for t in found.values())
+    assert 2000 <= sum(map(len, found["en"])) < 2030
+    assert found["de"] == [b"eine kopie 0", b"eine kopie 1"] and found["fr"] == [b"x" * 5000]
+
+
 def test_odd_languages(odd, odd_rows, empty):
     found = language.identified(odd).collect()
     assert len(found) == len(odd_rows)
