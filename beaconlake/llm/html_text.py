@@ -1,17 +1,19 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page is parsed into a tree of its block elements; the texts between block borders are its leaves. Each page of a host is
-aligned with the host's pivot, the page of smallest id, by simple tree matching: two elements match if their tags do, and
-matched elements align their children in order so that most elements match. A pivot leaf whose text recurs unchanged on
-nearly all other pages of the host is template; leaves whose text varies are slots of content. Pages equal to the pivot or
-to one another count once, so copies of an article never turn it into template.
+A page is parsed into a tree of its block elements; the texts between block borders are its leaves. Pages of a host that
+use the same block tags are of one layout. Each page is aligned with its layout's pivot, the page of smallest id that has
+a text, by simple tree matching: two elements match if their tags do, and matched elements align their children in order
+so that most elements match. A pivot leaf whose text recurs unchanged on nearly all other pages of the layout is template;
+leaves whose text varies are slots of content. What no pivot has is found by place: a text that recurs under the same path
+of tags on nearly all pages that have this path, of the layout or of the host, is template too. Equal pages count once, so
+copies of an article never turn it into template.
 
 From a page's leaves go: those in elements that are no article by kind, name or role (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments), template leaves, and, where an article element stands, what is
 outside it; elsewhere leaves that are mostly links. If only template would remain, it is content (a host of one article).
 
-Defined cases: null or empty html gives an empty text. A page without a host in its url has no pivot. Repeated rows and
-null page_ids give one row each. A host of very many pages is spread by the join's skew handling.
+Defined cases: null or empty html gives an empty text. A page without a host in its url has no pivot and no template.
+Repeated rows and null page_ids give one row each. A host of very many pages is spread by the join's skew handling.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ from __future__ import annotations
 import functools
 import html as references
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from beaconlake.session import written
@@ -65,17 +68,18 @@ LISTS = frozenset("ul ol dl table menu select div section article body".split())
 
 
 class Element:
-    __slots__ = ("tag", "kids", "noise", "main")
+    __slots__ = ("tag", "kids", "noise", "main", "path")
 
-    def __init__(self, tag: str, noise: bool, main: bool):
+    def __init__(self, tag: str, noise: bool, main: bool, above: int = 0):
         self.tag, self.noise, self.main, self.kids = tag, noise, main, []
+        self.path = (above * 1_000_003 + zlib.crc32(tag.encode())) & (2**63 - 1)  # a hash of the tags from the root on
 
 
 class Leaf:
-    __slots__ = ("text", "links", "noise", "main", "number")
+    __slots__ = ("text", "links", "noise", "main", "number", "path")
 
-    def __init__(self, text: str, links: int, noise: bool, main: bool):
-        self.text, self.links, self.noise, self.main, self.number = text, links, noise, main, -1
+    def __init__(self, text: str, links: int, noise: bool, main: bool, path: int):
+        self.text, self.links, self.noise, self.main, self.number, self.path = text, links, noise, main, -1, path
 
 
 def _marked(tag: str, attributes: str, within: Element) -> bool:
@@ -104,7 +108,7 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
         shown = " ".join(references.unescape("".join(text)).split())
         if shown:
             top = stack[-1]
-            leaf = Leaf(shown, link_text, top.noise, top.main)
+            leaf = Leaf(shown, link_text, top.noise, top.main, top.path)
             leaf.number = len(leaves)
             leaves.append(leaf)
             top.kids.append(leaf)
@@ -140,7 +144,7 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
                 if tag not in VOID and not found[3].endswith("/"):
                     top = stack[-1]
                     main = top.main or tag in ("article", "main") or 'role="main"' in found[3]
-                    own = Element(tag, top.noise or _marked(tag, found[3], top), main)
+                    own = Element(tag, top.noise or _marked(tag, found[3], top), main, top.path)
                     top.kids.append(own)
                     stack.append(own)
             elif tag == "a":
@@ -234,16 +238,16 @@ def _pivot(page: str):
     return parsed(page)
 
 
-LEAVES = "array<struct<text: string, node: int, same: boolean>>"
-LEAF_TYPE = pa.list_(pa.struct([("text", pa.string()), ("node", pa.int32()), ("same", pa.bool_())]))
+LEAVES = "array<struct<text: string, node: int, same: boolean, path: bigint>>"
+LEAF_TYPE = pa.list_(pa.struct([("text", pa.string()), ("node", pa.int32()), ("same", pa.bool_()), ("path", pa.int64())]))
 
 
 def content(page: str, pivot: str | None, matcher: Matcher) -> list[dict]:
-    """Leaves that may be content: text, the pivot leaf they match (-1: none), and whether that has the same text."""
+    """Leaves that may be content: text, the pivot leaf they match (-1: none), whether that has the same text, and path."""
     root, leaves = parsed(page)
     node: dict[int, int] = {}
     if pivot == page:  # its leaves are those of the pivot, and no evidence about them
-        return [{"text": x.text, "node": x.number, "same": None} for x in _chosen(leaves)]
+        return [{"text": x.text, "node": x.number, "same": None, "path": x.path} for x in _chosen(leaves)]
     if pivot is not None:
         base, base_leaves = _pivot(pivot)
         if len(matcher.shapes) > 100_000:
@@ -252,7 +256,7 @@ def content(page: str, pivot: str | None, matcher: Matcher) -> list[dict]:
     out = []
     for leaf in _chosen(leaves):
         at = node.get(leaf.number, -1)
-        out.append({"text": leaf.text, "node": at, "same": at >= 0 and base_leaves[at].text == leaf.text})
+        out.append({"text": leaf.text, "node": at, "same": at >= 0 and base_leaves[at].text == leaf.text, "path": leaf.path})
     return out
 
 
@@ -270,12 +274,37 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             content(page or "", pivot, matcher)
             for page, pivot in zip(batch.column("html").to_pylist(), batch.column("pivot").to_pylist())
         ]
-        columns = [batch.column(n) for n in ("page_id", "url", "host", "copy")]
+        columns = [batch.column(n) for n in ("page_id", "url", "host", "layout", "copy")]
         yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(rows, LEAF_TYPE)], names=["page_id", "url", "host", "copy", "leaves"]
+            [*columns, pa.array(rows, LEAF_TYPE)], names=["page_id", "url", "host", "layout", "copy", "leaves"]
         )
 
 
+def _recurring():
+    """Whether a text counted on ``pages`` of the ``having`` pages that have its path recurs on nearly all others."""
+    others, rest = F.col("pages") - 1, F.col("having") - 1
+    return (others >= TEMPLATE_PAGES) & (others >= TEMPLATE_SHARE * rest)
+
+
+def _by_place(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Marks (of a path and a text) that are template, of each layout of a host and of each host."""
+    own = ["host", "layout", "path"]
+    seen = leaves.select("host", "layout", "copy", F.col("leaf.path").alias("path"), F.xxhash64("leaf.path", "leaf.text").alias("mark"))
+    seen = seen.where(F.col("host").isNotNull())
+    marks = seen.distinct().groupBy(*own, "mark").agg(F.count("*").alias("pages"))
+    paths = seen.drop("mark").distinct().groupBy(own).agg(F.count("*").alias("having"))
+    # a text of too few pages of all layouts together is no template of any
+    marks = marks.withColumn("all", F.sum("pages").over(Window.partitionBy("host", "path", "mark")))
+    marks = written(marks.where(F.col("all") > TEMPLATE_PAGES), "page-marks")
+    paths = written(paths, "page-paths")
+    found = []
+    for group in (["host", "layout"], ["host"]):
+        having = paths.groupBy(*group, "path").agg(F.sum("having").alias("having"))
+        counts = marks.groupBy(*group, "path", "mark").agg(F.sum("pages").alias("pages")).join(having, [*group, "path"])
+        found.append(counts.where(_recurring()).groupBy(group).agg(F.collect_set("mark").alias("_".join(["marks", *group]))))
+    return found[0], found[1]
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     url = F.col("url").cast("string")
@@ -283,25 +312,41 @@ def extracted(pages: DataFrame) -> DataFrame:
     typed = pages.select(
         F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", F.when(host != "", host)).withColumn("copy", F.xxhash64("html"))
-    first = F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "html")).alias("first")
-    pivots = typed.where(F.col("host").isNotNull() & F.col("html").isNotNull()).groupBy("host").agg(first)
+    tags = F.array_distinct(F.regexp_extract_all(F.lower("html"), F.lit("<([a-z][a-z0-9]*)"), 1))
+    blocks = F.array_sort(F.array_intersect(tags, F.array(*[F.lit(t) for t in sorted(BLOCKS)])))
+    typed = typed.withColumn("layout", F.xxhash64(blocks))
+    bare = F.trim(F.regexp_replace("html", r"<[^>]*>|\s+", "")) == ""
+    first = F.min(F.struct(bare.alias("bare"), F.col("page_id").isNull().alias("late"), "page_id", "html")).alias("first")
+    pivots = typed.where(F.col("host").isNotNull() & F.col("html").isNotNull()).groupBy("host", "layout").agg(first)
     # As stored tables, pivots and templates have a size that Spark knows: small ones are broadcast and no page is moved.
-    pivots = written(pivots.select("host", F.col("first.html").alias("pivot")), "page-pivots")
-    joined = typed.join(pivots, "host", "left")
+    pivots = written(pivots.select("host", "layout", F.col("first.html").alias("pivot")), "page-pivots")
+    joined = typed.join(pivots, ["host", "layout"], "left")
     rows = written(
-        joined.select("page_id", "url", "host", "copy", "html", "pivot").mapInArrow(
-            _aligned, f"page_id long, url string, host string, copy long, leaves {LEAVES}"
+        joined.select("page_id", "url", "host", "layout", "copy", "html", "pivot").mapInArrow(
+            _aligned, f"page_id long, url string, host string, layout long, copy long, leaves {LEAVES}"
         ),
         "page-leaves",
     )
+    leaves = rows.select("host", "layout", "copy", F.explode("leaves").alias("leaf"))
     # one row for each pivot leaf and distinct page; then counts for each pivot leaf
-    seen = rows.select("host", "copy", F.explode("leaves").alias("leaf")).where("leaf.node >= 0 and leaf.same is not null")
-    seen = seen.groupBy("host", F.col("leaf.node").alias("node"), "copy").agg(F.max("leaf.same").alias("same"))
-    counts = seen.groupBy("host", "node").agg(F.count("*").alias("pages"), F.count_if("same").alias("same"))
+    seen = leaves.where("leaf.node >= 0 and leaf.same is not null")
+    seen = seen.groupBy("host", "layout", F.col("leaf.node").alias("node"), "copy").agg(F.max("leaf.same").alias("same"))
+    counts = seen.groupBy("host", "layout", "node").agg(F.count("*").alias("pages"), F.count_if("same").alias("same"))
     constant = counts.where((F.col("same") >= TEMPLATE_PAGES) & (F.col("same") >= TEMPLATE_SHARE * F.col("pages")))
-    templates = constant.groupBy("host").agg(F.collect_set("node").alias("template"))  # at most the pivot's leaves
-    named = rows.join(written(templates, "page-templates"), "host", "left")
-    varying = F.filter("leaves", lambda x: ~F.array_contains(F.coalesce("template", F.array().cast("array<int>")), x["node"]))
+    templates = constant.groupBy("host", "layout").agg(F.collect_set("node").alias("template"))  # at most the pivot's leaves
+    of_layout, of_host = _by_place(leaves)
+    templates = templates.join(of_layout, ["host", "layout"], "full")
+    named = rows.join(written(templates, "page-templates"), ["host", "layout"], "left").join(written(of_host, "page-marks"), "host", "left")
+
+    def listed(column: str, kind: str):
+        return F.coalesce(column, F.array().cast(f"array<{kind}>"))
+
+    marks = F.concat(listed("marks_host_layout", "bigint"), listed("marks_host", "bigint"))
+
+    def varies(x):
+        return ~F.array_contains(listed("template", "int"), x["node"]) & ~F.array_contains(marks, F.xxhash64(x["path"], x["text"]))
+
+    varying = F.filter("leaves", varies)
     shown = F.when(F.size(varying) > 0, varying).otherwise(F.col("leaves"))
     text = F.array_join(F.transform(shown, lambda x: x["text"]), "\n\n")
     return named.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

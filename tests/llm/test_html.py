@@ -53,6 +53,27 @@ def test_wrappers(spark):
     assert found[None] == [""] and found[31] == ["x"] and found[32] == [""]
 
 
+def test_wrappers_of_pages_unlike_the_first(spark):
+    def row(n, host, html):
+        return (n, f"http://{host}/{n}", html, None, None, None)
+
+    def story(n):
+        return f"<h2>Our site</h2><div>Story number {n} has its words</div><p>All rights</p>"
+
+    # a broken page, a front page and a page without the notice come first
+    rows = [row(0, "a.org", "<p"), *(row(n, "a.org", story(n)) for n in range(1, 8))]
+    rows += [row(20, "b.org", "<ul><li>Front<li>page</ul>"), *(row(n, "b.org", story(n)) for n in range(21, 28))]
+    plain = "<div>Story number 40 has its words</div><h2>Words</h2><p>Other end</p>"
+    rows += [row(40, "c.org", plain), *(row(n, "c.org", f"<p>Read this notice</p>{story(n)}") for n in range(41, 61))]
+    # the layouts of one host have too few pages each
+    rows += [row(n, "d.org", story(n) + "<table><tr><td>cell</table>" * (n % 2) + "<pre>code</pre>" * (n % 3 > 1)) for n in range(70, 76)]
+    found = {r.page_id: r.text for r in html_text.extracted(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    for n in (1, 7, 21, 27, 41, 60):
+        assert found[n] == f"Story number {n} has its words"
+    assert all("Our site" not in found[n] and "All rights" not in found[n] for n in range(70, 76))
+    assert all(f"Story number {n} has its words" in found[n] for n in range(70, 76))
+
+
 def test_no_pages(spark):
     assert html_text.extracted(spark.createDataFrame([], SCHEMA)).count() == 0
 
