@@ -27,11 +27,11 @@ from beaconlake.llm.common import fold, fold_of, raw_texts
 from beaconlake.session import written
 
 ORDER = 3
-#: Numbers in the cost table, bytes sampled for each language, characters of one document that may teach, and ranges of
-#: the hash that orders a language's texts.
+#: Numbers in the cost table, bytes sampled for each language, bytes of the pieces that are drawn, and ranges of the hash
+#: that orders a language's pieces.
 CELLS = 1 << 22
 SAMPLE_BYTES = 1_500_000
-TEACHING_CHARS = 65_536
+PIECE = 65_536
 RANGES = 1024
 SLICE = 1 << 20
 LETTER = re.compile(r"[^\W\d_]")
@@ -186,34 +186,47 @@ def predicted(model: Contexts | None, batch: list[bytes]) -> tuple[list[str], np
     return names, score
 
 
-def drawn(teachers: DataFrame) -> DataFrame:
-    """``lang, hash`` of the distinct texts that teach: in hash order, as many of a language as begin before SAMPLE_BYTES.
+PIECE_KEYS = ["lang", "hash", "number"]
 
-    ``teachers`` has columns ``lang``, ``hash`` and ``size``. A running sum over ranges of the hash leaves few texts for one over texts.
+
+def drawn(pieces: DataFrame) -> DataFrame:
+    """``PIECE_KEYS`` of the distinct pieces that teach: in hash order, as many of a language as begin before SAMPLE_BYTES.
+
+    A running sum over ranges of the hash leaves few pieces for the one over pieces.
     """
-    texts = teachers.groupBy("lang", "hash").agg(F.max("size").alias("size"))
-    texts = texts.withColumn("place", F.xxhash64("hash", F.lit(1))).withColumn("range", F.shiftright("place", 64 - RANGES.bit_length() + 1))
-    texts = written(texts, "teachers")
-    sums = texts.groupBy("lang", "range").agg(F.sum("size").alias("sum"))
+    once = pieces.groupBy(*PIECE_KEYS).agg(F.max(F.octet_length("piece")).alias("size"))
+    once = once.withColumn("place", F.xxhash64("hash", "number", F.lit(1)))
+    once = written(once.withColumn("range", F.shiftright("place", 65 - RANGES.bit_length())), "teachers")
+    sums = once.groupBy("lang", "range").agg(F.sum("size").alias("sum"))
     before = F.sum("sum").over(Window.partitionBy("lang").orderBy("range")) - F.col("sum")
     first = sums.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES)
-    near = texts.join(first.select("lang", "range"), ["lang", "range"])
-    before = F.sum("size").over(Window.partitionBy("lang").orderBy("place", "hash").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    return near.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).select("lang", "hash")
+    near = once.join(first.select("lang", "range"), ["lang", "range"])
+    running = Window.partitionBy("lang").orderBy("place", "hash", "number").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.sum("size").over(running) - F.col("size")
+    return near.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).select(*PIECE_KEYS)
 
 
 def fit(docs: DataFrame) -> Contexts | None:
-    """Train on documents outside the held-out fold: for each language distinct texts of SAMPLE_BYTES, and what the last is beyond."""
+    """Train on documents outside the held-out fold: for each language pieces of distinct texts, drawn from whole texts by hash."""
     teachers = docs.where((fold(5) != 0) & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    teachers = teachers.select(F.col("lang").cast("string").alias("lang"), F.substring("text", 1, TEACHING_CHARS).alias("text"))
-    teachers = teachers.withColumn("hash", F.xxhash64("text")).withColumn("size", F.octet_length("text"))
-    chosen = written(drawn(teachers.select("lang", "hash", "size")), "teachers-drawn")
+    raw, last = F.col("text").cast("binary"), F.floor((F.octet_length("text") - 1) / PIECE).cast("int")
+    parts = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("number"), F.substring(raw, i * PIECE + 1, F.lit(PIECE)).alias("piece"))
+    )
+    pieces = teachers.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("hash"), F.inline(parts))
+    chosen = written(drawn(pieces), "teachers-drawn")
     # copies are one again before they leave their tasks
-    once = teachers.join(chosen, ["lang", "hash"]).groupBy("lang", "hash").agg(F.first("text").alias("text"))
-    samples: dict[str, list[bytes]] = {}
-    for row in once.collect():
-        samples.setdefault(row["lang"], []).append(row["text"].encode())
-    return train({name: sorted(found) for name, found in samples.items()}) if samples else None
+    once = pieces.join(chosen, PIECE_KEYS).groupBy(*PIECE_KEYS).agg(F.first("piece").alias("piece"))
+    samples: dict[str, list[list[bytes]]] = {}
+    before = None
+    for lang, key, number, piece in sorted((r["lang"], r["hash"], r["number"], bytes(r["piece"])) for r in once.collect()):
+        found = samples.setdefault(lang, [])
+        if before == (lang, key, number - 1):
+            found[-1].append(piece)  # neighbours are one text
+        else:
+            found.append([piece])
+        before = lang, key, number
+    return train({name: sorted(b"".join(t) for t in found) for name, found in samples.items()}) if samples else None
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])

@@ -146,6 +146,20 @@ def test_copied_texts_teach_once_and_no_language_is_lost(spark, monkeypatch):
     assert found["de"] == [b"eine kopie 0", b"eine kopie 1"] and found["fr"] == [b"x" * 5000]
 
 
+def test_long_texts_teach_beyond_their_heads(spark, monkeypatch):
+    taught = []
+    monkeypatch.setattr(language, "train", lambda samples: taught.append(samples))
+    texts = [" ".join(f"é{name}{n}" for n in range(60_000)) for name in ("eins", "zwei")]
+    docs = spark.createDataFrame([(n, t, "de") for n, t in enumerate(texts * 3)], "doc_id long, text string, lang string")
+    language.fit(docs)
+    assert taught[0] == {"de": sorted(t.encode() for t in texts)}
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 400_000)
+    language.fit(docs)
+    found = taught[1]["de"]
+    assert 400_000 <= sum(map(len, found)) < 400_000 + (1 << 16)
+    assert any(t.encode().find(piece) > 65_536 for piece in found for t in texts)
+
+
 def test_odd_languages(odd, odd_rows, empty):
     found = language.identified(odd).collect()
     assert len(found) == len(odd_rows)
