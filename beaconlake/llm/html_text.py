@@ -164,7 +164,7 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
 
 
 class Matcher:
-    """Simple tree matching; sizes of matches are kept for shapes already met."""
+    """Simple tree matching; sizes of matches are kept for shapes already met. Trees of any depth are walked without recursion."""
 
     def __init__(self):
         self.shapes: dict[tuple, int] = {}
@@ -173,64 +173,90 @@ class Matcher:
         self.labels: list[str] = []
         self.matched: dict[tuple[int, int], int] = {}
 
+    def _shapes(self, root) -> dict[int, int]:
+        """The shape of each node of a tree, by the node's identity."""
+        order, stack = [], [root]
+        while stack:
+            node = stack.pop()
+            order.append(node)
+            if not isinstance(node, Leaf):
+                stack.extend(node.kids)
+        out: dict[int, int] = {}
+        for node in reversed(order):
+            key = ("#text",) if isinstance(node, Leaf) else (node.tag, *[out[id(kid)] for kid in node.kids])
+            if key not in self.shapes:
+                self.shapes[key] = len(self.shapes)
+                self.labels.append(key[0])
+                self.kids.append(key[1:])
+                self.sizes.append(1 + sum(self.sizes[k] for k in key[1:]))
+            out[id(node)] = self.shapes[key]
+        return out
+
     def shape(self, node) -> int:
         """A number that trees of equal tags and form share."""
-        if isinstance(node, Leaf):
-            key = ("#text",)
-        else:
-            key = (node.tag, *[self.shape(kid) for kid in node.kids])
-        if key not in self.shapes:
-            self.shapes[key] = len(self.shapes)
-            self.labels.append(key[0])
-            self.kids.append(key[1:])
-            self.sizes.append(1 + sum(self.sizes[k] for k in key[1:]))
-        return self.shapes[key]
+        return self._shapes(node)[id(node)]
 
-    def size(self, a: int, b: int) -> int:
-        """Elements of the largest match of two shapes."""
+    def _known(self, a: int, b: int) -> int | None:
         if a == b:
             return self.sizes[a]
-        if self.labels[a] != self.labels[b]:
-            return 0
-        if (a, b) not in self.matched:
-            self.matched[a, b] = 1 + self._table(self.kids[a], self.kids[b])[-1][-1]
-        return self.matched[a, b]
+        return self.matched.get((a, b)) if self.labels[a] == self.labels[b] else 0
+
+    def size(self, a: int, b: int) -> int:
+        """Elements of the largest match of two shapes."""
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            if self._known(x, y) is not None:
+                stack.pop()
+                continue
+            open_pairs = [(p, q) for p in set(self.kids[x]) for q in set(self.kids[y]) if self._known(p, q) is None]
+            if open_pairs:
+                stack.extend(open_pairs)
+            else:
+                self.matched[x, y] = 1 + self._table(self.kids[x], self.kids[y])[-1][-1]
+        return self._known(a, b)
 
     def _table(self, a: tuple[int, ...], b: tuple[int, ...]) -> list[list[int]]:
+        """Sizes of the largest matches of first kids; ``size`` has been called for all pairs, or is now."""
         table = [[0] * (len(b) + 1)]
         for x in a:
             above, row = table[-1], [0]
             for j, y in enumerate(b):
-                row.append(max(above[j + 1], row[j], above[j] + self.size(x, y)))
+                known = self._known(x, y)
+                row.append(max(above[j + 1], row[j], above[j] + (self.size(x, y) if known is None else known)))
             table.append(row)
         return table
 
     def align(self, a, b, out: dict[int, int]) -> None:
         """Numbers of b's leaves to numbers of the leaves of a that they match; a and b match themselves."""
-        if isinstance(a, Leaf):
-            out[b.number] = a.number
-            return
-        left, right = [self.shape(k) for k in a.kids], [self.shape(k) for k in b.kids]
-        first = 0
-        while first < min(len(left), len(right)) and left[first] == right[first]:
-            self.align(a.kids[first], b.kids[first], out)
-            first += 1
-        last = 0
-        while last < min(len(left), len(right)) - first and left[-1 - last] == right[-1 - last]:
-            self.align(a.kids[-1 - last], b.kids[-1 - last], out)
-            last += 1
-        left, right = left[first : len(left) - last], right[first : len(right) - last]
-        table = self._table(tuple(left), tuple(right))
-        i, j = len(left), len(right)
-        while i and j:
-            gain = self.size(left[i - 1], right[j - 1])
-            if gain and table[i][j] == table[i - 1][j - 1] + gain:
-                self.align(a.kids[first + i - 1], b.kids[first + j - 1], out)
-                i, j = i - 1, j - 1
-            elif table[i][j] == table[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
+        shapes = self._shapes(a) | self._shapes(b)
+        stack = [(a, b)]
+        while stack:
+            a, b = stack.pop()
+            if isinstance(a, Leaf):
+                out[b.number] = a.number
+                continue
+            left, right = [shapes[id(k)] for k in a.kids], [shapes[id(k)] for k in b.kids]
+            first = 0
+            while first < min(len(left), len(right)) and left[first] == right[first]:
+                stack.append((a.kids[first], b.kids[first]))
+                first += 1
+            last = 0
+            while last < min(len(left), len(right)) - first and left[-1 - last] == right[-1 - last]:
+                stack.append((a.kids[-1 - last], b.kids[-1 - last]))
+                last += 1
+            left, right = left[first : len(left) - last], right[first : len(right) - last]
+            table = self._table(tuple(left), tuple(right))
+            i, j = len(left), len(right)
+            while i and j:
+                gain = self.size(left[i - 1], right[j - 1])
+                if gain and table[i][j] == table[i - 1][j - 1] + gain:
+                    stack.append((a.kids[first + i - 1], b.kids[first + j - 1]))
+                    i, j = i - 1, j - 1
+                elif table[i][j] == table[i - 1][j]:
+                    i -= 1
+                else:
+                    j -= 1
 
 
 @functools.lru_cache(maxsize=64)

@@ -37,6 +37,15 @@ def test_tree_matching_counts_common_elements():
     assert out == {0: 0, 2: 1, 3: 2}
 
 
+def test_deeply_nested_pages():
+    matcher = html_text.Matcher()
+    deep = "<div><blockquote>" * 3000 + "words"
+    base = "<h2>Our site</h2>" + "<div><blockquote>" * 2990 + "words<p>more"
+    found = html_text.content(f"<h2>Our site</h2>{deep}", base, matcher)
+    assert [(leaf["text"], leaf["node"]) for leaf in found] == [("Our site", 0), ("words", -1)]
+    assert [(leaf["text"], leaf["same"]) for leaf in html_text.content(base + "<p>end", base, matcher)][-2:] == [("more", True), ("end", False)]
+
+
 def test_wrappers(spark):
     def page(n, host="site.org", body=None):
         return (n, f"http://{host}/{n}", f"<h2>Our site</h2><div>{body or f'Story number {n} has its words'}</div><p>All rights</p>", None, None, None)
