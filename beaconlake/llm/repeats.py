@@ -127,6 +127,11 @@ PARTS_DDL = (
 )
 
 
+def _count_type(size: int) -> str:
+    """Numbers of strings of a context, which are fewer than ``size``."""
+    return "<u1" if size <= 255 else "<u4"
+
+
 def anchors(parts: int, size: int, gram: int):
     """Anchors of each slice of documents, as arrays for each of ``parts`` groups of anchors."""
 
@@ -156,7 +161,7 @@ def anchors(parts: int, size: int, gram: int):
                 "part": int(part[a]), "ids": ids[docs].tobytes(), "keys": keys[docs].tobytes(),
                 "times": np.diff(change).astype("<u4").tobytes(), "anchor": anchor[a:b].astype("<u4").tobytes(),
                 "context": context[a:b].tobytes(), "start": start[a:b].astype("<u4").tobytes(),
-                "strings": strings[a:b].astype("<u1").tobytes(), "settled": np.packbits(settled[a:b]).tobytes(),
+                "strings": strings[a:b].astype(_count_type(size)).tobytes(), "settled": np.packbits(settled[a:b]).tobytes(),
             })
         return pa.RecordBatch.from_pylist(out, schema=PARTS)
 
@@ -186,7 +191,7 @@ REPLY = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("part", pa.int32())
                    ("crowd", pa.bool_()), ("start", pa.binary()), ("strings", pa.binary())])
 
 
-def replies(crowd_size: int):
+def replies(crowd_size: int, size: int):
     """For each document of a group of anchors: the contexts that are covered whole, and those still to be compared."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -194,7 +199,7 @@ def replies(crowd_size: int):
         ids = np.repeat(_array(table, "ids", "<i8"), times)
         keys = np.repeat(_array(table, "keys", "<i4"), times)
         anchor, context = _array(table, "anchor", "<u4"), _array(table, "context", "<u8")
-        start, strings = _array(table, "start", "<u4"), _array(table, "strings", "<u1")
+        start, strings = _array(table, "start", "<u4"), _array(table, "strings", _count_type(size))
         counts = [len(b) // 4 for b in table.column("anchor").to_pylist()]
         settled = np.concatenate(
             [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(table.column("settled").to_pylist(), counts)]
@@ -248,7 +253,7 @@ def contexts(size: int):
             for doc, key, asked, raw in rows:
                 for part in asked:
                     starts = np.frombuffer(part["start"], "<u4").tolist()
-                    for at, n in zip(starts, part["strings"]):
+                    for at, n in zip(starts, np.frombuffer(part["strings"], _count_type(size)).tolist()):
                         out.append((doc, key, part["part"], part["crowd"], at, raw[at : at + n - 1 + size]))
             columns = list(zip(*out)) or [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
@@ -304,12 +309,12 @@ def compared(size: int):
         places = np.flatnonzero(hit)
         owner = np.searchsorted(offset, places, side="right") - 1
         begin = starts[owner] + places - offset[owner]
-        return _covers(ids[owner], keys[owner], begin, np.ones(len(begin), np.int64))
+        return _covers(ids[owner], keys[owner], begin, np.ones(len(begin), np.int64), size)
 
     return run
 
 
-def _covers(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, strings: np.ndarray) -> pa.Table:
+def _covers(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, strings: np.ndarray, size: int) -> pa.Table:
     """One row for each document, with runs of consecutive string starts joined."""
     if not len(ids):
         return COVER.empty_table()
@@ -320,7 +325,7 @@ def _covers(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, strings: np.nd
     return pa.table({
         "id": ids[heads], "key": keys[heads],
         "start": pa.array([start[a:b].astype("<u4").tobytes() for a, b in zip(heads, bounds[1:])], pa.binary()),
-        "strings": pa.array([strings[a:b].astype("<u1").tobytes() for a, b in zip(heads, bounds[1:])], pa.binary()),
+        "strings": pa.array([strings[a:b].astype(_count_type(size)).tobytes() for a, b in zip(heads, bounds[1:])], pa.binary()),
     }, schema=COVER)
 
 
@@ -342,12 +347,16 @@ def single_strings(size: int):
     return run
 
 
-def _as_cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def as_cover(size: int):
     """Single covered strings as covers."""
-    for batch in batches:
-        ids, keys = batch.column("id").to_numpy(), batch.column("key").to_numpy()
-        start = batch.column("start").to_numpy().astype(np.int64)
-        yield from _covers(ids, keys, start, np.ones(len(ids), np.int64)).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = batch.column("id").to_numpy(), batch.column("key").to_numpy()
+            start = batch.column("start").to_numpy().astype(np.int64)
+            yield from _covers(ids, keys, start, np.ones(len(ids), np.int64), size).to_batches()
+
+    return run
 
 
 def identified(docs: DataFrame, *more: Column | str) -> DataFrame:
@@ -364,7 +373,7 @@ def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: int = C
     spark = spread.sparkSession
     parts = max(32, spread.rdd.getNumPartitions())
     made = spread.select("id", "key", "text").mapInArrow(anchors(parts, size, gram), PARTS_DDL)
-    answered = written(made.repartition(parts, "part").groupBy("part").applyInArrow(replies(crowd), REPLY_DDL), "repeats")
+    answered = written(made.repartition(parts, "part").groupBy("part").applyInArrow(replies(crowd, size), REPLY_DDL), "repeats")
     asked = answered.where(~F.col("covered")).groupBy("id", "key").agg(
         F.collect_list(F.struct("part", "crowd", "start", "strings")).alias("asked")
     )
@@ -376,7 +385,7 @@ def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: int = C
     singles = found.where("crowd").mapInArrow(single_strings(size), "id long, key int, start int, digest binary")
     first = singles.groupBy("digest").agg(F.min("id").alias("first"))
     late = singles.join(first, "digest").where(F.col("id") > F.col("first")).select("id", "key", "start")
-    crowded = late.mapInArrow(_as_cover, COVER_DDL)
+    crowded = late.mapInArrow(as_cover(size), COVER_DDL)
     settled = answered.where("covered").select("id", "key", "start", "strings")
     everything = settled.unionByName(arrays).unionByName(crowded)
     return everything.groupBy("id", "key").agg(F.collect_list(F.struct("start", "strings")).alias("found"))
@@ -387,7 +396,7 @@ def cut(raw: bytes, found: list | None, size: int) -> tuple[bytes, int, int]:
     if found is None or not len(found):
         return raw, 0, 0
     start = np.concatenate([np.frombuffer(f["start"], "<u4") for f in found]).astype(np.int64)
-    strings = np.concatenate([np.frombuffer(f["strings"], "<u1") for f in found])
+    strings = np.concatenate([np.frombuffer(f["strings"], _count_type(size)) for f in found]).astype(np.int64)
     edge = np.zeros(len(raw) + 1, np.int32)
     np.add.at(edge, start, 1)
     np.add.at(edge, start + strings - 1 + size, -1)

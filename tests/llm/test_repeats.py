@@ -63,6 +63,15 @@ def test_crowded_anchors_give_the_same(odd, odd_rows):
     assert found(repeats.deduplicated(odd, crowd=1)) == plain([r[:2] for r in odd_rows])
 
 
+def test_long_strings(spark):
+    draw = random.Random(3)
+    text = "".join(draw.choices("abcdefgh ", k=6000))
+    rows = [(1, text), (2, f"x{text}y"), (3, f"{text[:2500]}-{text[2600:]}"), (4, text), (None, text[1000:1400]), (5, text[7:405])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for crowd in (repeats.CROWD, 1):
+        assert found(repeats.deduplicated(docs, size=400, crowd=crowd)) == plain(rows, 400)
+
+
 def test_empty_table(empty):
     assert repeats.deduplicated(empty).count() == 0 and repeats.kept_documents(empty).count() == 0
 
