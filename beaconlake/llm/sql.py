@@ -92,4 +92,27 @@ select w.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, w.
 from words w left join sizes using (rid) left join named using (rid)
 """
 
-SQL = {"op9_jaccard_join": JACCARD, "op1_suffix_dedup": REPEATS, "op10_topk": TOPK}
+NEGATIVES = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as cells,
+    case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_dot_product(a.cells, c.cells)::bigint as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.cells) = len(c.cells)
+  where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from (
+  select anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank
+  from positives join scored using (anchor_id)
+  where not same and 80 * positive_score <= 100 * score and score <= positive_score
+) where rank <= 5
+"""
+
+SQL = {"op12_hard_negatives": NEGATIVES, "op9_jaccard_join": JACCARD, "op1_suffix_dedup": REPEATS, "op10_topk": TOPK}
