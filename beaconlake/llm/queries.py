@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconlake.llm import bpe, hard_negatives, html_text, jaccard, language, maxent, packing, quality, repeats, token_files, topk
+from beaconlake.llm import bpe, conversations, hard_negatives, html_text, jaccard, language, maxent, packing, quality, repeats, token_files, topk
 from beaconlake.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,10 +58,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(table(spark, sf_dir, "embeddings"), every=100)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_maxent, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op7_html_text, op8_bpe,
-        op9_jaccard_join, op10_topk, op12_hard_negatives,
+        op9_jaccard_join, op10_topk, op12_hard_negatives, op13_conversation_repair,
     )
 }

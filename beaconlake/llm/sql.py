@@ -115,4 +115,60 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 ) where rank <= 5
 """
 
-SQL = {"op12_hard_negatives": NEGATIVES, "op9_jaccard_join": JACCARD, "op1_suffix_dedup": REPEATS, "op10_topk": TOPK}
+CONVERSATIONS = """
+with recursive keyed as (
+  select conv_id, turn, coalesce(conv_id::varchar, ' ') as conv, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+  from conversations
+), fates as (  -- crc32, bit by bit
+  select *, xor(list_reduce(
+      flatten([[4294967295]::bigint[]] || list_transform(range(1, len(k) + 1), lambda i: [ascii(k[i]), -1, -1, -1, -1, -1, -1, -1, -1]::bigint[])),
+      lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295) % 20 as fate
+  from keyed
+), damaged as (
+  select conv, turn, case when fate = 4 then 'user' else role end as role, unnest(range(case when fate = 3 then 2 else 1 end)) as copy,
+    case when fate = 1 then '' when fate = 2 then translate(text, '.!?', '') else text end as text
+  from fates where fate <> 0
+), numbered as (
+  select *, row_number() over (partition by conv order by turn nulls first, role, md5(text), copy) as i from damaged
+), judged as (
+  select *, left(role, 1) as initial, lag(left(role, 1)) over (partition by conv order by i) as previous,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv, role, text order by i) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' else '' end as fault
+  from numbered
+), counts as (
+  select conv, max(i) as n, coalesce(max(turn)::hugeint - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (i > 1 and previous || initial not in ('su', 'ua', 'au')) as illegal
+  from judged group by conv
+), inserts(q, r, a, t) as (  -- states: 0 nothing, 1 system, 2 user, 3 assistant
+  values (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''), (0, 2, 'I', chr(10) || 'user:'),
+    (1, 2, 'I', chr(10) || 'user:'), (3, 2, 'I', chr(10) || 'user:'), (2, 3, 'I', chr(10) || 'assistant:'),
+    (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), edits(r, edit, initial, s, price, target) as (
+  values (0, 'D', null, 0, 3, null), (1, 'D', null, 1, 3, null), (2, 'D', null, 2, 3, null), (3, 'D', null, 3, 3, null),
+    (0, 'K', 's', 1, 0, null), (0, 'K', 'u', 2, 0, null), (1, 'K', 'u', 2, 0, null), (3, 'K', 'u', 2, 0, null), (2, 'K', 'a', 3, 0, null),
+    (0, 'R', null, 2, 2, 'user'), (1, 'R', null, 2, 2, 'user'), (3, 'R', null, 2, 2, 'user'), (2, 'R', null, 3, 2, 'assistant')
+), ways(conv, i, q, best) as (
+  select conv, 0::bigint, 0, {'c': 0, 'a': '', 't': ''} from counts
+  union all
+  select w.conv, j.i, e.s, min({'c': w.best.c + 2 * len(n.a)::int + e.price + case when e.edit <> 'D' and j.fault = 'truncated' then 1 else 0 end,
+    'a': w.best.a || n.a || e.edit,
+    't': w.best.t || n.t || case when e.edit = 'D' then '' else chr(10) || coalesce(e.target, j.role) || ':' || j.text end})
+  from ways w join judged j on j.conv = w.conv and j.i = w.i + 1 join inserts n on n.q = w.q join edits e on e.r = n.r
+  where (e.initial is null or e.initial = j.initial) and (e.edit = 'D' or j.fault not in ('blank', 'duplicate'))
+  group by w.conv, j.i, e.s
+), ends as (
+  select w.conv, min({'c': w.best.c + 2 * len(n.a)::int, 'a': w.best.a || n.a, 't': w.best.t || n.t}) as best
+  from ways w join counts c on c.conv = w.conv and c.n = w.i join inserts n on n.q = w.q
+  where n.r in (0, 3) group by w.conv
+)
+select k.conv_id, least(coalesce(gaps, 0), 9223372036854775807)::bigint as gaps, coalesce(blank, 0) as blank,
+  coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  coalesce(best.c, 0)::bigint as cost, coalesce(best.a, '') as audit, sha256(coalesce(best.t[2:], '')) as repaired_sha256
+from (select distinct conv_id, conv from keyed) k left join counts using (conv) left join ends using (conv)
+"""
+
+SQL = {"op13_conversation_repair": CONVERSATIONS, "op12_hard_negatives": NEGATIVES, "op9_jaccard_join": JACCARD, "op1_suffix_dedup": REPEATS, "op10_topk": TOPK}
