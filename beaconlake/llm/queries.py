@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from beaconlake.llm import bpe, conversations, hard_negatives, html_text, jaccard, language, maxent, packing, quality, repeats, token_files, topk
+from beaconlake.llm import bpe, conversations, hard_negatives, html_text, jaccard, language, maxent, near_duplicates, packing, quality, repeats, token_files, topk
 from beaconlake.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
+def op11_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.grouped(table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(table(spark, sf_dir, "embeddings"), every=100)
 
@@ -66,6 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_maxent, op3_language_id, op4_quality_rules, op5_token_files, op6_packing, op7_html_text, op8_bpe,
-        op9_jaccard_join, op10_topk, op12_hard_negatives, op13_conversation_repair,
+        op9_jaccard_join, op10_topk, op11_near_duplicates, op12_hard_negatives, op13_conversation_repair,
     )
 }

@@ -115,6 +115,49 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 ) where rank <= 5
 """
 
+NEAR_DUPLICATES = """
+with recursive words as (
+  select row_number() over () as rid, doc_id,
+    list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as w
+  from documents
+), shingles as (
+  select distinct rid, case when len(w) < 5 then w else w[i:i + 4] end as s
+  from words, lateral (select unnest(range(1, greatest(len(w) - 3, 2))) as i) where len(w) > 0
+), sizes as (
+  select rid, count(*) as n from shingles group by rid
+), sets as (
+  select rid, n, list(s order by s) as s from shingles join sizes using (rid) group by rid, n
+), copies as (
+  select rid, min(rid) over (partition by s) as first from sets
+), numbered as (
+  select rid, n, dense_rank() over (order by s) as s from shingles join sizes using (rid)
+  where rid in (select first from copies)
+), prefix as (  -- linking sets share one of their first n - ceil(0.85 n) + 1 shingles in any common order
+  select rid, n, s from (
+    select *, row_number() over (partition by rid order by hash(s)) as r from numbered
+  ) where r <= n - (85 * n + 99) // 100 + 1
+), pairs as (
+  select distinct a.rid as x, b.rid as y from prefix a join prefix b on a.s = b.s and a.rid < b.rid
+    and 100 * a.n >= 85 * b.n and 100 * b.n >= 85 * a.n
+), common as (
+  select x, y, a.n as nx, b.n as ny, count(*) as shared from pairs
+  join numbered a on a.rid = x join numbered b on b.rid = y and a.s = b.s group by x, y, a.n, b.n
+), edges as (
+  select x, y from common where 100 * shared >= 85 * (nx + ny - shared)
+  union select rid, first from copies where rid <> first
+), both_ways as (
+  select x, y from edges union select y, x from edges
+), reach(x, y) as (
+  select x, x from (select x from both_ways) union select reach.x, e.y from reach join both_ways e on reach.y = e.x
+), named as (
+  select r.x as rid, min(w.doc_id) as component_id from reach r join words w on w.rid = r.y group by r.x
+)
+select w.doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, w.doc_id) as component_id,
+  w.doc_id is not distinct from coalesce(component_id, w.doc_id) as kept
+from words w left join sizes using (rid) left join named using (rid)
+"""
+
 CONVERSATIONS = """
 with recursive keyed as (
   select conv_id, turn, coalesce(conv_id::varchar, ' ') as conv, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
@@ -171,4 +214,11 @@ select k.conv_id, least(coalesce(gaps, 0), 9223372036854775807)::bigint as gaps,
 from (select distinct conv_id, conv from keyed) k left join counts using (conv) left join ends using (conv)
 """
 
-SQL = {"op13_conversation_repair": CONVERSATIONS, "op12_hard_negatives": NEGATIVES, "op9_jaccard_join": JACCARD, "op1_suffix_dedup": REPEATS, "op10_topk": TOPK}
+SQL = {
+    "op1_suffix_dedup": REPEATS,
+    "op9_jaccard_join": JACCARD,
+    "op10_topk": TOPK,
+    "op11_near_duplicates": NEAR_DUPLICATES,
+    "op12_hard_negatives": NEGATIVES,
+    "op13_conversation_repair": CONVERSATIONS,
+}
