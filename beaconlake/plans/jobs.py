@@ -17,8 +17,8 @@ from beaconlake.operators.sinks import upsert_full
 from beaconlake.plans.publish import Run, Store, delete_folder, folder_names
 from beaconlake.schemas import SUMMARY_KEYS, TABLES
 from beaconlake.sources.payloads import counts_snapshot, extract_usage, pivot_gauges, webhook_audit
-from beaconlake.sources.tables import read_raw
 from beaconlake.streaming.incidents import fold_probes, stage_notices
+from beaconlake.streaming.ingest import compact, read_routed
 
 log = logging.getLogger(__name__)
 
@@ -70,8 +70,10 @@ RAW_TABLES = {"events": "mobile_telemetry_events", "metrics": "mobile_telemetry_
 
 
 def daily(spark: SparkSession, store: Store, raw_root: str, as_of: datetime, keep_days: int = 3) -> list[str]:
-    """Nightly rollup of the stored raw tables, then raw retention if every rollup was published."""
-    raw = {source: read_raw(spark, f"{raw_root}/{name}", name) for source, name in RAW_TABLES.items()}
+    """Compaction of what the router has finished, nightly rollup of the stored raw tables, then raw retention if every
+    rollup was published. Rows that are not compacted yet are rolled up too."""
+    compact(spark, raw_root)
+    raw = {source: read_routed(spark, raw_root, name) for source, name in RAW_TABLES.items()}
     failed = nightly_for(store, raw, as_of)
     if not failed:
         for name in RAW_TABLES.values():

@@ -665,6 +665,17 @@ _add(
     select 'mobile_telemetry_api_metrics', {_day('day')}, platform, count(*)::bigint, count(distinct id)::bigint
     from normal group by day, platform""",
 )
+_add(
+    "ingest_to_raw", "dated normal",
+    f"""select 'mobile_telemetry_events' as table_name, {_day('day')} as event_date, platform,
+        count(*)::bigint as row_count, count(distinct id)::bigint as id_count
+    from (select id, platform, case when event_name = 'BOOK_RENT_ACTION' then date '2024-01-31' else day end as day from dated
+        where event_name <> 'USER_SIGNUP' and error_message is distinct from 'E4')
+    group by day, platform
+    union all
+    select 'mobile_telemetry_api_metrics', {_day('day')}, platform, count(*)::bigint, count(distinct id)::bigint
+    from normal where status_code <> 201 group by day, platform""",
+)
 # The streams end in the tables the batch queries compute.
 for _stream, _batch in (
     ("stream_api_performance", "daily_api_performance"),
@@ -674,5 +685,6 @@ for _stream, _batch in (
     ("stream_screens", "daily_screens"),
     ("stream_ci_incidents", "ci_incidents"),
     ("stream_probe_incidents", "probe_incidents"),
+    ("compact_routed", "route_tagged_stream"),
 ):
     SQL[_stream] = SQL[_batch]

@@ -504,9 +504,9 @@ def retain_history(spark, data):
 # Ingest: payload text is built from the tables, then parsed back.
 
 
-def event_bodies(spark: SparkSession, data: str) -> DataFrame:
+def event_bodies(spark: SparkSession, data: str, read: Callable = table) -> DataFrame:
     """Android sends snake_case, iOS camelCase; some payloads lack an optional or a required field."""
-    e = _events(spark, data)
+    e = read(spark, data, "mobile_telemetry_events")
     android = F.col("platform") == "Android"
     signup, rent = F.col("event_name") == "USER_SIGNUP", F.col("event_name") == "BOOK_RENT_ACTION"
     attributes = F.from_json("attributes", "struct<query_text: string, trigger_source: string, message: string>")
@@ -529,7 +529,7 @@ def event_bodies(spark: SparkSession, data: str) -> DataFrame:
     return e.select(F.when(broken, F.concat(F.lit("{"), body)).otherwise(body).alias("body"))
 
 
-def metric_bodies(spark: SparkSession, data: str) -> DataFrame:
+def metric_bodies(spark: SparkSession, data: str, read: Callable = table) -> DataFrame:
     android = F.col("platform") == "Android"
     known = F.col("status_code") != 201
     body = F.to_json(
@@ -545,7 +545,7 @@ def metric_bodies(spark: SparkSession, data: str) -> DataFrame:
             F.when(~android, F.col("latency_ms")).alias("latencyMs"),
         )
     )
-    return _metrics(spark, data).select(body.alias("body"))
+    return read(spark, data, "mobile_telemetry_api_metrics").select(body.alias("body"))
 
 
 @query
@@ -715,37 +715,54 @@ DRAIN = {"availableNow": True}
 
 
 def messages(spark: SparkSession, data: str) -> DataFrame:
-    """Tagged messages: the events and metrics of the tables, and one unknown tag per error event."""
-    e = stream(spark, data, "mobile_telemetry_events")
-    event = F.struct(
-        "id", "timestamp", "platform", F.col("event_type").alias("eventType"), F.col("event_name").alias("eventName"),
-        F.col("error_message").alias("errorMessage"), F.col("app_version").alias("appVersion"), "attributes",
-    )
-    m = stream(spark, data, "mobile_telemetry_api_metrics")
-    metric = F.struct(
-        "id", "timestamp", "platform", "endpoint", "method", F.col("status_code").alias("statusCode"),
-        F.col("latency_ms").alias("latencyMs"),
-    )
-    known = F.when(F.col("event_type") == "ERROR", "UNKNOWN").otherwise("EVENT")
-    return e.select(F.to_json(F.struct(known.alias("queueType"), event.alias("data"))).alias("value")).unionByName(
-        m.select(F.to_json(F.struct(F.lit("METRIC").alias("queueType"), metric.alias("data"))).alias("value"))
-    )
+    """Tagged messages: the events and metrics of the tables; the tag of an error event is not known."""
+    events = ingest.tagged_messages(stream(spark, data, "mobile_telemetry_events"), "EVENT")
+    retagged = F.replace("value", F.lit('{"queueType":"EVENT"'), F.lit('{"queueType":"UNKNOWN"'))
+    is_error = F.get_json_object("value", "$.data.eventType") == "ERROR"
+    events = events.select(F.when(is_error, retagged).otherwise(F.col("value")).alias("value"))
+    return events.unionByName(ingest.tagged_messages(stream(spark, data, "mobile_telemetry_api_metrics"), "METRIC"))
 
 
-@query
-def route_tagged_stream(spark, data):
-    base = run_dir(spark, "route")
-    ingest.route_tagged_stream(messages(spark, data), f"{base}/raw", f"{base}/checkpoint", DRAIN).awaitTermination()
+def _filed_counts(spark: SparkSession, root: str) -> DataFrame:
     counts = [
-        spark.read.parquet(f"{base}/raw/{name}")
+        ingest.read_routed(spark, root, name)
         .groupBy("event_date", "platform")
         .agg(F.count("*").alias("row_count"), F.count_distinct("id").alias("id_count"))
         .select(F.lit(name).alias("table_name"), "*")
-        for name in ("mobile_telemetry_events", "mobile_telemetry_api_metrics")
+        for name in jobs.RAW_TABLES.values()
     ]
     return as_text(counts[0].unionByName(counts[1]))
 
 
+def _routed(spark: SparkSession, text: DataFrame) -> str:
+    base = run_dir(spark, "route")
+    ingest.route_tagged_stream(text, f"{base}/raw", f"{base}/checkpoint", DRAIN).awaitTermination()
+    return f"{base}/raw"
+
+
+@query
+def route_tagged_stream(spark, data):
+    return _filed_counts(spark, _routed(spark, messages(spark, data)))
+
+
+@query
+def compact_routed(spark, data):
+    """The same rows after compaction of the stopped stream."""
+    root = _routed(spark, messages(spark, data))
+    if not ingest.compact(spark, root, through=datetime.max.date()):
+        raise RuntimeError("nothing was compacted")
+    return _filed_counts(spark, root)
+
+
+@query
+def ingest_to_raw(spark, data):
+    """App payloads to the raw tables: accepted, tagged and routed by one stream."""
+    events = payloads.ingest_events(event_bodies(spark, data, stream), EVENTS_AS_OF).accepted
+    metrics = payloads.ingest_api_metrics(metric_bodies(spark, data, stream), EVENTS_AS_OF).accepted
+    text = ingest.tagged_messages(events, "EVENT").unionByName(ingest.tagged_messages(metrics, "METRIC"))
+    return _filed_counts(spark, _routed(spark, text))
+
+
 def _maintained(spark: SparkSession, data: str, name: str, parts: dict) -> Store:
     base = run_dir(spark, "rollup")
     store = Store(spark, f"{base}/store")

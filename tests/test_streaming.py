@@ -1,27 +1,33 @@
 """Streams fed in many batches, with duplicates, replays and late rows, against one batch run."""
 
 import json
-from datetime import datetime
+import shutil
+from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from test_incidents import PROBE, RUN, probe_rows, replay_probes, replay_runs, run_rows
 
+from beaconlake.functions.clock import epoch_ms
 from beaconlake.operators import incidents as folds
 from beaconlake.operators import rollups
+from beaconlake.plans import jobs
 from beaconlake.plans.publish import Store
+from beaconlake.sources import payloads
 from beaconlake.sources.derived import table
-from beaconlake.sources.tables import read_raw, stream_table
+from beaconlake.sources.tables import stream_table
 from beaconlake.streaming import incidents as incident_streams
 from beaconlake.streaming import rollups as rollup_streams
-from beaconlake.streaming.ingest import route_tagged_stream
+from beaconlake.streaming.ingest import compact, drop_landed, filed_to, read_routed, route_tagged_stream, tagged_messages
 
 DRAIN = {"availableNow": True}
 
 
-def feed(spark, path, batches):
+def feed(spark, path, batches, first=0):
     """One file per batch, read one file at a time in order of their names."""
-    for n, df in enumerate(batches):
+    for n, df in enumerate(batches, first):
         df.coalesce(1).write.mode("append").parquet(f"{path}/{n:03d}")
     schema = batches[0].schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
@@ -92,29 +98,146 @@ def test_ci_stream_equals_replay(spark, tmp_path, pieces):
     assert sorted(got, key=str) == replay_runs(data)[0]
 
 
-def test_routing_drops_duplicates_and_unknown_tags(spark, tmp_path):
-    def message(tag, id, **data):
-        return (json.dumps({"queueType": tag, "data": {"id": id, "timestamp": 1704067200000, **data}}),)
+def message(tag, id, at=1704067200000, **data):
+    return (json.dumps({"queueType": tag, "data": {"id": id, "timestamp": at, **data}}),)
 
-    event = message("EVENT", "1", platform="iOS", eventType="E", eventName="n", attributes='{"a": 1}')
-    metric = message("METRIC", "1", platform="iOS", endpoint="/x", method="GET", statusCode=200, latencyMs=5)
-    late = message("EVENT", "0", platform="iOS", eventType="E", eventName="old")
-    late = (late[0].replace("1704067200000", "946684800000"),)
-    batches = [[event, metric, event], [event, message("OTHER", "2")], [late, ("{broken",)]]
-    stream = feed(spark, str(tmp_path / "in"), [spark.createDataFrame(b, "value string") for b in batches])
-    out = str(tmp_path / "out")
-    query = route_tagged_stream(stream, out, str(tmp_path / "checkpoint"), DRAIN)
+
+def routed(spark, tmp_path, batches, name="in", **options):
+    stream = feed(spark, str(tmp_path / name), [spark.createDataFrame(b, "value string") for b in batches])
+    query = route_tagged_stream(stream, str(tmp_path / "raw"), str(tmp_path / "checkpoint"), DRAIN, **options)
     query.awaitTermination()
     assert query.exception() is None
-    events = spark.read.parquet(f"{out}/mobile_telemetry_events").orderBy("id").collect()
+    return str(tmp_path / "raw")
+
+
+def test_routing_drops_duplicates_and_unknown_tags(spark, tmp_path):
+    event = message("EVENT", "1", platform="iOS", eventType="E", eventName="n", attributes='{"a": 1}')
+    metric = message("METRIC", "1", platform="iOS", endpoint="/x", method="GET", statusCode=200, latencyMs=5)
+    late = message("EVENT", "0", 946684800000, platform="iOS", eventType="E", eventName="old")
+    root = routed(spark, tmp_path, [[event, metric, event], [event, message("OTHER", "2")], [late, ("{broken",), ("{broken",)]])
+    events = read_routed(spark, root, "mobile_telemetry_events").orderBy("id").collect()
     assert [(r.id, r.event_name, str(r.event_date)) for r in events] == [("0", "old", "2000-01-01"), ("1", "n", "2024-01-01")]
     assert events[1].attributes == '{"a": 1}'
-    metrics = spark.read.parquet(f"{out}/mobile_telemetry_api_metrics").collect()
+    metrics = read_routed(spark, root, "mobile_telemetry_api_metrics").collect()
     assert [(r.id, r.status_code, r.latency_ms) for r in metrics] == [("1", 200, 5)]
-    faults = spark.read.parquet(f"{out}/quarantined_messages").collect()
+    faults = read_routed(spark, root, "quarantined_messages").collect()
     assert [(r.value, r.reason) for r in faults] == [("{broken", "unreadable")]
-    stored = read_raw(spark, f"{out}/mobile_telemetry_events", "mobile_telemetry_events")
-    assert "batch_id" not in stored.columns and stored.count() == 2
+    assert read_routed(spark, str(tmp_path / "none"), "mobile_telemetry_events").count() == 0
+
+
+def test_messages_far_from_their_arrival_are_quarantined(spark, tmp_path):
+    now = epoch_ms(datetime.now(timezone.utc))
+    batch = [message("EVENT", "1", now), message("EVENT", "2", now - 10 * 86_400_000), message("METRIC", "3", 9 * 10**15)]
+    root = routed(spark, tmp_path, [batch], horizon=timedelta(days=7))
+    assert [r.id for r in read_routed(spark, root, "mobile_telemetry_events").collect()] == ["1"]
+    faults = read_routed(spark, root, "quarantined_messages").collect()
+    assert sorted(json.loads(r.value)["data"]["id"] for r in faults) == ["2", "3"]
+    assert {r.reason for r in faults} == {"implausible timestamp"}
+
+
+def files(root, table):
+    return [f for f in Path(root).rglob("*.parquet") if any(table in part for part in f.parts)]
+
+
+def test_a_batch_becomes_visible_with_all_its_tables_or_not_at_all(spark, tmp_path):
+    tables = ("mobile_telemetry_events", "mobile_telemetry_api_metrics")
+    pairs = [[message("EVENT", str(n)), message("METRIC", str(n))] for n in range(4)]
+    root = routed(spark, tmp_path, pairs[:2])
+
+    def visible():
+        return [sorted(r.id for r in read_routed(spark, root, t).collect()) for t in tables]
+
+    assert visible() == [["0", "1"]] * 2
+    # a batch that has written the files of one table when it stops: they stand there, and nobody reads them
+    for f in files(root, tables[0]):
+        shutil.copy(f, f.with_name(f"part-9{f.name[6:]}"))
+    assert len(files(root, tables[0])) == 2 * len(files(root, tables[1]))
+    assert visible() == [["0", "1"]] * 2
+
+    # a batch that fails in one table only: the writer of the metrics meets a row it cannot write
+    stream = feed(spark, str(tmp_path / "in"), [spark.createDataFrame(b, "value string") for b in pairs[2:]], 2)
+    broken = stream.withColumn("value", F.when(F.col("value").contains("METRIC"), F.raise_error(F.lit("stopped"))).otherwise(F.col("value")))
+    query = route_tagged_stream(broken, root, str(tmp_path / "checkpoint"), DRAIN)
+    with pytest.raises(Exception, match="stopped"):
+        query.awaitTermination()
+    assert visible() == [["0", "1"]] * 2
+    route_tagged_stream(stream, root, str(tmp_path / "checkpoint"), DRAIN).awaitTermination()
+    assert visible() == [["0", "1", "2", "3"]] * 2
+    with pytest.raises(ValueError, match="another checkpoint"):
+        route_tagged_stream(stream, root, str(tmp_path / "checkpoint2"), DRAIN)
+
+
+def test_compaction_of_many_batches(spark, tmp_path, monkeypatch):
+    day = 86_400_000
+    batches = [[message(tag, f"{n}-{i}", 1704067200000 + i * day) for i in range(3) for tag in ("EVENT", "METRIC")] + [("{" + str(n),)] for n in range(6)]
+    root = routed(spark, tmp_path, batches)
+    tables = ("mobile_telemetry_events", "mobile_telemetry_api_metrics", "quarantined_messages")
+
+    def stored():
+        return [rows(read_routed(spark, root, t)) for t in tables]
+
+    before = stored()
+    assert [len(t) for t in before] == [18, 18, 6]
+    assert len(files(root, tables[0])) >= 18
+    assert compact(spark, root) == []  # the date of arrival may still grow
+    today = datetime.now(timezone.utc).date()
+
+    # a compaction that stops before its date is entered changes nothing for readers, and is repeated
+    with monkeypatch.context() as patch:
+        patch.setattr(SparkSession, "createDataFrame", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compact(spark, root, through=today)
+    assert filed_to(spark, root) is None and stored() == before
+    assert compact(spark, root, through=today) == [today] and filed_to(spark, root) == today
+    assert stored() == before
+    for table in tables[:2]:
+        compacted = list(Path(root, table).rglob("*.parquet"))
+        assert len(compacted) == 3 and len({f.parent for f in compacted}) == 3
+    assert drop_landed(spark, root, today) == []
+    assert len(drop_landed(spark, root, today + timedelta(days=1))) == 3 and stored() == before
+    assert compact(spark, root, through=today) == []
+    with pytest.raises(ValueError, match="are compacted"):
+        routed(spark, tmp_path, [[message("EVENT", "late")]], "again")
+
+
+def test_compacted_files_have_a_set_size(spark, tmp_path):
+    root = routed(spark, tmp_path, [[message("EVENT", str(n)) for n in range(90)]])
+    compact(spark, root, datetime.now(timezone.utc).date(), rows_per_file=20)
+    assert sorted(spark.read.parquet(str(f)).count() for f in Path(root, "mobile_telemetry_events").rglob("*.parquet")) == [10, 20, 20, 20, 20]
+
+
+def test_finished_dates_are_those_before_the_last(spark, tmp_path):
+    """Arrival dates of a running stream: all but the newest are compacted, and the nightly job reads both kinds."""
+    root, landing = str(tmp_path / "raw"), str(tmp_path / "raw" / "landing")
+    names = ["id", "timestamp", "platform", "event_type", "event_name"]
+    arrived = [("1", 1704153600000, "iOS", "E", "A_FAILURE", "2024-01-02"), ("2", 1704153600001, "iOS", "E", "A_FAILURE", "2024-01-03")]
+    rows_ = spark.createDataFrame(arrived, f"{', '.join(n + (' long' if n == 'timestamp' else ' string') for n in names)}, arrived_on string")
+    filed = rows_.select(
+        *names, F.lit("mobile_telemetry_events").alias("table_name"), F.to_date("arrived_on").alias("arrived_on"), F.to_date(F.lit("2024-01-02")).alias("event_date")
+    )
+    source = feed(spark, str(tmp_path / "in"), [filed])
+    source.writeStream.format("parquet").partitionBy("table_name", "arrived_on", "event_date").option(
+        "checkpointLocation", str(tmp_path / "checkpoint")
+    ).trigger(**DRAIN).start(landing).awaitTermination()
+    store = Store(spark, str(tmp_path / "store"))
+    assert jobs.daily(spark, store, root, datetime(2024, 1, 3, 4)) == []
+    assert filed_to(spark, root) == date(2024, 1, 2)
+    assert len(list(Path(root, "mobile_telemetry_events").rglob("*.parquet"))) == 1
+    found = store.read("summary_crash_errors").collect()
+    assert [(str(r.snapshot_date), r.error_name, r.occurrence_count) for r in found] == [("2024-01-02", "A_FAILURE", 2)]
+
+
+def test_accepted_payloads_are_tagged_and_routed(spark, tmp_path):
+    at = datetime(2024, 1, 5)
+    bodies = [('{"platform":"iOS","event_type":"E","eventName":"n","attributes":{"a":1},"id":"7","timestamp":1704067200000}',), ('{"platform":1}',)]
+    events = payloads.ingest_events(spark.createDataFrame(bodies, "body string"), at).accepted
+    body = '{"platform":"iOS","endpoint":"/x","method":"GET","status_code":200,"latencyMs":5,"timestamp":1704067200000}'
+    metrics = payloads.ingest_api_metrics(spark.createDataFrame([(body,)], "body string"), at).accepted
+    text = tagged_messages(events, "EVENT").unionByName(tagged_messages(metrics, "METRIC"))
+    root = routed(spark, tmp_path, [[tuple(r) for r in text.collect()]])
+    stored = read_routed(spark, root, "mobile_telemetry_events").drop("event_date")
+    assert rows(stored) == rows(events)
+    assert read_routed(spark, root, "mobile_telemetry_api_metrics").select("endpoint", "status_code", "latency_ms").first() == ("/x", 200, 5)
 
 
 def test_stored_tables_stream_with_their_schema(spark, data, tmp_path):
