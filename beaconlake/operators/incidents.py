@@ -6,14 +6,15 @@ the incident table, a plain aggregation of the transitions. Ids derive from the
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconlake.functions.clock import utc, utc_day
+from beaconlake.functions.clock import DAY, utc, utc_day
 from beaconlake.functions.text import humanize_count
-from beaconlake.operators.ordered import rolling_sum, with_neighbours
+from beaconlake.operators.ordered import rolling_sum, slice_window, with_neighbours
 from beaconlake.operators.sinks import conditional_update, upsert_partial
 
 INCIDENT = ["id", "source", "component", "level", "title", "message", "status", "created_at", "resolved_at"]
@@ -65,26 +66,35 @@ def _or(column: str, instead: str) -> Column:
 # CI runs: one incident per workflow, reopened by every failure, closed by the first success after it.
 
 
+def ci_rows(runs: DataFrame) -> DataFrame:
+    """Finished runs of known workflows, with the ``component`` and ``id`` of their incident."""
+    repository = F.substring_index("repository", "/", -1)
+    known = F.col("workflow_id").isNotNull() & F.col("repository").isNotNull()
+    finished = (F.col("action") == "completed") & F.col("conclusion").isin("failure", "success")
+    return runs.where(known & finished).select(
+        "*", repository.alias("component"), _fill(CI_ID, repository, "workflow_id").alias("id")
+    )
+
+
 def ci_transitions(runs: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     """Failures (trigger) and the successes that end one (resolve), in order of (updated_at, run_id).
 
     ``prior`` holds incidents of earlier batches; a success also resolves one that was still active there.
     """
-    repository = F.substring_index("repository", "/", -1)
-    known = F.col("workflow_id").isNotNull() & F.col("repository").isNotNull()
-    finished = (F.col("action") == "completed") & F.col("conclusion").isin("failure", "success")
-    relevant = runs.where(known & finished).select(
-        "*", repository.alias("component"), _fill(CI_ID, repository, "workflow_id").alias("id")
+    return ci_moves(ci_rows(runs), prior)
+
+
+def ci_moves(relevant: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """``ci_transitions`` of ``ci_rows``; ``previous`` is the conclusion before each."""
+    failed, ended = F.col("conclusion") == "failure", F.col("previous") == "failure"
+    ordered = with_neighbours(
+        relevant, ["id"], ["updated_at", "run_id"], previous=F.col("conclusion"), wanted=failed | ended | F.col("previous").isNull()
     )
-    ordered = with_neighbours(relevant, ["id"], ["updated_at", "run_id"], previous=F.col("conclusion"))
     if prior is not None:
         # At most one row per workflow on the prior side, so a busy workflow only repeats, it does not multiply.
         state = prior.select("id", F.when(F.col("status") == "active", "failure").alias("_prior"))
-        ordered = ordered.join(state, "id", "left").withColumn("previous", F.coalesce("previous", "_prior"))
-    failed = F.col("conclusion") == "failure"
-    return ordered.where(failed | (F.col("previous") == "failure")).withColumn(
-        "action", F.when(failed, "trigger").otherwise("resolve")
-    )
+        ordered = ordered.join(state, "id", "left").withColumn("previous", F.coalesce("previous", "_prior")).drop("_prior")
+    return ordered.where(failed | ended).withColumn("action", F.when(failed, "trigger").otherwise("resolve"))
 
 
 def _ci_message() -> Column:
@@ -94,27 +104,27 @@ def _ci_message() -> Column:
 
 
 def ci_incidents(transitions: DataFrame) -> DataFrame:
-    """Current incident row per workflow: its last failure, and the success after it if there is one."""
-    failed, fixed = F.col("action") == "trigger", F.col("action") == "resolve"
-    opening = F.struct(
-        "updated_at", "run_id", _fill(CI_TITLE, "workflow_name", "run_number").alias("title"), _ci_message().alias("message")
-    )
-    latest = F.max(F.when(failed, opening))
-    closed = F.max(F.when(fixed, F.struct("updated_at", "run_id")))
-    state = transitions.groupBy("id", "component").agg(latest.alias("failure"), closed.alias("success"))
-    done = F.coalesce(
-        F.struct("success.updated_at", "success.run_id") > F.struct("failure.updated_at", "failure.run_id"), F.lit(False)
-    ) & F.col("success").isNotNull()
-    return state.select(
+    """Current incident row per workflow: its last failure, and the success after it if there is one.
+
+    The last transition of each kind is cut out before the shuffle, so a workflow is two rows when they meet.
+    """
+    newest = [F.col("updated_at").desc(), F.col("run_id").desc()]
+    last = F.row_number().over(Window.partitionBy("id", "action").orderBy(*newest))
+    two = transitions.withColumn("_rank", last).where("_rank = 1")
+    workflow = Window.partitionBy("id").orderBy("updated_at", "run_id")
+    two = two.select("*", F.lead("updated_at").over(workflow).alias("_next"), F.count("*").over(Window.partitionBy("id")).alias("_rows"))
+    failed = F.col("action") == "trigger"
+    closed = F.when(failed, F.col("_next")).otherwise(F.col("updated_at"))
+    return two.where(failed | (F.col("_rows") == 1)).select(
         "id",
         F.lit("GITHUB").alias("source"),
         "component",
         F.lit("CRITICAL").alias("level"),
-        "failure.title",
-        "failure.message",
-        F.when(done, "resolved").otherwise("active").alias("status"),
-        F.col("failure.updated_at").alias("created_at"),
-        F.when(done, F.col("success.updated_at")).alias("resolved_at"),
+        F.when(failed, _fill(CI_TITLE, "workflow_name", "run_number")).alias("title"),
+        F.when(failed, _ci_message()).alias("message"),
+        F.when(closed.isNull(), "active").otherwise("resolved").alias("status"),
+        F.when(failed, F.col("updated_at")).alias("created_at"),
+        closed.alias("resolved_at"),
     )
 
 
@@ -163,6 +173,7 @@ def probe_incidents(probes: DataFrame, prior: DataFrame | None = None) -> DataFr
         ["probe_ts", "probe_id"],
         previous=healthy,
         following=F.when(healthy, F.col("probe_ts")),
+        wanted=~healthy & F.coalesce("previous", F.lit(True)),
     )
     if prior is not None:
         down = prior.where(F.col("status") == "active").select("component", F.lit(False).alias("_prior")).distinct()
@@ -259,16 +270,21 @@ def quota_incidents(levels: DataFrame) -> DataFrame:
     message of the resolved row.
     """
     poll = F.struct("sample_ts", "sample_id", F.col("rows_read_24h").alias("reads"))
+    order, day = ["sample_ts", "sample_id"], utc_day(F.col("sample_ts"))
+    breached = F.col("level").isNotNull()
+    # Slices are days, so that the breaches of one incident stand in one slice; its first and its last are all it needs.
+    incident = slice_window("level")
+    ends = [F.row_number().over(incident.orderBy(*(F.col(name).asc() if first else F.col(name).desc() for name in order))) == 1 for first in (True, False)]
     ordered = with_neighbours(
-        levels, ["resource"], ["sample_ts", "sample_id"], following=F.when(F.col("level").isNull(), poll)
-    )
-    breaches = ordered.where(F.col("level").isNotNull()).select(
-        "resource", "level", utc_day(F.col("sample_ts")).alias("day"), poll.alias("poll"), F.col("following").alias("nominal")
+        levels, ["resource"], order, following=F.when(~breached, poll), width=DAY, wanted=breached & (ends[0] | ends[1])
     )
+    breaches = ordered.select("resource", "level", day.alias("day"), poll.alias("poll"), F.col("following").alias("nominal"))
+    same = Window.partitionBy("resource", "level", "day").orderBy("poll")
     # The nominal poll that ends the first breach of an incident is the earliest of those that end any of them.
-    folded = breaches.groupBy("resource", "level", "day").agg(
-        F.min("poll.sample_ts").alias("created_at"), F.max("poll").alias("last"), F.min("nominal").alias("nominal")
-    )
+    folded = breaches.select(
+        "*", F.col("poll.sample_ts").alias("created_at"), F.row_number().over(same).alias("_row"),
+        F.last("poll").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("last"),
+    ).where("_row = 1")
     ended = F.col("nominal").isNotNull()
     refreshed = ~ended | (F.col("last") > F.col("nominal"))
     message = F.when(refreshed, _breach_message("last.reads")).otherwise(_nominal_message("nominal.reads"))
@@ -298,8 +314,9 @@ def apply_quota_poll(incidents: DataFrame, polls: DataFrame, as_of: datetime) ->
 
 def quota_outbox(levels: DataFrame) -> DataFrame:
     """A trigger per breaching poll; on the first nominal poll after a breach, a resolve for every level."""
+    breached, before = F.col("level").isNotNull(), F.col("previous")
     return _quota_notices(
-        with_neighbours(levels, ["resource"], ["sample_ts", "sample_id"], previous=F.col("level").isNotNull())
+        with_neighbours(levels, ["resource"], ["sample_ts", "sample_id"], previous=breached, wanted=breached | F.coalesce(before, F.lit(True)))
     )
 
 
@@ -345,15 +362,15 @@ def notification_outbox(runs: DataFrame, probes: DataFrame, levels: DataFrame) -
 
     ``levels`` is read more than once; pass the stored output of ``quota_levels``.
     """
-    parts = [
-        ci_outbox(ci_transitions(runs)),
-        probe_outbox(probe_incidents(probes)),
-        quota_outbox(levels),
+    folds = [
+        lambda: ci_outbox(ci_transitions(runs)),
+        lambda: probe_outbox(probe_incidents(probes)),
+        lambda: quota_outbox(levels),
     ]
-    outbox = parts[0].select(*NOTICE)
-    for part in parts[1:]:
-        outbox = outbox.unionByName(part.select(*NOTICE))
-    return outbox
+    # Each fold runs a job of its own for its slices; the three do not wait for one another.
+    with ThreadPoolExecutor(len(folds)) as pool:
+        parts = [part.select(*NOTICE) for part in pool.map(lambda fold: fold(), folds)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def active_incident_alert(incidents: DataFrame, component: str, as_of: datetime) -> DataFrame:

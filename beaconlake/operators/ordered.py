@@ -1,18 +1,23 @@
 """Ordered per-key lookups that do not put a whole key into one task.
 
 Incident folds need, for a row, the state just before it and the next row of some kind after it. A window over the
-whole key would sort one component's full history in a single task. Here each key is cut into time slices: a window
-runs inside each slice, and one summary row per slice carries state across slices. The second, key-wide window sees
-only those summaries.
+whole key would sort one component's full history in a single task. Here each key is cut into time slices. A window inside
+a slice finds what it can; what a slice means to its neighbours is its summary: the last state in it and the first row of
+that kind. Summaries are associative, so a scan over the slices of a key gives the state before and the row after each.
+
+Rows are read and shuffled once, by key and slice. Only the rows that a fold still wants are kept after the window, the first
+of each slice carries the summary, and these few rows are checkpointed, as the scan and the result both need them.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from beaconlake.session import checkpointed
+
 SLICE = timedelta(hours=1)
 
 
@@ -23,47 +28,57 @@ def with_neighbours(
     previous: Column | None = None,
     following: Column | None = None,
     width: timedelta = SLICE,
+    wanted: Column | None = None,
 ) -> DataFrame:
     """Add ``previous`` and/or ``following``: per row and key, the last non-NULL value of the ``previous`` expression
     among earlier rows, and the first non-NULL value of the ``following`` expression among later rows.
 
-    ``order`` names the ordering columns; the first is a timestamp, and together they must order a key totally.
+    ``order`` names the ordering columns; the first is a timestamp, and together they must order a key totally. ``wanted``
+    is a condition on the rows that the caller needs. It may use ``previous``, which is still NULL then where the slice has
+    no earlier value, and ``slice_window``.
     """
     # Integer slice number: the remainder is taken off first so that no rounding moves a row across a slice border.
     micros, size = F.unix_micros(order[0]), width // timedelta(microseconds=1)
     # In a struct a NULL key equals itself, in windows and joins alike.
-    sliced = rows.withColumn("_key", F.struct(*keys)).withColumn("_slice", micros - F.pmod(micros, F.lit(size)))
-    position = F.struct(*order)
-    in_slice = Window.partitionBy("_key", "_slice")
-    across = Window.partitionBy("_key")
+    # Rows without a time come first, in a slice of their own.
+    number = F.coalesce(micros - F.pmod(micros, F.lit(size)), F.lit(-(2**63)))
+    sliced = rows.withColumn("_key", F.struct(*keys)).withColumn("_slice", number)
+    in_slice, across = Window.partitionBy("_key", "_slice"), Window.partitionBy("_key")
     before = (Window.unboundedPreceding, -1)
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    forwards = in_slice.orderBy(*order)
 
-    wanted, carried, summaries = [], [], []
+    near, summary, carried, names = [], [], [], []
     if previous is not None:
         sliced = sliced.withColumn("_prev", previous)
-        near = F.last("_prev", ignorenulls=True).over(in_slice.orderBy(*order).rowsBetween(*before))
-        summaries.append(F.max_by("_prev", F.when(F.col("_prev").isNotNull(), position)).alias("_last"))
-        carried.append(F.last("_last", ignorenulls=True).over(across.orderBy("_slice").rowsBetween(*before)).alias("_far_prev"))
-        wanted.append(("previous", near, "_far_prev"))
+        near.append(F.last("_prev", ignorenulls=True).over(forwards.rowsBetween(*before)).alias("previous"))
+        summary.append(F.last("_prev", ignorenulls=True).over(forwards.rowsBetween(*whole)).alias("_last"))
+        carried.append(F.last("_last", ignorenulls=True).over(across.orderBy("_slice").rowsBetween(*before)).alias("_far_previous"))
+        names.append("previous")
     if following is not None:
         sliced = sliced.withColumn("_next", following)
-        backwards = [F.col(name).desc() for name in order]
-        near = F.last("_next", ignorenulls=True).over(in_slice.orderBy(*backwards).rowsBetween(*before))
-        summaries.append(F.min_by("_next", F.when(F.col("_next").isNotNull(), position)).alias("_first"))
+        backwards = in_slice.orderBy(*(F.col(name).desc() for name in order))
+        near.append(F.last("_next", ignorenulls=True).over(backwards.rowsBetween(*before)).alias("following"))
+        summary.append(F.first("_next", ignorenulls=True).over(forwards.rowsBetween(*whole)).alias("_first"))
         carried.append(
-            F.last("_first", ignorenulls=True)
-            .over(across.orderBy(F.col("_slice").desc()).rowsBetween(*before))
-            .alias("_far_next")
+            F.last("_first", ignorenulls=True).over(across.orderBy(F.col("_slice").desc()).rowsBetween(*before)).alias("_far_following")
         )
-        wanted.append(("following", near, "_far_next"))
+        names.append("following")
 
-    slices = sliced.groupBy("_key", "_slice").agg(*summaries).select("_key", "_slice", *carried)
-    placed = sliced.select("*", *(near.alias(f"_near_{name}") for name, near, _ in wanted))
-    return placed.join(slices, ["_key", "_slice"], "left").select(
-        *rows.columns, *(F.coalesce(f"_near_{name}", far).alias(name) for name, _, far in wanted)
+    placed = sliced.select("*", *near, *summary, F.row_number().over(forwards).alias("_row"))
+    placed = placed.withColumn("_wanted", F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False)))
+    kept = checkpointed(placed.where(F.col("_wanted") | (F.col("_row") == 1)))
+    slices = kept.where("_row = 1").select("_key", "_slice", *carried)
+    return kept.where("_wanted").join(slices, ["_key", "_slice"], "left").select(
+        *rows.columns, *(F.coalesce(name, f"_far_{name}").alias(name) for name in names)
     )
 
 
+def slice_window(*keys: str) -> WindowSpec:
+    """Rows of one slice of a key that share more keys, for use in a ``wanted`` condition."""
+    return Window.partitionBy("_key", "_slice", *keys)
+
+
 def rolling_sum(
     rows: DataFrame, keys: list[str], at: str, value: str, span: timedelta, width: timedelta = SLICE
 ) -> DataFrame:

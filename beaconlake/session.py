@@ -37,3 +37,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = run_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, partitioned as it is. For small tables that a plan needs twice.
+
+    Spark removes the files with the last reference if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint(eager=True)

@@ -1,23 +1,32 @@
 """Incident lifecycles over streams, folded micro-batch by micro-batch.
 
-A batch is folded with the batch operators, given the incidents that were open before it, and the changed rows are
-published with the batch id. A busy component is thus sliced over tasks as in a batch run instead of living in the
-state of a single one. Batches fold in arrival order, rows inside a batch in time order.
+Any split of the same rows into batches ends in the tables that one batch run over all of them gives, late rows and rows
+delivered twice included. Rows are kept in hourly slices. A batch goes back to the first slice it falls into, for each
+component or workflow: from there on the rows are folded anew with the batch operators, starting from the state before that
+slice, and what the new fold does not confirm is withdrawn. In order, that is the hour that has begun; a late row goes back
+as far as it is late.
+
+Published tables of a stream ``t``: the incidents ``t``, the rows ``t_rows`` by slice, the notices ``t_notices`` by date, and
+``t_withdrawn``, notices that were published and do not hold any more, for deliverers to take back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from beaconlake.functions.clock import utc_day
+from beaconlake.functions.clock import label, utc_day
 from beaconlake.operators import incidents as folds
-from beaconlake.operators.sinks import upsert_full
 from beaconlake.plans.publish import Run, Store
 
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+#: Slice of rows without a time, which come before all others.
+NEVER = "a"
+
 
 def _each_batch(
     rows: DataFrame, store: Store, name: str, fold: Callable, checkpoint: str, trigger: dict | None
@@ -39,34 +48,148 @@ def _each_batch(
     )
 
 
+def _slice(at: str) -> Column:
+    """Hour of a time, as text that sorts as times do and that no reader of folders takes for a time."""
+    return F.coalesce(F.concat(F.lit("h"), label(F.col(at), "yyyy-MM-ddTHH")), F.lit(NEVER))
+
+
+def _before(column: str, first: str) -> Column:
+    """A time that lies before a slice. A null time does."""
+    return _slice(column) < F.col(first)
+
+
+class Refold:
+    """Rows to fold anew: those of the batch, and the stored ones of their keys from the first slice of the batch on."""
+
+    def __init__(self, run: Run, batch: DataFrame, table: str, keys: list[str], at: str, seq: str):
+        self.run, self.keys, self.at = run, keys, at
+        name = f"{table}_rows"
+        fresh = batch.withColumn("slice", _slice(at))
+        #: One row for each key of the batch.
+        self.touched = fresh.groupBy(*keys).agg(F.min("slice").alias("first")).persist()
+        self.first = self.touched.agg(F.min("first")).first()[0]
+        hours = [f"slice={row[0]}" for row in fresh.select("slice").distinct().collect()] if self.first is not None else []
+        stored = run.store.read(name, [p for p in run.parts(name) if self.first is not None and p >= f"slice={self.first}"])
+        rows = fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
+        # a row that comes twice is one row
+        rows = rows.dropDuplicates([*keys, at, seq])
+        self.rows = self.of_touched(rows).where(F.col("slice") >= F.col("first")).drop("slice", "first").persist()
+        run.stage(name, rows.where(F.concat(F.lit("slice="), "slice").isin(hours)).hint("rebalance", "slice"), "slice")
+
+    def of_touched(self, rows: DataFrame) -> DataFrame:
+        """Rows of the batch's keys, each with the ``first`` slice of its key."""
+        known = self.touched.select(*(F.col(k).alias(f"_{k}") for k in self.keys), "first")
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys]
+        return rows.join(known, [*same], "inner").select(*rows.columns, "first")
+
+    def done(self) -> None:
+        self.touched.unpersist()
+        self.rows.unpersist()
+
+
+def _parts_from(run: Run, table: str, column: str, first: str) -> list[str]:
+    """Folders of a dated table from the date of a slice on, and that of rows without a date."""
+    least = f"{column}={first[1:11]}"
+    return [p for p in run.parts(table) if p >= least or p.endswith(NULL_PART) or first == NEVER]
+
+
+def _replace(run: Run, table: str, parts: list[str], rows: DataFrame, column: str) -> None:
+    """Replace folders of a dated table; those that get no row go."""
+    run.drop(table, parts)
+    run.stage(table, rows, column)
+
+
+IDENTITY = ("dedup_key", "action", "at")
+
+
+def stage_notices(
+    run: Run, notices: DataFrame, table: str, replaced: DataFrame | None = None, identity: tuple[str, ...] = IDENTITY
+) -> None:
+    """Stage a run's notices, each once, with those published for the same dates.
+
+    A notice is known by its key, action and time, so a run that is repeated adds nothing; ``identity`` names more columns
+    where one key may send several at a time. ``replaced`` are notices that
+    ``notices`` takes the place of: those that it does not repeat are withdrawn.
+    """
+    fresh = notices.select(*folds.NOTICE).dropDuplicates([*identity]).withColumn("sent_on", utc_day(F.col("at")))
+    gone = None
+    if replaced is not None:
+        same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in identity]
+        gone = replaced.select(*folds.NOTICE).alias("old").join(fresh.alias("new"), same, "left_anti").withColumn("sent_on", utc_day(F.col("at")))
+        gone = gone.persist()
+    fresh = fresh.persist()
+    # Notices of one batch fall on the few dates of its rows.
+    dates = fresh.select("sent_on") if gone is None else fresh.select("sent_on").unionByName(gone.select("sent_on"))
+    days = [f"sent_on={row[0] or NULL_PART}" for row in dates.select(F.col("sent_on").cast("string")).distinct().collect()]
+    stored = run.store.read(table, days)
+    if stored is not None:
+        # a notice that was published keeps its place; so do those of other keys
+        both = fresh.withColumn("_new", F.lit(1)).unionByName(stored.select(*folds.NOTICE, "sent_on").withColumn("_new", F.lit(0)))
+        once = F.row_number().over(Window.partitionBy(*identity).orderBy("_new"))
+        both = both.withColumn("_rank", once).where("_rank = 1").drop("_rank", "_new")
+        if gone is not None:
+            same = [F.col(f"both.{c}").eqNullSafe(F.col(f"gone.{c}")) for c in identity]
+            both = both.alias("both").join(gone.alias("gone"), same, "left_anti")
+    if days:
+        _replace(run, table, days, fresh if stored is None else both, "sent_on")
+    if gone is not None:
+        if not gone.isEmpty():
+            name = table.replace("_notices", "_withdrawn")
+            earlier = run.store.read(name)
+            taken = gone.drop("sent_on")
+            run.stage(name, taken if earlier is None else earlier.unionByName(taken).dropDuplicates([*identity]))
+        gone.unpersist()
+    fresh.unpersist()
+
+
 def maintain_ci(
     runs: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None, table: str = "ci_incidents"
 ) -> StreamingQuery:
     """One current row per workflow; the table is as small as the number of workflows and is rewritten whole.
 
-    The notices of each batch are published with it, in the dated table ``<table>_notices``.
+    The transitions behind it are filed by date in ``<table>_changes``.
     """
 
-    def fold(batch: DataFrame, run) -> None:
-        stored = store.read(table)
-        transitions = folds.ci_transitions(batch, prior=stored).persist()
-        changed = folds.ci_incidents(transitions)
-        run.stage(table, changed if stored is None else merge_ci(stored, changed))
-        stage_notices(run, folds.ci_outbox(transitions), f"{table}_notices")
-        transitions.unpersist()
+    def fold(batch: DataFrame, run: Run) -> None:
+        fold_runs(run, batch, table)
 
     return _each_batch(runs, store, f"{table}-stream", fold, checkpoint, trigger)
 
 
-def stage_notices(run: Run, notices: DataFrame, table: str) -> None:
-    """Stage a run's notices with those already published for the same dates."""
-    fresh = notices.select(*folds.NOTICE).withColumn("sent_on", utc_day(F.col("at"))).persist()
-    # Notices of one batch fall on the few dates of its rows.
-    days = [f"sent_on={row[0]}" for row in fresh.select(F.col("sent_on").cast("string")).distinct().collect()]
-    stored = run.store.read(table, days)
-    if days:
-        run.stage(table, fresh if stored is None else stored.unionByName(fresh), "sent_on")
-    fresh.unpersist()
+def fold_runs(run: Run, batch: DataFrame, table: str = "ci_incidents") -> None:
+    """Stage what a batch of CI runs changes."""
+    store, changes = run.store, f"{table}_changes"
+    refold = Refold(run, folds.ci_rows(batch), table, ["id"], "updated_at", "run_id")
+    if refold.first is None:
+        return refold.done()
+    current = store.read(table)
+    parts = _parts_from(run, changes, "changed_on", refold.first)
+    stored = store.read(changes, parts) if parts else None
+    prior, old = None, None
+    if current is not None:
+        # Before its first slice a workflow was failing if its first change since then says so, or, if there is none, if its
+        # incident opened earlier and is still active.
+        known = refold.of_touched(current).where(_before("created_at", "first")).select("id", "status")
+        prior = known
+        if stored is not None:
+            old = refold.of_touched(stored).where(~_before("updated_at", "first")).persist()
+            first = F.row_number().over(Window.partitionBy("id").orderBy("updated_at", "run_id"))
+            was = F.when(F.col("previous") == "failure", "active").otherwise("resolved").alias("was")
+            since = old.withColumn("_rank", first).where("_rank = 1").select("id", was)
+            prior = known.join(since, "id", "full_outer").select("id", F.coalesce("was", "status").alias("status"))
+    transitions = folds.ci_moves(refold.rows, prior).persist()
+    changed = folds.ci_incidents(transitions)
+    run.stage(table, changed if current is None else merge_ci(current, changed))
+    filed = transitions.withColumn("changed_on", utc_day(F.col("updated_at")))
+    if stored is not None:
+        filed = stored.join(old.select("id", "updated_at", "run_id"), ["id", "updated_at", "run_id"], "left_anti").unionByName(filed)
+    _replace(run, changes, parts, filed, "changed_on")
+    replaced = None if old is None else folds.ci_outbox(old)
+    stage_notices(run, folds.ci_outbox(transitions), f"{table}_notices", replaced, (*IDENTITY, "summary"))  # runs may end at one time
+    for held in (transitions, old):
+        if held is not None:
+            held.unpersist()
+    refold.done()
 
 
 def merge_ci(stored: DataFrame, changed: DataFrame) -> DataFrame:
@@ -86,7 +209,7 @@ def merge_ci(stored: DataFrame, changed: DataFrame) -> DataFrame:
 def maintain_probes(
     probes: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None, table: str = "probe_incidents"
 ) -> StreamingQuery:
-    """All outages, filed by the date they opened, plus the small table of those still open and the dated notices."""
+    """All outages, filed by the date they ended, plus the small table of those still open."""
 
     def fold(batch: DataFrame, run: Run) -> None:
         fold_probes(run, batch, table)
@@ -95,25 +218,39 @@ def maintain_probes(
 
 
 def fold_probes(run: Run, batch: DataFrame, table: str = "probe_incidents") -> None:
-    """Stage what a batch of probes opens and closes, and its notices in ``<table>_notices``."""
-    store, still_open = run.store, f"{table}_open"
-    # Open incidents: at most one per component.
-    prior = store.read(still_open)
-    opened = folds.probe_incidents(batch, prior=prior)
-    notices = folds.probe_outbox(opened)
-    if prior is not None:
-        recovered = folds.probe_recoveries(batch).withColumnRenamed("component", "_component")
+    """Stage what a batch of probes opens, closes and withdraws.
+
+    An outage that a batch can change is still open or ended in one of the slices folded anew, so only the folder of open
+    outages and those of dates since the first slice are read.
+    """
+    refold = Refold(run, batch, table, ["component"], "probe_ts", "probe_id")
+    if refold.first is None:
+        return refold.done()
+    parts = _parts_from(run, table, "closed_on", refold.first)
+    stored = run.store.read(table, parts) if parts else None
+    carried, old = None, None
+    if stored is not None:
+        stored = stored.select(*folds.INCIDENT)
+        ends_later = F.col("resolved_at").isNull() | ~_before("resolved_at", "first")
+        old = refold.of_touched(stored).where(ends_later).persist()
+        # at most one outage of a component began before its first slice and ended in it or later
+        spanning = old.where(_before("created_at", "first")).select(*folds.INCIDENT)
+        prior = spanning.withColumn("status", F.lit("active"))
+        opened = folds.probe_incidents(refold.rows, prior=prior)
+        recovered = folds.probe_recoveries(refold.rows).withColumnRenamed("component", "_component")
         carried = prior.join(recovered, F.col("component").eqNullSafe(F.col("_component")), "left").select(
             *(name for name in folds.INCIDENT if name not in ("status", "resolved_at")),
             F.when(F.col("recovered_at").isNull(), "active").otherwise("resolved").alias("status"),
             F.col("recovered_at").alias("resolved_at"),
         )
-        notices = notices.unionByName(folds.probe_outbox(carried).where(F.col("action") == "resolve"))
-        opened = opened.unionByName(carried)
-    changed = opened.withColumn("opened_on", utc_day(F.col("created_at"))).persist()
-    days = [f"opened_on={row[0]}" for row in changed.select(F.col("opened_on").cast("string")).distinct().collect()]
-    stored = store.read(table, days)
-    run.stage(table, changed if stored is None else upsert_full(stored, changed, ["id"]), "opened_on")
-    run.stage(still_open, changed.where(F.col("status") == "active").select(*folds.INCIDENT))
-    stage_notices(run, notices, f"{table}_notices")
-    changed.unpersist()
+        found = opened.unionByName(carried).persist()
+        kept = stored.join(old.select("id"), "id", "left_anti").unionByName(found)
+    else:
+        kept = found = folds.probe_incidents(refold.rows).persist()
+    _replace(run, table, parts, kept.withColumn("closed_on", utc_day(F.col("resolved_at"))), "closed_on")
+    run.stage(f"{table}_open", kept.where(F.col("status") == "active").select(*folds.INCIDENT))
+    stage_notices(run, folds.probe_outbox(found), f"{table}_notices", None if old is None else folds.probe_outbox(old.select(*folds.INCIDENT)))
+    for held in (found, old):
+        if held is not None:
+            held.unpersist()
+    refold.done()

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from beaconlake.operators import ci, incidents, rollups, snapshots
+from beaconlake.operators import ci, incidents, ordered, rollups, snapshots
 from beaconlake.plans.registry import COMPONENTS, EVENTS_AS_OF, LANGUAGES, ORDERS_AS_OF, QUERIES, REPOSITORIES
 from beaconlake.sources.derived import table
 
@@ -52,16 +52,40 @@ def test_latest_lookups_do_not_sort_a_component(spark, data):
         assert "Window" not in text and "BroadcastHashJoin" in text
 
 
-@pytest.mark.parametrize("build", ["probe_incidents", "ci_transitions", "quota_levels"])
-def test_folds_never_partition_rows_by_the_bare_key(spark, data, build):
-    source = {"probe_incidents": "health_probes", "ci_transitions": "ci_runs", "quota_levels": "usage_samples"}[build]
-    text = plan(getattr(incidents, build)(table(spark, data, source)))
-    # The one window over a whole key runs on slice summaries, which come out of an aggregation.
+FOLDS = {
+    "probe_incidents": ("health_probes", incidents.probe_incidents),
+    "ci_transitions": ("ci_runs", incidents.ci_transitions),
+    "ci_incidents": ("ci_runs", lambda runs: incidents.ci_incidents(incidents.ci_transitions(runs))),
+    "quota_outbox": ("usage_samples", lambda rows: incidents.quota_outbox(_stored_levels(rows))),
+    "quota_incidents": ("usage_samples", lambda rows: incidents.quota_incidents(_stored_levels(rows))),
+}
+
+
+def _stored_levels(rows):
+    return rows.withColumn("rows_read_24h", F.col("rows_read")).withColumn("level", incidents.quota_level(F.col("rows_read")))
+
+
+@pytest.mark.parametrize("name", FOLDS)
+def test_folds_read_and_shuffle_rows_once(spark, data, name, monkeypatch):
+    first, keep = [], ordered.checkpointed
+    monkeypatch.setattr(ordered, "checkpointed", lambda df: first.append(plan(df)) or keep(df))
+    source, fold = FOLDS[name]
+    rest = plan(fold(table(spark, data, source)))
+    assert len(first) == 1 and first[0].count("FileScan") == 1 and "SortAggregate" not in first[0] + rest
+    # the rows: one exchange, by key and slice; a window over a whole key sees one summary row for each slice
+    assert len(exchanges(first[0])) == 1 and "hashpartitioning(_key" in first[0] and "_slice" in exchanges(first[0])[0]
+    assert "FileScan" not in rest
+    lines = rest.splitlines()
+    for n, line in enumerate(lines):
+        if "Exchange hashpartitioning(_key" in line and "_slice" not in line:
+            assert any("(_row" in below and "= 1)" in below for below in lines[n + 1 : n + 4])
+
+
+def test_rolling_sums_never_partition_rows_by_the_bare_key(spark, data):
+    text = plan(incidents.quota_levels(table(spark, data, "usage_samples")))
     for part in text.split("Exchange hashpartitioning(")[1:]:
-        keys = part.split(", 4)")[0]
-        if "_slice" not in keys:
-            below = part.split("\n")[1]
-            assert "Aggregate" in below, below
+        if "_slice" not in part.split(", 4)")[0]:
+            assert "Aggregate" in part.split("\n")[1]
 
 
 def test_a_hot_component_is_spread(spark):

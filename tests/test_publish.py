@@ -124,7 +124,7 @@ def test_half_hourly_job(spark, store):
     assert sent == [
         *(("resolve", f"billing-quota-breach-main-{level}", "2024-01-03") for level in ("critical", "fatal", "warning")),
         ("trigger", "billing-quota-breach-main-critical", "2024-01-02"),
-        *[("trigger", "billing-quota-breach-main-warning", "2024-02-10")] * 2,
+        ("trigger", "billing-quota-breach-main-warning", "2024-02-10"),
     ]
     assert store.read("stats_history").count() == store.read("app_metrics2").count() == 1
     found = {r.id: (r.status, r.message) for r in store.read("quota_incidents").collect()}

@@ -1,6 +1,7 @@
 """Streams fed in many batches, with duplicates, replays and late rows, against one batch run."""
 
 import json
+import random
 import shutil
 from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
@@ -98,6 +99,90 @@ def test_ci_stream_equals_replay(spark, tmp_path, pieces):
     assert sorted(got, key=str) == replay_runs(data)[0]
 
 
+def split(rng, data, pieces):
+    """Rows dealt to batches at random; some come twice, in the same batch or a later one."""
+    batches = [[] for _ in range(pieces)]
+    for row in data:
+        batches[rng.randrange(pieces)].append(row)
+        if rng.random() < 0.1:
+            batches[rng.randrange(pieces)].append(row)
+    return [batch for batch in batches if batch]
+
+
+def notices(df):
+    return sorted(map(str, df.select(*folds.NOTICE).collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_probes_dealt_to_batches_at_random_equal_one_run(spark, tmp_path, seed):
+    data = [*probe_rows(seed, 60), (900, None, "svc-0", 503, None, None), (901, datetime(2024, 1, 2), None, 503, None, None)]
+    store = Store(spark, str(tmp_path / "store"))
+    for number, batch in enumerate(split(random.Random(seed), data, 5)):
+        run = store.begin("probes", number)
+        incident_streams.fold_probes(run, spark.createDataFrame(batch, PROBE))
+        run.publish()
+        found = store.read("probe_incidents").collect()
+        assert all(r.resolved_at is None or r.created_at is None or r.resolved_at >= r.created_at for r in found)
+    whole = folds.probe_incidents(spark.createDataFrame(data, PROBE)).persist()
+    assert rows(store.read("probe_incidents").select(*folds.INCIDENT)) == rows(whole)
+    assert rows(store.read("probe_incidents_open").select(*folds.INCIDENT)) == rows(whole.where("status = 'active'"))
+    sent = store.read("probe_incidents_notices")
+    assert notices(sent) == notices(folds.probe_outbox(whole))
+    # what was published once and does not hold any more can be taken back
+    gone = store.read("probe_incidents_withdrawn")
+    assert gone.count() > 0 and gone.where("action = 'trigger'").join(sent, ["dedup_key", "action", "at"], "left_semi").count() < gone.count()
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_runs_dealt_to_batches_at_random_equal_one_run(spark, tmp_path, seed):
+    data = run_rows(seed, 90)
+    store = Store(spark, str(tmp_path / "store"))
+    for number, batch in enumerate(split(random.Random(seed), data, 5)):
+        run = store.begin("runs", number)
+        incident_streams.fold_runs(run, spark.createDataFrame(batch, RUN))
+        run.publish()
+        assert store.read("ci_incidents").where("resolved_at < created_at").count() == 0
+    moves = folds.ci_transitions(spark.createDataFrame(data, RUN)).persist()
+    assert rows(store.read("ci_incidents").select(*folds.INCIDENT)) == rows(folds.ci_incidents(moves))
+    assert notices(store.read("ci_incidents_notices")) == notices(folds.ci_outbox(moves))
+
+
+def test_a_late_healthy_probe_does_not_end_a_later_outage(spark, tmp_path):
+    at = datetime(2024, 1, 1, 3)
+    store = Store(spark, str(tmp_path / "store"))
+    steps = [
+        ([(2, at + timedelta(minutes=10), "a", 503, None, None)], [("active", 10, None)], 0),
+        ([(1, at, "a", 200, "UP", None)], [("active", 10, None)], 0),  # before the failure: nothing ends
+        ([(3, at + timedelta(minutes=20), "a", 200, "UP", None)], [("resolved", 10, 20)], 0),
+        ([(0, at + timedelta(minutes=5), "a", 503, None, None)], [("resolved", 5, 20)], 2),  # the outage began earlier
+        ([(4, at + timedelta(minutes=7), "a", 200, "UP", None)], [("resolved", 5, 7), ("resolved", 10, 20)], 3),  # and was two
+    ]
+    for number, (batch, expected, withdrawn) in enumerate(steps):
+        for again in range(2):  # a repeated batch changes nothing
+            run = store.begin("probes", 2 * number + again)
+            incident_streams.fold_probes(run, spark.createDataFrame(batch, PROBE))
+            run.publish()
+            found = [
+                (r.status, *(None if t is None else (t - at) // timedelta(minutes=1) for t in (r.created_at, r.resolved_at)))
+                for r in store.read("probe_incidents").collect()
+            ]
+            assert sorted(found) == expected
+            gone = store.read("probe_incidents_withdrawn")
+            assert (0 if gone is None else gone.count()) == withdrawn
+    assert notices(store.read("probe_incidents_notices")) == notices(folds.probe_outbox(store.read("probe_incidents").select(*folds.INCIDENT)))
+
+
+def test_a_poll_run_twice_leaves_one_notice(spark, tmp_path):
+    store, at = Store(spark, str(tmp_path / "store")), datetime(2024, 1, 1, 3)
+    probes = spark.createDataFrame([(1, at, "a", 503, None, None)], PROBE)
+    for _ in range(2):
+        jobs.ten_minutely(store, probes, at, "a")
+    assert store.read("probe_incidents_notices").count() == 1 and store.read("probe_incidents").count() == 1
+    for _ in range(2):
+        jobs.ten_minutely(store, probes, at + timedelta(minutes=10), "a")
+    assert store.read("alerts").count() == 2  # one each for the run that found it open, and the next
+
+
 def message(tag, id, at=1704067200000, **data):
     return (json.dumps({"queueType": tag, "data": {"id": id, "timestamp": at, **data}}),)
 
