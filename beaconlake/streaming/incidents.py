@@ -6,14 +6,14 @@ component or workflow: from there on the rows are folded anew with the batch ope
 slice, and what the new fold does not confirm is withdrawn. In order, that is the hour that has begun; a late row goes back
 as far as it is late.
 
-Published tables of a stream ``t``: the incidents ``t``, the rows ``t_rows`` by slice, the notices ``t_notices`` by date, and
-``t_withdrawn``, notices that were published and do not hold any more, for deliverers to take back.
+Published tables of a stream ``t``: the incidents ``t``, its rows ``t_rows``, the notices ``t_notices``, and ``t_withdrawn``,
+notices that were published and do not hold any more, for deliverers to take back. Rows and notices grow by what a batch
+adds (``deltas``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from beaconlake.functions.clock import label, utc_day
 from beaconlake.operators import incidents as folds
 from beaconlake.plans.publish import Run, Store
+from beaconlake.streaming import deltas
 
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 #: Slice of rows without a time, which come before all others.
@@ -61,20 +62,20 @@ def _before(column: str, first: str) -> Column:
 class Refold:
     """Rows to fold anew: those of the batch, and the stored ones of their keys from the first slice of the batch on."""
 
-    def __init__(self, run: Run, batch: DataFrame, table: str, keys: list[str], at: str, seq: str):
-        self.run, self.keys, self.at = run, keys, at
-        name = f"{table}_rows"
+    def __init__(self, run: Run, batch: DataFrame, table: str, keys: list[str], at: str, seq: str, filed: str = deltas.DAY):
+        self.keys = keys
         fresh = batch.withColumn("slice", _slice(at))
         #: One row for each key of the batch.
         self.touched = fresh.groupBy(*keys).agg(F.min("slice").alias("first")).persist()
         self.first = self.touched.agg(F.min("first")).first()[0]
-        hours = [f"slice={row[0]}" for row in fresh.select("slice").distinct().collect()] if self.first is not None else []
-        stored = run.store.read(name, [p for p in run.parts(name) if self.first is not None and p >= f"slice={self.first}"])
+        if self.first is None:
+            return
+        stored = deltas.read(run.store, f"{table}_rows", self.first[1 : 1 + len(filed)] or None)
         rows = fresh if stored is None else stored.select(*fresh.columns).unionByName(fresh)
         # a row that comes twice is one row
-        rows = rows.dropDuplicates([*keys, at, seq])
-        self.rows = self.of_touched(rows).where(F.col("slice") >= F.col("first")).drop("slice", "first").persist()
-        run.stage(name, rows.where(F.concat(F.lit("slice="), "slice").isin(hours)).hint("rebalance", "slice"), "slice")
+        rows = self.of_touched(rows).where(F.col("slice") >= F.col("first")).drop("slice", "first")
+        self.rows = rows.dropDuplicates([*keys, at, seq]).persist()
+        deltas.add(run, f"{table}_rows", fresh, deltas.period(F.col(at), filed), lambda old: old.dropDuplicates([*keys, at, seq]))
 
     def of_touched(self, rows: DataFrame) -> DataFrame:
         """Rows of the batch's keys, each with the ``first`` slice of its key."""
@@ -84,7 +85,8 @@ class Refold:
 
     def done(self) -> None:
         self.touched.unpersist()
-        self.rows.unpersist()
+        if self.first is not None:
+            self.rows.unpersist()
 
 
 def _parts_from(run: Run, table: str, column: str, first: str) -> list[str]:
@@ -103,41 +105,30 @@ IDENTITY = ("dedup_key", "action", "at")
 
 
 def stage_notices(
-    run: Run, notices: DataFrame, table: str, replaced: DataFrame | None = None, identity: tuple[str, ...] = IDENTITY
-) -> None:
-    """Stage a run's notices, each once, with those published for the same dates.
+    run: Run, notices: DataFrame, table: str, replaced: DataFrame | None = None, identity: tuple[str, ...] = IDENTITY,
+    filed: str = deltas.DAY,
+) -> None:
+    """Stage a run's notices, each once.
 
     A notice is known by its key, action and time, so a run that is repeated adds nothing; ``identity`` names more columns
-    where one key may send several at a time. ``replaced`` are notices that
-    ``notices`` takes the place of: those that it does not repeat are withdrawn.
+    where one key may send several at a time. ``replaced`` are published notices that ``notices`` takes the place of: those
+    that it does not repeat are withdrawn. Without it nothing is withdrawn, and published notices of the same dates are
+    compared.
     """
-    fresh = notices.select(*folds.NOTICE).dropDuplicates([*identity]).withColumn("sent_on", utc_day(F.col("at")))
-    gone = None
-    if replaced is not None:
-        same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in identity]
-        gone = replaced.select(*folds.NOTICE).alias("old").join(fresh.alias("new"), same, "left_anti").withColumn("sent_on", utc_day(F.col("at")))
-        gone = gone.persist()
-    fresh = fresh.persist()
-    # Notices of one batch fall on the few dates of its rows.
-    dates = fresh.select("sent_on") if gone is None else fresh.select("sent_on").unionByName(gone.select("sent_on"))
-    days = [f"sent_on={row[0] or NULL_PART}" for row in dates.select(F.col("sent_on").cast("string")).distinct().collect()]
-    stored = run.store.read(table, days)
-    if stored is not None:
-        # a notice that was published keeps its place; so do those of other keys
-        both = fresh.withColumn("_new", F.lit(1)).unionByName(stored.select(*folds.NOTICE, "sent_on").withColumn("_new", F.lit(0)))
-        once = F.row_number().over(Window.partitionBy(*identity).orderBy("_new"))
-        both = both.withColumn("_rank", once).where("_rank = 1").drop("_rank", "_new")
-        if gone is not None:
-            same = [F.col(f"both.{c}").eqNullSafe(F.col(f"gone.{c}")) for c in identity]
-            both = both.alias("both").join(gone.alias("gone"), same, "left_anti")
-    if days:
-        _replace(run, table, days, fresh if stored is None else both, "sent_on")
-    if gone is not None:
+    sent = deltas.period(F.col("at"), filed)
+    fresh = notices.select(*folds.NOTICE).dropDuplicates([*identity]).persist()
+    if replaced is None:
+        # Notices of one batch fall on the few dates of its rows.
+        days = {row[0] for row in fresh.select(sent).distinct().collect()}
+        stored = deltas.read(run.store, table, only=days)
+        if stored is not None:
+            same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in identity]
+            fresh = fresh.alias("new").join(stored.alias("old"), same, "left_anti")
+        deltas.add(run, table, fresh, sent)
+    else:
+        gone = deltas.change(run, table, fresh, replaced.select(*folds.NOTICE), [*identity], sent)
         if not gone.isEmpty():
-            name = table.replace("_notices", "_withdrawn")
-            earlier = run.store.read(name)
-            taken = gone.drop("sent_on")
-            run.stage(name, taken if earlier is None else earlier.unionByName(taken).dropDuplicates([*identity]))
+            deltas.add(run, table.replace("_notices", "_withdrawn"), gone, sent)
         gone.unpersist()
     fresh.unpersist()
 
@@ -147,7 +138,7 @@ def maintain_ci(
 ) -> StreamingQuery:
     """One current row per workflow; the table is as small as the number of workflows and is rewritten whole.
 
-    The transitions behind it are filed by date in ``<table>_changes``.
+    The transitions behind it are filed in ``<table>_changes``.
     """
 
     def fold(batch: DataFrame, run: Run) -> None:
@@ -157,36 +148,32 @@ def maintain_ci(
 
 
 def fold_runs(run: Run, batch: DataFrame, table: str = "ci_incidents") -> None:
-    """Stage what a batch of CI runs changes."""
-    store, changes = run.store, f"{table}_changes"
-    refold = Refold(run, folds.ci_rows(batch), table, ["id"], "updated_at", "run_id")
+    """Stage what a batch of CI runs changes. Runs are few, so rows, transitions and notices are filed by month."""
+    store, changes, filed = run.store, f"{table}_changes", deltas.MONTH
+    refold = Refold(run, folds.ci_rows(batch), table, ["id"], "updated_at", "run_id", filed)
     if refold.first is None:
         return refold.done()
     current = store.read(table)
-    parts = _parts_from(run, changes, "changed_on", refold.first)
-    stored = store.read(changes, parts) if parts else None
+    stored = deltas.read(store, changes, refold.first[1:8] or None)
     prior, old = None, None
     if current is not None:
         # Before its first slice a workflow was failing if its first change since then says so, or, if there is none, if its
         # incident opened earlier and is still active.
-        known = refold.of_touched(current).where(_before("created_at", "first")).select("id", "status")
-        prior = known
+        prior = refold.of_touched(current).where(_before("created_at", "first")).select("id", "status")
         if stored is not None:
-            old = refold.of_touched(stored).where(~_before("updated_at", "first")).persist()
+            old = refold.of_touched(stored).where(~_before("updated_at", "first")).drop("first").persist()
             first = F.row_number().over(Window.partitionBy("id").orderBy("updated_at", "run_id"))
             was = F.when(F.col("previous") == "failure", "active").otherwise("resolved").alias("was")
             since = old.withColumn("_rank", first).where("_rank = 1").select("id", was)
-            prior = known.join(since, "id", "full_outer").select("id", F.coalesce("was", "status").alias("status"))
+            prior = prior.join(since, "id", "full_outer").select("id", F.coalesce("was", "status").alias("status"))
     transitions = folds.ci_moves(refold.rows, prior).persist()
     changed = folds.ci_incidents(transitions)
     run.stage(table, changed if current is None else merge_ci(current, changed))
-    filed = transitions.withColumn("changed_on", utc_day(F.col("updated_at")))
-    if stored is not None:
-        filed = stored.join(old.select("id", "updated_at", "run_id"), ["id", "updated_at", "run_id"], "left_anti").unionByName(filed)
-    _replace(run, changes, parts, filed, "changed_on")
+    at = deltas.period(F.col("updated_at"), filed)
+    gone = deltas.change(run, changes, transitions, old, ["id", "updated_at", "run_id", "action", "previous"], at)
     replaced = None if old is None else folds.ci_outbox(old)
-    stage_notices(run, folds.ci_outbox(transitions), f"{table}_notices", replaced, (*IDENTITY, "summary"))  # runs may end at one time
-    for held in (transitions, old):
+    stage_notices(run, folds.ci_outbox(transitions), f"{table}_notices", replaced, (*IDENTITY, "summary"), filed)  # runs may end at one time
+    for held in (transitions, old, gone):
         if held is not None:
             held.unpersist()
     refold.done()

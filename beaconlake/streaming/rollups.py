@@ -1,14 +1,15 @@
 """Continuously maintained rollups.
 
-Each micro-batch is aggregated to additive parts (counts and sums per day), and the parts are added to those already
-published for the same dates. Nothing waits for a watermark, so a row counts on its own day however late it arrives;
-the published manifest remembers the last batch, so a replay after a failure adds nothing twice. Percentiles, means
-and top keywords are derived from the parts when read.
+Each micro-batch is aggregated to additive parts (counts and sums per day), which are filed beside those already published
+for the same dates: a batch writes what it adds, and dates with many parts are summed up now and then. Nothing waits for a
+watermark, so a row counts on its own day however late it arrives; the published manifest remembers the last batch, so a
+replay after a failure adds nothing twice. Parts are summed, and percentiles, means and top keywords derived, when read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from beaconlake.operators import rollups
 from beaconlake.plans.publish import Store
+from beaconlake.streaming import deltas
 
 # Additive part tables: name -> (aggregation of dated raw rows, keys, summed columns).
 Part = tuple[Callable[[DataFrame], DataFrame], list[str], list[str]]
@@ -41,30 +43,36 @@ EVENT_PARTS: dict[str, Part] = {
 }
 
 
-def add_parts(stored: DataFrame | None, fresh: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-    if stored is None:
-        return fresh
-    both = stored.select(*keys, *sums).unionByName(fresh.select(*keys, *sums))
-    return both.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in sums))
+PARTS = METRIC_PARTS | EVENT_PARTS
+
+
+def summed(table: str, rows: DataFrame) -> DataFrame:
+    """One row for each key of a part table."""
+    _, keys, sums = PARTS[table]
+    return rows.groupBy(*keys).agg(*(F.sum(name).alias(name) for name in sums))
+
+
+def read_part(store: Store, table: str) -> DataFrame:
+    return summed(table, deltas.read(store, table))
 
 
 def maintain(
-    raw: DataFrame, parts: dict[str, Part], store: Store, name: str, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Keep the part tables of one raw stream up to date; all of them are published together per batch."""
+    raw: DataFrame, parts: dict[str, Part], store: Store, name: str, checkpoint: str, trigger: dict | None = None,
+    most: int = deltas.MOST,
+) -> StreamingQuery:
+    """Keep the part tables of one raw stream up to date; all of them are published together per batch.
+
+    A date with more than ``most`` parts is summed up by the next batch that adds to the table.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         run = store.begin(name, batch_id)
         if run.done:
             return
         dated = rollups.with_day(batch).persist()
-        # A batch holds few distinct days, and only those are read and rewritten.
-        days = [
-            f"snapshot_date={row[0] or '__HIVE_DEFAULT_PARTITION__'}"
-            for row in dated.select(F.col("snapshot_date").cast("string")).distinct().collect()
-        ]
-        for table, (aggregate, keys, sums) in parts.items():
-            run.stage(table, add_parts(store.read(table, days), aggregate(dated), keys, sums), "snapshot_date")
+        date = F.coalesce(F.col("snapshot_date").cast("string"), F.lit(deltas.NEVER))
+        for table, (aggregate, _, _) in parts.items():
+            deltas.add(run, table, aggregate(dated), date, partial(summed, table), most)
         run.publish()
         dated.unpersist()
 
@@ -77,20 +85,20 @@ def maintain(
 
 
 def api_performance(store: Store) -> DataFrame:
-    return rollups.performance_from_histogram(store.read("part_latency"))
+    return rollups.performance_from_histogram(read_part(store, "part_latency"))
 
 
 def endpoint_latency(store: Store) -> DataFrame:
-    return rollups.latency_from_sums(store.read("part_endpoints"))
+    return rollups.latency_from_sums(read_part(store, "part_endpoints"))
 
 
 def funnel(store: Store) -> DataFrame:
-    return rollups.funnel_from_steps(store.read("part_funnel"))
+    return rollups.funnel_from_steps(read_part(store, "part_funnel"))
 
 
 def errors(store: Store) -> DataFrame:
-    return store.read("part_errors")
+    return read_part(store, "part_errors")
 
 
 def screens(store: Store) -> DataFrame:
-    return store.read("part_screens")
+    return read_part(store, "part_screens")

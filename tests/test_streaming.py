@@ -3,6 +3,7 @@
 import json
 import random
 import shutil
+from collections import Counter
 from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
@@ -54,6 +55,28 @@ def test_rollup_stream_counts_late_rows_once(spark, data, tmp_path):
     assert rows(rollup_streams.endpoint_latency(store)) == rows(rollups.daily_endpoint_latency(raw))
 
 
+def test_a_batch_writes_what_it_adds_and_crowded_dates_are_merged(spark, data, tmp_path):
+    raw = table(spark, data, "mobile_telemetry_events").where(F.col("timestamp") < epoch_ms(datetime(2024, 1, 4))).persist()
+    batches = [raw.where(F.pmod(F.xxhash64("id"), F.lit(6)) == n) for n in range(6)]
+    parts = {"part_screens": rollup_streams.EVENT_PARTS["part_screens"]}
+    each = Counter(str(r.snapshot_date) for b in batches for r in rollups.daily_screens(b).select("snapshot_date").distinct().collect())
+    assert max(each.values()) > 3
+    for name, most, expected in (("plain", 64, each), ("merged", 2, None)):
+        store = Store(spark, str(tmp_path / name))
+        stream = feed(spark, str(tmp_path / f"{name}-in"), batches)
+        rollup_streams.maintain(stream, parts, store, "events", str(tmp_path / f"{name}-checkpoint"), DRAIN, most).awaitTermination()
+        assert rows(rollup_streams.screens(store)) == rows(rollups.daily_screens(raw))
+        folders = Counter(p.removeprefix("part=").split("~")[0] for p in store.begin().parts("part_screens"))
+        if expected:
+            # one folder of each date for each batch, with the rows of that batch alone
+            assert folders == expected
+            for path in Path(store.root, "part_screens").glob("version=*"):
+                stored = spark.read.parquet(str(path)).agg(F.sum("visit_count")).first()[0]
+                assert stored < raw.where(F.col("event_name").ilike("%_SCREEN")).count() / 3
+        else:
+            assert max(folders.values()) <= most + 1
+
+
 def test_a_replayed_batch_adds_nothing(spark, data, tmp_path):
     raw = table(spark, data, "mobile_telemetry_events")
     store = Store(spark, str(tmp_path / "store"))
