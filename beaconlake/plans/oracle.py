@@ -686,5 +686,6 @@ for _stream, _batch in (
     ("stream_ci_incidents", "ci_incidents"),
     ("stream_probe_incidents", "probe_incidents"),
     ("compact_routed", "route_tagged_stream"),
+    ("stream_quota_levels", "quota_levels"),
 ):
     SQL[_stream] = SQL[_batch]

@@ -20,6 +20,7 @@ from beaconlake.sources import payloads
 from beaconlake.sources.derived import stream, table
 from beaconlake.streaming import incidents as incident_streams
 from beaconlake.streaming import ingest
+from beaconlake.streaming import quota as quota_streams
 from beaconlake.streaming import rollups as rollup_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -816,3 +817,11 @@ def stream_probe_incidents(spark, data):
         stream(spark, data, "health_probes"), store, f"{base}/checkpoint", DRAIN
     ).awaitTermination()
     return as_text(store.read("probe_incidents").select(*incidents.INCIDENT))
+
+
+@query
+def stream_quota_levels(spark, data):
+    base = run_dir(spark, "quota")
+    store = Store(spark, f"{base}/store")
+    quota_streams.maintain_quota(stream(spark, data, "usage_samples"), store, f"{base}/checkpoint", DRAIN).awaitTermination()
+    return quota_streams.levels(store).select("sample_id", "resource", "rows_read_24h", "level")

@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from test_incidents import PROBE, RUN, probe_rows, replay_probes, replay_runs, run_rows
+from test_incidents import PROBE, RUN, probe_rows, replay_probes, replay_runs, run_rows, times
 
 from beaconlake.functions.clock import epoch_ms
 from beaconlake.operators import incidents as folds
@@ -21,6 +21,7 @@ from beaconlake.sources import payloads
 from beaconlake.sources.derived import table
 from beaconlake.sources.tables import stream_table
 from beaconlake.streaming import incidents as incident_streams
+from beaconlake.streaming import quota as quota_streams
 from beaconlake.streaming import rollups as rollup_streams
 from beaconlake.streaming.ingest import compact, drop_landed, filed_to, read_routed, route_tagged_stream, tagged_messages
 
@@ -206,6 +207,43 @@ def test_a_poll_run_twice_leaves_one_notice(spark, tmp_path):
     assert store.read("alerts").count() == 2  # one each for the run that found it open, and the next
 
 
+SAMPLE = "sample_id bigint, sample_ts timestamp, resource string, rows_read bigint"
+
+
+@pytest.mark.parametrize("pieces", [1, 4])
+def test_samples_dealt_to_batches_at_random_have_the_levels_of_one_run(spark, tmp_path, pieces):
+    rng = random.Random(pieces)
+    data = [(i, at, f"db{i % 2}", rng.choice([None, 0, 300000, 900000, 2500000])) for i, at in enumerate(times(rng, 120))]
+    # a dense stretch, in which hours a day apart both have samples
+    data += [(200 + i, datetime(2025, 1, 1) + i * timedelta(minutes=25), "db0", rng.choice([100000, 200000])) for i in range(150)]
+    batches = [[] for _ in range(pieces)]
+    for row in data:
+        batches[rng.randrange(pieces)].append(row)
+    batches[-1].append((999, None, "db0", 5))
+    store = Store(spark, str(tmp_path / "store"))
+    stream = feed(spark, str(tmp_path / "in"), [spark.createDataFrame(b, SAMPLE) for b in batches])
+    provider = spark.conf.get(quota_streams.PROVIDER)
+    query = quota_streams.maintain_quota(stream, store, str(tmp_path / "checkpoint"), DRAIN, "1000 days")
+    query.awaitTermination()
+    assert query.exception() is None and spark.conf.get(quota_streams.PROVIDER) == provider
+    columns = ["sample_id", "sample_ts", "resource", "rows_read_24h", "level"]
+    whole = folds.quota_levels(spark.createDataFrame(data, SAMPLE))
+    assert rows(quota_streams.levels(store).select(columns)) == rows(whole.select(columns))
+
+
+def test_hours_that_nothing_can_change_leave_the_state(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    batches = [[(n, start + timedelta(days=n), "db", 10)] for n in range(8)]
+    store = Store(spark, str(tmp_path / "store"))
+    stream = feed(spark, str(tmp_path / "in"), [spark.createDataFrame(b, SAMPLE) for b in batches])
+    query = quota_streams.maintain_quota(stream, store, str(tmp_path / "checkpoint"), DRAIN, "1 day")
+    query.awaitTermination()
+    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(kept) < 8 * 25 and kept[-1] < 4 * 25 * 2
+    # a day apart to the microsecond: both samples count
+    assert {r.sample_id: r.rows_read_24h for r in quota_streams.levels(store).collect()} == {0: 10} | {n: 20 for n in range(1, 8)}
+
+
 def message(tag, id, at=1704067200000, **data):
     return (json.dumps({"queueType": tag, "data": {"id": id, "timestamp": at, **data}}),)
 
