@@ -5,7 +5,8 @@ Top-n results carry a total order: the stated order first, then the grouping key
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,6 +151,25 @@ def latest_incidents(incidents: DataFrame, n: int = 50) -> DataFrame:
     return incidents.orderBy(resolved, F.col("created_at").desc(), "id").limit(n)
 
 
+def newest_first(read: Callable[[datetime | None], DataFrame], as_of: datetime, n: int, first: timedelta = DAY) -> DataFrame:
+    """Rows of a dated table from so far back that ``n`` of them are found, opening dates from the newest backwards.
+
+    ``read`` gives the rows at or after a time, all of them for None, with a range that its scan can skip files by. The range
+    is doubled until it holds enough rows; what is counted stops at ``n``. Rows later than ``as_of`` count as newest.
+    """
+    span = first
+    for _ in range(DOUBLINGS):
+        rows = read(utc(as_of) - span)
+        if rows.limit(n).count() >= n:
+            return rows
+        span *= 2
+    return read(None)
+
+
+#: From a day to more than ten years; then the whole table is read.
+DOUBLINGS = 13
+
+
 # Dashboard reads over raw telemetry of the last 24 hours.
 
 
@@ -198,6 +218,9 @@ def dash_api_latency(metrics: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def live_tail(events: DataFrame, n: int = 50) -> DataFrame:
-    """Newest events with their attributes as a map; NULL where the text is not a JSON object."""
+    """Newest events with their attributes as a map; NULL where the text is not a JSON object.
+
+    Over a stored table, pass what ``newest_first`` gives.
+    """
     newest = events.orderBy(F.col("timestamp").desc(), "id").limit(n)
     return newest.withColumn("attributes", F.from_json("attributes", "map<string, string>"))

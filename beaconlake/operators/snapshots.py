@@ -146,9 +146,13 @@ def recent_logs(logs: DataFrame, n: int = 50) -> DataFrame:
     return logs.orderBy(F.col("timestamp").desc(), "id").limit(n)
 
 
-def log_snapshot(logs: DataFrame, shown: int = 5) -> DataFrame:
-    """Errors and distinct traces among the newest 50 lines, the first lines themselves, and the total of all lines."""
-    newest = recent_logs(logs)
+def log_snapshot(logs: DataFrame, shown: int = 5, newest: DataFrame | None = None) -> DataFrame:
+    """Errors and distinct traces among the newest 50 lines, the first lines themselves, and the total of all lines.
+
+    ``newest`` are rows that hold the newest 50, where a stored table can be read from its newest dates. The total is a
+    count that reads no column.
+    """
+    newest = recent_logs(logs if newest is None else newest)
     line = F.struct(F.negative(F.unix_micros("timestamp")).alias("age"), "id", "platform", "level", "message")
     ordered = F.slice(F.sort_array(F.collect_list(line)), 1, shown)
     total = logs.agg(F.count("*").alias("total_logs"))

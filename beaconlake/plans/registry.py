@@ -209,7 +209,7 @@ def dash_api_latency(spark, data):
 
 @query
 def live_tail(spark, data):
-    return as_text(reads.live_tail(_events(spark, data)))
+    return as_text(reads.live_tail(reads.newest_first(lambda since: _events(spark, data, since), EVENTS_AS_OF, 50)))
 
 
 # CI reads
@@ -329,16 +329,21 @@ def latest_incident_per_component(spark, data):
     return snapshots.latest_incident_per_component(table(spark, data, "incidents"), COMPONENTS)
 
 
+def _newest_logs(spark: SparkSession, data: str) -> DataFrame:
+    """Lines of the newest dates that hold the 50 lines a panel shows."""
+    return reads.newest_first(lambda since: table(spark, data, "log_events", since), EVENTS_AS_OF, 50)
+
+
 @query
 def log_snapshot(spark, data):
     lines = F.transform("recent_logs", lambda line: line["id"])
-    found = snapshots.log_snapshot(table(spark, data, "log_events"))
+    found = snapshots.log_snapshot(table(spark, data, "log_events"), newest=_newest_logs(spark, data))
     return as_text(found.withColumn("recent_logs", lines))
 
 
 @query
 def log_platform_share(spark, data):
-    return snapshots.log_platform_share(table(spark, data, "log_events"))
+    return snapshots.log_platform_share(_newest_logs(spark, data))
 
 
 @query
@@ -381,7 +386,7 @@ def humanize_count(spark, data):
 
 @query
 def status_labels(spark, data):
-    return snapshots.status_labels(table(spark, data, "incidents"), table(spark, data, "log_events"))
+    return snapshots.status_labels(table(spark, data, "incidents"), _newest_logs(spark, data))
 
 
 @query

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from beaconlake.operators import ci, incidents, ordered, rollups, snapshots
+from beaconlake.operators import ci, incidents, ordered, reads, rollups, snapshots
 from beaconlake.plans.registry import COMPONENTS, EVENTS_AS_OF, LANGUAGES, ORDERS_AS_OF, QUERIES, REPOSITORIES
 from beaconlake.sources.derived import table
 
@@ -105,6 +105,39 @@ def test_a_hot_component_is_spread(spark):
     assert hot.agg(F.max(F.col("resolved_at") - F.col("created_at"))).first()[0] <= timedelta(minutes=2)
 
 
+def test_newest_rows_open_the_newest_dates_only(spark, data, tmp_path):
+    logs = table(spark, data, "log_events").withColumn("event_date", F.to_date("timestamp"))
+    path = str(tmp_path / "logs")
+    logs.repartition(1).write.partitionBy("event_date").parquet(path)
+    opened = []
+
+    def read(since):
+        rows = spark.read.parquet(path)
+        rows = rows if since is None else rows.where(F.col("event_date") >= F.lit(since.date())).where(F.col("timestamp") >= F.lit(since))
+        pruned = plan(rows).split("PartitionFilters: [")[1].split("]")[0]
+        opened.append(pruned)
+        return rows
+
+    days = {r.event_date: r["count"] for r in logs.groupBy("event_date").count().collect()}
+    assert len(days) > 25
+    for n in (1, 50, 90, 10**6):
+        opened.clear()
+        newest = reads.newest_first(read, EVENTS_AS_OF, n)
+        want = logs.orderBy(F.col("timestamp").desc(), "id").limit(n)
+        assert rows_of(newest.orderBy(F.col("timestamp").desc(), "id").limit(n)) == rows_of(want)
+        if n < 100:
+            assert len(opened) <= 4 and "event_date" in opened[-1] and "2024-01-2" in opened[-1] or "2024-01-3" in opened[-1]
+    assert opened[-1] == ""  # a table with fewer rows is read whole, at last
+    snapshot = snapshots.log_snapshot(spark.read.parquet(path), newest=reads.newest_first(read, EVENTS_AS_OF, 50))
+    text = snapshot._jdf.queryExecution().toString()
+    assert snapshot.first().total_logs == logs.count()
+    assert "ReadSchema: struct<>" in text
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.select("id", "timestamp").collect()]
+
+
 def test_seven_day_reads_prune_to_their_dates(spark, data, tmp_path):
     path = str(tmp_path / "summary")
     rollups.daily_errors(table(spark, data, "mobile_telemetry_events")).write.partitionBy("snapshot_date").parquet(path)
