@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.functions.clock import DAY, days_back, is_last_day, parse_days, utc, within
 from beaconlake.functions.clock import label as label_of
-from beaconlake.operators.rollups import top_keywords
+from beaconlake.operators.rollups import KEYWORDS_TYPE, keyword_items, top_keywords
 
 
 def _newest(column: str) -> Column:
@@ -100,22 +100,29 @@ def merged_keywords(funnel: DataFrame, as_of: datetime, window: str = "7") -> Da
 
 
 def funnel_totals(funnel: DataFrame, as_of: datetime, window: str = "7") -> DataFrame:
-    totals = (
-        _recent(funnel, as_of, window)
-        .groupBy("os_platform")
-        .agg(
-            F.sum("scan_opened_count").alias("total_scan_open"),
-            F.sum("scan_success_count").alias("total_scan_success"),
-            F.sum("scan_miss_count").alias("total_scan_miss"),
-            F.sum("cart_viewed_count").alias("total_cart_view"),
-            F.sum("rent_success_count").alias("total_rent_success"),
-        )
-    )
-    keywords = merged_keywords(funnel, as_of, window)
-    nothing = F.array().cast(funnel.schema["top_searched_keywords"].dataType)
-    return totals.join(keywords, "os_platform", "left").withColumn(
-        "top_searched_keywords", F.coalesce("top_searched_keywords", nothing)
-    )
+    """Totals and most searched keywords of each platform, from one read of the daily rows.
+
+    A day gives one row with its counts and one for each of its keywords; both are summed by one aggregation. What meets
+    for a platform after that are its distinct daily keywords, five a day at most.
+    """
+    names = {
+        "scan_opened_count": "total_scan_open", "scan_success_count": "total_scan_success", "scan_miss_count": "total_scan_miss",
+        "cart_viewed_count": "total_cart_view", "rent_success_count": "total_rent_success",
+    }
+
+    def grain(searched: bool, keyword: Column, counts: dict[str, Column], count: Column) -> Column:
+        cells = [counts.get(name, F.lit(0)).cast("bigint").alias(name) for name in names]
+        return F.struct(F.lit(searched).alias("searched"), keyword.alias("keyword"), *cells, count.cast("bigint").alias("count"))
+
+    day = grain(False, F.lit(None).cast("string"), {name: F.col(name) for name in names}, F.lit(0))
+    listed = F.coalesce("top_searched_keywords", F.array().cast(KEYWORDS_TYPE))
+    keywords = F.transform(listed, lambda item: grain(True, item["keyword"], {}, item["count"]))
+    grains = _recent(funnel, as_of, window).select("os_platform", F.inline(F.concat(F.array(day), keywords)))
+    sums = grains.groupBy("os_platform", "searched", "keyword").agg(*(F.sum(name).alias(name) for name in [*names, "count"]))
+    found = F.when(F.col("searched"), F.struct(F.negative("count").alias("order"), "keyword", "count"))
+    best = F.slice(F.sort_array(F.collect_list(found)), 1, 5)
+    totals = sums.groupBy("os_platform").agg(*(F.sum(name).alias(total) for name, total in names.items()), best.alias("best"))
+    return totals.select("os_platform", *names.values(), keyword_items("best").alias("top_searched_keywords"))
 
 
 def _top_sums(summary: DataFrame, keys: list[str], value: str, total: str, n: int) -> DataFrame:

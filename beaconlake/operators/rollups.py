@@ -104,7 +104,7 @@ def keyword_counts(daily_events: DataFrame) -> DataFrame:
     )
 
 
-def _keyword_items(ranked: str) -> Column:
+def keyword_items(ranked: str) -> Column:
     """Keep keyword and count of each ranked entry."""
     return F.transform(
         ranked, lambda item: F.struct(item["keyword"].alias("keyword"), item["count"].alias("count"))
@@ -123,7 +123,7 @@ def top_keywords(counts: DataFrame, keys: list[str], n: int = 5) -> DataFrame:
         ranked.where(F.col("rank") <= n)
         .groupBy(*keys)
         .agg(items.alias("items"))
-        .select(*keys, _keyword_items("items").alias("top_searched_keywords"))
+        .select(*keys, keyword_items("items").alias("top_searched_keywords"))
     )
 
 
@@ -177,7 +177,7 @@ def funnel_from_steps(steps: DataFrame, n: int = 5, salts: int = 32) -> DataFram
     return (
         ranked.groupBy("snapshot_date", "os_platform")
         .agg(*(F.sum(name).alias(name) for name in FUNNEL_COUNTS), best.alias("best"))
-        .select("snapshot_date", "os_platform", *FUNNEL_COUNTS, _keyword_items("best").alias("top_searched_keywords"))
+        .select("snapshot_date", "os_platform", *FUNNEL_COUNTS, keyword_items("best").alias("top_searched_keywords"))
     )
 
 
@@ -185,6 +185,68 @@ def daily_funnel(events: DataFrame, since: datetime | None = None, until: dateti
     return funnel_from_steps(funnel_steps(with_day(events, since, until)))
 
 
+def daily_figures(metrics: DataFrame, events: DataFrame, since: datetime | None = None, until: datetime | None = None, n: int = 5, salts: int = 32) -> DataFrame:
+    """Everything the daily snapshots need, from one scan of the metrics and one of the events.
+
+    Rows of both become grains of one aggregation: requests by latency, steps by searched keyword or error name. The result
+    has a row for each (day, platform), with the figures of ``daily_api_performance`` and ``daily_funnel``, and one for each
+    error name as well (``error_name`` and ``occurrence_count``); funnel counts of a day are the sums over its rows.
+    """
+    empty = {"latency_ms": "int", "searched": "boolean", "keyword": "string", "error_name": "string"}
+    counters = ["requests", "errors", *FUNNEL_COUNTS, "count"]
+
+    def grains(rows: DataFrame, kind: str, keys: dict[str, Column], counts: dict[str, Column]) -> DataFrame:
+        return rows.select(
+            "snapshot_date", F.col("platform").alias("os_platform"), F.lit(kind).alias("kind"),
+            *(keys.get(name, F.lit(None)).cast(type_).alias(name) for name, type_ in empty.items()),
+            *(F.coalesce(counts.get(name, F.lit(0)).cast("bigint"), F.lit(0)).alias(name) for name in counters),
+        )
+
+    name, one = F.col("event_name"), F.lit(1)
+    by_barcode = F.get_json_object("attributes", "$.trigger_source") == BARCODE
+    about_isbn = F.get_json_object("attributes", "$.message").ilike("%ISBN%")
+    searched = F.coalesce(name == SEARCH, F.lit(False))
+    steps = {
+        "scan_opened_count": name == SCAN_SCREEN, "scan_success_count": (name == ADD_TO_CART) & by_barcode,
+        "scan_miss_count": name.isin(*LOAD_FAILURES) & about_isbn, "cart_viewed_count": name == CART_SCREEN,
+        "rent_success_count": name == RENT, "count": one,
+    }
+    keys = {
+        "searched": searched, "keyword": F.when(searched, F.get_json_object("attributes", "$.query_text")),
+        "error_name": F.when(name.ilike("%_FAILURE"), name),
+    }
+    both = grains(with_day(metrics, since, until), "request", {"latency_ms": F.col("latency_ms")}, {"requests": one, "errors": F.col("status_code") != 200})
+    both = both.unionByName(grains(with_day(events, since, until), "step", keys, steps))
+    sums = both.groupBy("snapshot_date", "os_platform", "kind", *empty).agg(*(F.sum(c).alias(c) for c in counters))
+
+    salt = F.when(F.col("searched"), F.pmod(F.xxhash64("keyword"), F.lit(salts))).otherwise(0)
+    slice_of = Window.partitionBy("snapshot_date", "os_platform", "kind", "searched", "salt")
+    timed = F.when(F.col("latency_ms").isNotNull(), F.col("requests")).otherwise(0)
+    placed = sums.withColumn("salt", salt).withColumn("timed", timed).select(
+        "*",
+        F.sum("timed").over(slice_of.orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum("timed").over(slice_of).alias("all"),
+        F.row_number().over(slice_of.orderBy(F.col("count").desc(), F.col("keyword").asc())).alias("rank"),
+    )
+
+    def rank(percent: int) -> Column:
+        reached = (F.col("kind") == "request") & (F.col("upto") * 100 >= F.col("all") * percent)
+        return F.min(F.when(reached, F.col("latency_ms"))).cast("bigint").alias(f"p{percent}_ms")
+
+    wanted = F.col("searched") & (F.col("rank") <= n)
+    best = F.slice(F.sort_array(F.collect_list(F.when(wanted, F.struct(F.negative("count").alias("order"), "keyword", "count")))), 1, n)
+    return (
+        placed.groupBy("snapshot_date", "os_platform", "error_name")
+        .agg(
+            rank(50), rank(95), rank(99), F.sum("requests").alias("total_requests"), F.sum("errors").alias("error_requests"),
+            *(F.sum(c).alias(c) for c in FUNNEL_COUNTS),
+            F.sum(F.when(F.col("error_name").isNotNull(), F.col("count"))).alias("occurrence_count"), best.alias("best"),
+        )
+        .withColumn("top_searched_keywords", keyword_items("best"))
+        .drop("best")
+    )
+
+
 def count_by_suffix(daily_events: DataFrame, suffix: str, name: str, count: str) -> DataFrame:
     """Events per (day, platform, name) whose name ends in ``_`` plus the suffix, in any case.
 

@@ -79,10 +79,8 @@ def platform_top_crash_7d(errors: DataFrame, as_of: datetime) -> DataFrame:
 def mobile_snapshot_7d(
     performance: DataFrame, funnel: DataFrame, errors: DataFrame, as_of: datetime, platforms: list[str]
 ) -> DataFrame:
-    """One row per listed platform, with the stated placeholder where a part has no data."""
-    spark = performance.sparkSession
-    listed = spark.createDataFrame([(name,) for name in platforms], "os_platform string")
-    joined = listed
+    """One row per listed platform, with the stated placeholder where a part has no data; from the stored summaries."""
+    joined = _listed(performance, platforms)
     for part in (
         platform_perf_7d(performance, as_of),
         platform_conversion_7d(funnel, as_of),
@@ -90,6 +88,53 @@ def mobile_snapshot_7d(
         platform_top_crash_7d(errors, as_of),
     ):
         joined = joined.join(part, "os_platform", "left")
+    return _snapshot(joined)
+
+
+def mobile_snapshot_of(figures: DataFrame, as_of: datetime, platforms: list[str]) -> DataFrame:
+    """The same from ``daily_figures``, read once: totals, cleaned keywords and crashes are grains of one aggregation."""
+
+    def grain(kind: str, name: Column, count: Column, **totals: Column) -> Column:
+        cells = [totals.get(c, F.lit(None)).cast("bigint").alias(c) for c in ("requests", "failed", "p95", "carts", "rents")]
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"), count.cast("bigint").alias("n"), *cells)
+
+    nothing = F.lit(None).cast("string")
+    totals = grain(
+        "total", nothing, F.lit(0), requests=F.col("total_requests"), failed=F.col("error_requests"), p95=F.col("p95_ms"),
+        carts=F.col("cart_viewed_count"), rents=F.col("rent_success_count"),
+    )
+    keywords = F.transform(
+        "top_searched_keywords", lambda item: grain("keyword", clean_keyword(item["keyword"]), F.coalesce(item["count"], F.lit(1)))
+    )
+    crash = F.when(F.col("error_name").isNotNull(), grain("crash", F.col("error_name"), F.col("occurrence_count")))
+    grains = _last_seven_days(figures, as_of).select("os_platform", F.inline(F.filter(F.concat(F.array(totals, crash), keywords), lambda g: g.isNotNull())))
+    sums = grains.groupBy("os_platform", "kind", "name").agg(
+        *(F.sum(c).alias(c) for c in ("n", "requests", "failed", "carts", "rents", "p95")), F.count("p95").alias("days")
+    )
+
+    def first(kind: str) -> Column:
+        named = (F.col("kind") == kind) & F.col("name").isNotNull()
+        return F.min(F.when(named, F.struct(F.negative("n").alias("order"), "name", "n")))
+
+    carts, rents = F.sum("carts"), F.sum("rents")
+    rate = F.try_divide(F.sum("failed").cast("double"), F.sum("requests")) * 100
+    parts = sums.groupBy("os_platform").agg(
+        F.sum("requests").alias("total_requests"),
+        F.coalesce(F.round(rate, 2), F.lit(0.0)).alias("error_rate"),
+        F.floor(F.try_divide(F.sum("p95").cast("double"), F.sum("days")) + 0.5).cast("bigint").alias("p95_latency_ms"),
+        F.when(carts > 0, F.round(rents.cast("double") / carts * 100, 1)).alias("funnel_conversion_rate"),
+        first("keyword")["name"].alias("top_keyword"),
+        first("crash").alias("crash"),
+    )
+    parts = parts.select("*", F.col("crash.name").alias("top_crash_name"), F.col("crash.n").alias("top_crash_count"))
+    return _snapshot(_listed(figures, platforms).join(parts, "os_platform", "left"))
+
+
+def _listed(df: DataFrame, platforms: list[str]) -> DataFrame:
+    return df.sparkSession.createDataFrame([(name,) for name in platforms], "os_platform string")
+
+
+def _snapshot(joined: DataFrame) -> DataFrame:
     return joined.select(
         "os_platform",
         F.coalesce("total_requests", F.lit(0)).alias("total_requests"),

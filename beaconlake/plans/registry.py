@@ -296,13 +296,8 @@ def platform_top_crash_7d(spark, data):
 
 @query
 def mobile_snapshot_7d(spark, data):
-    return snapshots.mobile_snapshot_7d(
-        rollups.daily_api_performance(_metrics(spark, data, *LAST_WEEK)),
-        _funnel(spark, data, *LAST_WEEK),
-        rollups.daily_errors(_events(spark, data, *LAST_WEEK)),
-        EVENTS_AS_OF,
-        PLATFORMS,
-    )
+    figures = rollups.daily_figures(_metrics(spark, data, *LAST_WEEK), _events(spark, data, *LAST_WEEK))
+    return snapshots.mobile_snapshot_of(figures, EVENTS_AS_OF, PLATFORMS)
 
 
 def _incident_summary(spark: SparkSession, data: str) -> DataFrame:

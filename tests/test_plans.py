@@ -27,6 +27,13 @@ def test_funnel_scans_once(spark, data):
     assert plan(rollups.daily_funnel(table(spark, data, "mobile_telemetry_events"))).count("FileScan") == 1
 
 
+@pytest.mark.parametrize(("name", "scans"), [("funnel_totals", 1), ("mobile_snapshot_7d", 2)])
+def test_several_grains_come_from_one_scan(spark, data, name, scans):
+    text = plan(QUERIES[name](spark, data))
+    assert text.count("FileScan") == scans
+    assert len([line for line in exchanges(text) if "BroadcastExchange" not in line]) <= 5
+
+
 def test_four_ci_datasets_scan_once(spark, data):
     df = ci.github_metrics(table(spark, data, "github_app_metrics"), ORDERS_AS_OF, LANGUAGES, "all_time")
     assert plan(df).count("FileScan") == 1 and plan(df).count("from_json") == 1

@@ -111,3 +111,32 @@ def test_github_metrics_equal_the_four_datasets(spark, data):
         "language_dist": ci.language_dist(d, ORDERS_AS_OF, LANGUAGES, "900d"),
     }
     assert together == sorted((name, *row) for name, df in apart.items() for row in map(tuple, df.collect()))
+
+
+def test_the_snapshot_of_one_pass_equals_the_parts(spark, data):
+    from pyspark.sql import functions as F
+
+    from beaconlake.operators import rollups
+    from beaconlake.sources.derived import table
+
+    as_of = datetime(2024, 1, 20)
+    metrics, events = (table(spark, data, f"mobile_telemetry_{name}") for name in ("api_metrics", "events"))
+    odd = [
+        ("x1", 1705622400000, "Web", None, "login_FAILURE", None, None, None),
+        ("x2", 1705622400000, "Web", None, "BOOK_SEARCH", None, None, '{"query_text": " “978” "}'),
+        ("x3", 1705622400000, "Web", None, "BOOK_SEARCH", None, None, None),
+        ("x4", None, "Web", None, "CART_SCREEN", None, None, None),
+        ("x5", 1705622400000, None, None, None, None, None, "broken"),
+    ]
+    events = events.unionByName(spark.createDataFrame(odd, TABLES["mobile_telemetry_events"]))
+    slow = [("y1", 1705622400000, "TV", "/a", "GET", 200, None), ("y2", 1705622400000, "TV", "/a", "GET", None, 7)]
+    metrics = metrics.unionByName(spark.createDataFrame(slow, TABLES["mobile_telemetry_api_metrics"]))
+    platforms = ["Android", "iOS", "Web", "TV", "none"]
+    parts = snapshots.mobile_snapshot_7d(
+        rollups.daily_api_performance(metrics), rollups.daily_funnel(events), rollups.daily_errors(events), as_of, platforms
+    )
+    one = snapshots.mobile_snapshot_of(rollups.daily_figures(metrics, events), as_of, platforms)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, parts.collect()))
+    totals = rollups.daily_figures(metrics, events).groupBy("snapshot_date", "os_platform").agg(*(F.sum(c).alias(c) for c in rollups.FUNNEL_COUNTS))
+    apart = rollups.daily_funnel(events).select(*totals.columns)
+    assert apart.exceptAll(totals).isEmpty()
