@@ -1,4 +1,8 @@
-"""Analytics over CI webhooks: activity datasets, totals and latest deliveries."""
+"""Analytics over CI webhooks: activity datasets, totals and latest deliveries.
+
+Filed deliveries carry the ``facts`` of their payload as typed columns and are read without a parse. Rows without that column
+have their payload parsed, once.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,22 @@ ALL_TIME = "all_time"
 LanguageRules = list[tuple[tuple[str, ...], str]]
 
 
+def _facts(deliveries: DataFrame, kept: list[str], *needed: str) -> DataFrame:
+    """``kept`` columns and the needed facts: ref, commits, changed_files, public, language, conclusion."""
+    if "facts" in deliveries.columns:
+        return deliveries.select(*kept, *(F.col(f"facts.{name}") for name in needed))
+    fields = {
+        "ref": (REF, F.col("ref")),
+        "commits": (COMMITS, length(F.col("commits"))),
+        "changed_files": (HEAD, changed_files(F.col("head_commit"))),
+        "public": (REPOSITORY, F.col("repository.private") == "false"),
+        "language": (REPOSITORY, F.col("repository.language")),
+        "conclusion": (CHECK, F.col("check_suite.conclusion")),
+    }
+    schema = ", ".join(dict.fromkeys(fields[name][0] for name in needed))
+    return parse_once(deliveries, kept, "payload", schema).select(*kept, *(fields[name][1].alias(name) for name in needed))
+
+
 def _pushes(deliveries: DataFrame, as_of: datetime, window: str) -> tuple[DataFrame, Column]:
     """Push deliveries of the range with parsed payload columns, and the label that buckets them by time."""
     window = window.lower()
@@ -28,19 +48,8 @@ def _pushes(deliveries: DataFrame, as_of: datetime, window: str) -> tuple[DataFr
         since = days_back(as_of, parse_days(window.replace("d", "", 1), default=30))
         pushes = pushes.where(F.col("created_at") >= F.lit(utc_midnight(since)))
         bucket = week_label(utc_day(F.col("created_at"))) if window == "90d" else label(F.col("created_at"), "yyyy-MM-dd")
-    parsed = parse_once(
-        pushes, ["created_at", "repository_name"], "payload", ", ".join((COMMITS, HEAD, REPOSITORY))
-    )
-    return (
-        parsed.select(
-            "created_at",
-            "repository_name",
-            length(F.col("commits")).alias("commits"),
-            changed_files(F.col("head_commit")).alias("growth"),
-            (F.col("repository.private") == "false").alias("public"),
-        ),
-        bucket,
-    )
+    rows = _facts(pushes, ["created_at", "repository_name"], "commits", "changed_files", "public")
+    return rows.withColumnRenamed("changed_files", "growth"), bucket
 
 
 def _sum_by(rows: DataFrame, key: Column, value: str) -> DataFrame:
@@ -115,6 +124,7 @@ def latest_per_repo(deliveries: DataFrame, repositories: list[str]) -> DataFrame
     The first pass reads ids only. Its result has at most one row per listed repository, which bounds the broadcast.
     """
     listed = deliveries.where(F.col("repository_name").isin(*repositories))
+    readable = F.lit(True) if "facts" in deliveries.columns else is_json(F.col("payload"))
     newest = listed.groupBy("repository_name").agg(F.max("id").alias("id"))
     return listed.join(F.broadcast(newest), ["repository_name", "id"]).select(
         "id",
@@ -122,17 +132,17 @@ def latest_per_repo(deliveries: DataFrame, repositories: list[str]) -> DataFrame
         "action",
         "repository_name",
         "sender_login",
-        F.when(is_json(F.col("payload")), F.col("payload")).alias("payload"),
+        F.when(readable, F.col("payload")).alias("payload"),
         "created_at",
     )
 
 
 def github_totals(deliveries: DataFrame) -> DataFrame:
-    rows = parse_once(deliveries, ["event_type", "repository_name"], "payload", f"{COMMITS}, {CHECK}")
+    rows = _facts(deliveries, ["event_type", "repository_name"], "commits", "conclusion")
     push = F.col("event_type") == "push"
     check = F.col("event_type") == "check_suite"
-    conclusion = F.col("check_suite.conclusion")
-    commits = F.when(push, F.coalesce(length(F.col("commits")), F.lit(0))).otherwise(0)
+    conclusion = F.col("conclusion")
+    commits = F.when(push, F.coalesce("commits", F.lit(0))).otherwise(0)
     rate = F.try_divide(
         F.count_if(check & (conclusion == "success")).cast("double") * 100,
         F.count_if(check & conclusion.isNotNull()),
@@ -152,14 +162,14 @@ def push_labels(pushes: DataFrame, owner: str) -> DataFrame:
     branch = F.when(
         ref.ilike("refs/tags/%"), F.concat(F.lit("Tag: "), F.replace(ref, F.lit("refs/tags/"), F.lit("")))
     ).otherwise(F.replace(ref, F.lit("refs/heads/"), F.lit("")))
-    return parse_once(pushes, kept, "payload", ", ".join((REF, HEAD, REPOSITORY))).select(
+    return _facts(pushes, kept, "ref", "language", "changed_files").select(
         "id",
         F.replace(F.col("repository_name"), F.lit(f"{owner}/"), F.lit("")).alias("repository_name"),
         "sender_login",
         stamp(F.col("created_at")).alias("created_at"),
         branch.alias("branch"),
-        F.col("repository.language").alias("language"),
-        changed_files(F.col("head_commit")).alias("changed_count"),
+        "language",
+        F.col("changed_files").alias("changed_count"),
     )
 
 

@@ -125,10 +125,12 @@ def append_webhooks(deliveries: DataFrame, root: str, batch_id: str) -> None:
     A batch that is run again replaces its own rows.
     """
     found = webhook_audit(deliveries)
+    # A batch may hold a long history: as many files as its rows make, not one for each date and task.
     audit = found.accepted.withColumn("event_date", utc_day(F.col("created_at")))
     for name, rows, parts in (("github_app_metrics", audit, ["event_date"]), ("quarantined_webhooks", found.quarantine, [])):
         (
             rows.withColumn("batch_id", F.lit(batch_id))
+            .hint("rebalance", *parts)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*parts, "batch_id")
@@ -136,6 +138,11 @@ def append_webhooks(deliveries: DataFrame, root: str, batch_id: str) -> None:
         )
 
 
+def filed_webhooks(spark: SparkSession, root: str) -> DataFrame:
+    """Filed deliveries with the facts of their payloads, dated by ``event_date``."""
+    return spark.read.parquet(f"{root}/github_app_metrics").drop("batch_id")
+
+
 def append_raw(df: DataFrame, path: str) -> None:
     """Append rows (epoch-ms ``timestamp``) below ``event_date=/batch_id=`` folders, the layout of the router too."""
     filed = df.withColumn("event_date", event_date(F.col("timestamp"))).withColumn("batch_id", F.lit(uuid.uuid4().hex))

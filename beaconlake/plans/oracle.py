@@ -686,6 +686,7 @@ for _stream, _batch in (
     ("stream_ci_incidents", "ci_incidents"),
     ("stream_probe_incidents", "probe_incidents"),
     ("compact_routed", "route_tagged_stream"),
+    ("filed_github_metrics", "github_metrics"),
     ("stream_quota_levels", "quota_levels"),
 ):
     SQL[_stream] = SQL[_batch]

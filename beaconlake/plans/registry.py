@@ -592,7 +592,7 @@ def webhook_bodies(spark: SparkSession, data: str) -> DataFrame:
 
 @query
 def append_webhook_audit(spark, data):
-    return as_text(payloads.webhook_audit(webhook_bodies(spark, data)).accepted.drop("payload"))
+    return as_text(payloads.webhook_audit(webhook_bodies(spark, data)).accepted.drop("payload", "facts"))
 
 
 @query
@@ -601,6 +601,16 @@ def webhook_audit_quarantine(spark, data):
     return rejected.groupBy("body", "reason").agg(F.count("*").alias("rejected"))
 
 
+@query
+def filed_github_metrics(spark, data):
+    """The four datasets of filed deliveries, whose payloads were parsed when they were filed."""
+    root = run_dir(spark, "webhooks")
+    named = F.concat(F.lit('"repository":{"full_name":"'), "repository_name", F.lit('",'))
+    bodies = _deliveries(spark, data).withColumn("body", F.replace("payload", F.lit('"repository":{'), named))
+    jobs.append_webhooks(bodies, root, "0")
+    return ci.github_metrics(jobs.filed_webhooks(spark, root), ORDERS_AS_OF, LANGUAGES, "all_time")
+
+
 def run_bodies(spark: SparkSession, data: str) -> DataFrame:
     """Workflow-run deliveries. The repository is named by the body or by the run, the author may be missing, and times
     come in both spellings."""

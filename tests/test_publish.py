@@ -7,6 +7,7 @@ from beaconlake.functions.clock import epoch_ms
 from beaconlake.operators import rollups
 from beaconlake.plans import jobs
 from beaconlake.plans.publish import ConflictingRuns, Store, folder_names
+from beaconlake.sources import payloads
 from beaconlake.sources.derived import table
 from beaconlake.sources.tables import read_raw, read_table
 
@@ -223,6 +224,33 @@ def test_webhooks_filed_twice_are_stored_once(spark, tmp_path):
     assert [r.reason for r in spark.read.parquet(f"{tmp_path}/quarantined_webhooks").collect()] == ["malformed_json"]
 
 
+def test_filed_payloads_are_read_without_a_parse(spark, data, tmp_path, monkeypatch):
+    from beaconlake.operators import ci
+    from beaconlake.plans.registry import LANGUAGES, ORDERS_AS_OF, OWNER, REPOSITORIES
+
+    deliveries = table(spark, data, "github_app_metrics")
+    odd = ['{"ref": "refs/tags/v2", "commits": null, "head_commit": {"added": [1]}}', "[1, 2]", '{"commits": [1, {"a": []}]}', "7"]
+    at = datetime(2001, 1, 1)
+    extra = [(10**9 + n, "push", None, "acme/api", "ann", None, body, at) for n, body in enumerate(odd)]
+    deliveries = deliveries.unionByName(spark.createDataFrame(extra, deliveries.schema))
+    jobs.append_webhooks(deliveries.withColumnRenamed("payload", "body"), str(tmp_path), "1")
+    filed = jobs.filed_webhooks(spark, str(tmp_path))
+    # the derived rows name their repository beside the payload; a filed row takes it from there
+    filed = filed.drop("repository_name", "sender_login").join(deliveries.select("id", "repository_name", "sender_login"), "id")
+    reads_ = {
+        "metrics": lambda rows: ci.github_metrics(rows, ORDERS_AS_OF, LANGUAGES, "all_time"),
+        "totals": ci.github_totals,
+        "push": lambda rows: ci.latest_push(rows, OWNER),
+        "latest": lambda rows: ci.latest_per_repo(rows, REPOSITORIES).drop("payload", "event_type", "action"),
+    }
+    for name, read in reads_.items():
+        found, text = read(filed), read(filed)._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in text and "parse_json" not in text and "get_json" not in text, name
+        assert sorted(map(str, found.collect())) == sorted(map(str, read(deliveries).select(*found.columns).collect())), name
+    audit = payloads.webhook_audit(deliveries.withColumnRenamed("payload", "body")).accepted
+    assert audit._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
 def test_ten_minute_job(spark, store):
     schema = "probe_id bigint, probe_ts timestamp, component string, http_status int, body_status string, error string"
     for n, status in enumerate((503, 503, 200)):
