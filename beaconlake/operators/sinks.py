@@ -1,6 +1,8 @@
 """Upserts, updates and retention as table-in, table-out operators.
 
-Keys compare null-safely, so a rerun replaces rows whose key holds a NULL instead of adding them again.
+Keys compare null-safely, so a rerun replaces rows whose key holds a NULL instead of adding them again. Where a key is never
+NULL, say so (``nullable=False``): the stored side of a table bucketed by the key (``store_bucketed``) is then joined where it
+lies, and only the incoming rows are shuffled.
 """
 
 from __future__ import annotations
@@ -13,15 +15,33 @@ from pyspark.sql import functions as F
 from beaconlake.functions.clock import DAY, utc
 
 
-def _same_key(keys: list[str]) -> Column:
+def _same_key(keys: list[str], nullable: bool) -> list[Column]:
     """Key equality between two sides aliased ``old`` and ``new``."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(f"old.{key}").eqNullSafe(F.col(f"new.{key}"))
-    return condition
+    sides = [(F.col(f"old.{key}"), F.col(f"new.{key}")) for key in keys]
+    return [old.eqNullSafe(new) if nullable else old == new for old, new in sides]
 
 
-def upsert_partial(existing: DataFrame, incoming: DataFrame, keys: list[str], updated: list[str]) -> DataFrame:
+def store_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Write a table whose rows lie by the hash of their key, sorted by it in each bucket, one file a bucket."""
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").saveAsTable(table)
+
+
+def upsert_bucketed(
+    table: str, into: str, incoming: DataFrame, keys: list[str], updated: list[str] | None = None, buckets: int = 200
+) -> None:
+    """``upsert_partial`` (or, without ``updated``, ``upsert_full``) of a bucketed table into a new one, bucketed alike.
+
+    Stored rows are neither shuffled nor sorted: they are read by bucket, joined, and written to the same bucket.
+    """
+    stored = incoming.sparkSession.table(table)
+    changed = [name for name in stored.columns if name not in keys] if updated is None else updated
+    merged = upsert_partial(stored, incoming, keys, changed, nullable=False)
+    merged.write.bucketBy(buckets, *keys).sortBy(*keys).mode("errorifexists").saveAsTable(into)
+
+
+def upsert_partial(
+    existing: DataFrame, incoming: DataFrame, keys: list[str], updated: list[str], nullable: bool = True
+) -> DataFrame:
     """Insert new keys; for keys that exist change the ``updated`` columns only.
 
     One full outer join on unique keys: each side is computed and shuffled once.
@@ -35,12 +55,12 @@ def upsert_partial(existing: DataFrame, incoming: DataFrame, keys: list[str], up
             return F.when(F.col("_given"), given).otherwise(stored).alias(column)
         return F.when(F.col("_stored"), stored).otherwise(given).alias(column)
 
-    return old.join(new, _same_key(keys), "full_outer").select(*map(choose, existing.columns))
+    return old.join(new, _same_key(keys, nullable), "full_outer").select(*map(choose, existing.columns))
 
 
-def upsert_full(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+def upsert_full(existing: DataFrame, incoming: DataFrame, keys: list[str], nullable: bool = True) -> DataFrame:
     """Incoming rows replace existing rows of the same key; other existing rows stay."""
-    return upsert_partial(existing, incoming, keys, [name for name in existing.columns if name not in keys])
+    return upsert_partial(existing, incoming, keys, [name for name in existing.columns if name not in keys], nullable)
 
 
 def insert_or_replace(existing: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:

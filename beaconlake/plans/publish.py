@@ -122,8 +122,10 @@ class Store:
                 if stale and modified_ms(self.spark, f"{self.root}/{path}") < limit:
                     delete_folder(self.spark, f"{self.root}/{path}")
                     dropped.append(path)
-        for path in old:
-            delete_folder(self.spark, path)
+        staged = [n for n in folder_names(self.spark, f"{self.root}/manifest") if n.startswith("_staged-")]  # of runs that died
+        for path in [*old, *(f"{self.root}/manifest/{name}" for name in staged)]:
+            if modified_ms(self.spark, path) < limit:
+                delete_folder(self.spark, path)
         return dropped
 
     def begin(self, stream: str | None = None, batch: int | None = None) -> Run:

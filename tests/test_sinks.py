@@ -45,3 +45,27 @@ def test_upsert_computes_each_side_once(spark):
     old, new = spark.range(10).toDF("k"), spark.range(5, 15).toDF("k")
     plan = sinks.upsert_full(old, new, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (") == 2 and "FullOuter" in plan
+
+
+def test_a_bucketed_target_is_not_shuffled(spark, data, tmp_path):
+    from test_plans import exchanges, plan
+
+    from beaconlake.plans.registry import _incoming_incidents
+    from beaconlake.sources.derived import table
+
+    spark.sql(f"create database bucketed location '{tmp_path}'")
+    try:
+        stored, incoming = table(spark, data, "incidents"), _incoming_incidents(spark, data)
+        sinks.store_bucketed(stored, "bucketed.incidents", ["id"], 8)
+        merged = sinks.upsert_full(spark.table("bucketed.incidents"), incoming, ["id"], nullable=False)
+        found = [line for line in exchanges(plan(merged)) if "BroadcastExchange" not in line]
+        text = plan(merged)
+        assert len(found) == 1 and "hashpartitioning(id" in found[0]
+        side = text[text.index("Exchange") :]
+        assert "bucketed.incidents" not in side and "Bucketed: true" in text
+        sinks.upsert_bucketed("bucketed.incidents", "bucketed.incidents_2", incoming, ["id"], buckets=8)
+        sinks.upsert_bucketed("bucketed.incidents_2", "bucketed.incidents_3", incoming, ["id"], ["message"], buckets=8)
+        want = sinks.upsert_partial(sinks.upsert_full(stored, incoming, ["id"]), incoming, ["id"], ["message"])
+        assert sorted(map(str, spark.table("bucketed.incidents_3").select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.sql("drop database bucketed cascade")
