@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import os
 import re
 import zlib
@@ -23,6 +26,33 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
+    """Smaller Arrow batches in a session that has Spark's default of 64 MB: a row here is a text or a set, and a batch stands
+    in the JVM and in Python, there twice over while it is read. A session's own bound stays."""
+    if spark.conf.get(ARROW_BYTES).rstrip("b") == str(64 << 20):
+        spark.conf.set(ARROW_BYTES, f"{megabytes}m")
+
+
+def tidy(run):
+    """A batch function after which its worker, which Spark keeps for later tasks, gives free memory back to the machine."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what small arrays leave
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def fold(n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % F.lit(n)

@@ -15,7 +15,7 @@ Documents with equal sets are one node. Two sets link when 100 * common >= 90 *
 3. Verification. Surviving pairs are intersected exactly. Only links that join two parts leave the task, so a cluster
    of n nodes gives fewer than n rows.
 
-A cluster of more than BLOCK nodes is cut into blocks whose pairs are separate groups.
+A cluster of more than BLOCK nodes, or of more than SHINGLES shingles, is cut into blocks whose pairs are separate groups.
 
 Defined cases: a null text, and a text without a word, has an empty set and links with nothing. With one or two words the
 whole sequence is the one shingle. A null doc_id is never a component's name unless all its documents lack one.
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import raw_texts
+from beaconlake.llm.common import bounded_batches, raw_texts, tidy
 from beaconlake.llm.components import components
 from beaconlake.llm.repeats import LAST_ID, Hashes, identified, mixed
 from beaconlake.session import written
@@ -45,13 +45,15 @@ PERCENT = 90
 #: Bytes hashed at once; ratio of the sizes at the ends of a level.
 SLICE = 2 << 20
 LEVEL_RATIO = 1.25
-#: Hash groups of a count vector, points in a leaf of the tree, leaves in a branch, nodes of a cluster in one task.
+#: Hash groups of a count vector, points in a leaf of the tree, leaves in a branch, nodes and shingles of a block.
 GROUPS = 128
 LEAF = 32
 BRANCH = 16
 BLOCK = 4096
-#: Sets intersected with a query at once, before it is seen again which are joined to it by now.
+SHINGLES = 3 << 20
+#: Sets, and about how many shingles, intersected with a query at once, before it is seen again which are joined by now.
 CHECKED = 256
+CHECKED_SHINGLES = 1 << 19
 
 _blank = np.zeros(256, bool)
 _blank[[*range(0x09, 0x0E), 0x20]] = True
@@ -250,11 +252,9 @@ class CountTree:
 
     def __init__(self, sets: list[np.ndarray], groups: int = GROUPS):
         self.sizes = np.array([len(s) for s in sets], np.int64)
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
-        flat = np.concatenate(sets)
-        group = (flat >> np.uint64(17)) % np.uint64(groups)
-        self.counts = np.bincount(owner * groups + group.astype(np.int64), minlength=len(sets) * groups)
-        self.counts = self.counts.reshape(len(sets), groups).astype(np.int32)
+        self.counts = np.zeros((len(sets), groups), np.int32)
+        for i, s in enumerate(sets):
+            self.counts[i] = np.bincount(((s >> np.uint64(17)) % np.uint64(groups)).astype(np.int64), minlength=groups)
         widest = np.argsort(-self.counts.var(axis=0))[:2]
         self.order = np.lexsort((*(self.counts[:, g] for g in widest), self.sizes))
         self.leaf = np.arange(0, len(sets), LEAF)
@@ -291,7 +291,13 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
         return [(0, 1)] if common >= needed(len(a), len(b), percent) else []
     tree = CountTree(sets)
     starts = np.cumsum(tree.sizes) - tree.sizes
-    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    # with the sets themselves about 25 bytes for each shingle of the group while the distinct ones are sorted out
+    values = np.concatenate(sets)
+    values.sort()
+    values = values[np.concatenate([[True], values[1:] != values[:-1]])]
+    flat = np.empty(int(tree.sizes.sum()), np.int32)
+    for s, at in zip(sets, starts.tolist()):
+        flat[at : at + len(s)] = np.searchsorted(values, s)
     own = np.zeros(len(values), bool)
     part = np.arange(len(sets))
     out = []
@@ -304,8 +310,8 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
         near = (near[strange[near]][:, None] * LEAF + np.arange(LEAF)).ravel()
         near = tree.order[near[near < len(sets)]]
         near = tree.points(q, near[part[near] != part[q]], percent)
-        for first in range(0, len(near), CHECKED):
-            chosen = near[first : first + CHECKED]
+        share = np.cumsum(tree.sizes[near]) // CHECKED_SHINGLES * len(near) + np.arange(len(near)) // CHECKED
+        for chosen in np.split(near, np.flatnonzero(np.diff(share)) + 1):
             chosen = chosen[part[chosen] != part[q]]
             if not len(chosen):
                 continue
@@ -365,29 +371,35 @@ def linked(percent: int):
     return run
 
 
-def links(spread: DataFrame, met_rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """Joining links between nodes (a, b) that share a cluster."""
+def dealt_sets(spread: DataFrame, met_rows: DataFrame, words: int) -> DataFrame:
+    """``cluster, left, right, node, shingles``: the sets of each pair of blocks of a cluster."""
     docs = met_rows.where(~F.col("edge") & (F.col("n") > 0))
     nodes = docs.groupBy(F.col("b").alias("node")).agg(
-        F.min(F.struct(F.col("a").alias("id"), "key")).alias("first"), F.first("own").alias("own"), F.first("next").alias("next")
+        F.min(F.struct(F.col("a").alias("id"), "key")).alias("first"), F.first("own").alias("own"), F.first("next").alias("next"), F.first("n").alias("n")
     )
-    vertices = nodes.select("node", "first", F.explode(F.array("own", "next")).alias("vertex")).where("vertex <> 0")
+    vertices = nodes.select("node", "first", "n", F.explode(F.array("own", "next")).alias("vertex")).where("vertex <> 0")
     clusters = components(met_rows.where("edge").select("a", "b"))
-    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = clusters.join(sizes, "component").withColumnRenamed("id", "vertex").join(vertices, "vertex")
+    placed = clusters.withColumnRenamed("id", "vertex").join(vertices, "vertex")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES))
+    placed = placed.join(placed.groupBy("component").agg(blocks.alias("blocks")), "component")
     members = placed.groupBy("node", "first.id", "first.key").agg(
         F.collect_list(F.struct(F.col("component").alias("cluster"), "blocks")).alias("inside")  # two at most
     )
     sets = spread.select("id", "key", "text").join(members, ["id", "key"]).mapInArrow(
-        member_sets(words), "node long, cluster long, blocks long, shingles binary"
+        tidy(member_sets(words)), "node long, cluster long, blocks long, shingles binary"
     )
     block = F.pmod(F.xxhash64("node"), "blocks")
     dealt = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
+    return dealt.select(
         "cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "node", "shingles"
     )
+
+
+def links(spread: DataFrame, met_rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """Joining links between nodes (a, b) that share a cluster."""
+    dealt = dealt_sets(spread, met_rows, words)
     grouped = dealt.repartition("cluster", "left", "right").sortWithinPartitions("cluster", "left", "right")
-    return grouped.mapInArrow(linked(percent), "a long, b long")
+    return grouped.mapInArrow(tidy(linked(percent)), "a long, b long")
 
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
@@ -400,9 +412,10 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
 
     ``part`` is the smallest node of a component (null for an empty set), ``component`` its smallest id.
     """
+    bounded_batches(docs.sparkSession)
     spread = _keyed(docs)
     parts = max(32, spread.rdd.getNumPartitions())
-    sent = spread.mapInArrow(routed(parts, words, percent), PARTS_DDL)
+    sent = spread.mapInArrow(tidy(routed(parts, words, percent)), PARTS_DDL)
     met_rows = written(sent.repartition(parts, "part").groupBy("part").applyInArrow(met, MET_DDL), "jaccard")
     found = components(written(links(spread, met_rows, words, percent), "jaccard-links"))
     seen = met_rows.where(~F.col("edge"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import raw_texts, texts
+from beaconlake.llm.common import raw_texts, texts, tidy
 from beaconlake.llm.tokens import encoder
 from beaconlake.session import written
 
@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> Data
             columns = list(zip(*rows)) or [[] for _ in PIECE]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PIECE)], schema=PIECE)
 
-    return texts(docs).mapInArrow(run, PIECE_DDL)
+    return texts(docs).mapInArrow(tidy(run), PIECE_DDL)
 
 
 def patterns(present: np.ndarray, size: int) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import raw_texts, texts, words
+from beaconlake.llm.common import raw_texts, texts, tidy, words
 from beaconlake.session import written
 
 MIN_WORDS = 10
@@ -175,7 +175,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 names=["doc_id", *FEATURES, "base_failed", "pattern"],
             )
 
-    return texts(docs).mapInArrow(run, SCHEMA)
+    return texts(docs).mapInArrow(tidy(run), SCHEMA)
 
 
 def learned(found: DataFrame) -> tuple[float, np.ndarray]:
@@ -210,4 +210,4 @@ def kept_documents(docs: DataFrame) -> DataFrame:
             good = posterior(votes(table), share, right) >= 0.5
             yield batch.filter(pa.array(good & ~base_failed(table)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -1,6 +1,9 @@
+import random
 from collections import Counter
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from beaconlake.llm import jaccard
 from beaconlake.llm.components import components
 
@@ -57,6 +60,26 @@ def test_no_link_is_lost_in_blocks(odd, odd_rows, monkeypatch):
     assert found(jaccard.linked_documents(odd)) == plain([r[:2] for r in odd_rows])
 
 
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    """Very long near copies: no group of two blocks holds many more shingles than two blocks may."""
+    draw = random.Random(8)
+    base = [f"w{i}" for i in range(3000)]
+    texts = [" ".join("x" if draw.random() < 0.01 else w for w in base) for _ in range(240)]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(jaccard, "SHINGLES", 60_000)
+    monkeypatch.setattr(jaccard, "CHECKED_SHINGLES", 10_000)
+    seen = []
+    keep = jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: seen.append((name, df)) or keep(df, name))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(jaccard.linked_documents(df)) == plain(rows)
+
+    met_rows = next(df for name, df in seen if name == "jaccard")
+    groups = jaccard.dealt_sets(jaccard._keyed(df), met_rows, 3).groupBy("cluster", "left", "right")
+    groups = groups.agg(F.sum(F.length("shingles") / 8).alias("n"), F.count("*").alias("sets"))
+    assert groups.where("sets > 20").count() > 10 and groups.agg(F.max("n")).first()[0] < 2 * 60_000 * 1.7
+
+
 def test_trees_find_what_pairs_find():
     base = [f"w{i}" for i in range(300)]
     texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(0, 300, 3)] + [" ".join(base[k:]) for k in range(0, 200, 5)]

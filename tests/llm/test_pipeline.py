@@ -63,6 +63,23 @@ def test_every_stage(spark, data, documents):
     check_packing(after.collect(), [(r.doc_id, r.text) for r in before.collect()], 1024)
 
 
+@pytest.mark.parametrize("rows", ["odd", "empty", "blank"])
+def test_stages_on_odd_rows(spark, data, documents, odd, empty, rows):
+    """Clashing columns, nulls in every column, repeated rows and ids; no rows at all; nothing but rows without a word."""
+    blank = odd.where("text is null or trim(text) = ''")
+    docs = {"odd": odd.unionByName(documents.limit(60), allowMissingColumns=True), "empty": empty, "blank": blank}[rows]
+    kept = Counter(r.doc_id for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = written(stage(spark, docs, data), "stage")
+        assert after.dtypes == docs.dtypes, name
+        found = Counter(r.doc_id for r in after.collect())
+        assert found <= kept, name
+        docs, kept = after, found
+    pieces = written(corpus_pipeline.STAGES[-1][1](spark, docs, data), "stage").collect()
+    assert Counter(p.doc_id for p in pieces if p.piece == 0) == kept
+    assert bool(pieces) == (rows == "odd")
+
+
 def test_run_equals_its_stages(spark, data, documents):
     docs = documents
     for _, stage in corpus_pipeline.STAGES:
@@ -85,7 +102,7 @@ def test_entry_lists_the_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
     assert entry.oracle_sql().keys() <= names.keys()
     with pytest.raises(KeyError):
-        names["op11"]
+        names["op14"]
