@@ -1,17 +1,24 @@
-"""A corpus pipeline over ``documents``: each stage calls one operator of ``beaconlake.llm`` on all rows its predecessor kept."""
+"""A corpus pipeline over ``documents``: each stage calls one operator of ``beaconlake.llm`` on all rows its predecessor kept.
+
+Defined cases: every stage but the last returns the columns it was given, whatever others there are beside doc_id, text and
+lang. Rows without a text or a letter have no language and go in the first stage. A null doc_id is larger than all others; rows
+that share an id, or lack one, are rows of their own. Repeated rows are copies: one stays. Texts are read whole, however
+long. An empty table, or one of which nothing is kept, gives no pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from beaconlake.llm import jaccard, language, packing, quality, repeats
-from beaconlake.llm.common import table
+from beaconlake.llm.common import bounded_batches, table
 from beaconlake.llm.queries import BYTE_BPE
 from beaconlake.session import written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
+    bounded_batches(spark)
     return language.kept_documents(docs)
 
 
