@@ -26,10 +26,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import fold_of, raw_texts, texts, words
+from beaconlake.llm.common import fold_of, raw_texts, texts
 from beaconlake.session import written
 
 FOLDS, HELD_OUT = 5, 1
@@ -39,6 +40,8 @@ HEADS, WIDTH, TAILS, ENDINGS = 16, 32, 16, 1024
 PAIRS, INNER = 8192, 16384
 LOOKUP = 131_072
 ROUNDS, RATE, BATCH = 2, 0.35, 4096
+#: Bytes of text whose words are numbered together.
+SLICE = 1 << 20
 #: Largest size of a feature's weight: with three of them and a bias, exponentials stay within single precision.
 LARGEST = 15.0
 #: Words held by a counting task before it sends them on, words whose codes a task keeps, rows of a block of weights.
@@ -52,10 +55,32 @@ OUTER_ROWS = 2 * CONTEXTS + PAIRS
 END = b"\n"
 
 
-def tokens(raw: bytes) -> list[bytes]:
-    found = words(raw.lower())
-    found.append(END)
-    return found
+@dataclass
+class Coded:
+    """Tokens of a run of documents: distinct words, the last of them END, and each token's place among them."""
+
+    words: list[bytes]
+    index: np.ndarray
+    starts: np.ndarray
+
+
+def coded_tokens(raws: list[bytes]) -> Coded:
+    """Words of lower-cased texts, split and numbered by Arrow; an end token closes each text."""
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raws])])
+    joined = b"".join(raws).lower()
+    whole = pa.LargeStringArray.from_buffers(len(raws), pa.py_buffer(offsets), pa.py_buffer(joined))
+    split = pc.ascii_split_whitespace(whole)
+    found = split.flatten()
+    real = pc.greater(pc.binary_length(found), 0)  # white space at the ends of a text leaves empty words
+    owner = np.repeat(np.arange(len(raws)), split.value_lengths().to_numpy(zero_copy_only=False))
+    sizes = np.bincount(owner, real.to_numpy(zero_copy_only=False), len(raws)).astype(np.int64) + 1
+    coded = found.filter(real).dictionary_encode()
+    ends = np.cumsum(sizes)
+    index = np.full(int(ends[-1]), len(coded.dictionary), np.int64)
+    inside = np.ones(len(index), bool)
+    inside[ends - 1] = False
+    index[inside] = coded.indices.to_numpy()
+    return Coded([*coded.dictionary.cast(pa.large_binary()).to_pylist(), END], index, ends - sizes)
 
 
 def ending(word: bytes) -> int:
@@ -83,11 +108,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return out
 
         for batch in batches:
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch)):
-                if is_training(doc_id):
-                    held.update(tokens(raw))
-                    if len(held) > HELD_WORDS:
-                        yield flush()
+            for _, found in _documents(batch, [is_training(i) for i in batch.column("doc_id").to_pylist()]):
+                for word, n in zip(found.words, np.bincount(found.index, minlength=len(found.words)).tolist()):
+                    held[word] += n
+                if len(held) > HELD_WORDS:
+                    yield flush()
         yield flush()
 
     return texts(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -105,9 +130,35 @@ class Vocabulary:
     tail_distinct: np.ndarray
 
 
+def least_count(counts: DataFrame, most: int, cells: int = 64) -> int:
+    """The smallest count that at most ``most`` words reach, from histograms of ``cells`` cells that close in on it.
+
+    A sort with a limit would send as many rows from every partition; a histogram sends its cells.
+    """
+    low, high = 1, (counts.agg(F.max("n")).first()[0] or 0) + 1
+    above = 0  # words that reach ``high``
+    while low < high:
+        step = -(-(high - low) // cells)
+        cell = F.floor((F.col("n") - low) / step)
+        rows = counts.where((F.col("n") >= low) & (F.col("n") < high)).groupBy(cell.alias("cell")).count().collect()
+        for at, words in sorted(((r["cell"], r["count"]) for r in rows), reverse=True):
+            if above + words > most:
+                break
+            above += words
+            high = low + at * step
+        else:
+            return low
+        # the words of cell ``at`` are too many as a whole
+        if step == 1:
+            return low + at + 1
+        low, high = low + at * step, min(high, low + (at + 1) * step)
+    return high
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """At most LOOKUP words and TAILS totals reach the driver."""
-    top = counts.orderBy(F.desc("n"), "word").limit(LOOKUP).collect()
+    top = counts.where(F.col("n") >= least_count(counts, LOOKUP)).collect()
+    top = sorted(top, key=lambda r: (-r["n"], r["word"]))
     ranked = [bytes(r["word"]) for r in top]
     chosen = [END, *[w for w in ranked if w != END][: HEAD_WORDS - 1]]
     head = {word: i for i, word in enumerate(chosen)}
@@ -147,6 +198,9 @@ class Codes(dict):
         self[word] = code
         return code
 
+    def of(self, found: Coded) -> np.ndarray:
+        return np.array([self[w] for w in found.words], np.int64)[found.index]
+
 
 @dataclass
 class Weights:
@@ -245,26 +299,19 @@ class Trainer:
                 self._descend(1, self.w.inner, r, slope)
 
 
-def _documents(batch: pa.RecordBatch, codes: Codes, chosen=None) -> Iterator[tuple[list[int], list[list[bytes]], np.ndarray, np.ndarray]]:
-    """Runs of documents with about BATCH tokens: rows, tokens, codes, starts."""
-    rows, found, total = [], [], 0
+def _documents(batch: pa.RecordBatch, chosen: list[bool] | None = None) -> Iterator[tuple[list[int], Coded]]:
+    """Runs of documents with about SLICE bytes: their rows and tokens."""
+    rows, held, total = [], [], 0
     for i, raw in enumerate(raw_texts(batch)):
-        if chosen is not None and not chosen[i]:
-            continue
-        rows.append(i)
-        found.append(tokens(raw))
-        total += len(found[-1])
-        if total >= BATCH:
-            yield _coded(rows, found, codes)
-            rows, found, total = [], [], 0
+        if chosen is None or chosen[i]:
+            rows.append(i)
+            held.append(raw)
+            total += len(raw)
+            if total >= SLICE:
+                yield rows, coded_tokens(held)
+                rows, held, total = [], [], 0
     if rows:
-        yield _coded(rows, found, codes)
-
-
-def _coded(rows, found, codes: Codes):
-    sizes = [len(f) for f in found]
-    coded = np.fromiter((codes[w] for f in found for w in f), np.int64, sum(sizes))
-    return rows, found, coded, np.cumsum([0, *sizes[:-1]])
+        yield rows, coded_tokens(held)
 
 
 TRAINED = pa.schema([("table", pa.int32()), ("block", pa.int32()), ("touched", pa.binary()), ("weights", pa.binary())])
@@ -284,10 +331,10 @@ def trained(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Weights:
             for batch in batches:
                 folds = [fold_of(i, FOLDS * rounds) for i in batch.column("doc_id").to_pylist()]
                 mine = [is_training(i) and f // FOLDS == turn for i, f in zip(batch.column("doc_id").to_pylist(), folds)]
-                for _, _, coded, starts in _documents(batch, codes, mine):
-                    word, kind, place = unpacked(coded)
-                    rows = feature_rows(word, starts)
-                    for at in range(0, len(coded), BATCH):
+                for _, found in _documents(batch, mine):
+                    word, kind, place = unpacked(codes.of(found))
+                    rows = feature_rows(word, found.starts)
+                    for at in range(0, len(word), BATCH):
                         cut = slice(at, at + BATCH)
                         trainer.step(rows[:, cut], kind[cut], place[cut])
             out = []
@@ -366,23 +413,29 @@ def scored(docs: DataFrame) -> DataFrame:
         codes, uid = Codes(v.head), TaskContext.get().partitionId() << 33
         known = {w: math.log10(n + 0.5) for w, n in v.count.items()}
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for rows, found, coded, starts in _documents(batch, codes):
-                logs = np.add.reduceat(token_scores(weights, v, coded, starts), starts) / math.log(10)
+            ids = batch.column("doc_id")
+            for rows, found in _documents(batch):
+                coded, starts = codes.of(found), found.starts
+                base = np.array([known.get(word, np.nan) for word in found.words])[found.index]
+                here = ~np.isnan(base)
                 tails = coded >> 5 & 63 >= HEADS
-                out = []
-                for i, parts, score, first in zip(rows, found, logs.tolist(), starts.tolist()):
-                    base = [known.get(word) for word in parts]
-                    rare = Counter([word for word, b in zip(parts, base) if b is None])
-                    own = [b for b, tail in zip(base, tails[first : first + len(parts)].tolist()) if tail and b is not None]
-                    here = [b for b in base if b is not None]
-                    out.append({
-                        "uid": uid, "doc_id": ids[i], "held_out": not is_training(ids[i]), "n_tokens": len(parts),
-                        "n_known": len(here), "base": math.fsum(here) - len(parts) * floor, "score": score + math.fsum(own),
-                        "rare": [{"word": word, "times": times} for word, times in rare.items()],
-                    })
-                    uid += 1
-                yield pa.RecordBatch.from_pylist(out, schema=PART)
+                sizes = np.diff(np.append(starts, len(coded)))
+                logs = token_scores(weights, v, coded, starts) / math.log(10) + np.where(tails & here, base, 0)
+                # rarer words of each document, each with its number
+                owner = np.repeat(np.arange(len(rows)), sizes)[~here]
+                pairs, times = np.unique(owner * len(found.words) + found.index[~here], return_counts=True)
+                owner, word = np.divmod(pairs, len(found.words))
+                rare = pa.StructArray.from_arrays(
+                    [pa.array(found.words, pa.binary()).take(pa.array(word)), pa.array(times.astype(np.int32))], names=["word", "times"]
+                )
+                mine = ids.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(uid + np.arange(len(rows))), mine, pa.array([not is_training(i) for i in mine.to_pylist()]), pa.array(sizes),
+                    pa.array(np.add.reduceat(here.astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(np.where(here, base, 0), starts) - sizes * floor), pa.array(np.add.reduceat(logs, starts)),
+                    pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(rows) + 1)).astype(np.int32)), rare),
+                ], schema=PART)
+                uid += len(rows)
 
     parts = written(texts(docs).mapInArrow(run, PART_DDL), "scored")
     rare = parts.select("uid", F.explode("rare").alias("rare")).select("uid", "rare.word", "rare.times")

@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -124,6 +125,15 @@ def test_long_texts_in_slices(monkeypatch):
     assert np.allclose(language.code_lengths(model, [text, b"a", text])[[0, 2]], whole)
 
 
+def test_numerals_are_no_letters(spark, documents):
+    odd = ["²", "½ ① 12", "Ⅷ", "_ 1", "ª", "é", "中", "١٢", "x²"]
+    rows = [(10**9 + n, t, None) for n, t in enumerate(odd)]
+    both = documents.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    found = {r.doc_id - 10**9: r.lang_pred for r in language.identified(both).where(f"doc_id >= {10**9}").collect()}
+    assert [found[n] == "und" for n in range(len(odd))] == [not any(c.isalpha() for c in t) for t in odd]
+    assert found[0] == found[1] == "und" != found[5]
+
+
 def test_held_out_accuracy(documents):
     rows = language.identified(documents).collect()
     langs = {r.doc_id: r.lang for r in documents.collect()}
@@ -229,3 +239,87 @@ def test_raw_texts_reads_both_widths():
     for kind in (pa.string(), pa.large_string()):
         batch = pa.RecordBatch.from_arrays([pa.array(["é", None, ""], kind)], names=["text"])
         assert list(raw_texts(batch)) == ["é".encode(), b"", b""]
+
+
+@pytest.mark.parametrize("most", [1, 3, 10, 40, 1000])
+def test_the_smallest_count_that_few_words_reach(spark, most):
+    draw = random.Random(most)
+    for values in ([], [1] * 50, [draw.choice((1, 1, 2, 3, 5, 900, 10**9, 10**12)) for _ in range(60)], [draw.randrange(1, 10**6) for _ in range(80)]):
+        counts = spark.createDataFrame([(b"%d" % i, n) for i, n in enumerate(values)], "word binary, n long")
+        found = maxent.least_count(counts, most, cells=7)
+        expected = next(n for n in [1, *sorted({v + 1 for v in values})] if sum(v >= n for v in values) <= most)
+        assert sum(v >= found for v in values) == sum(v >= expected for v in values)
+
+
+def test_tokens_are_words_and_an_end():
+    texts = ["", " ", "One  two\tTHREE\n", "\x0b\x0ca\r b", "é É ÀB", "x" * 1000, "a\x1cb \x85 c　d", "one one"]
+    found = maxent.coded_tokens([t.encode() for t in texts])
+    ends = [*found.starts[1:], len(found.index)]
+    got = [[found.words[i] for i in found.index[a:b]] for a, b in zip(found.starts, ends)]
+    assert got == [[*t.encode().lower().split(), maxent.END] for t in texts]
+
+
+def plain_log10(w, v, counts, words_):
+    """Log probability of a text, token by token."""
+    context, out = [], 0.0
+    for word in words_:
+        last = context[-1] if context else 0
+        skip = context[-2] if len(context) > 1 else 0
+        pair = (last * 40503 + skip * 30011 + 7) % 1_000_003 % maxent.PAIRS
+        rows = [last, maxent.CONTEXTS + skip, 2 * maxent.CONTEXTS + pair]
+        classes = np.exp((w.outer[rows].astype(float).sum(0) + w.outer[-1]))
+        at = v.head.get(word)
+        kind = maxent.HEADS + maxent.tail_class(word) if at is None else at // maxent.WIDTH
+        out += math.log10(classes[kind] / classes.sum())
+        if at is None:
+            tail = kind - maxent.HEADS
+            out += math.log10((counts[word] + 0.5) / (v.tail_total[tail] + 0.5 * (v.tail_distinct[tail] + 1)))
+        else:
+            chosen = [((r * 64 + kind) * 48271 + 11) % 2_147_483_647 % maxent.INNER for r in rows[:2]] + [maxent.INNER + kind]
+            inner = np.exp(w.inner[chosen].astype(float).sum(0))
+            out += math.log10(inner[at % maxent.WIDTH] / inner.sum())
+        context.append(maxent.HEAD_WORDS + maxent.ending(word) if at is None else at)
+    return out
+
+
+def test_scores_equal_a_plain_model(spark, documents, monkeypatch):
+    monkeypatch.setattr(maxent, "LOOKUP", 600)  # most words meet their counts by the join
+    df = documents.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, " the THE zzz")], "doc_id long, text string"))
+    made = {}
+    train = maxent.trained
+    monkeypatch.setattr(maxent, "trained", lambda docs, v: made.setdefault("w", (train(docs, v), v))[0])
+    found = {r.doc_id: r for r in maxent.scored(df).collect()}
+    w, v = made["w"]
+    parts = {r.doc_id: [*(r.text or "").encode().lower().split(), maxent.END] for r in df.collect()}
+    counts = Counter(t for i, p in parts.items() if in_fold(i, 5) != 1 for t in p)
+    assert len(v.count) <= 600 < len(counts)
+    for i, words_ in sorted(parts.items(), key=lambda p: len(p[1]))[:150]:
+        assert found[i].n_known == sum(counts[t] > 0 for t in words_)
+        assert math.isclose(found[i].score, plain_log10(w, v, counts, words_), rel_tol=1e-5, abs_tol=1e-4)
+
+
+def test_a_step_equals_plain_gradients():
+    draw = np.random.default_rng(5)
+    v = maxent.Vocabulary({}, {}, 0, 0, np.ones(maxent.TAILS, np.int64), np.ones(maxent.TAILS, np.int64))
+    start = maxent.initial(v)
+    start.outer += draw.normal(0, 0.1, start.outer.shape).astype(np.float32)
+    start.inner += draw.normal(0, 0.1, start.inner.shape).astype(np.float32)
+    word, kind = draw.integers(0, 40, 30), draw.integers(0, maxent.CLASSES, 30)
+    place = draw.integers(0, maxent.WIDTH, 30)
+    rows = maxent.feature_rows(word, np.array([0, 11]))
+    trainer = maxent.Trainer(start)
+    trainer.step(rows, kind, place)
+    outer, seen = start.outer.astype(float).copy(), np.full(len(start.outer), 1e-2)
+    slopes = []
+    for t in range(30):
+        e = np.exp(start.outer[rows[:, t]].astype(float).sum(0) + start.outer[-1])
+        slope = e / e.sum()
+        slope[kind[t]] -= 1
+        slopes.append(slope)
+    for feature in rows:
+        for r in set(feature.tolist()):
+            total = sum(s for s, f in zip(slopes, feature) if f == r)
+            seen[r] += (total**2).mean()
+            outer[r] -= total * maxent.RATE / math.sqrt(seen[r])
+    assert np.allclose(trainer.w.outer, outer, atol=1e-4)
+    assert (trainer.touched[0][np.unique(rows)] > 0).all() and trainer.touched[0].sum() == 90
