@@ -191,8 +191,10 @@ def test_superseded_versions_go_after_the_grace_period(spark, store):
         run.stage("t", spark.range(n))
         run.publish()
     now = datetime.now(timezone.utc)
-    assert store.clean(now) == []
+    spark.range(1).write.json(f"{store.root}/manifest/_staged-dead")  # a run that died while it published
+    assert store.clean(now) == [] and "_staged-dead" in folder_names(spark, f"{store.root}/manifest")
     assert len(store.clean(now + timedelta(days=2))) == 1
+    assert not any(name.startswith("_staged") for name in folder_names(spark, f"{store.root}/manifest"))
     assert store.read("t").count() == 5 and len(folder_names(spark, f"{store.root}/t")) == 1
 
 
