@@ -11,14 +11,19 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct words whose ids a task keeps in each of two generations; words not met during one generation are forgotten.
-CACHED_WORDS = 350_000
-#: Bytes of text whose unknown words are encoded together.
-SLICE = 1 << 20
+from beaconlake.llm.repeats import mixed
+
+#: Bytes that the words a task remembers may take; when they do, the half that was met most often stays.
+REMEMBERED = 64 << 20
+#: What a remembered word takes besides its ids: two hashes, places, length, uses, and room to grow.
+ENTRY = 72
+#: Bytes of text whose words are looked up together.
+SLICE = 4 << 20
 #: A blank that is not followed by a certainly visible character: another blank, ASCII or wider white space, or the end.
 ODD_BLANK = re.compile(rb" (?![!-~\xc3-\xcf])")
 #: Letters (ASCII, or those among U+00C0 to U+00FF) and then ASCII marks, not led by an apostrophe as contractions are:
@@ -43,59 +48,118 @@ class WordEncoder:
         self.n_bytes[list(vocabulary.values())] = [len(piece) for piece in vocabulary]
         for number, special in self.tokenizer.get_added_tokens_decoder().items():
             self.n_bytes[number] = len(special.content.encode())
-        # words that follow a blank, and their ids as little-endian 32-bit integers
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.openers: dict[bytes, bytes] = {}
+        # words are known by 128 bits of hash, and numbered as they come; those that open a text have a blank before them,
+        # which no word holds
+        self.keys, self.order = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.checks, self.starts, self.lengths, self.uses = (np.zeros(1 << 14, t) for t in (np.uint64, np.int64, np.int32, np.int64))
+        self.flat = np.zeros(1 << 16, "<u4")
+        self.n_words, self.n_flat = 0, 0
+
+    @property
+    def size(self) -> int:
+        return ENTRY * self.n_words + 4 * self.n_flat
 
     def _ids(self, text: bytes) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
-        marked = []
-        unknown = set()
-        for word in words - self.known.keys():
-            ids = self.older.get(word)
-            if ids is not None:
-                self.known[word] = ids
-            elif word[-1:] in MARKS and (found := MARKED.fullmatch(word)):
+    def _add(self, hashes: tuple[np.ndarray, np.ndarray], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Remember new words, whose ids stand one after another."""
+        first, end = self.n_words, self.n_words + len(lengths)
+        self.flat = _room(self.flat, self.n_flat + len(ids))
+        self.checks, self.starts, self.lengths, self.uses = (_room(x, end) for x in (self.checks, self.starts, self.lengths, self.uses))
+        self.flat[self.n_flat : self.n_flat + len(ids)] = ids
+        self.starts[first:end] = self.n_flat + np.cumsum(lengths) - lengths
+        self.lengths[first:end], self.checks[first:end], self.uses[first:end] = lengths, hashes[1], 0
+        at = np.argsort(hashes[0], kind="stable")
+        where = np.searchsorted(self.keys, hashes[0][at])
+        self.keys = np.insert(self.keys, where, hashes[0][at])
+        self.order = np.insert(self.order, where, (first + at).astype(np.int32))
+        self.n_words, self.n_flat = end, self.n_flat + len(ids)
+
+    def _numbers(self, hashes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Number of each word, -1 for those not known."""
+        if not self.n_words:
+            return np.full(len(hashes[0]), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes[0]), self.n_words - 1)
+        found = self.order[at].astype(np.int64)
+        return np.where((self.keys[at] == hashes[0]) & (self.checks[found] == hashes[1]), found, -1)
+
+    def _forget(self) -> None:
+        kept = np.sort(np.argsort(-self.uses[: self.n_words], kind="stable")[: self.n_words // 2])
+        keys = np.empty(self.n_words, np.uint64)
+        keys[self.order] = self.keys
+        hashes, lengths, uses = (keys[kept], self.checks[kept]), self.lengths[kept], self.uses[kept]
+        ids = self.flat[_gather(self.starts[kept], lengths)]
+        self.keys, self.order, self.n_words, self.n_flat = self.keys[:0], self.order[:0], 0, 0
+        self._add(hashes, ids, lengths)
+        self.uses[: len(kept)] = uses // 2
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Words that are not known yet."""
+        marked, unknown = [], {}
+        for word in words:
+            if word[-1:] in MARKS and (found := MARKED.fullmatch(word)):
                 marked.append((word, found[1], found[2]))
             else:
-                unknown.add(word)
-        for stem in {stem for _, stem, _ in marked} - self.known.keys():
-            ids = self.older.get(stem)
-            if ids is not None:
-                self.known[stem] = ids
-            else:
-                unknown.add(stem)
+                unknown[word] = None
+        stems = list({stem for _, stem, _ in marked} - unknown.keys())
+        unknown.update((stems[i], None) for i in np.flatnonzero(self._numbers(word_hashes(stems)) < 0).tolist())
         if unknown:
             fresh = list(unknown)
             ids = self._ids(b" " + b" ".join(fresh))
             ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(w) + 1 for w in fresh])) + 1
-            raw = ids.tobytes()
-            at = 0
-            for word, end in zip(fresh, (4 * ends).tolist()):
-                self.known[word] = raw[at:end]
-                at = end
-        for word, stem, marks in marked:
-            self.known[word] = self.known[stem] + self._opener(marks)
-
-    def _opener(self, part: bytes) -> bytes:
-        """Ids of a text's first part, which no blank opens."""
-        if part not in self.openers:
-            if len(self.openers) > CACHED_WORDS // 4:
-                self.openers.clear()
-            self.openers[part] = self._ids(part).tobytes()
-        return self.openers[part]
+            self._add(word_hashes(fresh), ids, np.diff(ends, prepend=0))
+        if marked:
+            marks = [marks for _, _, marks in marked]
+            self._open(marks)
+            parts = np.stack([self._numbers(word_hashes([stem for _, stem, _ in marked])), self._numbers(word_hashes(marks, opening=True))], axis=1)
+            ids = self.flat[_gather(self.starts[parts.ravel()], self.lengths[parts.ravel()].astype(np.int64))]
+            self._add(word_hashes([word for word, _, _ in marked]), ids, self.lengths[parts].sum(axis=1))
+
+    def _open(self, parts: list[bytes]) -> None:
+        """First parts of texts, which no blank opens."""
+        fresh = list(dict.fromkeys(parts))
+        hashes = word_hashes(fresh, opening=True)
+        new = np.flatnonzero(self._numbers(hashes) < 0)
+        if len(new):
+            ids = [self._ids(fresh[i]) for i in new.tolist()]
+            self._add(tuple(h[new] for h in hashes), np.concatenate(ids), np.array([len(i) for i in ids]))
 
     def _slice(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        parts = [OPENS.split(raw) if ODD_BLANK.search(raw) else raw.split(b" ") for raw in texts]
-        self._learn(set(chain.from_iterable(islice(p, 1, None) for p in parts)))
-        for part in parts:
-            ids = b"".join(map(self.known.__getitem__, islice(part, 1, None)))
-            yield np.frombuffer(self._opener(part[0]) + ids, "<u4")
+        if not texts:
+            return
+        if self.size > REMEMBERED:
+            self._forget()
+        odd = [bool(ODD_BLANK.search(raw)) for raw in texts]
+        even = pc.split_pattern(pa.array([raw for raw, o in zip(texts, odd) if not o], pa.large_binary()), b" ")
+        split = [OPENS.split(raw) for raw, o in zip(texts, odd) if o]
+        # texts cut at every blank, then the others
+        values = pa.concat_arrays([even.flatten(), pa.array([p for parts in split for p in parts], pa.large_binary())])
+        counts = np.concatenate([even.value_lengths().to_numpy(zero_copy_only=False), np.array([len(p) for p in split], np.int64)]).astype(np.int64)
+        firsts = np.cumsum(counts) - counts
+        coded = values.dictionary_encode()
+        place, words = coded.indices.to_numpy(), coded.dictionary
+        openers = [words[i].as_py() for i in place[firsts].tolist()]
+        inside = np.ones(len(place), bool)
+        inside[firsts] = False
+        met = np.bincount(place[inside], minlength=len(words)) > 0
+        hashes = _hashed(words)
+        number = self._numbers(hashes)
+        new = np.flatnonzero(met & (number < 0))
+        if len(new):
+            self._learn(words.take(pa.array(new)).to_pylist())
+            number = self._numbers(hashes)
+        self._open(openers)
+        number = np.maximum(number, 0)[place]
+        number[firsts] = self._numbers(word_hashes(openers, opening=True))
+        self.uses[: self.n_words] += np.bincount(number, minlength=self.n_words)
+        lengths = self.lengths[number].astype(np.int64)
+        ids = self.flat[_gather(self.starts[number], lengths)]
+        ends = np.cumsum(lengths)[firsts + counts - 1]
+        found = np.split(ids, ends[:-1])
+        even_ids, odd_ids = iter(found[: len(texts) - sum(odd)]), iter(found[len(texts) - sum(odd) :])
+        for o in odd:
+            yield next(odd_ids if o else even_ids)
 
     def encode(self, texts: Iterator[bytes]) -> Iterator[np.ndarray]:
         held, size = [], 0
@@ -115,6 +179,59 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
+_draw = np.random.default_rng(21)
+_values = _draw.integers(1, 2**63, (2, 256), dtype=np.uint64) | np.uint64(1)
+_factors = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: Long words are hashed in pieces of so many bytes.
+PIECE = 64
+_powers = np.array([[pow(f, k, 1 << 64) for k in range(PIECE)] for f in _factors], np.uint64)
+
+
+def _hashed(words: pa.Array, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of 64 bits of each item of a large binary array."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts, lengths = offsets[:-1] - offsets[0], np.diff(offsets)
+    pieces = -(-lengths // PIECE)
+    heads = np.cumsum(pieces) - pieces
+    at = _gather(np.zeros(len(words), np.int64), pieces)  # piece of its word
+    piece_starts = np.repeat(starts, pieces) + PIECE * at
+    within = np.arange(len(raw)) - np.repeat(piece_starts, np.minimum(PIECE, np.repeat(lengths, pieces) - PIECE * at))
+    out = []
+    for k in range(2):
+        total = (lengths.astype(np.uint64) + np.uint64(first)) * _values[k, 0]
+        if len(raw):
+            sums = np.add.reduceat(_values[k][raw] * _powers[k][within], piece_starts)
+            sums = mixed(sums + (at.astype(np.uint64) + np.uint64(1)) * _values[k, 1])
+            full = np.flatnonzero(pieces > 0)
+            total[full] += np.add.reduceat(sums, heads[full])
+        out.append(mixed(total))
+    return out[0], out[1]
+
+
+def word_hashes(words: list[bytes], opening: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words; ``opening`` those of parts that open a text."""
+    return _hashed(pa.array(words, pa.large_binary()), first=1 << 40 if opening else 0)
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, or a longer copy of it that has room for ``size`` items."""
+    if size <= len(array):
+        return array
+    longer = np.zeros(max(size, 2 * len(array)), array.dtype)
+    longer[: len(array)] = array
+    return longer
+
+
+def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of ranges, one after another."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """One per worker process and vocabulary file."""

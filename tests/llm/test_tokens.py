@@ -26,7 +26,7 @@ def test_word_by_word_equals_whole(odd_texts):
 
 
 def test_a_small_cache_changes_nothing(odd_texts, monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED_WORDS", 20)
+    monkeypatch.setattr(tokens, "REMEMBERED", 4000)
     monkeypatch.setattr(tokens, "SLICE", 100)
     library = Tokenizer.from_file(BYTE_BPE)
     for text, ids in zip(odd_texts[:500], tokens.WordEncoder(BYTE_BPE).encode(t.encode() for t in odd_texts[:500])):
@@ -140,3 +140,26 @@ def test_plans_place_every_piece():
             placed[length] += b - a
             assert offset + length <= 256
         assert (placed == found).all()
+
+
+def test_forgotten_words_are_learned_again(documents, monkeypatch):
+    """With hardly any memory words are forgotten in every slice; ids stay those of the library."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 100_000)
+    monkeypatch.setattr(tokens, "SLICE", 20_000)
+    encoder = tokens.WordEncoder(BYTE_BPE)
+    library = Tokenizer.from_file(BYTE_BPE)
+    texts = [r.text or "" for r in documents.limit(120).collect()] + ["", " ", "  a", "a  ", " b\n c", "x" * 300, "don't stop-me! now?", "été 中文 a"]
+    for found, text in zip(encoder.encode(t.encode() for t in texts), texts, strict=True):
+        assert found.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder.size < 2 * 100_000 + 20_000 * 100 and encoder.uses[: encoder.n_words].max() > 0
+
+
+def test_word_hashes_tell_words_apart():
+    draw = random.Random(4)
+    words = [b"", *{bytes(draw.choice(b"ab") for _ in range(draw.randrange(1, 14))) for _ in range(20_000)}]
+    words += [b"a" * n for n in range(14, 400)] + [b"a" * 64 + b"b" + b"a" * n for n in range(200)]
+    for k in range(2):
+        both = np.concatenate([tokens.word_hashes(words)[k], tokens.word_hashes(words, opening=True)[k]])
+        assert len(np.unique(both)) == 2 * len(words)
+        alone = np.array([tokens.word_hashes([w])[k][0] for w in words[::50]])
+        assert (alone == both[: len(words)][::50]).all()
