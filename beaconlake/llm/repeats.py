@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import raw_texts
+from beaconlake.llm.common import raw_texts, tidy
 from beaconlake.llm.suffixes import suffix_array
 from beaconlake.session import written
 
@@ -136,6 +136,9 @@ def anchors(parts: int, size: int, gram: int):
     """Anchors of each slice of documents, as arrays for each of ``parts`` groups of anchors."""
 
     def emit(ids: np.ndarray, keys: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
+        # a row that comes again has the covers of the first
+        once = np.unique(np.column_stack([ids, keys]), axis=0, return_index=True)[1]
+        ids, keys, texts = ids[once], keys[once], [texts[i] for i in once]
         joined = np.frombuffer(b"".join(texts), np.uint8)
         ends = np.cumsum([len(t) for t in texts])
         starts = ends - [len(t) for t in texts]
@@ -186,8 +189,8 @@ def _array(table: pa.Table, name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
 
-REPLY_DDL = "id long, key int, part int, covered boolean, crowd boolean, start binary, strings binary"
-REPLY = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("part", pa.int32()), ("covered", pa.bool_()),
+REPLY_DDL = "id long, key long, part int, covered boolean, crowd boolean, start binary, strings binary"
+REPLY = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("covered", pa.bool_()),
                    ("crowd", pa.bool_()), ("start", pa.binary()), ("strings", pa.binary())])
 
 
@@ -197,7 +200,7 @@ def replies(crowd_size: int, size: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         times = _array(table, "times", "<u4")
         ids = np.repeat(_array(table, "ids", "<i8"), times)
-        keys = np.repeat(_array(table, "keys", "<i4"), times)
+        keys = np.repeat(_array(table, "keys", "<i8"), times)
         anchor, context = _array(table, "anchor", "<u4"), _array(table, "context", "<u8")
         start, strings = _array(table, "start", "<u4"), _array(table, "strings", _count_type(size))
         counts = [len(b) // 4 for b in table.column("anchor").to_pylist()]
@@ -238,19 +241,23 @@ def replies(crowd_size: int, size: int):
     return run
 
 
-CONTEXT_DDL = "id long, key int, part int, crowd boolean, start int, bytes binary"
+CONTEXT_DDL = "id long, key long, part int, crowd boolean, start int, bytes binary"
 
 
 def contexts(size: int):
     """The bytes of the contexts that a document's replies ask for."""
-    schema = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("part", pa.int32()), ("crowd", pa.bool_()),
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("crowd", pa.bool_()),
                         ("start", pa.int32()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             rows = zip(*(batch.column(n).to_pylist() for n in ("id", "key", "asked")), raw_texts(batch))
+            last = None
             for doc, key, asked, raw in rows:
+                if (doc, key) == last:  # the same row again
+                    continue
+                last = doc, key
                 for part in asked:
                     starts = np.frombuffer(part["start"], "<u4").tolist()
                     for at, n in zip(starts, np.frombuffer(part["strings"], _count_type(size)).tolist()):
@@ -261,8 +268,8 @@ def contexts(size: int):
     return run
 
 
-COVER_DDL = "id long, key int, start binary, strings binary"
-COVER = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("start", pa.binary()), ("strings", pa.binary())])
+COVER_DDL = "id long, key long, start binary, strings binary"
+COVER = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.binary()), ("strings", pa.binary())])
 
 
 def covered_strings(ids: np.ndarray, pieces: list[bytes], size: int) -> np.ndarray:
@@ -331,7 +338,7 @@ def _covers(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, strings: np.nd
 
 def single_strings(size: int):
     """The strings of crowded contexts, one row each, with a 128-bit hash."""
-    schema = pa.schema([("id", pa.int64()), ("key", pa.int32()), ("start", pa.int32()), ("digest", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("digest", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -360,11 +367,11 @@ def as_cover(size: int):
 
 
 def identified(docs: DataFrame, *more: Column | str) -> DataFrame:
-    """``id`` (nulls last), ``key`` (a hash that tells rows with one id apart), ``text`` and other columns."""
+    """``id`` (nulls last), ``key`` (a 64-bit hash that tells rows with one id apart), ``text`` and other columns."""
     doc_id = F.col("doc_id").cast("long")
     text = F.col("text").cast("string")
     return docs.select(
-        F.coalesce(doc_id, F.lit(LAST_ID)).alias("id"), F.hash(text).alias("key"), text.alias("text"), *more
+        F.coalesce(doc_id, F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"), *more
     )
 
 
@@ -372,17 +379,17 @@ def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: int = C
     """``id, key, start, strings`` arrays of covered strings, gathered by document, of ``identified`` rows."""
     spark = spread.sparkSession
     parts = max(32, spread.rdd.getNumPartitions())
-    made = spread.select("id", "key", "text").mapInArrow(anchors(parts, size, gram), PARTS_DDL)
+    made = spread.select("id", "key", "text").mapInArrow(tidy(anchors(parts, size, gram)), PARTS_DDL)
     answered = written(made.repartition(parts, "part").groupBy("part").applyInArrow(replies(crowd, size), REPLY_DDL), "repeats")
     asked = answered.where(~F.col("covered")).groupBy("id", "key").agg(
         F.collect_list(F.struct("part", "crowd", "start", "strings")).alias("asked")
     )
-    found = spread.select("id", "key", "text").join(asked, ["id", "key"]).mapInArrow(contexts(size), CONTEXT_DDL)
+    found = spread.select("id", "key", "text").join(asked, ["id", "key"]).mapInArrow(tidy(contexts(size)), CONTEXT_DDL)
     found = written(found, "repeat-contexts")
 
     plain = found.where(~F.col("crowd"))
     arrays = plain.repartition(ARRAYS * parts // 4, "part").groupBy("part").applyInArrow(compared(size), COVER_DDL)
-    singles = found.where("crowd").mapInArrow(single_strings(size), "id long, key int, start int, digest binary")
+    singles = found.where("crowd").mapInArrow(single_strings(size), "id long, key long, start int, digest binary")
     first = singles.groupBy("digest").agg(F.min("id").alias("first"))
     late = singles.join(first, "digest").where(F.col("id") > F.col("first")).select("id", "key", "start")
     crowded = late.mapInArrow(as_cover(size), COVER_DDL)

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from beaconlake.llm import repeats
 from beaconlake.llm.suffixes import suffix_array
@@ -82,3 +83,15 @@ def test_filtered_documents_keep_their_columns(odd):
     by_id = {r.doc_id: r for r in kept.collect()}
     assert by_id[1].text == "" and by_id[1].n_chars == 0 and by_id[6].text is None
     assert by_id[0].text.startswith("w") and by_id[4].text.startswith("start") and len(by_id[4].text) < 20
+
+
+def test_rows_of_one_id_whose_short_hashes_clash(spark):
+    """Two texts without an id that share a 32-bit hash keep their own covers."""
+    passage = " ".join(f"word{i}" for i in range(20))
+    texts = spark.range(400_000).select(F.concat(F.lit(passage + " "), F.col("id").cast("string")).alias("text"))
+    pairs = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("same")).where("size(same) > 1").collect()
+    assert pairs
+    short = [(None, t) for row in pairs for t in row.same] + [(None, passage[:6]), (None, passage[:6]), (7, passage), (7, "x" + passage)]
+    rows = [(1, passage), *short, *[(None, passage + " again")] * 40]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(repeats.deduplicated(df)) == plain(rows)
