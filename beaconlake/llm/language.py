@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import fold, fold_of, raw_texts
+from beaconlake.llm.common import fold, fold_of, raw_texts, tidy
 from beaconlake.session import written
 
 ORDER = 3
@@ -34,6 +34,7 @@ SAMPLE_BYTES = 1_500_000
 PIECE = 65_536
 RANGES = 1024
 SLICE = 1 << 20
+#: Letters, and numerals that are no digits; only str.isalpha tells these apart.
 LETTER = re.compile(r"[^\W\d_]")
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
 UNKNOWN = "und"
@@ -169,7 +170,7 @@ def code_lengths(model: Contexts, batch: list[bytes]) -> np.ndarray:
 
 
 def has_letter(raw: bytes) -> bool:
-    return bool(ASCII_LETTER.search(raw) or (not raw.isascii() and LETTER.search(raw.decode())))
+    return bool(ASCII_LETTER.search(raw) or (not raw.isascii() and any(m[0].isalpha() for m in LETTER.finditer(raw.decode()))))
 
 
 def predicted(model: Contexts | None, batch: list[bytes]) -> tuple[list[str], np.ndarray]:
@@ -245,7 +246,7 @@ def identified(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), pa.array(folds), pa.array(names), pa.array(score)], schema=OUT
             )
 
-    return typed.drop("lang").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return typed.drop("lang").mapInArrow(tidy(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def kept_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
@@ -259,4 +260,4 @@ def kept_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
             names, score = predicted(held.value, list(raw_texts(batch)))
             yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -323,3 +324,59 @@ def test_a_step_equals_plain_gradients():
             outer[r] -= total * maxent.RATE / math.sqrt(seen[r])
     assert np.allclose(trainer.w.outer, outer, atol=1e-4)
     assert (trainer.touched[0][np.unique(rows)] > 0).all() and trainer.touched[0].sum() == 90
+
+
+def plain_votes(text):
+    """Votes of the ten rules and the base verdict, counted character by character."""
+    words_ = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    n, chars = len(words_), sum(map(len, words_))
+    windows = [tuple(words_[i : i + 5]) for i in range(n - 4)]
+    repeated = len({j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 5)})
+    lines = [x for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    marks = sum("!" <= c <= "~" and not c.isalpha() for c in text)
+    symbols, digits, upper = (sum(c in kind for c in text) for kind in ("#*$%&|<>", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    bare = sum(len(w) == 1 and "!" <= w <= "~" and not w.isalnum() for w in words_)
+    failed = n < 10 or 100 * repeated > 20 * n
+    m, c = max(n, 1), max(chars, 1)
+    dup = (len(lines) - len(set(lines))) / max(len(lines), 1)
+    spread = len(set(words_)) / m
+
+    def vote(bad, good):
+        return -1 if bad else 1 if good else 0
+
+    return failed, [
+        vote(n < 10, n >= 30), vote(chars / m < 2.5 or chars / m > 14, 3 <= chars / m <= 10), vote(symbols / m > 0.1, symbols / m <= 0.02),
+        vote(marks / c > 0.2, marks / c <= 0.08), vote(upper / c > 0.3, upper / c <= 0.1), vote(dup > 0.3, dup <= 0.1 and len(lines) >= 3),
+        vote(repeated / m > 0.2, repeated / m <= 0.05 and n >= 50), vote(50 <= n < 1000 and spread < 0.25, n >= 50 and spread > 0.45),
+        vote(digits / c > 0.2, digits / c <= 0.05), vote(bare / m > 0.15, bare / m <= 0.03),
+    ]
+
+
+def test_verdicts_equal_a_plain_em(documents):
+    """Expectation-maximisation over single documents instead of counts of patterns."""
+    rows = [(r.doc_id, r.text or "") for r in documents.select("doc_id", "text").collect() if len(r.text or "") < 20_000]
+    cast = {i: plain_votes(t) for i, t in rows}
+    share, right = 0.8, [[0.3] * 10, [0.97] * 10]
+
+    def p_good(votes_):
+        odds = math.log(share / (1 - share))
+        for j, v in enumerate(votes_):
+            if v:
+                odds += math.log(right[1][j] / (1 - right[0][j])) if v > 0 else math.log((1 - right[1][j]) / right[0][j])
+        return 1 / (1 + math.exp(-odds))
+
+    for _ in range(200):
+        good = {i: p_good(v) for i, (_, v) in cast.items()}
+        new = [[0.0] * 10, [0.0] * 10]
+        for label, start in ((1, 0.97), (0, 0.3)):
+            for j in range(10):
+                heavy = {i: (good[i] if label else 1 - good[i]) for i, (_, v) in cast.items() if v[j]}
+                agree = sum(w for i, w in heavy.items() if cast[i][1][j] == 2 * label - 1)
+                value = (agree + start * 10) / (sum(heavy.values()) + 10)
+                new[label][j] = min(max(value, 0.9), 0.999) if label else min(max(value, 1.05 - new[1][j]), 0.99)
+        right, share = new, min(max((sum(good.values()) + 8) / (len(cast) + 10), 0.05), 0.95)
+    found = {r.doc_id: r for r in quality.judged(documents.where("length(coalesce(text, '')) < 20000")).collect()}
+    assert found.keys() == cast.keys() and {r.kept for r in found.values()} == {True, False}
+    for i, (failed, votes_) in cast.items():
+        assert found[i].base_failed == failed and math.isclose(found[i].p_good, p_good(votes_), abs_tol=1e-6)
+        assert found[i].kept == (not failed and p_good(votes_) >= 0.5)
