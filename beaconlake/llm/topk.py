@@ -6,8 +6,9 @@ leave their block, and ties are broken by the smaller id. No score list is ever
 
 Defined cases: a vector that is null, empty, or holds a null or non-finite component takes no part, nor does a null id.
 Vectors of different lengths never meet. A row is never its own partner, and rows that repeat a query's id count as that
-query's own. A repeated query row gets its results once per row. A query without partners gets no row. Scores are exact
-integers; one beyond 2**61 either way is held there.
+query's own. A repeated query row gets its results once per row. A query without partners gets no row; an empty table gives none.
+Scores are exact in the whole range of a long; one beyond it is held at the end of the range. A row of which ``scale`` times
+a component is beyond a double takes no part.
 """
 
 from __future__ import annotations
@@ -26,14 +27,15 @@ CANDIDATE_BLOCK = 8192
 #: Cells of a refined histogram, and rows of queries multiplied at once.
 CELLS = 4096
 STRIP = 256
-LARGEST = 2**61
+LONG = np.iinfo(np.int64)
 
 BLOCK = "block long, dim int, n int, ids binary, width int, cells binary, top double"
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
     """``vec_id`` and scale * component of the usable vectors; the floor is taken when blocks are packed."""
-    usable = F.expr("size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('inf'))")
+    whole = f"forall(embedding, x -> x is not null and not isnan(x) and abs(x * double({scale})) < double('inf'))"
+    usable = F.expr(f"size(embedding) > 0 and {whole}")
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & usable
     ).select("vec_id", F.transform("embedding", lambda x: x.cast("double") * scale).alias("cells"))
@@ -100,7 +102,7 @@ def scores(q: np.ndarray, c: np.ndarray, bound: float) -> np.ndarray:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
     whole = np.frompyfunc(int, 1, 1)
     product = whole(q.astype(object)).astype(object) @ whole(c.astype(object)).astype(object).T
-    return np.clip(product, -LARGEST, LARGEST).astype(np.int64)
+    return np.clip(product, LONG.min, LONG.max).astype(np.int64)
 
 
 def _strips(q: pa.Table, c: pa.Table, k: int):
@@ -131,7 +133,9 @@ def count_cells(k: int):
                     values = values[values >= low[at + i]]
                     if len(values) > k:
                         values = np.partition(values, len(values) - k)[len(values) - k :]
-                    cell, hits = np.unique((values - low[at + i]) // step, return_counts=True)
+                    # distances fill the range of an unsigned long; all that lies above the interval is one cell
+                    distance = values.astype(np.uint64) - low[at + i].astype(np.uint64)
+                    cell, hits = np.unique(np.minimum(distance // np.uint64(step), np.uint64(CELLS)), return_counts=True)
                     out["q_row"].append(np.full(len(cell), at + i))
                     out["cell"].append(cell)
                     out["hits"].append(hits)
@@ -183,7 +187,7 @@ def exact_topk(queries: DataFrame, candidates: DataFrame, k: int, scale: int = 2
     bounds = q_blocks.groupBy("dim").agg(F.max("top").alias("q_top")).join(
         c_blocks.groupBy("dim").agg(F.max("top").alias("c_top")), "dim"
     ).agg(F.max(F.col("q_top") * F.col("c_top") * F.col("dim"))).first()[0]
-    bound = min(int(bounds or 0), LARGEST)
+    bound = int(min(bounds or 0.0, 2.0**63))
     step = max(1, -(-(2 * bound + 1) // CELLS))
 
     pairs = q_blocks.select("block", "dim").join(c_blocks.select(F.col("block").alias("c_block"), "dim"), "dim")
@@ -225,7 +229,8 @@ def _refined(state: DataFrame, chosen: DataFrame) -> DataFrame:
                 low = np.frombuffer(row["low"], "<i8").copy()
                 step = np.frombuffer(row["step"], "<i8").copy()
                 for hit in row.pop("cut") or []:
-                    low[hit["q_row"]] += hit["cell"] * step[hit["q_row"]]
+                    i = hit["q_row"]
+                    low[i] = int(low[i]) + hit["cell"] * int(step[i])
                 row["low"], row["step"] = low.tobytes(), np.maximum(1, -(-step // CELLS)).tobytes()
             fields = [batch.schema.field(name) for name in columns]
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(fields))
