@@ -50,7 +50,7 @@ GROUPS = 128
 LEAF = 32
 BRANCH = 16
 BLOCK = 4096
-SHINGLES = 3 << 20
+SHINGLES = 4 << 20
 #: Sets, and about how many shingles, intersected with a query at once, before it is seen again which are joined by now.
 CHECKED = 256
 CHECKED_SHINGLES = 1 << 19
@@ -284,7 +284,8 @@ class CountTree:
 
 
 def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that join all sets which links join, one fewer than each part has members."""
+    """Links that join all sets which links join, one fewer than each part has members. Empties the list of sets, which are
+    not needed once their shingles are numbered."""
     if len(sets) == 2:
         a, b = sets
         common = len(np.intersect1d(a, b, assume_unique=True))
@@ -299,7 +300,10 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
     for s, at in zip(sets, starts.tolist()):
         flat[at : at + len(s)] = np.searchsorted(values, s)
     own = np.zeros(len(values), bool)
-    part = np.arange(len(sets))
+    n = len(sets)
+    del values, s
+    sets.clear()
+    part = np.arange(n)
     out = []
     for q in tree.order.tolist():
         mine = flat[starts[q] : starts[q] + tree.sizes[q]]
@@ -308,7 +312,7 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
         strange = np.logical_or.reduceat(packed != part[q], tree.leaf)  # leaves with a point of another part
         near = tree.leaves(q, percent)
         near = (near[strange[near]][:, None] * LEAF + np.arange(LEAF)).ravel()
-        near = tree.order[near[near < len(sets)]]
+        near = tree.order[near[near < n]]
         near = tree.points(q, near[part[near] != part[q]], percent)
         share = np.cumsum(tree.sizes[near]) // CHECKED_SHINGLES * len(near) + np.arange(len(near)) // CHECKED
         for chosen in np.split(near, np.flatnonzero(np.diff(share)) + 1):
@@ -349,8 +353,9 @@ def linked(percent: int):
     """Joining links of each group; rows of a group stand together."""
 
     def links(members: dict[int, bytes]) -> pa.RecordBatch:
-        nodes = list(members)
-        found = joining_links([np.frombuffer(b, "<u8") for b in members.values()], percent)
+        nodes, sets = list(members), [np.frombuffer(b, "<u8") for b in members.values()]
+        members.clear()
+        found = joining_links(sets, percent)
         return pa.RecordBatch.from_arrays(
             [pa.array([nodes[a] for a, _ in found], pa.int64()), pa.array([nodes[b] for _, b in found], pa.int64())], names=["a", "b"]
         )
