@@ -8,9 +8,11 @@ leaves whose text varies are slots of content. What no pivot has is found by pla
 of tags on nearly all pages that have this path, of the layout or of the host, is template too. Equal pages count once, so
 copies of an article never turn it into template.
 
-From a page's leaves go: those in elements that are no article by kind, name or role (menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, comments), template leaves, and, where an article element stands, what is
-outside it; elsewhere leaves that are mostly links. If only template would remain, it is content (a host of one article).
+From a page's leaves go: those in elements that are no article by kind, name or role, blocks or not (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles, comments), and template leaves. A class, id or element name of which
+only a part is such a word is a vote, and loses it where the element holds most of the page's text. Where an article element
+holds at least half of the text left, what is outside it goes; elsewhere leaves that are mostly links and no paragraphs. If
+only template would remain, it is content (a host of one article).
 
 Defined cases: null or empty html gives an empty text. A page without a host in its url has no pivot and no template.
 Repeated rows and null page_ids give one row each. A host of very many pages is spread by the join's skew handling.
@@ -38,6 +40,8 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>|<[!?/][^>]*>|<[a-zA-Z!?/][^<>]*\Z", re.S
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Attributes of elements inside a line that can make them noise; most have none of them.
+TELLING = re.compile(r"\b(?:class|id|hidden|aria-hidden|style|role)\b", re.I)
 NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Element kinds of HTML, and names and roles by which page parts are commonly marked.
@@ -58,6 +62,8 @@ MARKED = frozenset(
     " promo related reply replies respond share sharing sidebar sidebars skip social sponsor sponsored subscribe toolbar"
     " widget widgets".split()
 )
+#: Parts of a name that count as the whole of it: what readers write may be longer than the article.
+READERS = frozenset("comment comments disqus reply replies respond".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation note search toolbar".split())
 #: Open elements that a new one of these kinds closes.
 CLOSES = {
@@ -68,32 +74,41 @@ LISTS = frozenset("ul ol dl table menu select div section article body".split())
 
 
 class Element:
-    __slots__ = ("tag", "kids", "noise", "main", "path")
+    __slots__ = ("tag", "kids", "noise", "main", "marks", "path")
 
-    def __init__(self, tag: str, noise: bool, main: bool, above: int = 0):
-        self.tag, self.noise, self.main, self.kids = tag, noise, main, []
+    def __init__(self, tag: str, noise: bool, main: bool, marks: tuple[int, ...] = (), above: int = 0):
+        self.tag, self.noise, self.main, self.marks, self.kids = tag, noise, main, marks, []
         self.path = (above * 1_000_003 + zlib.crc32(tag.encode())) & (2**63 - 1)  # a hash of the tags from the root on
 
 
 class Leaf:
-    __slots__ = ("text", "links", "noise", "main", "number", "path")
+    __slots__ = ("text", "links", "noise", "main", "marks", "paragraph", "number", "path")
 
-    def __init__(self, text: str, links: int, noise: bool, main: bool, path: int):
-        self.text, self.links, self.noise, self.main, self.number, self.path = text, links, noise, main, -1, path
+    def __init__(self, text: str, links: int, within: Element):
+        self.text, self.links, self.noise, self.main = text, links, within.noise, within.main
+        self.marks, self.paragraph, self.number, self.path = within.marks, within.tag == "p", -1, within.path
 
 
-def _marked(tag: str, attributes: str, within: Element) -> bool:
+def _is_noise(tag: str, attributes: str, within: Element) -> bool | None:
+    """Whether an element is no part of an article; None if part of a name says so, which is but a vote."""
     if tag in DROPPED or (tag == "header" and not within.main):
         return True
-    if not attributes.strip():
-        return False
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
+    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
         return True
     if found.get("role", "").lower() in ROLES:
         return True
-    named = NAMES.findall(f"{found.get('class', '')} {found.get('id', '')}")
-    return tag not in ("html", "body", "article", "main") and any(n.lower() in MARKED for n in named)
+    if tag in ("html", "body", "article", "main"):
+        return False
+    names = f"{found.get('class', '')} {found.get('id', '')} {tag if '-' in tag else ''}".split()
+    vote: bool | None = False
+    for name in names:
+        parts = [n.lower() for n in NAMES.findall(name)]
+        if parts and all(n in MARKED for n in parts) or any(n in READERS for n in parts):
+            return True
+        if any(n in MARKED for n in parts):
+            vote = None
+    return vote
 
 
 def parsed(page: str) -> tuple[Element, list[Leaf]]:
@@ -101,17 +116,17 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
     root = Element("#page", False, False)
     stack, leaves = [root], []
     text: list[str] = []
-    link_text, depth_of_link = 0, 0
+    link_text, depth_of_link, votes = 0, 0, 0
+    inline: list[tuple[str, int, bool]] = []  # open elements inside a line: name, blocks around them, and whether they are noise
 
     def flush() -> None:
         nonlocal link_text
         shown = " ".join(references.unescape("".join(text)).split())
         if shown:
-            top = stack[-1]
-            leaf = Leaf(shown, link_text, top.noise, top.main, top.path)
+            leaf = Leaf(shown, link_text, stack[-1])
             leaf.number = len(leaves)
             leaves.append(leaf)
-            top.kids.append(leaf)
+            stack[-1].kids.append(leaf)
         text.clear()
         link_text = 0
 
@@ -119,7 +134,7 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
     while at < size:
         found = TOKEN.search(page, at)
         piece = page[at : found.start() if found else size]
-        if piece:
+        if piece and not (inline and inline[-1][2]):
             text.append(piece)
             if depth_of_link:
                 link_text += len(piece)
@@ -133,7 +148,7 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
             if tag in RAW:
                 closing = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
                 at = closing.end() if closing else size
-            elif tag in BLOCKS:
+            elif tag in BLOCKS or "-" in tag:
                 flush()
                 closed = CLOSES.get(tag, frozenset()) | {"p"}
                 for i in range(len(stack) - 1, 0, -1):
@@ -141,25 +156,48 @@ def parsed(page: str) -> tuple[Element, list[Leaf]]:
                         del stack[i:]
                     elif stack[i].tag in LISTS:
                         break
+                inline = [x for x in inline if x[1] <= len(stack)]
                 if tag not in VOID and not found[3].endswith("/"):
                     top = stack[-1]
                     main = top.main or tag in ("article", "main") or 'role="main"' in found[3]
-                    own = Element(tag, top.noise or _marked(tag, found[3], top), main, top.path)
+                    noise = _is_noise(tag, found[3], top)
+                    votes += noise is None
+                    marks = (*top.marks, votes) if noise is None else top.marks
+                    own = Element(tag, top.noise or bool(noise) or bool(inline and inline[-1][2]), main, marks, top.path)
                     top.kids.append(own)
                     stack.append(own)
-            elif tag == "a":
-                depth_of_link = 1
             elif tag in SPACING:
                 text.append(" ")
-        elif tag in BLOCKS:
+            elif tag not in VOID:
+                if tag == "a":
+                    depth_of_link = 1
+                if not found[3].endswith("/"):
+                    hidden = bool(inline and inline[-1][2]) or (bool(TELLING.search(found[3])) and _is_noise(tag, found[3], stack[-1]) is True)
+                    inline.append((tag, len(stack), hidden))
+        elif tag in BLOCKS or "-" in tag:
             flush()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
-        elif tag == "a":
-            depth_of_link = 0
+            inline = [x for x in inline if x[1] <= len(stack)]
+        else:
+            if tag == "a":
+                depth_of_link = 0
+            for i in range(len(inline) - 1, -1, -1):
+                if inline[i][0] == tag:
+                    del inline[i:]
+                    break
     flush()
+    # a vote counts against an element that holds no more than half of what is left without it
+    weight = [0] * (votes + 1)
+    for leaf in leaves:
+        if not leaf.noise:
+            weight[0] += len(leaf.text)
+            for mark in leaf.marks:
+                weight[mark] += len(leaf.text)
+    for leaf in leaves:
+        leaf.noise = leaf.noise or any(2 * weight[mark] <= weight[0] for mark in leaf.marks)
     return root, leaves
 
 
@@ -287,10 +325,12 @@ def content(page: str, pivot: str | None, matcher: Matcher) -> list[dict]:
 
 
 def _chosen(leaves: list[Leaf]) -> list[Leaf]:
-    """Leaves that are no noise: those in article elements, or without any, those that are not mostly links."""
+    """Leaves that are no noise: those in article elements, if they hold most of the text; else those that are not mostly
+    links, or paragraphs."""
     kept = [leaf for leaf in leaves if not leaf.noise]
+    own = [leaf for leaf in kept if leaf.paragraph or 2 * leaf.links <= len(leaf.text)]
     inside = [leaf for leaf in kept if leaf.main]
-    return inside or [leaf for leaf in kept if 2 * leaf.links <= len(leaf.text)]
+    return inside if inside and 2 * sum(len(x.text) for x in inside) >= sum(len(x.text) for x in {*own, *inside}) else own
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,15 @@ def texts(page):
     ("<p>one</p><div id='comments'><p>reader</p></div><p hidden>h</p>", ["one"]),
     ("<div><a href='/a'>link</a></div><div>words <a href='/a'>l</a></div>", ["words l"]),
     ("<p>unclosed <b", ["unclosed"]),
+    ("<div class='post-social-science'><h1>On society</h1><p>All of its words</p></div><p>x</p>", ["On society", "All of its words", "x"]),
+    ("<div class='post-social-science'>links</div><p>All of the words of the article</p>", ["All of the words of the article"]),
+    ("<p>first words</p><p><a href='/a'>a paragraph that is one link</a></p>", ["first words", "a paragraph that is one link"]),
+    ("<article>Teaser</article><div><p>The longer body of the page stands outside</p></div>", ["Teaser", "The longer body of the page stands outside"]),
+    ("<p>one <span class='ad'>Buy <b>now</b></span>two <i style='display: none'>three</i> <b hidden>four</b>five</p>", ["one two five"]),
+    ("<p>one <span class='ad'>Buy</p><p>two</p>", ["one", "two"]),
+    ("<app-sidebar><p>Elsewhere</p></app-sidebar><p>Words of the article itself</p><my-text>more words</my-text>", ["Words of the article itself", "more words"]),
+    ("<p>short</p><div class='comment-list'><p>Readers write much more than the article has words</p></div>", ["short"]),
+    ("<ul><li><a href='/a'>Home</a><li><a href='/b'>News</a></ul><p>words</p>", ["words"]),
 ])
 def test_pages(page, expected):
     assert texts(page) == expected
