@@ -8,7 +8,7 @@ import gc
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,26 +29,49 @@ def texts(docs: DataFrame) -> DataFrame:
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(spark: SparkSession, megabytes: int = 8) -> None:
+def bounded_batches(spark: SparkSession, megabytes: int = 4) -> None:
     """Smaller Arrow batches in a session that has Spark's default of 64 MB: a row here is a text or a set, and a batch stands
     in the JVM and in Python, there twice over while it is read. A session's own bound stays."""
     if spark.conf.get(ARROW_BYTES).rstrip("b") == str(64 << 20):
         spark.conf.set(ARROW_BYTES, f"{megabytes}m")
 
 
-def tidy(run):
-    """A batch function after which its worker, which Spark keeps for later tasks, gives free memory back to the machine."""
+#: What this worker holds for its next tasks of the same kind: how to let go of it, by name.
+_held: dict[str, Callable[[], object]] = {}
+
+
+def hold(name: str, release: Callable[[], object]) -> None:
+    _held[name] = release
+
+
+def let_go(holds: str | None) -> None:
+    """Drop what the worker holds, but for ``holds``."""
+    for name, release in _held.items():
+        if name != holds:
+            release()
+
+
+def give_back() -> None:
+    """Free memory goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what small arrays leave
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run, holds: str | None = None):
+    """A batch function after which its worker, which Spark keeps for later tasks of any kind, gives free memory back to the
+    machine, and before which it drops what tasks of other kinds hold. ``holds`` is what this one uses."""
 
     @functools.wraps(run)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(holds)
+        give_back()
         try:
             yield from run(batches)
         finally:
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what small arrays leave
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return tidied
 

@@ -53,7 +53,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> Data
             columns = list(zip(*rows)) or [[] for _ in PIECE]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PIECE)], schema=PIECE)
 
-    return texts(docs).mapInArrow(tidy(run), PIECE_DDL)
+    return texts(docs).mapInArrow(tidy(run, "encoder"), PIECE_DDL)
 
 
 def patterns(present: np.ndarray, size: int) -> np.ndarray:

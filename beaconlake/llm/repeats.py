@@ -36,6 +36,8 @@ SIZE = 50
 GRAM = 20
 #: Bytes hashed at once, suffix arrays for each group of anchors, and contexts of one anchor beyond which they are cut up.
 SLICE = 2 << 20
+#: Places of a slice that are worked on together, so that what is made on the way stays small.
+BLOCK = 1 << 16
 ARRAYS = 16
 CROWD = 50_000
 LAST_ID = 2**63 - 1
@@ -43,34 +45,44 @@ LAST_ID = 2**63 - 1
 _odd = 0x9E3779B97F4A7C15
 _inverse = pow(_odd, -1, 1 << 64)
 _byte_values = np.random.default_rng(20).integers(1, 2**64, 256, dtype=np.uint64)
-_powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n of the hash's multiplier and of its inverse, modulo 2**64."""
-    if not _powers or len(_powers["up"]) <= n:
-        for name, base in (("up", _odd), ("down", _inverse)):
-            factors = np.full(max(n, SLICE) + 1, base, np.uint64)
-            factors[0] = 1
-            _powers[name] = np.cumprod(factors)
-    return _powers["up"], _powers["down"]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base``, from the power 0 on, modulo 2**64."""
+    factors = np.full(n, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+_up, _down = _powers(_odd, BLOCK), _powers(_inverse, BLOCK)
 
 
 class Hashes:
     """Hashes of any substring of a buffer, equal for equal bytes wherever they stand."""
 
     def __init__(self, data: np.ndarray):
-        up, down = _power(len(data))
-        self.up = up
+        blocks = len(data) // BLOCK + 1
+        self.heads = _powers(pow(_odd, BLOCK, 1 << 64), blocks)  # what the powers of a block are multiplied by
+        below = _powers(pow(_inverse, BLOCK, 1 << 64), blocks)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_byte_values[data] * down[: len(data)], out=self.sums[1:])
+        for block, at in enumerate(range(0, len(data), BLOCK)):
+            own = _byte_values[data[at : at + BLOCK]]
+            own *= _down[: len(own)]
+            own *= below[block]
+            own[:1] += self.sums[at : at + 1]
+            np.cumsum(own, out=self.sums[at + 1 : at + 1 + len(own)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.up[start])
+        return mixed((self.sums[end] - self.sums[start]) * (_up[start % BLOCK] * self.heads[start // BLOCK]))
 
     def grams(self, length: int) -> np.ndarray:
-        n = len(self.sums) - length
-        return mixed((self.sums[length:] - self.sums[:n]) * self.up[:n])
+        out = np.empty(max(len(self.sums) - length, 0), np.uint64)
+        for block, at in enumerate(range(0, len(out), BLOCK)):
+            own = self.sums[at + length : at + length + BLOCK] - self.sums[at : min(at + BLOCK, len(out))]
+            own *= _up[: len(own)]
+            own *= self.heads[block]
+            out[at : at + BLOCK] = mixed(own)
+        return out
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -81,6 +93,14 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def leftmost_smallest(h: np.ndarray, width: int) -> np.ndarray:
     """For each window of ``width`` values the place of its leftmost smallest one."""
+    out = np.empty(max(len(h) - width + 1, 0), np.int32)
+    for at in range(0, len(out), BLOCK):
+        out[at : at + BLOCK] = _leftmost_smallest(h[at : at + BLOCK + width - 1], width)
+        out[at : at + BLOCK] += at
+    return out
+
+
+def _leftmost_smallest(h: np.ndarray, width: int) -> np.ndarray:
     value, place, reach = h, np.arange(len(h), dtype=np.int32), 1
     while reach < width:
         step = min(reach, width - reach)
@@ -100,11 +120,11 @@ def anchored(joined: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int
     hashes = Hashes(joined)
     grams = hashes.grams(gram)
     place = leftmost_smallest(grams, size - gram + 1)[:n]
-    inside = np.zeros(n + 1, np.int32)
+    inside = np.zeros(n + 1, np.int8)
     own = ends - starts >= size
     np.add.at(inside, starts[own], 1)
     np.add.at(inside, ends[own] - size + 1, -1)
-    inside = np.cumsum(inside[:-1]).astype(bool)
+    inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
     opens = inside.copy()
     opens[1:] &= (place[1:] != place[:-1]) | ~inside[:-1]
     closes = inside.copy()

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from beaconlake.llm.common import hold
 from beaconlake.llm.repeats import mixed
 
 #: Bytes that the words a task remembers may take; when they do, the half that was met most often stays.
@@ -23,7 +24,7 @@ REMEMBERED = 64 << 20
 #: What a remembered word takes besides its ids: two hashes, places, length, uses, and room to grow.
 ENTRY = 72
 #: Bytes of text whose words are looked up together.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: A blank that is not followed by a certainly visible character: another blank, ASCII or wider white space, or the end.
 ODD_BLANK = re.compile(rb" (?![!-~\xc3-\xcf])")
 #: Letters (ASCII, or those among U+00C0 to U+00FF) and then ASCII marks, not led by an apostrophe as contractions are:
@@ -236,3 +237,6 @@ def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def encoder(path: str) -> WordEncoder:
     """One per worker process and vocabulary file."""
     return WordEncoder(path)
+
+
+hold("encoder", encoder.cache_clear)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -95,3 +96,32 @@ def test_rows_of_one_id_whose_short_hashes_clash(spark):
     rows = [(1, passage), *short, *[(None, passage + " again")] * 40]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert found(repeats.deduplicated(df)) == plain(rows)
+
+
+def test_hashes_across_blocks():
+    n = 2 * repeats.BLOCK + 100
+    data = np.random.default_rng(4).integers(0, 256, n).astype(np.uint8)
+    hashes = repeats.Hashes(data)
+    grams = hashes.grams(20)
+    places = np.array([0, 1, repeats.BLOCK - 20, repeats.BLOCK - 1, repeats.BLOCK, 2 * repeats.BLOCK - 7, n - 20])
+    alone = [repeats.Hashes(data[p : p + 20]).grams(20)[0] for p in places]
+    assert len(grams) == n - 19
+    assert grams[places].tolist() == alone == hashes.of(places, places + 20).tolist()
+    values = np.random.default_rng(5).integers(0, 1000, repeats.BLOCK + 300)
+    found = repeats.leftmost_smallest(values, 31)
+    assert found.tolist() == [i + int(values[i : i + 31].argmin()) for i in range(len(values) - 30)]
+
+
+def test_anchors_take_little_memory():
+    """Arrays on the way to the anchors of a slice, and powers held for later, as other workers of the machine need room."""
+    draw = np.random.default_rng(6)
+    data = draw.integers(97, 101, repeats.SLICE).astype(np.uint8)
+    starts = np.arange(0, len(data), 2000)
+    tracemalloc.start()
+    try:
+        repeats.anchored(data, starts, np.append(starts[1:], len(data)), SIZE, repeats.GRAM)
+        held, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert most < 32 * len(data)
+    assert held < len(data)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from beaconlake.llm import bpe, packing, token_files, tokens
+from beaconlake.llm import bpe, common, packing, token_files, tokens
 from beaconlake.llm.queries import BYTE_BPE, WORD_BPE
 
 PARTS = [" ", "  ", "\n", "a", "B", "'s", "é", "　", "\t", "1", "!", "\xa0", "\x1c", "<|endoftext|>", "ß", "́", "日", "\x00", "×", "É", " the", "of", "."]
@@ -163,3 +163,13 @@ def test_word_hashes_tell_words_apart():
         assert len(np.unique(both)) == 2 * len(words)
         alone = np.array([tokens.word_hashes([w])[k][0] for w in words[::50]])
         assert (alone == both[: len(words)][::50]).all()
+
+
+def test_tasks_of_other_kinds_let_go_of_the_vocabulary():
+    idle = common.tidy(lambda batches: batches)
+    encoding = common.tidy(lambda batches: batches, "encoder")
+    first = tokens.encoder(BYTE_BPE)
+    assert list(encoding(iter([1, 2]))) == [1, 2]
+    assert tokens.encoder(BYTE_BPE) is first  # held for the next task that encodes
+    assert list(idle(iter([3]))) == [3]
+    assert tokens.encoder.cache_info().currsize == 0
