@@ -30,8 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from beaconlake.llm.common import bounded_batches, hold, tidy
 from beaconlake.session import written
 
+#: Characters of pages and their pivots whose leaves are held together, and shapes and matches that a task remembers.
+RUN, SHAPES, MATCHES = 1 << 20, 100_000, 500_000
 #: Other pages that must show a leaf unchanged, and their share among the pages that have the leaf.
 TEMPLATE_PAGES = 3
 TEMPLATE_SHARE = 0.9
@@ -302,6 +305,8 @@ def _pivot(page: str):
     return parsed(page)
 
 
+hold("pivots", _pivot.cache_clear)
+
 LEAVES = "array<struct<text: string, node: int, same: boolean, path: bigint>>"
 LEAF_TYPE = pa.list_(pa.struct([("text", pa.string()), ("node", pa.int32()), ("same", pa.bool_()), ("path", pa.int64())]))
 
@@ -314,7 +319,7 @@ def content(page: str, pivot: str | None, matcher: Matcher) -> list[dict]:
         return [{"text": x.text, "node": x.number, "same": None, "path": x.path} for x in _chosen(leaves)]
     if pivot is not None:
         base, base_leaves = _pivot(pivot)
-        if len(matcher.shapes) > 100_000:
+        if len(matcher.shapes) > SHAPES or len(matcher.matched) > MATCHES:
             matcher.__init__()
         matcher.align(base, root, node)
     out = []
@@ -334,16 +339,25 @@ def _chosen(leaves: list[Leaf]) -> list[Leaf]:
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with their leaves, in runs of about RUN characters: a leaf takes many times its text while it is an object."""
     matcher = Matcher()
     for batch in batches:
-        rows = [
-            content(page or "", pivot, matcher)
-            for page, pivot in zip(batch.column("html").to_pylist(), batch.column("pivot").to_pylist())
-        ]
-        columns = [batch.column(n) for n in ("page_id", "url", "host", "layout", "copy")]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(rows, LEAF_TYPE)], names=["page_id", "url", "host", "layout", "copy", "leaves"]
-        )
+        kept = batch.select(["page_id", "url", "host", "layout", "copy"])
+
+        def run(first: int, rows: list[list[dict]]) -> pa.RecordBatch:
+            columns = kept.slice(first, len(rows)).columns
+            return pa.RecordBatch.from_arrays([*columns, pa.array(rows, LEAF_TYPE)], names=[*kept.schema.names, "leaves"])
+
+        first, rows, size = 0, [], 0
+        for page, pivot in zip(batch.column("html"), batch.column("pivot")):
+            page, pivot = page.as_py() or "", pivot.as_py()
+            rows.append(content(page, pivot, matcher))
+            size += len(page) + len(pivot or "")
+            if size >= RUN:
+                yield run(first, rows)
+                first, rows, size = first + len(rows), [], 0
+        if rows:
+            yield run(first, rows)
 
 
 def _recurring():
@@ -373,6 +387,7 @@ def _by_place(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
+    bounded_batches(pages.sparkSession)
     url = F.col("url").cast("string")
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     typed = pages.select(
@@ -389,7 +404,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     joined = typed.join(pivots, ["host", "layout"], "left")
     rows = written(
         joined.select("page_id", "url", "host", "layout", "copy", "html", "pivot").mapInArrow(
-            _aligned, f"page_id long, url string, host string, layout long, copy long, leaves {LEAVES}"
+            tidy(_aligned), f"page_id long, url string, host string, layout long, copy long, leaves {LEAVES}"
         ),
         "page-leaves",
     )
@@ -404,13 +419,12 @@ def extracted(pages: DataFrame) -> DataFrame:
     templates = templates.join(of_layout, ["host", "layout"], "full")
     named = rows.join(written(templates, "page-templates"), ["host", "layout"], "left").join(written(of_host, "page-marks"), "host", "left")
 
-    def listed(column: str, kind: str):
-        return F.coalesce(column, F.array().cast(f"array<{kind}>"))
-
-    marks = F.concat(listed("marks_host_layout", "bigint"), listed("marks_host", "bigint"))
+    def holds(column: str, value):  # lists are looked through where they lie: a joined one would be built for each leaf
+        return F.coalesce(F.array_contains(column, value), F.lit(False))
 
     def varies(x):
-        return ~F.array_contains(listed("template", "int"), x["node"]) & ~F.array_contains(marks, F.xxhash64(x["path"], x["text"]))
+        mark = F.xxhash64(x["path"], x["text"])
+        return ~(holds("template", x["node"]) | holds("marks_host_layout", mark) | holds("marks_host", mark))
 
     varying = F.filter("leaves", varies)
     shown = F.when(F.size(varying) > 0, varying).otherwise(F.col("leaves"))

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from beaconlake.llm import html_text
@@ -102,3 +103,42 @@ def test_whole_table(spark, data):
     assert len(found) == pages.count()
     for r in found:
         assert r.text and "<p>" not in r.text and "track(" not in r.text and "©" not in r.text
+
+
+def test_leaves_are_held_in_small_runs(monkeypatch):
+    """One batch of many pages comes back as several, which hold its rows in order."""
+    monkeypatch.setattr(html_text, "RUN", 4000)
+    pages = [None, "", *(f"<h2>Our site</h2><p>{n} {'word ' * 200}</p>" for n in range(40)), "<p>end"]
+    rows = len(pages)
+    batch = pa.RecordBatch.from_pydict({
+        "page_id": list(range(rows)), "url": ["u"] * rows, "host": ["h"] * rows, "layout": [1] * rows, "copy": list(range(rows)),
+        "html": pa.array(pages, pa.string()), "pivot": pa.array([None, *pages[2:3] * (rows - 1)], pa.string()),
+    })
+    found = list(html_text._aligned(iter([batch])))
+    assert len(found) > 15 and max(b.num_rows for b in found) <= 6
+    assert [i for b in found for i in b.column("page_id").to_pylist()] == list(range(rows))
+    matcher = html_text.Matcher()
+    whole = [html_text.content(p or "", v, matcher) for p, v in zip(pages, batch.column("pivot").to_pylist())]
+    assert [leaves for b in found for leaves in b.column("leaves").to_pylist()] == whole
+
+
+def test_matches_are_forgotten(monkeypatch):
+    """What a task remembers of matches is bounded as its shapes are."""
+    monkeypatch.setattr(html_text, "MATCHES", 50)
+    matcher, most = html_text.Matcher(), 0
+    for n in range(60):
+        html_text.content("<ul><li>a</ul>" + "<div><p>b</div>" * n + "<div><h2>c</h2></div>", "<div><p>x<p>y</div><ul><li>z<li>w</ul>", matcher)
+        most = max(most, len(matcher.matched))
+    assert most <= 50 + 20
+
+
+def test_pages_go_to_python_in_bounded_batches(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/1", "<p>a")], "page_id long, url string, html string")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(64 << 20))
+    try:
+        html_text.extracted(pages)
+        assert spark.conf.get(name) == "4m"
+    finally:
+        spark.conf.set(name, before)
