@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,8 +43,8 @@ ROUNDS, RATE, BATCH = 2, 0.35, 4096
 SLICE = 1 << 20
 #: Largest size of a feature's weight: with three of them and a bias, exponentials stay within single precision.
 LARGEST = 15.0
-#: Words held by a counting task before it sends them on, words whose codes a task keeps, rows of a block of weights.
-HELD_WORDS, CACHED_WORDS, BLOCK = 300_000, 400_000, 256
+#: Words held by a counting task before it sends them on, rows of a block of weights.
+HELD_WORDS, BLOCK = 300_000, 256
 
 HEAD_WORDS = HEADS * WIDTH
 CONTEXTS = HEAD_WORDS + ENDINGS
@@ -59,10 +58,14 @@ END = b"\n"
 class Coded:
     """Tokens of a run of documents: distinct words, the last of them END, and each token's place among them."""
 
-    words: list[bytes]
+    dictionary: pa.LargeBinaryArray
     index: np.ndarray
     starts: np.ndarray
 
+    @property
+    def words(self) -> list[bytes]:
+        return self.dictionary.to_numpy(zero_copy_only=False).tolist()
+
 
 def coded_tokens(raws: list[bytes]) -> Coded:
     """Words of lower-cased texts, split and numbered by Arrow; an end token closes each text."""
@@ -80,7 +83,8 @@ def coded_tokens(raws: list[bytes]) -> Coded:
     inside = np.ones(len(index), bool)
     inside[ends - 1] = False
     index[inside] = coded.indices.to_numpy()
-    return Coded([*coded.dictionary.cast(pa.large_binary()).to_pylist(), END], index, ends - sizes)
+    dictionary = pa.concat_arrays([coded.dictionary.cast(pa.large_binary()), pa.array([END], pa.large_binary())])
+    return Coded(dictionary, index, ends - sizes)
 
 
 def ending(word: bytes) -> int:
@@ -91,33 +95,60 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAILS
 
 
+#: zlib's table, read off the sums of single bytes.
+_CRC = np.array([zlib.crc32(bytes([b ^ 255])) ^ 0xFF000000 for b in range(256)], np.uint32)
+
+
+def crc_of_last(words: pa.LargeBinaryArray, most: int) -> np.ndarray:
+    """zlib.crc32 of the last ``most`` bytes of each word, or of the whole of a shorter one."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    register = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for back in range(most, 0, -1):
+        own = np.flatnonzero(np.diff(offsets) >= back)
+        held = register[own]
+        register[own] = _CRC[(held ^ raw[offsets[own + 1] - back]) & np.uint32(255)] ^ (held >> np.uint32(8))
+    return (register ^ np.uint32(0xFFFFFFFF)).astype(np.int64)
+
+
 def is_training(doc_id: int | None) -> bool:
     return fold_of(doc_id, FOLDS) != HELD_OUT
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word, n`` over the training documents; tasks add up before the shuffle."""
-    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+    names = ["word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(held.values(), pa.int64())], schema=schema)
-            held.clear()
-            return out
+        def added() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(names)
 
         for batch in batches:
             for _, found in _documents(batch, [is_training(i) for i in batch.column("doc_id").to_pylist()]):
-                for word, n in zip(found.words, np.bincount(found.index, minlength=len(found.words)).tolist()):
-                    held[word] += n
-                if len(held) > HELD_WORDS:
-                    yield flush()
-        yield flush()
+                n = np.bincount(found.index, minlength=len(found.dictionary))
+                held.append(pa.table([found.dictionary.cast(pa.binary()), pa.array(n, pa.int64())], names=names))
+                if sum(map(len, held)) > 2 * HELD_WORDS:
+                    held = [added()]
+                    if len(held[0]) > HELD_WORDS:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from added().to_batches()
 
     return texts(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Places:
+    """Places of words in a list, looked up by Arrow; -1 for others."""
+
+    def __init__(self, words: list[bytes]):
+        self.words = pa.array(words, pa.large_binary())
+
+    def of(self, words: pa.LargeBinaryArray) -> np.ndarray:
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+
+
 @dataclass
 class Vocabulary:
     """``count`` of the most frequent words, places of the head words, and totals of all tokens and of the tail classes."""
@@ -162,11 +193,13 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     ranked = [bytes(r["word"]) for r in top]
     chosen = [END, *[w for w in ranked if w != END][: HEAD_WORDS - 1]]
     head = {word: i for i, word in enumerate(chosen)}
+    places = Places(list(head))
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, kinds = np.zeros(TAILS + 1, np.int64), np.zeros(TAILS + 1, np.int64)
         for batch in batches:
-            found = [TAILS if w in head else tail_class(w) for w in batch.column("word").to_pylist()]
+            own = batch.column("word").cast(pa.large_binary())
+            found = np.where(places.of(own) < 0, crc_of_last(own, 2) % TAILS, TAILS)
             n = batch.column("n").to_numpy()
             total += np.bincount(found, n, TAILS + 1).astype(np.int64)
             kinds += np.bincount(found, minlength=TAILS + 1)
@@ -180,26 +213,19 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(count, head, int(total.sum()), int(kinds.sum()), total[:TAILS], kinds[:TAILS])
 
 
-class Codes(dict):
+class Codes:
     """For each word one number: context (any bits above 11), class (6 bits), place in its class (5 bits)."""
 
     def __init__(self, head: dict[bytes, int]):
-        super().__init__()
-        self.head = head
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        at = self.head.get(word)
-        if at is None:
-            code = (HEAD_WORDS + ending(word)) << 11 | (HEADS + tail_class(word)) << 5
-        else:
-            code = at << 11 | (at // WIDTH) << 5 | at % WIDTH
-        self[word] = code
-        return code
+        self.places = Places(list(head))
+        at = np.array([*head.values()], np.int64)
+        self.codes = np.append(at << 11 | (at // WIDTH) << 5 | at % WIDTH, 0)
 
     def of(self, found: Coded) -> np.ndarray:
-        return np.array([self[w] for w in found.words], np.int64)[found.index]
+        """Codes of all tokens, from those of the distinct words: ``ending`` and ``tail_class`` of all words at once."""
+        at, words = self.places.of(found.dictionary), found.dictionary
+        tail = (HEAD_WORDS + crc_of_last(words, 3) % ENDINGS) << 11 | (HEADS + crc_of_last(words, 2) % TAILS) << 5
+        return np.where(at < 0, tail, self.codes[at])[found.index]
 
 
 @dataclass
@@ -411,22 +437,22 @@ def scored(docs: DataFrame) -> DataFrame:
 
         v, weights = held.value
         codes, uid = Codes(v.head), TaskContext.get().partitionId() << 33
-        known = {w: math.log10(n + 0.5) for w, n in v.count.items()}
+        known, logs_of = Places(list(v.count)), np.array([*(math.log10(n + 0.5) for n in v.count.values()), np.nan])
         for batch in batches:
             ids = batch.column("doc_id")
             for rows, found in _documents(batch):
                 coded, starts = codes.of(found), found.starts
-                base = np.array([known.get(word, np.nan) for word in found.words])[found.index]
+                base = logs_of[known.of(found.dictionary)][found.index]
                 here = ~np.isnan(base)
                 tails = coded >> 5 & 63 >= HEADS
                 sizes = np.diff(np.append(starts, len(coded)))
                 logs = token_scores(weights, v, coded, starts) / math.log(10) + np.where(tails & here, base, 0)
                 # rarer words of each document, each with its number
                 owner = np.repeat(np.arange(len(rows)), sizes)[~here]
-                pairs, times = np.unique(owner * len(found.words) + found.index[~here], return_counts=True)
-                owner, word = np.divmod(pairs, len(found.words))
+                pairs, times = np.unique(owner * len(found.dictionary) + found.index[~here], return_counts=True)
+                owner, word = np.divmod(pairs, len(found.dictionary))
                 rare = pa.StructArray.from_arrays(
-                    [pa.array(found.words, pa.binary()).take(pa.array(word)), pa.array(times.astype(np.int32))], names=["word", "times"]
+                    [found.dictionary.take(pa.array(word)).cast(pa.binary()), pa.array(times.astype(np.int32))], names=["word", "times"]
                 )
                 mine = ids.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([

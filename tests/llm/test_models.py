@@ -380,3 +380,32 @@ def test_verdicts_equal_a_plain_em(documents):
     for i, (failed, votes_) in cast.items():
         assert found[i].base_failed == failed and math.isclose(found[i].p_good, p_good(votes_), abs_tol=1e-6)
         assert found[i].kept == (not failed and p_good(votes_) >= 0.5)
+
+
+def test_codes_of_distinct_words_are_those_of_each_word(odd_rows):
+    """Words are coded without a step for each: head words by place, others by endings of any length."""
+    draw = random.Random(8)
+    words = [b"a", b"\xff", b"ab", b"\xff\x00", b"abc", b"hello", *(bytes(draw.choices(range(33, 256), k=draw.randint(1, 9))) for _ in range(3000))]
+    listed = pa.array([b"", *words], pa.large_binary())
+    for most in (1, 2, 3):
+        assert maxent.crc_of_last(listed, most).tolist() == [zlib.crc32(w[-most:]) for w in [b"", *words]]
+        assert maxent.crc_of_last(listed.slice(5, 70), most).tolist() == [zlib.crc32(w[-most:]) for w in words[4:74]]
+    head = {maxent.END: 0, **{w: n for n, w in enumerate(dict.fromkeys(words[10:500]), 1)}}
+    found = maxent.coded_tokens([*((r[1] or "").encode() for r in odd_rows), *[b"one hello", b"", b" of "]])
+    head[found.words[0]] = len(head)
+    codes = maxent.Codes(head).of(found)
+    for word, code in zip((found.words[i] for i in found.index), codes, strict=True):
+        at, tail = head.get(word), maxent.HEADS + maxent.tail_class(word)
+        expected = (maxent.HEAD_WORDS + maxent.ending(word), tail, 0) if at is None else (at, at // maxent.WIDTH, at % maxent.WIDTH)
+        assert maxent.unpacked(code) == expected
+
+
+def test_word_counts_are_sent_in_parts(documents, monkeypatch):
+    """Counts of a task that holds few words come in several parts, and add up to those of each word."""
+    expected = Counter()
+    for r in documents.select("doc_id", "text").collect():
+        if maxent.is_training(r.doc_id):
+            expected.update([*(r.text or "").encode().lower().split(), maxent.END])
+    monkeypatch.setattr(maxent, "SLICE", 2000)
+    monkeypatch.setattr(maxent, "HELD_WORDS", 500)
+    assert {bytes(r.word): r.n for r in maxent.word_counts(documents).collect()} == expected
