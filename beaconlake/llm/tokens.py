@@ -81,7 +81,10 @@ class WordEncoder:
         """Number of each word, -1 for those not known."""
         if not self.n_words:
             return np.full(len(hashes[0]), -1)
-        at = np.minimum(np.searchsorted(self.keys, hashes[0]), self.n_words - 1)
+        ascending = np.argsort(hashes[0])  # a search in order finds what it needs in the processor's cache
+        at = np.empty(len(ascending), np.int64)
+        at[ascending] = np.searchsorted(self.keys, hashes[0][ascending])
+        at = np.minimum(at, self.n_words - 1)
         found = self.order[at].astype(np.int64)
         return np.where((self.keys[at] == hashes[0]) & (self.checks[found] == hashes[1]), found, -1)
 
@@ -95,36 +98,48 @@ class WordEncoder:
         self._add(hashes, ids, lengths)
         self.uses[: len(kept)] = uses // 2
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Words that are not known yet."""
-        marked, unknown = [], {}
-        for word in words:
+    def _learn(self, words: list[bytes], hashes: tuple[np.ndarray, np.ndarray]) -> None:
+        """Words that are not known yet, each once, and their hashes."""
+        at, plain, stems, marks = [], [], [], []
+        for i, word in enumerate(words):
             if word[-1:] in MARKS and (found := MARKED.fullmatch(word)):
-                marked.append((word, found[1], found[2]))
+                at.append(i)
+                stems.append(found[1])
+                marks.append(found[2])
             else:
-                unknown[word] = None
-        stems = list({stem for _, stem, _ in marked} - unknown.keys())
-        unknown.update((stems[i], None) for i in np.flatnonzero(self._numbers(word_hashes(stems)) < 0).tolist())
-        if unknown:
-            fresh = list(unknown)
+                plain.append(i)
+        fresh, own = [words[i] for i in plain], [h[plain] for h in hashes]
+        if stems:
+            place = {stem: n for n, stem in enumerate(dict.fromkeys(stems))}
+            distinct = list(place)
+            of_stems = word_hashes(distinct)
+            listed = set(fresh)
+            new = [i for i in np.flatnonzero(self._numbers(of_stems) < 0).tolist() if distinct[i] not in listed]
+            fresh += [distinct[i] for i in new]
+            own = [np.concatenate([a, b[new]]) for a, b in zip(own, of_stems)]
+        if fresh:
             ids = self._ids(b" " + b" ".join(fresh))
             ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), np.cumsum([len(w) + 1 for w in fresh])) + 1
-            self._add(word_hashes(fresh), ids, np.diff(ends, prepend=0))
-        if marked:
-            marks = [marks for _, _, marks in marked]
-            self._open(marks)
-            parts = np.stack([self._numbers(word_hashes([stem for _, stem, _ in marked])), self._numbers(word_hashes(marks, opening=True))], axis=1)
+            self._add(tuple(own), ids, np.diff(ends, prepend=0))
+        if stems:
+            left = self._numbers(of_stems)[[place[stem] for stem in stems]]
+            parts = np.stack([left, self._open(marks)], axis=1)
             ids = self.flat[_gather(self.starts[parts.ravel()], self.lengths[parts.ravel()].astype(np.int64))]
-            self._add(word_hashes([word for word, _, _ in marked]), ids, self.lengths[parts].sum(axis=1))
+            self._add(tuple(h[at] for h in hashes), ids, self.lengths[parts].sum(axis=1))
 
-    def _open(self, parts: list[bytes]) -> None:
-        """First parts of texts, which no blank opens."""
-        fresh = list(dict.fromkeys(parts))
+    def _open(self, parts: list[bytes]) -> np.ndarray:
+        """Numbers of first parts of texts, which no blank opens."""
+        place = {part: n for n, part in enumerate(dict.fromkeys(parts))}
+        fresh = list(place)
         hashes = word_hashes(fresh, opening=True)
-        new = np.flatnonzero(self._numbers(hashes) < 0)
+        number = self._numbers(hashes)
+        new = np.flatnonzero(number < 0)
         if len(new):
             ids = [self._ids(fresh[i]) for i in new.tolist()]
+            first = self.n_words
             self._add(tuple(h[new] for h in hashes), np.concatenate(ids), np.array([len(i) for i in ids]))
+            number[new] = first + np.arange(len(new))
+        return number[[place[part] for part in parts]]
 
     def _slice(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if not texts:
@@ -140,7 +155,7 @@ class WordEncoder:
         firsts = np.cumsum(counts) - counts
         coded = values.dictionary_encode()
         place, words = coded.indices.to_numpy(), coded.dictionary
-        openers = [words[i].as_py() for i in place[firsts].tolist()]
+        openers = _listed(words.take(pa.array(place[firsts])))
         inside = np.ones(len(place), bool)
         inside[firsts] = False
         met = np.bincount(place[inside], minlength=len(words)) > 0
@@ -148,11 +163,12 @@ class WordEncoder:
         number = self._numbers(hashes)
         new = np.flatnonzero(met & (number < 0))
         if len(new):
-            self._learn(words.take(pa.array(new)).to_pylist())
-            number = self._numbers(hashes)
-        self._open(openers)
+            own = tuple(h[new] for h in hashes)
+            self._learn(_listed(words.take(pa.array(new))), own)
+            number[new] = self._numbers(own)
+        opening = self._open(openers)
         number = np.maximum(number, 0)[place]
-        number[firsts] = self._numbers(word_hashes(openers, opening=True))
+        number[firsts] = opening
         self.uses[: self.n_words] += np.bincount(number, minlength=self.n_words)
         lengths = self.lengths[number].astype(np.int64)
         ids = self.flat[_gather(self.starts[number], lengths)]
@@ -212,6 +228,11 @@ def _hashed(words: pa.Array, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """The items of a binary array; ``to_pylist`` makes an object for each on the way."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def word_hashes(words: list[bytes], opening: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of words; ``opening`` those of parts that open a text."""
     return _hashed(pa.array(words, pa.large_binary()), first=1 << 40 if opening else 0)

@@ -173,3 +173,21 @@ def test_tasks_of_other_kinds_let_go_of_the_vocabulary():
     assert tokens.encoder(BYTE_BPE) is first  # held for the next task that encodes
     assert list(idle(iter([3]))) == [3]
     assert tokens.encoder.cache_info().currsize == 0
+
+
+def test_known_words_are_looked_up_once(monkeypatch):
+    """A slice that brings one new word, with a mark and without, looks its other words up once, and each hash is taken once."""
+    monkeypatch.setattr(tokens, "SLICE", 1)
+    encoder, looked, hashed = tokens.WordEncoder(BYTE_BPE), [], []
+    numbers, hashes = tokens.WordEncoder._numbers, tokens._hashed
+    monkeypatch.setattr(tokens.WordEncoder, "_numbers", lambda self, h: (looked.append(len(h[0])), numbers(self, h))[1])
+    monkeypatch.setattr(tokens, "_hashed", lambda words, first=0: (hashed.append(len(words)), hashes(words, first))[1])
+    known = "It was " + " ".join(f"word{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(600))
+    texts = [known, f"{known} other, other; wordaa, wordaa other", f"{known}, more"]
+    library = Tokenizer.from_file(BYTE_BPE)
+    for n, (text, ids) in enumerate(zip(texts, encoder.encode(t.encode() for t in texts), strict=True)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        if n:
+            assert sum(looked) < 650 and sum(hashed) < 650
+        looked.clear()
+        hashed.clear()
