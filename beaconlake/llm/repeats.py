@@ -10,6 +10,8 @@ judged on the input. Equal strings must meet in one task without every suffix be
 3. The remaining contexts of a group of anchors form one text. Its suffixes are sorted by the difference cover: sampled
    triples are sorted and named, names are sorted by recursion, other suffixes are merged. Adjacent prefixes of ``size``
    bytes are compared; in a run of equal ones all but those of the smallest doc_id are covered.
+   A group of more than GROUP bytes takes steps 1 and 2 again inside its task, with anchors from longer grams, and sorts what
+   is left in runs of whole anchors, so that a task's memory does not grow with the number of contexts that share an anchor.
 
 Anchors with very many different contexts (where a common passage meets different neighbours) would make one group too
 large. Such contexts are cut into their single strings, which are spread by their hash and combined before the shuffle.
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconlake.llm.common import raw_texts, tidy
+from beaconlake.llm.common import bounded_batches, raw_texts, tidy
 from beaconlake.llm.suffixes import suffix_array
 from beaconlake.session import written
 
@@ -40,6 +42,9 @@ SLICE = 2 << 20
 BLOCK = 1 << 16
 ARRAYS = 16
 CROWD = 50_000
+#: Bytes whose suffixes are sorted at once, and rows given on at once.
+GROUP = 1 << 20
+ROWS = 1 << 14
 LAST_ID = 2**63 - 1
 
 _odd = 0x9E3779B97F4A7C15
@@ -189,24 +194,44 @@ def anchors(parts: int, size: int, gram: int):
         return pa.RecordBatch.from_pylist(out, schema=PARTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys, held, total = [], [], [], 0
         for batch in batches:
-            ids = batch.column("id").to_numpy()
-            keys = batch.column("key").to_numpy()
-            held, first, total = [], 0, 0
-            for i, raw in enumerate(raw_texts(batch)):
+            for i, key, raw in zip(batch.column("id").to_pylist(), batch.column("key").to_pylist(), raw_texts(batch)):
+                ids.append(i)
+                keys.append(key)
                 held.append(raw)
                 total += len(raw)
                 if total >= SLICE:
-                    yield emit(ids[first : i + 1], keys[first : i + 1], held)
-                    held, first, total = [], i + 1, 0
-            if held:
-                yield emit(ids[first:], keys[first:], held)
+                    yield emit(np.array(ids, np.int64), np.array(keys, np.int64), held)
+                    ids, keys, held, total = [], [], [], 0
+        if held:
+            yield emit(np.array(ids, np.int64), np.array(keys, np.int64), held)
 
     return run
 
 
+def _bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The joined bytes of a binary column without nulls, and the length of each cell; no cell becomes an object."""
+    data, lengths = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for chunk in column.chunks:
+        _, offsets, values = chunk.buffers()
+        if len(chunk):
+            wide = np.int64 if pa.types.is_large_binary(chunk.type) else np.int32
+            ends = np.frombuffer(offsets, wide)[chunk.offset : chunk.offset + len(chunk) + 1]
+            lengths.append(np.diff(ends).astype(np.int64))
+            if ends[-1] > ends[0]:
+                data.append(np.frombuffer(values, np.uint8)[ends[0] : ends[-1]])
+    return np.concatenate(data), np.concatenate(lengths)
+
+
 def _array(table: pa.Table, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    return _bytes(table.column(name))[0].view(kind)
+
+
+def _cells(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Binary cells of the values between neighbouring bounds."""
+    offsets = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
 REPLY_DDL = "id long, key long, part int, covered boolean, crowd boolean, start binary, strings binary"
@@ -215,52 +240,66 @@ REPLY = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("part", pa.int32())
 
 
 def replies(crowd_size: int, size: int):
-    """For each document of a group of anchors: the contexts that are covered whole, and those still to be compared."""
+    """For each document of a group of anchors: the contexts that are covered whole, and those still to be compared.
+
+    The anchors of one array are looked at together, one array after the other: what is made on the way is for those only.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        times = _array(table, "times", "<u4")
-        ids = np.repeat(_array(table, "ids", "<i8"), times)
-        keys = np.repeat(_array(table, "keys", "<i8"), times)
+        ids, keys = _array(table, "ids", "<i8"), _array(table, "keys", "<i8")
+        owner = np.repeat(np.arange(len(ids), dtype=np.uint32), _array(table, "times", "<u4"))
         anchor, context = _array(table, "anchor", "<u4"), _array(table, "context", "<u8")
         start, strings = _array(table, "start", "<u4"), _array(table, "strings", _count_type(size))
-        counts = [len(b) // 4 for b in table.column("anchor").to_pylist()]
-        settled = np.concatenate(
-            [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(table.column("settled").to_pylist(), counts)]
-        ).astype(bool)
-        open_rows = np.flatnonzero(~settled)
-        order = open_rows[np.lexsort((ids[open_rows], context[open_rows], anchor[open_rows]))]
-        a, c = anchor[order], context[order]
-        new_anchor = np.concatenate([[True], a[1:] != a[:-1]])
-        new = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
-        least = ids[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-        covered = ids[order] > least
-        number = np.cumsum(new_anchor) - 1
-        kinds = np.bincount(number, new)[number]
-        compare = ~covered & (kinds > 1)
-        crowd = compare & (kinds > crowd_size)
-        rows = np.concatenate([np.flatnonzero(settled), order[covered], order[compare & ~crowd], order[crowd]])
-        kind = np.repeat([0, 0, 1, 2], [settled.sum(), covered.sum(), (compare & ~crowd).sum(), crowd.sum()])
-        array = np.where(kind > 0, anchor[rows] % ARRAYS, 0).astype(np.int32)  # equal strings have equal anchors
-        sort = np.lexsort((start[rows], keys[rows], ids[rows], array, kind))
-        rows, kind, array = rows[sort], kind[sort], array[sort]
-        i, k = ids[rows], keys[rows]
-        if not len(rows):
-            return REPLY.empty_table()
-        change = (i[1:] != i[:-1]) | (k[1:] != k[:-1]) | (kind[1:] != kind[:-1]) | (array[1:] != array[:-1])
-        bounds = np.flatnonzero(np.concatenate([[True], change, [True]]))
-        heads = bounds[:-1]
-        part = table.column("part")[0].as_py() * ARRAYS + array[heads]
-        s, n = start[rows], strings[rows]
-        return pa.table({
-            "id": i[heads], "key": k[heads], "part": part,
-            "covered": kind[heads] == 0, "crowd": kind[heads] == 2,
-            "start": pa.array([s[x:y].tobytes() for x, y in zip(heads, bounds[1:])], pa.binary()),
-            "strings": pa.array([n[x:y].tobytes() for x, y in zip(heads, bounds[1:])], pa.binary()),
-        }, schema=REPLY)
+        kind = np.zeros(len(anchor), np.uint8)  # 1: covered, 2: to be compared, 3: of a crowd, 0: done
+        at = 0
+        for bits, n in zip(table.column("settled"), (_bytes(table.column("anchor"))[1] // 4).tolist()):
+            kind[at : at + n] = np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), count=n)
+            at += n
+        array = (anchor % ARRAYS).astype(np.uint8)  # equal strings have equal anchors
+        for number in range(ARRAYS):
+            open_rows = np.flatnonzero((array == number) & (kind == 0))
+            if not len(open_rows):
+                continue
+            order = open_rows[np.lexsort((ids[owner[open_rows]], context[open_rows], anchor[open_rows]))]
+            covered, compare, kinds = _settled(ids[owner[order]], anchor[order], context[order])
+            kind[order[covered]] = 1
+            kind[order[compare]] = np.where(kinds[compare] > crowd_size, 3, 2)
+
+        def answer(rows: np.ndarray, number: int, covered: bool, crowd: bool) -> pa.Table:
+            """Rows of one document and slice stand together."""
+            doc = owner[rows]
+            bounds = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]]))
+            doc = doc[bounds[:-1]]
+            part = table.column("part")[0].as_py() * ARRAYS + number
+            return pa.table({
+                "id": ids[doc], "key": keys[doc], "part": np.full(len(doc), part, np.int32),
+                "covered": np.full(len(doc), covered), "crowd": np.full(len(doc), crowd),
+                "start": _cells(start[rows], bounds), "strings": _cells(strings[rows], bounds),
+            }, schema=REPLY)
+
+        out = [REPLY.empty_table()]
+        if len(rows := np.flatnonzero(kind == 1)):
+            out.append(answer(rows, 0, True, False))
+        for crowd in (2, 3):
+            for number in range(ARRAYS):
+                if len(rows := np.flatnonzero((kind == crowd) & (array == number))):
+                    out.append(answer(rows, number, False, crowd == 3))
+        return pa.concat_tables(out)
 
     return run
 
 
+def _settled(ids: np.ndarray, anchor: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows in the order of anchors, contexts and ids: which are covered whole as their context has a smaller id too,
+    which are to be compared with other contexts of their anchor, and how many contexts the anchor has."""
+    new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    new = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
+    covered = ids > ids[np.flatnonzero(new)][np.cumsum(new) - 1]
+    number = np.cumsum(new_anchor) - 1
+    kinds = np.bincount(number, new)[number]
+    return covered, ~covered & (kinds > 1), kinds
+
+
 CONTEXT_DDL = "id long, key long, part int, crowd boolean, start int, bytes binary"
 
 
@@ -269,21 +308,27 @@ def contexts(size: int):
     schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("crowd", pa.bool_()),
                         ("start", pa.int32()), ("bytes", pa.binary())])
 
+    def given(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [[] for _ in schema]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            rows = zip(*(batch.column(n).to_pylist() for n in ("id", "key", "asked")), raw_texts(batch))
+            rows = zip(*(batch.column(n).to_pylist() for n in ("id", "key")), batch.column("asked"), raw_texts(batch))
             last = None
             for doc, key, asked, raw in rows:
                 if (doc, key) == last:  # the same row again
                     continue
                 last = doc, key
-                for part in asked:
+                for part in asked.as_py():
                     starts = np.frombuffer(part["start"], "<u4").tolist()
                     for at, n in zip(starts, np.frombuffer(part["strings"], _count_type(size)).tolist()):
                         out.append((doc, key, part["part"], part["crowd"], at, raw[at : at + n - 1 + size]))
-            columns = list(zip(*out)) or [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                    if len(out) >= ROWS:
+                        yield given(out)
+                        out = []
+            yield given(out)
 
     return run
 
@@ -298,17 +343,19 @@ def covered_strings(ids: np.ndarray, pieces: list[bytes], size: int) -> np.ndarr
     Sorts all suffixes, and among those of at least ``size`` bytes compares adjacent prefixes.
     """
     lengths = np.array([len(p) for p in pieces], np.int64)
-    joined = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64) + 2
     ends = np.cumsum(lengths + 1) - 1
-    text = np.ones(int(lengths.sum()) + len(pieces), np.int64)
-    body = np.ones(len(text), bool)
+    raw = np.zeros(int(lengths.sum()) + len(pieces) + 8, np.uint8)
+    body = np.ones(len(raw) - 8, bool)
     body[ends] = False
-    text[body] = joined
-    owner = np.repeat(np.arange(len(pieces)), lengths + 1)
+    raw[:-8][body] = np.frombuffer(b"".join(pieces), np.uint8)
+    text = raw[:-8].astype(np.int64)
+    text += 2
+    text[ends] = 1
+    owner = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths + 1)
     order = suffix_array(text, 258)
     order = order[order + size <= ends[owner[order]]]
-    raw = np.zeros(len(text) + 8, np.uint8)
-    raw[: len(text)][body] = joined - 2
+    out = np.zeros(len(text), bool)
+    del text, body
     words = np.lib.stride_tricks.sliding_window_view(raw, 8).copy().view("<u8").ravel()
     same = np.ones(max(len(order) - 1, 0), bool)
     for at in sorted({*range(0, size - 8, 8), size - 8}):
@@ -318,25 +365,58 @@ def covered_strings(ids: np.ndarray, pieces: list[bytes], size: int) -> np.ndarr
     heads = np.flatnonzero(np.concatenate([[True], ~same])) if len(order) else np.zeros(0, int)
     doc = ids[owner[order]]
     least = np.minimum.reduceat(doc, heads)[run] if len(order) else doc
-    out = np.zeros(len(text), bool)
     out[order] = doc > least
     return out
 
 
+def covered_runs(ids: np.ndarray, pieces: list[bytes], size: int, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
+    """Piece, first place and number of covered strings that start one after the other; ``gram`` is that of the anchors by
+    which the pieces came together.
+
+    Pieces of more than GROUP bytes get anchors from longer grams: equal strings have equal ones at equal places, so contexts
+    of different anchors need not be compared. With grams as long as a string, contexts are strings and none is left.
+    """
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    if lengths.sum() <= GROUP or gram >= size:
+        places = np.flatnonzero(covered_strings(ids, pieces, size))
+        offset = np.cumsum(lengths + 1) - lengths - 1
+        owner = np.searchsorted(offset, places, side="right") - 1
+        yield owner, places - offset[owner], np.ones(len(places), np.int64)
+        return
+    gram = (gram + size + 1) // 2
+    found, first = [], 0
+    slices = (np.cumsum(lengths) - lengths) // GROUP
+    for end in [*(np.flatnonzero(slices[1:] != slices[:-1]) + 1).tolist(), len(pieces)]:
+        own = lengths[first:end]
+        ends = np.cumsum(own)
+        row, *rest = anchored(np.frombuffer(b"".join(pieces[first:end]), np.uint8), ends - own, ends, size, gram)
+        found.append((row + first, *rest))
+        first = end
+    row, start, strings, anchor, context = (np.concatenate(x) for x in zip(*found))
+    del found
+    order = np.lexsort((ids[row], context, anchor))
+    row, start, strings, anchor, context = (x[order] for x in (row, start, strings, anchor, context))
+    covered, compare, _ = _settled(ids[row], anchor, context)
+    yield row[covered], start[covered], strings[covered]
+    row, start, strings, anchor = (x[compare] for x in (row, start, strings, anchor))
+    bounds = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1], [True]])) if len(row) else np.zeros(1, int)
+    run = np.concatenate([[0], np.cumsum(strings - 1 + size)])[bounds[:-1]] // (GROUP // 2)  # of anchors
+    cuts = bounds[:-1][np.concatenate([[True], run[1:] != run[:-1]])] if len(row) else bounds[:0]
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(row)]):
+        parts = [pieces[r][s : s + n - 1 + size] for r, s, n in zip(row[a:b].tolist(), start[a:b].tolist(), strings[a:b].tolist())]
+        for piece, place, n in covered_runs(ids[row[a:b]], parts, size, gram):
+            yield row[a:b][piece], start[a:b][piece] + place, n
+
+
 def compared(size: int):
     """Suffix sort of one group's contexts: the covered strings of each document."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        pieces = table.column("bytes").to_pylist()
         ids, keys = table.column("id").to_numpy(), table.column("key").to_numpy()
         starts = table.column("start").to_numpy().astype(np.int64)
-        hit = covered_strings(ids, pieces, size)
-        lengths = np.array([len(p) + 1 for p in pieces])
-        offset = np.cumsum(lengths) - lengths
-        places = np.flatnonzero(hit)
-        owner = np.searchsorted(offset, places, side="right") - 1
-        begin = starts[owner] + places - offset[owner]
-        return _covers(ids[owner], keys[owner], begin, np.ones(len(begin), np.int64), size)
+        found = list(covered_runs(ids, table.column("bytes").to_pylist(), size))
+        owner, place, strings = (np.concatenate(x) for x in zip(*found))
+        return _covers(ids[owner], keys[owner], starts[owner] + place, strings, size)
 
     return run
 
@@ -350,9 +430,8 @@ def _covers(ids: np.ndarray, keys: np.ndarray, start: np.ndarray, strings: np.nd
     bounds = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]), [True]]))
     heads = bounds[:-1]
     return pa.table({
-        "id": ids[heads], "key": keys[heads],
-        "start": pa.array([start[a:b].astype("<u4").tobytes() for a, b in zip(heads, bounds[1:])], pa.binary()),
-        "strings": pa.array([strings[a:b].astype(_count_type(size)).tobytes() for a, b in zip(heads, bounds[1:])], pa.binary()),
+        "id": ids[heads], "key": keys[heads], "start": _cells(start.astype("<u4"), bounds),
+        "strings": _cells(strings.astype(_count_type(size)), bounds),
     }, schema=COVER)
 
 
@@ -360,6 +439,10 @@ def single_strings(size: int):
     """The strings of crowded contexts, one row each, with a 128-bit hash."""
     schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("digest", pa.binary())])
 
+    def given(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out)) or [[] for _ in schema]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -368,8 +451,10 @@ def single_strings(size: int):
                     (doc, key, at + i, hashlib.blake2b(raw[i : i + size], digest_size=16).digest())
                     for i in range(len(raw) - size + 1)
                 ]
-            columns = list(zip(*out)) or [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                if len(out) >= ROWS:
+                    yield given(out)
+                    out = []
+            yield given(out)
 
     return run
 
@@ -397,7 +482,7 @@ def identified(docs: DataFrame, *more: Column | str) -> DataFrame:
 
 def covers(spread: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """``id, key, start, strings`` arrays of covered strings, gathered by document, of ``identified`` rows."""
-    spark = spread.sparkSession
+    bounded_batches(spread.sparkSession)
     parts = max(32, spread.rdd.getNumPartitions())
     made = spread.select("id", "key", "text").mapInArrow(tidy(anchors(parts, size, gram)), PARTS_DDL)
     answered = written(made.repartition(parts, "part").groupBy("part").applyInArrow(replies(crowd, size), REPLY_DDL), "repeats")

@@ -4,6 +4,7 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +126,49 @@ def test_anchors_take_little_memory():
         tracemalloc.stop()
     assert most < 32 * len(data)
     assert held < len(data)
+
+
+def crowded_contexts(n):
+    """Contexts of one anchor, a common passage that meets few kinds of neighbours on either side."""
+    draw = random.Random(12)
+    sides = [bytes(draw.choices(range(97, 123), k=29)) for _ in range(40)]
+    pieces = [draw.choice(sides) + b"a passage of 20 byte" + draw.choice(sides) for _ in range(n)]
+    ids = np.array([draw.randrange(5 * n) for _ in range(n)])
+    table = pa.table({
+        "id": ids, "key": np.arange(n), "part": np.zeros(n, np.int32), "crowd": np.zeros(n, bool),
+        "start": np.arange(n, dtype=np.int32) % 7, "bytes": pa.array(pieces, pa.binary()),
+    })
+    return ids, pieces, table
+
+
+def test_contexts_of_one_anchor_take_little_memory():
+    ids, pieces, table = crowded_contexts(40_000)
+    tracemalloc.start()
+    covers = repeats.compared(SIZE)((0,), table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 120e6
+    first = {}
+    for i, raw in zip(ids.tolist(), pieces):
+        for at in range(len(raw) - SIZE + 1):
+            first[raw[at : at + SIZE]] = min(first.get(raw[at : at + SIZE], i), i)
+    expected = {
+        (k, k % 7 + at) for k, (i, raw) in enumerate(zip(ids.tolist(), pieces)) for at in range(len(raw) - SIZE + 1) if first[raw[at : at + SIZE]] < i
+    }
+    got = set()
+    for row in covers.to_pylist():
+        for start, n in zip(np.frombuffer(row["start"], "<u4").tolist(), np.frombuffer(row["strings"], "<u1").tolist()):
+            got |= {(row["key"], start + x) for x in range(n)}
+    assert got == expected
+
+
+def test_groups_beyond_the_bound_give_the_same(monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP", 300)
+    ids, pieces, _ = crowded_contexts(300)
+    hit = repeats.covered_strings(ids, pieces, SIZE)
+    offset = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+    got = np.zeros(len(hit), bool)
+    for piece, place, n in repeats.covered_runs(ids, pieces, SIZE):
+        for p, at, m in zip(piece.tolist(), place.tolist(), n.tolist()):
+            got[offset[p] + at : offset[p] + at + m] = True
+    assert hit.any() and (got == hit).all()
