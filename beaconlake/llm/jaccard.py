@@ -9,6 +9,9 @@ Documents with equal sets are one node. Two sets link when 100 * common >= 90 *
    hardly any shingles would let unrelated sets meet. There are ``spare`` groups more than needed, so linking sets agree
    on more groups than that, and a node with no more than ``spare`` light groups need not send them: an agreed group is
    light in both sets or in neither. Nodes with more light groups send all. So no linking pair is lost.
+   A node also knows how many of its routes a partner must share, all that linking sets agree on but for the light ones it
+   did not send. One that shares fewer with all others together has no partner and is left out, twice over:
+   texts that share a notice or a turn of words would else chain into clusters that grow with the corpus.
 2. R-tree. In a cluster the sets' shingles are counted by hash group. The counts are points of an R-tree, whose boxes
    carry the coordinates' maxima and the range of sizes. The sum of the smaller coordinates bounds the overlap from above,
    so boxes and points that cannot reach the needed overlap are left out, and so are those already joined to the query.
@@ -16,6 +19,7 @@ Documents with equal sets are one node. Two sets link when 100 * common >= 90 *
    of n nodes gives fewer than n rows.
 
 A cluster of more than BLOCK nodes, or of more than SHINGLES shingles, is cut into blocks whose pairs are separate groups.
+Texts go to the groups, compressed, and are cut into shingles there: the hashes of a text's shingles take several times its bytes.
 
 Defined cases: a null text, and a text without a word, has an empty set and links with nothing. With one or two words the
 whole sequence is the one shingle. A null doc_id is never a component's name unless all its documents lack one.
@@ -45,6 +49,9 @@ PERCENT = 90
 #: Bytes hashed at once; ratio of the sizes at the ends of a level.
 SLICE = 2 << 20
 LEVEL_RATIO = 1.25
+#: Hash groups beyond those needed, in hundredths; rounds in which nodes that share too few routes are left out.
+SPARE = 30
+PRUNES = 2
 #: Hash groups of a count vector, points in a leaf of the tree, leaves in a branch, nodes and shingles of a block.
 GROUPS = 128
 LEAF = 32
@@ -120,7 +127,7 @@ class Level:
 def level_of(level: int, percent: int) -> Level:
     least, top = level_start(level, percent), level_start(level + 1, percent) - 1
     differ = 2 * top * (100 - percent) // (100 + percent)
-    spare = (differ + 1) * 8 // 100 + min(differ, 2)
+    spare = (differ + 1) * SPARE // 100 + min(differ, 2)
     groups = differ + 1 + spare
     # the largest groups that are still few enough to be left out by nearly all sets of the level (Poisson counts)
     mean, light, share = least / groups, 0, 0.0
@@ -133,8 +140,9 @@ def level_of(level: int, percent: int) -> Level:
     return Level(edges, labels, light, spare)
 
 
-def routes(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.ndarray]]:
-    """For each level where the set can meet a partner, one hash for each of its groups of shingles."""
+def routes(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.ndarray, int]]:
+    """For each level where the set can meet a partner, one hash for each of its groups of shingles, and how many of these a
+    partner shares at least."""
     n = len(shingles)
     if not n:
         return []
@@ -150,12 +158,16 @@ def routes(shingles: np.ndarray, percent: int = PERCENT) -> list[tuple[int, np.n
         cuts = np.concatenate([[0], np.searchsorted(shingles, plan.edges), [n]])
         found = mixed((sums[cuts[1:]] - sums[cuts[:-1]]) ^ plan.labels)
         light = np.diff(cuts) <= plan.light
-        out.append((level, found[~light] if light.sum() <= plan.spare else found))
+        unsent = int(light.sum())
+        if unsent <= plan.spare:
+            out.append((level, found[~light], plan.spare + 1 - unsent))
+        else:
+            out.append((level, found, plan.spare + 1))
     return out
 
 
-PARTS = pa.schema([("part", pa.int32()), ("route", pa.binary()), ("vertex", pa.binary()), ("row", pa.binary()), ("docs", pa.binary())])
-PARTS_DDL = "part int, route binary, vertex binary, row binary, docs binary"
+PARTS = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("route", "vertex", "need", "row", "docs"))])
+PARTS_DDL = "part int, route binary, vertex binary, need binary, row binary, docs binary"
 #: A document: its node, and the node's vertices (one for each level, 0 for none).
 DOCS = np.dtype([("id", "<i8"), ("node", "<i8"), ("own", "<i8"), ("next", "<i8"), ("key", "<i8"), ("n", "<i4")])
 
@@ -182,24 +194,24 @@ def routed(parts: int, words: int, percent: int):
             for first, texts in _slices(batch):
                 docs = np.zeros(len(texts), DOCS)
                 docs["id"], docs["key"] = ids[first : first + len(texts)], keys[first : first + len(texts)]
-                seen: set[int] = set()
+                needs: dict[int, int] = {}
                 route, vertex = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for i, shingles in enumerate(shingle_sets(texts, words)):
                     docs["n"][i] = len(shingles)
                     docs["node"][i] = node = name(shingles)
-                    for place, (level, found) in zip(("own", "next"), routes(shingles, percent)):
+                    for place, (level, found, need) in zip(("own", "next"), routes(shingles, percent)):
                         docs[place][i] = at = int(mixed(np.array([node], np.int64).view(np.uint64) + np.uint64(level)).view(np.int64)[0])
-                        if at not in seen:
-                            seen.add(at)
+                        if at not in needs:
+                            needs[at] = need
                             route.append(found)
                             vertex.append(np.full(len(found), at, np.int64))
-                yield from _dealt(np.concatenate(route), np.concatenate(vertex), docs, parts)
+                yield from _dealt(np.concatenate(route), np.concatenate(vertex), needs, docs, parts)
 
     return run
 
 
-def _dealt(route: np.ndarray, vertex: np.ndarray, docs: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """A slice's routes by group of routes; vertices are written once for each group."""
+def _dealt(route: np.ndarray, vertex: np.ndarray, needs: dict[int, int], docs: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """A slice's routes by group of routes; vertices and what they need are written once for each group."""
     part = ((route >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
     order = np.lexsort((vertex, part))
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
@@ -211,40 +223,69 @@ def _dealt(route: np.ndarray, vertex: np.ndarray, docs: np.ndarray, parts: int)
             unique, row = np.unique(vertex[chosen], return_inverse=True)
             rows.append({
                 "part": p, "route": route[chosen].tobytes(), "vertex": unique.tobytes(),
+                "need": np.array([min(needs[v], MOST) for v in unique.tolist()], "<u2").tobytes(),
                 "row": row.astype(_index_type(len(unique))).tobytes(), "docs": docs.tobytes() if p == own else b"",
             })
     yield pa.RecordBatch.from_pylist(rows, schema=PARTS)
 
 
+#: What a vertex needs is sent in two bytes; one that needs more is held to this.
+MOST = (1 << 16) - 1
+
+
 def _index_type(n: int) -> str:
     return "<u2" if n <= 1 << 16 else "<u4"
 
 
-MET_DDL = "edge boolean, a long, b long, own long, next long, key long, n int"
-MET = pa.schema([("edge", pa.bool_()), *((c, pa.int64()) for c in ("a", "b", "own", "next", "key")), ("n", pa.int32())])
+CODEC = "zstd"
+PACKED_DDL = "node long, cluster long, blocks long, size long, packed binary"
+PACKED = pa.schema([*((c, pa.int64()) for c in ("node", "cluster", "blocks", "size")), ("packed", pa.binary())])
+MEMBERS_DDL = "cluster long, left long, right long, node long, shingles binary"
+MEMBERS = pa.schema([*((c, pa.int64()) for c in ("cluster", "left", "right", "node")), ("shingles", pa.binary())])
+MET_DDL = "shared boolean, a long, b long, own long, next long, key long, n int"
+MET = pa.schema([("shared", pa.bool_()), *((c, pa.int64()) for c in ("a", "b", "own", "next", "key")), ("n", pa.int32())])
 
 
 def met(key: tuple, table: pa.Table) -> pa.Table:
-    """Vertices that share a route, as edges to the smallest of them; and the documents (a: id, b: node) as they came."""
+    """Routes that several vertices share (a: route, b: vertex, n: how many routes the vertex must share), a row for each of
+    the vertices; and the documents (a: id, b: node) as they came."""
     route = np.frombuffer(b"".join(table.column("route").to_pylist()), "<u8")
-    vertices = []
-    for unique, row in zip(table.column("vertex").to_pylist(), table.column("row").to_pylist()):
+    vertices, needs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+    for unique, need, row in zip(*(table.column(c).to_pylist() for c in ("vertex", "need", "row"))):
         known = np.frombuffer(unique, "<i8")
-        vertices.append(known[np.frombuffer(row, _index_type(len(known)))])
-    vertex = np.concatenate([np.zeros(0, np.int64), *vertices])
+        at = np.frombuffer(row, _index_type(len(known)))
+        vertices.append(known[at])
+        needs.append(np.frombuffer(need, "<u2")[at])
+    vertex, need = np.concatenate(vertices), np.concatenate(needs)
     order = np.lexsort((vertex, route))
-    route, vertex = route[order], vertex[order]
-    new = np.concatenate([[True], route[1:] != route[:-1]]) if len(route) else np.zeros(0, bool)
-    least = vertex[np.flatnonzero(new)][np.cumsum(new) - 1] if len(route) else vertex
-    other = vertex != least
-    pairs = np.unique(np.column_stack([vertex[other], least[other]]), axis=0) if other.any() else np.zeros((0, 2), np.int64)
+    route, vertex, need = route[order], vertex[order], need[order]
+    once = np.ones(len(route), bool)  # a node may come from several slices
+    once[1:] = (route[1:] != route[:-1]) | (vertex[1:] != vertex[:-1])
+    route, vertex, need = route[once], vertex[once], need[once]
+    same = route[1:] == route[:-1]
+    shared = np.zeros(len(route), bool)
+    shared[1:] |= same
+    shared[:-1] |= same
+    route, vertex, need = route[shared].view(np.int64), vertex[shared], need[shared]
     docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), DOCS)
-    m, d = len(pairs), len(docs)
+    m, d = len(route), len(docs)
     none = np.zeros(m, np.int64)
-    columns = {"a": np.concatenate([pairs[:, 0], docs["id"]]), "b": np.concatenate([pairs[:, 1], docs["node"]])}
-    for field in ("own", "next", "key", "n"):
-        columns[field] = np.concatenate([none, docs[field]]).astype(np.int32 if field == "n" else np.int64)
-    return pa.table({"edge": np.repeat([True, False], [m, d]), **columns}, schema=MET)
+    columns = {"a": np.concatenate([route, docs["id"]]), "b": np.concatenate([vertex, docs["node"]])}
+    for field in ("own", "next", "key"):
+        columns[field] = np.concatenate([none, docs[field]]).astype(np.int64)
+    columns["n"] = np.concatenate([need, docs["n"]]).astype(np.int32)
+    return pa.table({"shared": np.repeat([True, False], [m, d]), **columns}, schema=MET)
+
+
+def edges(met_rows: DataFrame) -> DataFrame:
+    """``a, b``: vertices that share a route, each with the smallest of them, of those that share as many as they need."""
+    current = met_rows.where("shared").select(F.col("a").alias("route"), F.col("b").alias("vertex"), F.col("n").alias("need"))
+    for _ in range(PRUNES):
+        enough = current.groupBy("vertex").agg(F.count("*").alias("found"), F.first("need").alias("need")).where("found >= need")
+        left = current.join(enough.select("vertex"), "vertex", "left_semi")
+        met_still = left.groupBy("route").agg(F.count("*").alias("found"), F.min("vertex").alias("least")).where("found > 1")
+        current = written(left.select("route", "vertex", "need").join(met_still.select("route", "least"), "route"), "jaccard-routes")
+    return current.where("vertex <> least").select(F.col("vertex").alias("a"), F.col("least").alias("b")).distinct()
 
 
 class CountTree:
@@ -331,20 +372,38 @@ def joining_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[
     return out
 
 
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed texts of cluster members, one row for each cluster they are in."""
+    for batch in batches:
+        rows = []
+        for node, inside, raw in zip(batch.column("node").to_pylist(), batch.column("inside").to_pylist(), raw_texts(batch)):
+            small = pa.compress(raw, codec=CODEC, asbytes=True)
+            rows += [(node, c["cluster"], c["blocks"], len(raw), small) for c in inside]
+        columns = list(zip(*rows)) or [[] for _ in PACKED]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PACKED)], schema=PACKED)
+
+
 def member_sets(words: int):
-    """Shingle sets of cluster members, one row for each cluster they are in."""
-    schema = pa.schema([("node", pa.int64()), ("cluster", pa.int64()), ("blocks", pa.int64()), ("shingles", pa.binary())])
+    """Shingle sets of cluster members, in the order in which their compressed texts come."""
+
+    def cut(rows: list[tuple], texts: list[bytes]) -> pa.RecordBatch:
+        sets = [x.tobytes() for x in shingle_sets(texts, words)]
+        columns = list(zip(*rows)) or [[] for _ in MEMBERS.names[:-1]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*columns, sets], MEMBERS)], schema=MEMBERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, inside = batch.column("node").to_pylist(), batch.column("inside").to_pylist()
-            for first, texts in _slices(batch):
-                rows = []
-                for i, shingles in enumerate(shingle_sets(texts, words), first):
-                    raw = shingles.tobytes()
-                    rows += [(nodes[i], c["cluster"], c["blocks"], raw) for c in inside[i]]
-                columns = list(zip(*rows)) or [[] for _ in schema]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            rows, texts, total = [], [], 0
+            places = zip(*(batch.column(n).to_pylist() for n in ("cluster", "left", "right", "node")))
+            for row, size, small in zip(places, batch.column("size").to_pylist(), raw_texts(batch, "packed")):
+                rows.append(row)
+                texts.append(pa.decompress(small, decompressed_size=size, codec=CODEC, asbytes=True))
+                total += size
+                if total >= SLICE:
+                    yield cut(rows, texts)
+                    rows, texts, total = [], [], 0
+            if rows:
+                yield cut(rows, texts)
 
     return run
 
@@ -376,35 +435,43 @@ def linked(percent: int):
     return run
 
 
-def dealt_sets(spread: DataFrame, met_rows: DataFrame, words: int) -> DataFrame:
-    """``cluster, left, right, node, shingles``: the sets of each pair of blocks of a cluster."""
-    docs = met_rows.where(~F.col("edge") & (F.col("n") > 0))
+def dealt_texts(spread: DataFrame, met_rows: DataFrame) -> DataFrame:
+    """``cluster, left, right, node, size, packed``: the compressed texts of each pair of blocks of a cluster."""
+    docs = met_rows.where(~F.col("shared") & (F.col("n") > 0))
     nodes = docs.groupBy(F.col("b").alias("node")).agg(
         F.min(F.struct(F.col("a").alias("id"), "key")).alias("first"), F.first("own").alias("own"), F.first("next").alias("next"), F.first("n").alias("n")
     )
     vertices = nodes.select("node", "first", "n", F.explode(F.array("own", "next")).alias("vertex")).where("vertex <> 0")
-    clusters = components(met_rows.where("edge").select("a", "b"))
+    clusters = components(edges(met_rows))
     placed = clusters.withColumnRenamed("id", "vertex").join(vertices, "vertex")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES))
     placed = placed.join(placed.groupBy("component").agg(blocks.alias("blocks")), "component")
     members = placed.groupBy("node", "first.id", "first.key").agg(
         F.collect_list(F.struct(F.col("component").alias("cluster"), "blocks")).alias("inside")  # two at most
     )
-    sets = spread.select("id", "key", "text").join(members, ["id", "key"]).mapInArrow(
-        tidy(member_sets(words)), "node long, cluster long, blocks long, shingles binary"
-    )
+    texts = spread.select("id", "key", "text").join(members, ["id", "key"]).mapInArrow(tidy(packed), PACKED_DDL)
     block = F.pmod(F.xxhash64("node"), "blocks")
-    dealt = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = texts.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.select(
-        "cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "node", "shingles"
+        "cluster", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "node", "size", "packed"
     )
 
 
+def dealt_sets(spread: DataFrame, met_rows: DataFrame, words: int) -> DataFrame:
+    """``cluster, left, right, node, shingles``: the sets of each pair of blocks of a cluster, as ``links`` compares them."""
+    return dealt_texts(spread, met_rows).mapInArrow(tidy(member_sets(words)), MEMBERS_DDL)
+
+
 def links(spread: DataFrame, met_rows: DataFrame, words: int, percent: int) -> DataFrame:
     """Joining links between nodes (a, b) that share a cluster."""
-    dealt = dealt_sets(spread, met_rows, words)
+    sets, compare = member_sets(words), linked(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from compare(sets(batches))
+
+    dealt = dealt_texts(spread, met_rows)
     grouped = dealt.repartition("cluster", "left", "right").sortWithinPartitions("cluster", "left", "right")
-    return grouped.mapInArrow(tidy(linked(percent)), "a long, b long")
+    return grouped.mapInArrow(tidy(run), "a long, b long")
 
 
 def _keyed(docs: DataFrame, *more: Column) -> DataFrame:
@@ -423,7 +490,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     sent = spread.mapInArrow(tidy(routed(parts, words, percent)), PARTS_DDL)
     met_rows = written(sent.repartition(parts, "part").groupBy("part").applyInArrow(met, MET_DDL), "jaccard")
     found = components(written(links(spread, met_rows, words, percent), "jaccard-links"))
-    seen = met_rows.where(~F.col("edge"))
+    seen = met_rows.where(~F.col("shared"))
     nodes = seen.where("n > 0").groupBy("b").agg(F.min("a").alias("id"))
     found = found.select(F.col("id").alias("b"), F.col("component").alias("part"))
     least = written(nodes.join(found, "b").groupBy("part").agg(F.min("id").alias("least")), "jaccard-names")

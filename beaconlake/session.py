@@ -32,11 +32,25 @@ def run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Spark removes the shuffle files of an execution when that has ended, not when the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows of ``df`` as a table in the shared folder: computed once, and safe from lost executors."""
-    path = run_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """The rows of ``df`` as a table in the shared folder: computed once, and safe from lost executors. What was shuffled for
+    it takes no disk any more."""
+    spark = df.sparkSession
+    path = run_dir(spark, purpose)
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+    return spark.read.parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from beaconlake.llm import jaccard
 from beaconlake.llm.components import components
+from beaconlake.session import written
 
 
 def shingles(text, words):
@@ -132,3 +134,37 @@ def test_components_of_long_chains(spark):
     edges = spark.createDataFrame(chain, "a long, b long").repartition(7)
     names = {r.id: r.component for r in components(edges).collect()}
     assert names == {**{n: 0 for n in range(61)}, 100: 100, 150: 100, 200: 100}
+
+
+def test_passages_do_not_chain_unrelated_texts(spark, monkeypatch):
+    """Texts that share passages with others, each with a few of them, and one pair that links: only the pair is dealt."""
+    draw = random.Random(15)
+    passages = [" ".join(f"p{k}x{i}" for i in range(50)) for k in range(6)]
+    texts = []
+    for n in range(150):
+        own = [f"t{n}x{i}" for i in range(300)]
+        texts.append(" ".join([*own[:150], draw.choice(passages), *own[150:], draw.choice(passages)]))
+    texts.append(texts[0].replace("t0x9 ", "other "))
+    rows = list(enumerate(texts))
+    seen = []
+    keep = jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda df, name: seen.append((name, df)) or keep(df, name))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(jaccard.linked_documents(df, words=5, percent=80)) == plain(rows, 5, 80)
+    met_rows = next(df for name, df in seen if name == "jaccard")
+    nodes = jaccard.dealt_sets(jaccard._keyed(df), met_rows, 5).select("node").distinct().count()
+    assert 2 <= nodes <= 10
+
+
+def test_shuffles_of_written_tables_take_no_disk(spark):
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(held.size()) if (name := held.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    table = written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "count"), "shuffled")
+    for _ in range(50):  # they go in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert table.count() == 7 and not left
